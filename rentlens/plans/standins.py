@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schema import AREA_NAMES
 from ..sources.files import read_table
 from .joins import bounded_broadcast
 
@@ -97,3 +98,122 @@ def listings_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("617-555-"), F.lpad(nation_str, 4, "0")).alias("agent_phone"),
         _yes_no(F.col("o_orderpriority") == "1-URGENT", "No", "Yes").alias("agent_fees"),
     )
+
+
+# --- raw stand-ins for the cleaning path -----------------------------------
+# Dirty text is generated from the clean stand-in; the oracle reads the clean
+# columns, so the checks do not depend on our parsing code.
+
+AREA_LIST = list(AREA_NAMES.values())
+PAYLOAD_SIZE = 500
+AS_OF = "2024-06-30"
+
+
+def area_name_at(idx) -> "F.Column":
+    """Dimension name number ``idx`` (0-based, taken modulo 31)."""
+    arr = F.array(*[F.lit(n) for n in AREA_LIST])
+    return F.element_at(arr, (idx % len(AREA_LIST) + 1).cast("int"))
+
+
+def area_values_sql(alias: str = "dim") -> str:
+    """The same dimension as a SQL VALUES list ``alias(k, name)``."""
+    rows = ", ".join(f"({i}, '{n}')" for i, n in enumerate(AREA_LIST))
+    return f"(VALUES {rows}) AS {alias}(k, name)"
+
+
+def _jstr(c):
+    """A JSON string literal (quoted, escaped) for a string column; NULL -> null."""
+    return F.coalesce(F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2),
+                      F.lit("null"))
+
+
+def _date_text(d, sel):
+    """Free-form date text of date ``d``, shape chosen by ``sel`` (0-4)."""
+    day_first = F.dayofmonth(d) > 12
+    return (F.when(sel == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+            .when(sel == 1, F.date_format(d, "MM/dd/yyyy"))
+            .when((sel == 2) & day_first, F.date_format(d, "dd/MM/yyyy"))
+            .when(sel == 2, F.date_format(d, "M/d/yy"))
+            .when(sel == 3, F.date_format(d, "MMM d, yyyy"))
+            .otherwise(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+
+
+def _count_text(x, k):
+    """Beds/baths text: '<n> Beds', bare number, or a default-1 spelling."""
+    one = x == 1.0
+    return (F.when(one & (k % 3 == 0), F.lit('"0"'))
+            .when(one & (k % 3 == 1), F.lit('""'))
+            .when(one, F.lit("null"))
+            .when(k % 2 == 0, F.concat(F.lit('"'), x.cast("string"), F.lit(' Beds"')))
+            .otherwise(F.concat(F.lit('"'), x.cast("string"), F.lit('"'))))
+
+
+def raw_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API bodies of ``PAYLOAD_SIZE`` listings each, typed as the live API types them.
+
+    Prices carry '$' and thousands commas; dates cycle through five shapes;
+    flags are booleans, or numbers (1/0) for every 13th listing; hot water is
+    the string "1"/"0", or the number 1 (reads as No) for every 11th; fees are
+    0 / 0.0 / false (No) or 150 / "0" / null (Yes); every 4th listing has an
+    empty street address (location falls back to the sub-area name); every
+    97th has a price with cents (rejected). Only listings with an update date
+    are sent (the field is required).
+    """
+    L = listings_standin(spark, sf_dir).filter(F.col("last_updated").isNotNull())
+    k = F.col("id")
+    util, amen = F.col("utilities"), F.col("amenities")
+    heat = util.contains("Heat - Yes")
+    hot = util.contains("Hot Water - Yes")
+    elec = util.contains("Electricity - Yes")
+    dish = amen.contains("Dish Washer - Yes")
+    parking = F.regexp_extract(amen, r"Parking - ([^,]*),", 1)
+    b = lambda cond: F.when(cond, F.lit("true")).otherwise(F.lit("false"))
+    n = lambda cond: F.when(cond, F.lit("1")).otherwise(F.lit("0"))
+    price = F.when(k % 97 == 0, F.concat(F.lit('"'), F.col("price").cast("string"), F.lit('.00"'))).otherwise(
+        F.concat(F.lit('"$'), F.format_number(F.col("price"), 0), F.lit('"')))
+    fee = (F.when((F.col("agent_fees") == "No") & (k % 3 == 0), F.lit("0"))
+           .when((F.col("agent_fees") == "No") & (k % 3 == 1), F.lit("0.0"))
+           .when(F.col("agent_fees") == "No", F.lit("false"))
+           .when(k % 3 == 0, F.lit("150"))
+           .when(k % 3 == 1, F.lit('"0"'))
+           .otherwise(F.lit("null")))
+    address = (F.when(k % 8 == 0, F.lit("null"))
+               .when(k % 4 == 0, F.lit('{"street_address": ""}'))
+               .otherwise(F.concat(F.lit('{"street_address": '), _jstr(F.col("location")), F.lit("}"))))
+    elem = F.concat(
+        F.lit('{"listing_id": '), k.cast("string"),
+        F.lit(', "date_modified": '), _jstr(_date_text(F.col("last_updated"), k % 5)),
+        F.lit(', "price": '), price,
+        F.lit(', "bed_room": '), _count_text(F.col("n_beds"), k),
+        F.lit(', "baths": '), _count_text(F.col("n_baths"), k + 1),
+        F.lit(', "date_available": '), _jstr(_date_text(F.col("available_date"), (k + 1) % 5)),
+        F.lit(', "building_address": '), address,
+        F.lit(', "sub_area_name": '), _jstr(F.concat(F.lit("Boston - "), area_name_at(k))),
+        F.lit(', "agent_full_name": '), _jstr(F.col("agent_name")),
+        F.lit(', "agent_email": '), _jstr(F.col("agent_email")),
+        F.lit(', "agent_phone": '), _jstr(F.col("agent_phone")),
+        F.lit(', "fee": '), fee,
+        F.lit(', "heat": '), F.when(k % 13 == 0, n(heat)).otherwise(b(heat)),
+        F.lit(', "hot_water": '), F.when(hot, F.lit('"1"')).when(k % 11 == 0, F.lit("1")).otherwise(F.lit('"0"')),
+        F.lit(', "electricity": '), b(elec),
+        F.lit(', "parking": '), F.when(parking == "No", F.when(k % 2 == 0, F.lit('""')).otherwise(F.lit("null")))
+        .otherwise(_jstr(parking)),
+        F.lit(', "dish_washer": '), b(dish),
+        F.lit(', "laundry_location": null, "air_conditioning": ""}'),
+    )
+    # Payload groups are bounded (PAYLOAD_SIZE listings), so collecting one
+    # group's elements is bounded too; elements are sorted by id so a body is
+    # deterministic.
+    grouped = (L.select((k / PAYLOAD_SIZE).cast("long").alias("payload_id"), k.alias("k"), elem.alias("e"))
+               .groupBy("payload_id")
+               .agg(F.array_sort(F.collect_list(F.struct("k", "e"))).alias("items")))
+    body = F.concat(F.lit('{"data": ['), F.array_join(F.transform("items", lambda s: s["e"]), ", "), F.lit("]}"))
+    return grouped.select("payload_id", body.alias("body"))
+
+
+RAW_JSON_EXPECTED_SQL = f"""
+SELECT id AS ext_id, last_updated, price, n_beds, n_baths, available_date,
+ CASE WHEN id % 4 = 0 THEN concat('Boston - ', dim.name) ELSE location END AS location,
+ dim.name AS area, utilities, amenities, agent_name, agent_email, agent_phone, agent_fees
+FROM listings JOIN {area_values_sql()} ON dim.k = id % 31
+WHERE last_updated IS NOT NULL AND id % 97 <> 0"""
