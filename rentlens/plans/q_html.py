@@ -1 +1,166 @@
-"""Registered queries (filled in below)."""
+"""HTML extraction queries (H1-H9, R3-R6, J2, N1, N2, P17), with oracle SQL."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..functions import clean as C
+from ..operators.windows import carry_forward
+from ..sources import html_pages as H
+from ..sources.files import read_table
+from .registry import register
+from .standins import AS_OF, RAW_HTML_CARDS_SQL, raw_html_pages, with_listings
+
+AS_OF_DATE = dt.date.fromisoformat(AS_OF)
+CARD_COLUMNS = ["source_id", "page_num", "pos", "last_updated", "price", "n_beds", "n_baths", "available_date",
+                "location", "area", "utilities", "amenities", "agent_name", "agent_email", "agent_phone",
+                "agent_fees"]
+
+
+def _kept_cards(spark, sf_dir):
+    cards = H.extract_cards(raw_html_pages(spark, sf_dir))
+    cutoff = H.page_cutoff(H.page_facts(cards))
+    return H.apply_cutoff(cards, cutoff), cutoff
+
+
+@register("html_cards", with_listings(f""", {RAW_HTML_CARDS_SQL}
+SELECT {", ".join(CARD_COLUMNS)} FROM cards"""))
+def q_html_cards(spark, sf_dir):
+    kept, _ = _kept_cards(spark, sf_dir)
+    return H.clean_cards(kept, AS_OF_DATE).select(*CARD_COLUMNS)
+
+
+@register("page_cutoff", with_listings(f""", {RAW_HTML_CARDS_SQL}
+SELECT source_id, CAST(CASE WHEN source_id = 'src0' THEN n ELSE n + 1 END AS INTEGER) AS last_page
+FROM npages"""))
+def q_page_cutoff(spark, sf_dir):
+    _, cutoff = _kept_cards(spark, sf_dir)
+    return cutoff
+
+
+@register("carry_forward", with_listings(f""", {RAW_HTML_CARDS_SQL}
+SELECT source_id, page_num, pos, last_value(available_date IGNORE NULLS) OVER (
+   PARTITION BY source_id ORDER BY page_num, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+   AS available_date
+FROM cards"""))
+def q_carry_forward(spark, sf_dir):
+    kept, _ = _kept_cards(spark, sf_dir)
+    clean = H.clean_cards(kept, AS_OF_DATE).select("source_id", "page_num", "pos", "available_date")
+    return carry_forward(clean, ["available_date"], ["source_id"], ["page_num", "pos"])
+
+
+@register("page_agents", with_listings(f""", {RAW_HTML_CARDS_SQL}
+, pg AS (SELECT DISTINCT source_id, p AS orig_p, p AS page_num FROM base
+   UNION ALL SELECT c.source_id, c.p, n.n + c.off
+   FROM (VALUES ('src0', 1, 2), ('src1', 1, 1), ('src1', 2, 2), ('src2', 2, 1), ('src2', 3, 2))
+     AS c(source_id, p, off) JOIN npages n ON n.source_id = c.source_id),
+cnt AS (SELECT source_id, p, count(*) AS n_cards FROM base GROUP BY source_id, p)
+SELECT pg.source_id, CAST(pg.page_num AS INTEGER) AS page_num, a.a_name AS agent_name, a.a_email AS agent_email,
+ a.a_phone AS agent_phone, cnt.n_cards AS n_rows
+FROM pg JOIN cnt ON cnt.source_id = pg.source_id AND cnt.p = pg.orig_p
+JOIN agents a ON a.source_id = pg.source_id AND a.p = pg.orig_p
+UNION ALL
+SELECT n.source_id, CAST(n.n + 1 AS INTEGER), a.a_name, a.a_email, a.a_phone, 1
+FROM npages n JOIN agents a ON a.source_id = n.source_id AND a.p = 1 WHERE n.source_id = 'src0'"""))
+def q_page_agents(spark, sf_dir):
+    """H3 + J2: page-level agents joined back to every card row of the page."""
+    cards = H.extract_cards(raw_html_pages(spark, sf_dir))
+    agents = H.page_agents(cards)
+    slim = cards.select("source_id", "page_num", "pos")
+    joined = H.join_page_agent(slim, agents)
+    return (joined.groupBy("source_id", "page_num", "agent_name", "agent_email", "agent_phone")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _unescape(x: str) -> str:
+    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), "
+            f"'&amp;', '&')")
+
+
+def _inner_text(tag_re: str) -> str:
+    return _unescape(f"regexp_replace(regexp_extract(html, '(?s){tag_re}', 1), '<[^>]*>', '', 'g')")
+
+
+_PAGE_SPEC = {
+    "title": ("title", None, "text"),
+    "heading": ("h1", None, "text"),
+    "ad_text": ("div", "ad", "text"),
+    "n_links": ("a", None, "count"),
+    "n_paragraphs": ("p", None, "count"),
+}
+
+
+@register("page_fields", f"""
+SELECT page_id, {_inner_text('<title>(.*?)</title>')} AS title, {_inner_text('<h1>(.*?)</h1>')} AS heading,
+ {_inner_text('<div class="ad">(.*?)</div>')} AS ad_text,
+ CAST(len(regexp_extract_all(html, '<a[\\s>]')) AS INTEGER) AS n_links,
+ CAST(len(regexp_extract_all(html, '<p[\\s>]')) AS INTEGER) AS n_paragraphs
+FROM pages""")
+def q_page_fields(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return H.extract_page_fields(pages, "page_id", _PAGE_SPEC)
+
+
+@register("page_first_href", f"""
+SELECT page_id, {_unescape("regexp_extract(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)")} AS first_href,
+ split_part(url, ':', 2) AS url_payload
+FROM pages""")
+def q_page_first_href(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    f = H.extract_page_fields(pages, "page_id", {"first_href": ("a", None, "href")})
+    urls = pages.select("page_id", C.href_payload("url").alias("url_payload"))
+    return f.join(urls, "page_id")
+
+
+@register("nonempty_pages", """
+SELECT page_id, CAST(len(regexp_extract_all(html, '<p[\\s>]')) AS INTEGER) AS n_paragraphs FROM pages
+WHERE len(regexp_extract_all(html, '<p[\\s>]')) > 0""")
+def q_nonempty_pages(spark, sf_dir):
+    """H9: pages whose target element exists (here: at least one paragraph)."""
+    pages = read_table(spark, sf_dir, "pages")
+    f = H.extract_page_fields(pages, "page_id", {"n_paragraphs": ("p", None, "count")})
+    return f.filter(F.col("n_paragraphs") > 0)
+
+
+@register("expand_page_urls", """
+SELECT page_id, CAST(g.n AS INTEGER) AS page_num, concat(url, '&page=', CAST(g.n AS VARCHAR)) AS page_url
+FROM pages, generate_series(1, CAST(length(html) // 5000 + 1 AS BIGINT)) AS g(n)""")
+def q_expand_page_urls(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select(
+        "page_id", "url", (F.length("html") / 5000).cast("int").alias("n0"))
+    out = H.expand_page_urls(pages.withColumn("n_pages", F.col("n0") + 1), "n_pages")
+    return out.select("page_id", "page_num", "page_url")
+
+
+@register("url_params", """
+SELECT page_id, CAST(i - 1 AS INTEGER) AS param_pos, url_decode(split_part(pair, '=', 1)) AS param_key,
+ url_decode(CASE WHEN strpos(pair, '=') > 0 THEN substr(pair, strpos(pair, '=') + 1) ELSE '' END) AS param_value
+FROM (SELECT page_id, unnest(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&')) AS pair,
+        unnest(range(1, len(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&')) + 1)) AS i
+      FROM pages) t
+WHERE pair <> ''""")
+def q_url_params(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return H.url_query_params(pages).select("page_id", "param_pos", "param_key", "param_value")
+
+
+_BOX_FIELDS = {"title": ("h1", None), "lead": ("b", None), "ad": ("div", "ad")}
+
+
+_ART = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
+_H1 = "regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"
+
+
+@register("page_boxes", f"""
+SELECT page_id, CAST(0 AS INTEGER) AS box_pos,
+ CASE WHEN {_H1} = '' OR contains({_H1}, '<') THEN NULL ELSE {_unescape(_H1)} END AS title,
+ CASE WHEN regexp_matches({_ART}, '<b>[^<]+</b>')
+      THEN {_unescape(f"regexp_extract({_ART}, '<b>([^<]+)</b>', 1)")} END AS lead,
+ NULL::VARCHAR AS ad
+FROM pages WHERE html LIKE '%<article>%'""")
+def q_page_boxes(spark, sf_dir):
+    """H7: boxes found by (tag, class); a field is its single string, else NULL."""
+    pages = read_table(spark, sf_dir, "pages")
+    return H.extract_boxes(pages, "page_id", box=("article", None), fields=_BOX_FIELDS, how="string")

@@ -217,3 +217,99 @@ SELECT id AS ext_id, last_updated, price, n_beds, n_baths, available_date,
  dim.name AS area, utilities, amenities, agent_name, agent_email, agent_phone, agent_fees
 FROM listings JOIN {area_values_sql()} ON dim.k = id % 31
 WHERE last_updated IS NOT NULL AND id % 97 <> 0"""
+
+
+# --- raw HTML card pages ---------------------------------------------------
+CARDS_PER_PAGE = 20
+N_SOURCES = 3
+
+
+def _card_html(k):
+    dim = area_name_at(k)
+    avail = F.when(k % 13 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('<div class="column">Available '), F.date_format("available_date", "MM/dd/yyyy"),
+                 F.lit("</div>")))
+    return F.concat(
+        F.lit('<div class="property_item"><a class="item_title" href="/l/'), k.cast("string"), F.lit('">'),
+        F.col("location"), F.lit(" ("), dim, F.lit(")</a>\n  <div class=\"item_props\">"),
+        F.lit('<div class="column">$'), F.format_number(F.col("price"), 0), F.lit("</div>"),
+        F.lit('<div class="column">'), F.col("n_beds").cast("string"), F.lit(" Beds</div>"),
+        F.lit('<div class="column">\n  '), F.col("n_baths").cast("string"), F.lit(" Baths </div>"),
+        avail, F.lit("</div></div>\n"))
+
+
+def _page_html(cards, counter, agent):
+    contacts = F.concat(
+        F.lit('<div class="contacts"><ul><li>\n  '), agent["agent_name"], F.lit(" </li><li><a href=\"tel:"),
+        agent["agent_phone"], F.lit('">call</a></li><li><a href="mailto:'), agent["agent_email"],
+        F.lit('">email</a></li></ul></div>'))
+    return F.concat(F.lit("<!DOCTYPE html><html><body>"), contacts, F.coalesce(counter, F.lit("")),
+                    F.lit('<div class="search_results_area">'), cards, F.lit("</div></body></html>"))
+
+
+def raw_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured card pages ``(source_id, page_num, url, html)`` of three sources.
+
+    Listings are spread over sources by id, 20 cards per page; each page
+    shows the agent of its first card; every 13th card lacks its
+    availability cell. Crawl-stop shapes: src0 ends with an empty page and
+    one more page after it; src1 wraps around to page 1 (counter repeats),
+    then page 2; src2 has no counter on page 1, then wraps to page 2, then 3.
+    """
+    L = listings_standin(spark, sf_dir)
+    k = F.col("id")
+    idx = (k / N_SOURCES).cast("long")
+    cards = L.select(
+        F.concat(F.lit("src"), (k % N_SOURCES).cast("string")).alias("source_id"),
+        (idx / CARDS_PER_PAGE).cast("int").alias("p0"), (idx % CARDS_PER_PAGE).cast("int").alias("pos"),
+        _card_html(k).alias("card"), "agent_name", "agent_email", "agent_phone")
+    # A page holds at most CARDS_PER_PAGE cards, so the collected group is bounded.
+    pages = (cards.groupBy("source_id", (F.col("p0") + 1).alias("page_num"))
+             .agg(F.array_sort(F.collect_list(F.struct("pos", "card"))).alias("cards"),
+                  F.min_by(F.struct("agent_name", "agent_email", "agent_phone"), F.col("pos")).alias("agent"))
+             .withColumn("cards_html", F.array_join(F.transform("cards", lambda s: s["card"]), ""))
+             .drop("cards"))
+    last = bounded_broadcast(pages.groupBy("source_id").agg(F.max("page_num").alias("n")))
+    p = pages.join(last, "source_id")
+    counter = lambda num: F.concat(F.lit('<div class="counter">Page '), num.cast("string"),
+                                   F.lit(" of many</div>"))
+    normal = p.select("source_id", "page_num",
+                      F.when((F.col("source_id") == "src2") & (F.col("page_num") == 1), F.lit(None))
+                      .otherwise(counter(F.col("page_num"))).alias("counter"), "agent", "cards_html")
+    # Wrap-around pages: a copy of page c shown again at n + 1 (+ offset).
+    src = F.col("source_id")
+    copy_of = (F.when((src == "src0") & (F.col("page_num") == 1), F.lit(2))
+               .when((src == "src1") & (F.col("page_num") <= 2), F.col("page_num"))
+               .when((src == "src2") & (F.col("page_num").isin(2, 3)), F.col("page_num") - 1))
+    copies = (p.withColumn("off", copy_of).filter(F.col("off").isNotNull())
+              .select("source_id", (F.col("n") + F.col("off")).alias("page_num"),
+                      counter(F.col("page_num")).alias("counter"), "agent", "cards_html"))
+    empty = (p.filter((src == "src0") & (F.col("page_num") == 1))
+             .select("source_id", (F.col("n") + 1).alias("page_num"), counter(F.col("n") + 1).alias("counter"),
+                     "agent", F.lit("").alias("cards_html")))
+    allp = normal.unionByName(copies).unionByName(empty)
+    return allp.select(
+        "source_id", "page_num",
+        F.concat(F.lit("https://listings.example.com/"), F.col("source_id"), F.lit("?areas%5B%5D=Boston&page=1&page="),
+                 F.col("page_num").cast("string")).alias("url"),
+        _page_html(F.col("cards_html"), F.col("counter"), F.col("agent")).alias("html"))
+
+
+# Oracle side: expected cards after the crawl cutoff (listings + wrapped copies).
+RAW_HTML_CARDS_SQL = f"""
+base AS (SELECT *, 'src' || CAST(id % 3 AS VARCHAR) AS source_id, CAST((id // 3) // 20 + 1 AS INTEGER) AS p,
+   CAST((id // 3) % 20 AS INTEGER) AS pos FROM listings),
+npages AS (SELECT source_id, max(p) AS n FROM base GROUP BY source_id),
+agents AS (SELECT source_id, p, agent_name AS a_name, agent_email AS a_email, agent_phone AS a_phone
+   FROM base WHERE pos = 0),
+kept AS (SELECT b.*, b.p AS page_num FROM base b
+   UNION ALL SELECT b.*, n.n + 1 AS page_num FROM base b JOIN npages n USING (source_id)
+     WHERE (b.source_id = 'src1' AND b.p = 1) OR (b.source_id = 'src2' AND b.p = 2)),
+cards AS (SELECT kept.source_id, kept.page_num, kept.pos,
+   CAST(NULL AS DATE) AS last_updated, price, n_beds, n_baths,
+   CASE WHEN id % 13 = 0 THEN NULL ELSE available_date END AS available_date,
+   concat(location, ' (', dim.name, ')') AS location, dim.name AS area,
+   '/l/' || CAST(id AS VARCHAR) AS utilities, '/l/' || CAST(id AS VARCHAR) AS amenities,
+   a_name AS agent_name, a_email AS agent_email, a_phone AS agent_phone, 'Yes' AS agent_fees,
+   available_date AS avail_full, id
+   FROM kept JOIN agents USING (source_id, p) JOIN {area_values_sql()} ON dim.k = id % 31)"""
