@@ -1 +1,90 @@
-"""Registered queries (filled in below)."""
+"""Streaming queries (T1-T4) over ``events`` split into daily files, with batch oracle SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
+from ..sources.files import read_table
+from ..streaming import listings_stream as S
+from .registry import register
+
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+    T.StructField("day", T.DateType()),
+])
+
+
+def _event_files(spark, sf_dir, copies: int = 1) -> str:
+    """``events`` written as one folder per day (and ``copies`` times, to replay)."""
+    d = scratch_path(spark, "events-in")
+    ev = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ev = ev.withColumn("day", F.to_date("ts"))
+    for _ in range(copies):
+        ev.write.mode("append").partitionBy("day").parquet(d)
+    return d
+
+
+def _clean_events(sdf):
+    return sdf.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type",
+                      F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("prop_k"))
+
+
+@register("stream_ingest", """
+SELECT event_id, ts, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events""")
+def q_stream_ingest(spark, sf_dir):
+    """Files -> cleaning -> parquet sink, exactly once per file."""
+    src = _event_files(spark, sf_dir)
+    out = scratch_path(spark, "events-clean")
+    S.stream_ingest(spark, src, out, EVENT_SCHEMA, transform=_clean_events, max_files_per_trigger=10)
+    return spark.read.parquet(out)
+
+
+@register("stream_dedupe", """
+SELECT event_id, ts, event_type FROM events""")
+def q_stream_dedupe(spark, sf_dir):
+    """Every day file arrives twice; repeats inside the watermark are dropped."""
+    src = _event_files(spark, sf_dir, copies=2)
+    out = scratch_path(spark, "events-dedupe")
+    sdf = S.read_stream_files(spark, src, EVENT_SCHEMA)
+    d = S.stream_dedupe(sdf, "event_id", "ts", "2 days").select(
+        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+    q = (d.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", scratch_path(spark, "ckpt-dedupe")).option("path", out)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_upsert", """
+SELECT user_id, event_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def q_stream_upsert(spark, sf_dir):
+    """Latest event per user kept by merging each micro-batch (several batches)."""
+    src = _event_files(spark, sf_dir)
+    table = scratch_path(spark, "users-latest")
+    sdf = (S.read_stream_files(spark, src, EVENT_SCHEMA, max_files_per_trigger=10)
+           .select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value",
+                   F.struct(F.col("ts").cast("timestamp_ntz").alias("t"), F.col("event_id").alias("e")).alias("seq")))
+    S.stream_upsert(sdf, table, key="user_id", order="seq")
+    return S.read_table_version(spark, table).drop("seq")
+
+
+@register("stream_daily_counts", """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n_events
+FROM events GROUP BY ALL""")
+def q_stream_daily_counts(spark, sf_dir):
+    """T4: daily tumbling counts by event type in update mode, merged per batch."""
+    src = _event_files(spark, sf_dir)
+    table = scratch_path(spark, "daily-counts")
+    sdf = S.read_stream_files(spark, src, EVENT_SCHEMA)
+    agg = S.daily_counts(sdf, "ts", by=["event_type"], delay="1 day")
+    S.stream_counts_to_table(agg, table, ["window_start", "event_type"])
+    return S.read_table_version(spark, table).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n_events")

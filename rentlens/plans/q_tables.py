@@ -1 +1,118 @@
-"""Registered queries (filled in below)."""
+"""Table maintenance queries (W1-W8, U1, J5, N3, P21, A11, R7-R10), with oracle SQL."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators import tables as W
+from ..schema import LISTING_COLUMNS
+from ..session import scratch_path
+from ..sources import html_pages as H
+from ..sources import json_payloads as J
+from ..sources.files import read_back, read_table
+from .q_clean import AS_OF_DATE, _json_clean
+from .q_html import _kept_cards
+from .registry import register
+from .standins import RAW_HTML_CARDS_SQL, RAW_JSON_EXPECTED_SQL, listings_standin, with_listings
+
+_CLEAN13 = [c for c in LISTING_COLUMNS if c != "id"]
+
+
+@register("upsert_by_key", with_listings("""
+SELECT CASE WHEN id % 15 = 0 THEN NULL ELSE id END AS key, id,
+ CASE WHEN id % 6 = 1 THEN price + 2 ELSE price END AS price, location
+FROM listings"""))
+def q_upsert_by_key(spark, sf_dir):
+    """Target: ids not divisible by 3. Source: the other ids (inserts; every
+    15th with a NULL key), and two later updates of every id = 1 mod 6."""
+    base = listings_standin(spark, sf_dir).select(F.col("id").alias("key"), "id", "price", "location")
+    k = F.col("id")
+    target = base.filter(k % 3 != 0).withColumn("ingest_seq", F.lit(0))
+    inserts = (base.filter(k % 3 == 0)
+               .withColumn("key", F.when(k % 15 == 0, F.lit(None).cast("long")).otherwise(F.col("key")))
+               .withColumn("ingest_seq", F.lit(1)))
+    upd1 = base.filter(k % 6 == 1).withColumn("price", F.col("price") + 1).withColumn("ingest_seq", F.lit(2))
+    upd2 = base.filter(k % 6 == 1).withColumn("price", F.col("price") + 2).withColumn("ingest_seq", F.lit(3))
+    source = W.union_sources(inserts, upd1, upd2)
+    return W.upsert_by_key(target, source, key="key", order="ingest_seq").drop("ingest_seq")
+
+
+@register("upsert_by_location", with_listings("""
+, src AS (SELECT * REPLACE (price + 1 AS price) FROM listings
+          WHERE id IN (SELECT max(id) FROM listings GROUP BY location))
+SELECT s.* FROM listings t JOIN src s ON t.location = s.location
+UNION ALL
+SELECT * REPLACE (concat('NEW - ', location) AS location) FROM listings
+WHERE id = (SELECT min(id) FROM listings)"""))
+def q_upsert_by_location(spark, sf_dir):
+    """Duplicate target keys: every row of a location takes the new values."""
+    L = listings_standin(spark, sf_dir)
+    target = L.withColumn("ingest_seq", F.lit(0))
+    per_loc = (L.groupBy("location").agg(F.max_by(F.struct(*L.columns), F.col("id")).alias("r"))
+               .select("r.*").withColumn("price", F.col("price") + 1))
+    first = L.agg(F.min_by(F.struct(*L.columns), F.col("id")).alias("r")).select("r.*")
+    unseen = first.withColumn("location", F.concat(F.lit("NEW - "), F.col("location")))
+    source = W.union_sources(per_loc, unseen).withColumn("ingest_seq", F.lit(1))
+    return W.upsert_by_key(target, source, key="location", order="ingest_seq").drop("ingest_seq")
+
+
+@register("append_with_id", with_listings("""
+SELECT id, area, id AS row_id FROM listings WHERE id % 2 = 0
+UNION ALL
+SELECT id, area, (SELECT max(id) FROM listings WHERE id % 2 = 0) + row_number() OVER (ORDER BY area, id) AS row_id
+FROM listings WHERE id % 2 = 1"""))
+def q_append_with_id(spark, sf_dir):
+    """W1 + W2: a new batch gets ids continuing the table's, in insertion order."""
+    L = listings_standin(spark, sf_dir).select("id", "area")
+    table = L.filter(F.col("id") % 2 == 0).withColumn("row_id", F.col("id"))
+    batch = L.filter(F.col("id") % 2 == 1)
+    new = W.assign_id(batch, ["area", "id"], start_after=table, col="row_id")
+    return W.union_sources(table, new.select("id", "area", "row_id"))
+
+
+def _both_sources(spark, sf_dir):
+    js, _ = J.split_rejects(_json_clean(spark, sf_dir))
+    kept, _ = _kept_cards(spark, sf_dir)
+    html = H.clean_cards(kept, AS_OF_DATE)
+    return js, html
+
+
+_UNION_SQL = with_listings(f""", {RAW_HTML_CARDS_SQL}, js AS ({RAW_JSON_EXPECTED_SQL})
+SELECT 'json' AS origin, {", ".join(_CLEAN13)} FROM js
+UNION ALL SELECT 'html' AS origin, {", ".join(_CLEAN13)} FROM cards""")
+
+
+@register("union_sources", _UNION_SQL)
+def q_union_sources(spark, sf_dir):
+    """U1 + P21: both cleaned sources aligned to the listings schema."""
+    js, html = _both_sources(spark, sf_dir)
+    parts = [W.align_schema(js, extra=[F.lit("json").alias("origin")]),
+             W.align_schema(html, extra=[F.lit("html").alias("origin")])]
+    return W.union_sources(*parts).select("origin", *_CLEAN13)
+
+
+@register("accumulate", with_listings(f""", {RAW_HTML_CARDS_SQL}, js AS ({RAW_JSON_EXPECTED_SQL})
+SELECT (SELECT count(*) FROM js) + (SELECT count(*) FROM cards) AS n_rows"""))
+def q_accumulate(spark, sf_dir):
+    """W5 + A11: batches (the JSON payloads and each HTML source) in one union, one count."""
+    js, html = _both_sources(spark, sf_dir)
+    batches = [js] + [html.filter(F.col("source_id") == s) for s in ("src0", "src1", "src2")]
+    _, count = W.accumulate_batches(batches)
+    return count
+
+
+@register("table_roundtrip", """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, true AS has_sid FROM part""")
+def q_table_roundtrip(spark, sf_dir):
+    """Write, declare, read back and query a table."""
+    path = scratch_path(spark, "part_table")
+    part = W.add_surrogate_id(read_table(spark, sf_dir, "part"), "sid")
+    W.overwrite_table(part, path)
+    name = f"part_{uuid.uuid4().hex[:8]}"
+    W.ensure_table(spark, name, path, schema=part.schema, database="rentlens_scratch")
+    back = W.register_view(read_back(spark, path), f"{name}_view")
+    assert back.columns == part.columns
+    return spark.sql(f"""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
+                         sid IS NOT NULL AS has_sid FROM rentlens_scratch.{name}""")
