@@ -83,28 +83,39 @@ def clean_count_stripped_default(col) -> Column:
 # Free-form date shapes tried in order after Spark's default timestamp
 # parse (ISO with optional time and zone). Month-first wins; day-first only
 # matches when the first number cannot be a month.
-DATE_FORMATS = ["M/d/yyyy", "M/d/yy", "d/M/yyyy", "d/M/yy", "MMM d, yyyy", "MMMM d, yyyy",
-                "MMM d yyyy", "yyyy/M/d"]
+DATE_FORMATS = [
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("M/d/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
+    ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("d/M/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
+    ("MMMM d, yyyy", r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$"),
+    ("MMM d yyyy", r"^[A-Za-z]{3} \d{1,2} \d{4}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+]
 
 
 def parse_datetime_flexible(col, as_of: dt.date | None = None) -> Column:
     """Free-form date text -> timestamp (NULL when no shape matches).
 
-    Two-digit years fall in the 100-year window around ``as_of`` (a year 50
-    or more ahead goes back a century). ``M/d`` without a year takes the
-    year of ``as_of`` (default: today), the way a free-form parser fills
-    missing fields from the current date.
+    Shapes are tried in order; each pattern parse runs only on text of its
+    shape (a failed pattern parse is costly). Two-digit years fall in the
+    100-year window around ``as_of`` (a year 50 or more ahead goes back a
+    century). ``M/d`` without a year takes the year of ``as_of`` (default:
+    today), the way a free-form parser fills missing fields from the
+    current date.
     """
     s = strip_text(col)
     year = (as_of or dt.date.today()).year
 
-    def attempt(fmt):
-        t = F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
+    def attempt(fmt, shape):
+        t = F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"))
         if fmt.endswith("/yy"):
             t = F.when(F.year(t) - F.lit(year) >= 50, t - F.expr("INTERVAL 100 YEARS")).otherwise(t)
         return t
 
-    tries = [F.try_to_timestamp(s).cast("timestamp_ntz")] + [attempt(f) for f in DATE_FORMATS]
+    iso = F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(s).cast("timestamp_ntz"))
+    tries = [iso] + [attempt(f, shape) for f, shape in DATE_FORMATS]
     # Month/day only: append the as-of year, then parse (2/29 needs a leap year).
     with_year = F.concat(s, F.lit(f"/{year}"))
     no_year = F.when(s.rlike(r"^\d{1,2}/\d{1,2}$"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -20,7 +21,8 @@ CARD_COLUMNS = ["source_id", "page_num", "pos", "last_updated", "price", "n_beds
 
 
 def _kept_cards(spark, sf_dir):
-    cards = H.extract_cards(raw_html_pages(spark, sf_dir))
+    # Extracted once: the cutoff aggregate and the final filter both read it.
+    cards = H.extract_cards(raw_html_pages(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     cutoff = H.page_cutoff(H.page_facts(cards))
     return H.apply_cutoff(cards, cutoff), cutoff
 

@@ -123,8 +123,9 @@ def area_values_sql(alias: str = "dim") -> str:
 
 def _jstr(c):
     """A JSON string literal (quoted, escaped) for a string column; NULL -> null."""
-    return F.coalesce(F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2),
-                      F.lit("null"))
+    esc = F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
+                    F.lit("\n"), F.lit("\\n"))
+    return F.coalesce(F.concat(F.lit('"'), esc, F.lit('"')), F.lit("null"))
 
 
 def _date_text(d, sel):
