@@ -111,23 +111,29 @@ def price_change_mom(df: DataFrame, by: str = "area", hi=PRICE_TREND_MAX, areas=
             .withColumn("change_ratio", F.col("change") / F.col("prev_avg_price")))
 
 
-def listing_table(df: DataFrame, ranges=None, areas=None) -> DataFrame:
-    """One row per listing key with SUM and ATTR of beds, baths and price.
-
-    Keys: id, area, location, month/day available, amenities, month/day
-    updated. Filters: F3 ranges (baths 0-11.5, beds 1-11, price 0-50000),
-    F2 areas.
-    """
+def listing_table_rows(df: DataFrame, ranges=None, areas=None) -> DataFrame:
+    """A6, row stage: F3 ranges (baths 0-11.5, beds 1-11, price 0-50000), F2
+    areas, and the month/day keys."""
     ranges = TABLE_RANGES if ranges is None else ranges
-    df = with_date_keys(area_filter(ranges_filter(df, ranges), areas))
-    return (df.groupBy("id", "area", "location", "avail_month", "avail_day", "amenities",
-                       "upd_month", "upd_day")
+    return with_date_keys(area_filter(ranges_filter(df, ranges), areas))
+
+
+def listing_table_agg(rows: DataFrame) -> DataFrame:
+    """A6, aggregate stage: SUM and ATTR of beds, baths and price per listing key."""
+    return (rows.groupBy("id", "area", "location", "avail_month", "avail_day", "amenities",
+                         "upd_month", "upd_day")
             .agg(F.sum("n_beds").alias("sum_n_beds"), F.sum("n_baths").alias("sum_n_baths"),
                  F.sum("price").cast("bigint").alias("sum_price"),
                  attr("n_beds").alias("attr_n_beds"), attr("n_baths").alias("attr_n_baths"),
                  attr("price").alias("attr_price")))
 
 
+def listing_table(df: DataFrame, ranges=None, areas=None) -> DataFrame:
+    """One row per listing key (id, area, location, month/day available,
+    amenities, month/day updated) with SUM and ATTR of beds, baths and price."""
+    return listing_table_agg(listing_table_rows(df, ranges, areas))
+
+
 def listing_detail(df: DataFrame, selection=None, areas=None) -> DataFrame:
     """Detail card of the selected listings (F7 selection, F2 areas).
 
@@ -183,6 +189,24 @@ def preview(df: DataFrame, order=("id",), n: int = PREVIEW_ROWS) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
 
+def preview_grouped(rows: DataFrame, sheet, key: str = "id", n: int = PREVIEW_ROWS) -> DataFrame:
+    """O3 pushed below an aggregate: ``preview(sheet(rows), [key], n)``.
+
+    ``sheet`` must be a pure group-by with ``key`` among its group keys, and
+    ``rows`` the rows it groups (after every row filter). Every group among
+    the first ``n`` by ``key`` then has a key no greater than the ``n``-th
+    smallest distinct key ``T``. ``T`` comes from the key column alone, so
+    only rows with ``key <= T`` reach the aggregate's shuffle.
+    """
+    keys = rows.select(key).filter(F.col(key).isNotNull()).distinct()
+    cut = keys.orderBy(key).limit(n).agg(F.max(key).alias("__t"), F.count(F.lit(1)).alias("__c")).first()
+    t, c = cut["__t"], cut["__c"]
+    if c is not None and c >= n:
+        # NULL keys sort first: keep them too.
+        rows = rows.filter(F.col(key).isNull() | (F.col(key) <= F.lit(t)))
+    return preview(sheet(rows), [key], n)
+
+
 def unpivot_measures(df: DataFrame, ids, measures=("sum_n_beds", "sum_n_baths", "sum_price"),
                      names=None) -> DataFrame:
     """Wide measures to (measure, value) rows; NULL values are kept."""

@@ -39,14 +39,18 @@ def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str],
 
 
 def semi_nullsafe(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key tuple occurs in ``other``; NULLs match."""
-    o = other.select(*[F.col(k).alias(f"__sel_{k}") for k in keys]).distinct()
+    """Rows of ``df`` whose key tuple occurs in ``other``; NULLs match.
+
+    A selection is small by nature; it is broadcast once its size is checked,
+    else both sides shuffle on the keys (null-safe equality is an equi-join).
+    """
+    o = bounded_broadcast(other.select(*[F.col(k).alias(f"__sel_{k}") for k in keys]).distinct())
     cond = null_safe_condition(df, o, keys, [f"__sel_{k}" for k in keys])
     return df.join(o, cond, "left_semi")
 
 
 def anti_nullsafe(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key tuple does not occur in ``other``; NULLs match."""
-    o = other.select(*[F.col(k).alias(f"__exc_{k}") for k in keys]).distinct()
+    o = bounded_broadcast(other.select(*[F.col(k).alias(f"__exc_{k}") for k in keys]).distinct())
     cond = null_safe_condition(df, o, keys, [f"__exc_{k}" for k in keys])
     return df.join(o, cond, "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from ..functions.derive import date_part, detail_label, drill_url
 from ..operators import filters as flt
 from ..operators import sheets as sh
+from .joins import bounded_broadcast
 from .registry import register
 from .standins import listings_standin, with_listings
 
@@ -32,7 +33,7 @@ def _attr_sql(x: str) -> str:
 def _top_price_selection(listings):
     """The marks a user picks: the most expensive listing of each area."""
     keyed = sh.with_date_keys(listings)
-    top = listings.groupBy("area").agg(F.max("price").alias("price"))
+    top = bounded_broadcast(listings.groupBy("area").agg(F.max("price").alias("price")))
     return keyed.join(top, ["area", "price"]).select(*sh.SELECTION_KEYS)
 
 
@@ -228,7 +229,8 @@ def q_default_years(spark, sf_dir):
 @register("row_limit", with_listings(f"""
 SELECT * FROM ({_TABLE_SQL}) t ORDER BY id NULLS FIRST LIMIT 10000"""))
 def q_row_limit(spark, sf_dir):
-    return sh.preview(sh.listing_table(listings_standin(spark, sf_dir)))
+    rows = sh.listing_table_rows(listings_standin(spark, sf_dir))
+    return sh.preview_grouped(rows, sh.listing_table_agg, key="id")
 
 
 @register("months_manual_sort", with_listings("""

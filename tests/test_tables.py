@@ -129,3 +129,17 @@ def test_manual_sort_and_preview(spark):
     df = spark.createDataFrame([(m,) for m in [7, None, 4, 12, 5]], "m int")
     assert [r.m for r in sh.manual_sort(df, "m", [None, 4, 5, 6, 7, 8]).collect()] == [None, 4, 5, 7, 12]
     assert [r.m for r in sh.preview(df, ["m"], 2).collect()] == [None, 4]
+
+
+@pytest.mark.parametrize("n", [1, 7, 30, 500])
+def test_preview_grouped_equals_preview(spark, n):
+    data = [(i % 50 if i % 11 else None, i % 3, float(i)) for i in range(400)]
+    df = spark.createDataFrame(data, "id int, g int, v double")
+
+    def agg(r):
+        return r.groupBy("id", "g").agg(F.sum("v").alias("s"))
+
+    plain = [r.id for r in sh.preview(agg(df), ["id"], n).collect()]
+    pushed = [r.id for r in sh.preview_grouped(df, agg, "id", n).collect()]
+    assert sorted(plain, key=lambda x: (x is not None, x or 0)) == \
+        sorted(pushed, key=lambda x: (x is not None, x or 0))
