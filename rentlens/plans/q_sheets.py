@@ -30,6 +30,12 @@ def _attr_sql(x: str) -> str:
             f"THEN CAST(min({x}) AS VARCHAR) ELSE '*' END")
 
 
+_DETAIL_LABEL_SQL = """concat(chr(10), 'Price: ', coalesce(attr_price, ''), ' $', chr(10), 'Beds: ',
+ coalesce(attr_n_beds, ''), chr(10), 'Baths: ', coalesce(attr_n_baths, ''), chr(10), 'Location: ',
+ coalesce(location, ''), chr(10), 'Last Updated: ', coalesce(CAST(upd_date AS VARCHAR), ''), chr(10), chr(10),
+ coalesce(utilities, ''), chr(10), coalesce(attr_amenities, ''))"""
+
+
 def _top_price_selection(listings):
     """The marks a user picks: the most expensive listing of each area."""
     keyed = sh.with_date_keys(listings)
@@ -153,17 +159,20 @@ def q_listing_measures_long(spark, sf_dir):
 SELECT utilities, location, CAST(date_trunc('day', last_updated) AS DATE) AS upd_date,
  {_attr_sql('amenities')} AS attr_amenities, {_attr_sql('price')} AS attr_price,
  {_attr_sql('n_beds')} AS attr_n_beds, {_attr_sql('n_baths')} AS attr_n_baths
-FROM picked GROUP BY 1, 2, 3"""))
+FROM picked GROUP BY 1, 2, 3""").replace("SELECT utilities, location, CAST", "SELECT *, " + _DETAIL_LABEL_SQL
+   + " AS label FROM (SELECT utilities, location, CAST", 1) + ") d")
 def q_listing_detail(spark, sf_dir):
     listings = listings_standin(spark, sf_dir)
-    return sh.listing_detail(listings, _top_price_selection(listings)).drop("label")
+    return sh.listing_detail(listings, _top_price_selection(listings))
 
 
 @register("agent_detail", with_listings(f""", {_SEL_SQL}
-SELECT DISTINCT agent_name, agent_phone, agent_email, agent_fees FROM picked"""))
+SELECT *, concat(coalesce(agent_name, ''), chr(10), coalesce(agent_phone, ''), chr(10),
+ coalesce(agent_email, ''), chr(10), 'Agent Fees: ', coalesce(agent_fees, '')) AS label
+FROM (SELECT DISTINCT agent_name, agent_phone, agent_email, agent_fees FROM picked) a"""))
 def q_agent_detail(spark, sf_dir):
     listings = listings_standin(spark, sf_dir)
-    return sh.agent_detail(listings, _top_price_selection(listings)).drop("label")
+    return sh.agent_detail(listings, _top_price_selection(listings))
 
 
 @register("detail_labels", with_listings("""

@@ -116,3 +116,16 @@ def q_table_roundtrip(spark, sf_dir):
     assert back.columns == part.columns
     return spark.sql(f"""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
                          sid IS NOT NULL AS has_sid FROM rentlens_scratch.{name}""")
+
+
+@register("append_rerun", """
+SELECT p_partkey, p_name, count(*) AS n_copies FROM (SELECT * FROM part UNION ALL SELECT * FROM part) t
+GROUP BY p_partkey, p_name""")
+def q_append_rerun(spark, sf_dir):
+    """One append per run and no dedupe, so a second run duplicates every row."""
+    path = scratch_path(spark, "part_append")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    for _ in range(2):
+        W.append_listings(part, path)
+    back = read_back(spark, path)
+    return back.groupBy("p_partkey", "p_name").agg(F.count(F.lit(1)).alias("n_copies"))

@@ -145,3 +145,16 @@ def test_price_bin_and_attr(spark):
     df = spark.createDataFrame([(1, 2.0), (1, 2.0), (2, 1.0), (2, 1.5), (3, None)], "g int, v double")
     got = {r["g"]: r["a"] for r in df.groupBy("g").agg(attr("v").alias("a")).collect()}
     assert got == {1: "2.0", 2: "*", 3: None}
+
+
+def test_rename_by_tagmap_and_empty(spark):
+    from rentlens.schema import JSON_TAGS, LISTINGS
+    from rentlens.sources import json_payloads as J
+    from rentlens.sources.files import empty_listings, rows_to_frame
+
+    cols = ", ".join(f"{k} string" for k in dict.fromkeys(JSON_TAGS.values()))
+    raw = spark.createDataFrame([tuple(f"v_{k}" for k in dict.fromkeys(JSON_TAGS.values()))], cols)
+    out = J.rename_by_tagmap(raw).first().asDict()
+    assert list(out) == list(JSON_TAGS) and out["last_updated"] == "v_date_modified"
+    assert empty_listings(spark).schema == LISTINGS and empty_listings(spark).count() == 0
+    assert rows_to_frame(spark, [tuple([None] * 14)]).count() == 1
