@@ -15,7 +15,7 @@ from ..functions.area import area_dimension, area_from_dash, area_from_paren, da
 from ..sources import json_payloads as J
 from ..sources.files import read_table
 from .registry import register
-from .standins import (AS_OF, RAW_JSON_EXPECTED_SQL, area_name_at, area_values_sql, raw_json_payloads,
+from .standins import (AS_OF, RAW_JSON_EXPECTED_SQL, area_name_at, area_values_sql, captured_json_payloads,
                        with_listings)
 
 AS_OF_DATE = dt.date.fromisoformat(AS_OF)
@@ -162,7 +162,7 @@ def q_area_from_paren(spark, sf_dir):
 
 
 def _json_clean(spark, sf_dir):
-    items = J.read_json_payloads(raw_json_payloads(spark, sf_dir), keep=["payload_id"])
+    items = J.read_json_payloads(captured_json_payloads(spark, sf_dir), keep=["payload_id"])
     items = items.withColumn("ext_id", F.try_variant_get("item", "$.listing_id", "bigint"))
     return J.clean_json_listings(items, as_of=AS_OF_DATE, keep=["ext_id"])
 

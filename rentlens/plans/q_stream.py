@@ -21,13 +21,21 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+_EVENT_FILES: dict[tuple[str, str, int], str] = {}
+
+
 def _event_files(spark, sf_dir, copies: int = 1) -> str:
-    """``events`` written as one folder per day (and ``copies`` times, to replay)."""
+    """``events`` written as one folder per day (``copies`` times, to replay),
+    once per application; a stream only reads them."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), copies)
+    if key in _EVENT_FILES:
+        return _EVENT_FILES[key]
     d = scratch_path(spark, "events-in")
     ev = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     ev = ev.withColumn("day", F.to_date("ts"))
     for _ in range(copies):
         ev.write.mode("append").partitionBy("day").parquet(d)
+    _EVENT_FILES[key] = d
     return d
 
 
