@@ -80,47 +80,62 @@ def clean_count_stripped_default(col) -> Column:
 
 # --- dates -----------------------------------------------------------------
 
-# Free-form date shapes tried in order after Spark's default timestamp
-# parse (ISO with optional time and zone). Month-first wins; day-first only
-# matches when the first number cannot be a month.
-DATE_FORMATS = [
-    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-    ("M/d/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
-    ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-    ("d/M/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
-    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
-    ("MMMM d, yyyy", r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$"),
-    ("MMM d yyyy", r"^[A-Za-z]{3} \d{1,2} \d{4}$"),
-    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
-]
-
-
-def parse_datetime_flexible(col, as_of: dt.date | None = None) -> Column:
+# Free-form dates. Shapes, in order: ISO date (optional time and zone, via
+# Spark's own timestamp cast); a/b/yyyy or a/b/yy, month first unless the
+# first number cannot be a month; yyyy/m/d; month name, day, year; m/d
+# without a year. Numbers are pulled out with one regex per shape and the
+# date is built through the string-to-date cast, which yields NULL for
+# impossible dates instead of throwing.
+_SLASH = r"^(\d{1,2})/(\d{1,2})(?:/(\d{4}|\d{2}))?$"
+_YMD = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
+_NAMED = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$"
+# Month-name prefixes.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
+
+def _ymd(y: Column, m: Column, d: Column) -> Column:
+    txt = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"),
+                      F.lpad(d.cast("string"), 2, "0"))
+    return txt.try_cast("date").cast("timestamp_ntz")
+
+
+def parse_datetime_flexible(col, as_of: dt.date | None = None, stripped: bool = False) -> Column:
     """Free-form date text -> timestamp (NULL when no shape matches).
 
-    Shapes are tried in order; each pattern parse runs only on text of its
-    shape (a failed pattern parse is costly). Two-digit years fall in the
-    100-year window around ``as_of`` (a year 50 or more ahead goes back a
-    century). ``M/d`` without a year takes the year of ``as_of`` (default:
-    today), the way a free-form parser fills missing fields from the
-    current date.
+    Two-digit years fall in the 100-year window around ``as_of`` (a year 50
+    or more ahead goes back a century). ``m/d`` without a year takes the
+    year of ``as_of`` (default: today), the way a free-form parser fills
+    missing fields from the current date. ``stripped=True`` when ``col`` is
+    already stripped.
+
+    The input is read by every shape test, so pass a column computed in an
+    earlier projection, not a compound expression (Spark does not share
+    subexpressions across conditional branches).
     """
-    s = strip_text(col)
+    s = _c(col) if stripped else strip_text(col)
     year = (as_of or dt.date.today()).year
 
-    def attempt(fmt, shape):
-        t = F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"))
-        if fmt.endswith("/yy"):
-            t = F.when(F.year(t) - F.lit(year) >= 50, t - F.expr("INTERVAL 100 YEARS")).otherwise(t)
-        return t
-
     iso = F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(s).cast("timestamp_ntz"))
-    tries = [iso] + [attempt(f, shape) for f, shape in DATE_FORMATS]
-    # Month/day only: append the as-of year, then parse (2/29 needs a leap year).
-    with_year = F.concat(s, F.lit(f"/{year}"))
-    no_year = F.when(s.rlike(r"^\d{1,2}/\d{1,2}$"),
-                     F.try_to_timestamp(with_year, F.lit("M/d/yyyy")).cast("timestamp_ntz"))
-    return F.coalesce(*tries, no_year)
+
+    a = F.regexp_extract(s, _SLASH, 1).try_cast("int")
+    b = F.regexp_extract(s, _SLASH, 2).try_cast("int")
+    ytxt = F.regexp_extract(s, _SLASH, 3)
+    y = (F.when(ytxt == "", F.lit(year))
+         .when(F.length(ytxt) == 4, ytxt.try_cast("int"))
+         .otherwise(F.when(ytxt.try_cast("int") + (year // 100 * 100) - year >= 50,
+                           ytxt.try_cast("int") + (year // 100 * 100) - 100)
+                    .otherwise(ytxt.try_cast("int") + (year // 100 * 100))))
+    month_first = a <= 12
+    slash = F.when(s.rlike(_SLASH), F.when(month_first, _ymd(y, a, b)).otherwise(_ymd(y, b, a)))
+
+    ymd = F.when(s.rlike(_YMD), _ymd(F.regexp_extract(s, _YMD, 1), F.regexp_extract(s, _YMD, 2),
+                                     F.regexp_extract(s, _YMD, 3)))
+
+    name = F.lower(F.substring(F.regexp_extract(s, _NAMED, 1), 1, 3))
+    mnum = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name)
+    named = F.when(s.rlike(_NAMED) & (mnum > 0),
+                   _ymd(F.regexp_extract(s, _NAMED, 3), mnum, F.regexp_extract(s, _NAMED, 2)))
+    return F.coalesce(iso, slash, ymd, named)
 
 
 def to_date_trunc(col) -> Column:
@@ -128,11 +143,20 @@ def to_date_trunc(col) -> Column:
     return _c(col).cast("date")
 
 
-def clean_available_html(col, as_of: dt.date) -> Column:
-    """Keep [0-9/]; empty -> ``as_of``; else the flexible parse."""
-    s = F.regexp_replace(strip_text(col), r"[^0-9/]", "")
+def available_digits(col) -> Column:
+    """P9, first step: keep [0-9/] of the stripped text."""
+    return F.regexp_replace(strip_text(col), r"[^0-9/]", "")
+
+
+def clean_available_html(col, as_of: dt.date, digits: bool = False) -> Column:
+    """Keep [0-9/]; empty -> ``as_of``; else the flexible parse.
+
+    ``digits=True`` when ``col`` already holds ``available_digits`` (computed
+    once in an earlier projection; the parse reads it many times).
+    """
+    s = _c(col) if digits else available_digits(col)
     return F.when(s.isNull() | (s == ""), F.lit(as_of).cast("timestamp_ntz")).otherwise(
-        parse_datetime_flexible(s, as_of))
+        parse_datetime_flexible(s, as_of, stripped=True))
 
 
 def parse_iso_date(col) -> Column:

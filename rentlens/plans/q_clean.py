@@ -90,11 +90,14 @@ def q_parse_dates(spark, sf_dir):
            .otherwise(F.date_format(d, "M/d")))
     html = F.when(k % 10 == 9, F.lit("Now")).otherwise(
         F.concat(F.lit("\n  Available "), F.date_format(d, "MM/dd/yyyy"), F.lit("  ")))
-    return o.select(
-        k.alias("id"),
-        C.to_date_trunc(C.parse_datetime_flexible(raw, AS_OF_DATE)).alias("parsed"),
-        C.parse_iso_date(F.date_format(d, "yyyy-MM-dd")).alias("iso"),
-        C.to_date_trunc(C.clean_available_html(html, AS_OF_DATE)).alias("avail_html"))
+    # Raw text first, in its own projection; the parsers read it many times.
+    texts = o.select(k.alias("id"), C.strip_text(raw).alias("raw"), C.available_digits(html).alias("html"),
+                     F.date_format(d, "yyyy-MM-dd").alias("iso_text"))
+    return texts.select(
+        "id",
+        C.to_date_trunc(C.parse_datetime_flexible("raw", AS_OF_DATE, stripped=True)).alias("parsed"),
+        C.parse_iso_date("iso_text").alias("iso"),
+        C.to_date_trunc(C.clean_available_html("html", AS_OF_DATE, digits=True)).alias("avail_html"))
 
 
 def _dash_locations(c):

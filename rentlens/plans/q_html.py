@@ -101,7 +101,7 @@ SELECT page_id, {_inner_text('<title>(.*?)</title>')} AS title, {_inner_text('<h
  CAST(len(regexp_extract_all(html, '<p[\\s>]')) AS INTEGER) AS n_paragraphs
 FROM pages""")
 def q_page_fields(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = read_table(spark, sf_dir, "pages", spread_rows=True)
     return H.extract_page_fields(pages, "page_id", _PAGE_SPEC)
 
 
@@ -110,7 +110,7 @@ SELECT page_id, {_unescape("regexp_extract(html, '<a\\s[^>]*href=\"([^\"]*)\"',
  split_part(url, ':', 2) AS url_payload
 FROM pages""")
 def q_page_first_href(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = read_table(spark, sf_dir, "pages", spread_rows=True)
     f = H.extract_page_fields(pages, "page_id", {"first_href": ("a", None, "href")})
     urls = pages.select("page_id", C.href_payload("url").alias("url_payload"))
     return f.join(urls, "page_id")
@@ -121,7 +121,7 @@ SELECT page_id, CAST(len(regexp_extract_all(html, '<p[\\s>]')) AS INTEGER) AS n_
 WHERE len(regexp_extract_all(html, '<p[\\s>]')) > 0""")
 def q_nonempty_pages(spark, sf_dir):
     """H9: pages whose target element exists (here: at least one paragraph)."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = read_table(spark, sf_dir, "pages", spread_rows=True)
     f = H.extract_page_fields(pages, "page_id", {"n_paragraphs": ("p", None, "count")})
     return f.filter(F.col("n_paragraphs") > 0)
 
@@ -164,5 +164,5 @@ SELECT page_id, CAST(0 AS INTEGER) AS box_pos,
 FROM pages WHERE html LIKE '%<article>%'""")
 def q_page_boxes(spark, sf_dir):
     """H7: boxes found by (tag, class); a field is its single string, else NULL."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = read_table(spark, sf_dir, "pages", spread_rows=True)
     return H.extract_boxes(pages, "page_id", box=("article", None), fields=_BOX_FIELDS, how="string")

@@ -49,8 +49,8 @@ def _yes_no(cond, yes="Yes", no="No"):
 
 def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation ⋈ region: a dimension whose size is checked before broadcast."""
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    nation = read_table(spark, sf_dir, "nation", spread_rows=False).select("n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region", spread_rows=False).select("r_regionkey", "r_name")
     geo = nation.join(bounded_broadcast(region, persist=False),
                       nation.n_regionkey == region.r_regionkey)
     return geo.select("n_nationkey", "n_name", "r_name")
@@ -65,7 +65,7 @@ def listings_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
     splitting (one customer may own a third of the orders).
     """
     orders = read_table(spark, sf_dir, "orders")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customer = read_table(spark, sf_dir, "customer", spread_rows=False).select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = bounded_broadcast(geo_dimension(spark, sf_dir), persist=False)
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     j = orders.join(cust, orders.o_custkey == cust.c_custkey)

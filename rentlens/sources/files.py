@@ -12,9 +12,29 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one test table; column pruning and filters reach the scan."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan is not split enough.
+
+    A file with one row group is read by one task, and every narrow stage
+    after it runs on one core. When the input has fewer partitions than the
+    default parallelism it is spread evenly; on a large input (many files
+    and row groups) this is a no-op and adds no shuffle. Worth it only before
+    heavy per-row work (the Python HTML parse); cheap stages are faster
+    without the extra exchange.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """Parquet scan of one test table; column pruning and filters reach the scan.
+
+    ``spread_rows`` spreads an under-split scan over the cores (``spread``).
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if spread_rows else df
 
 
 def scan_listings(spark: SparkSession, path: str) -> DataFrame:

@@ -263,9 +263,13 @@ def clean_cards(cards: DataFrame, as_of: dt.date, fees: str | None = "Yes") -> D
     stale-value behaviour on request.
     """
     prop = lambda i: F.get(F.col("props"), i)
-    location = C.strip_text("title_text")
-    baths_raw = C.strip_text(prop(2))
-    return cards.select(
+    # Texts first, in their own projection: the parsers read them many times.
+    texts = cards.select(
+        "*", C.strip_text("title_text").alias("__location"), C.strip_text(prop(2)).alias("__baths"),
+        C.available_digits(prop(3)).alias("__avail"))
+    location = F.col("__location")
+    baths_raw = F.col("__baths")
+    return texts.select(
         "source_id", "page_num", "pos",
         F.lit(None).cast("date").alias("last_updated"),
         C.clean_price_html(C.strip_text(prop(0))).alias("price"),
@@ -274,7 +278,7 @@ def clean_cards(cards: DataFrame, as_of: dt.date, fees: str | None = "Yes") -> D
         F.when(prop(2).isNull(), F.lit(None).cast("double"))
         .otherwise(C.clean_count_raw_default(baths_raw)).alias("n_baths"),
         F.when(prop(3).isNull(), F.lit(None).cast("date"))
-        .otherwise(C.clean_available_html(prop(3), as_of).cast("date")).alias("available_date"),
+        .otherwise(C.clean_available_html("__avail", as_of, digits=True).cast("date")).alias("available_date"),
         location.alias("location"),
         F.when(location.isNull(), F.lit(None).cast("string")).otherwise(area_from_paren(location)).alias("area"),
         F.col("first_href").alias("utilities"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,27 +52,43 @@ def _path(field: str) -> str:
     return f"$.{JSON_TAGS[field]}"
 
 
-def json_listing_columns(item: Column, as_of: dt.date | None = None) -> dict[str, Column]:
-    """The clean listing columns computed from one payload element."""
-    s = lambda f: C.vstr(item, _path(f))
-    t = lambda f: C.flag_equals_true(item, _path(f))
-    street = C.vstr(item, _path("building_address") + ".street_address")
+# Text fields read from a payload element once, before the rules use them.
+_TEXT_FIELDS = ["last_updated", "price", "n_beds", "n_baths", "avbl_date", "area", "parking",
+                "laundry_location", "air_conditioning", "agent_name", "agent_email", "agent_phone"]
+
+
+def json_raw_columns(item: Column) -> dict[str, Column]:
+    """Stage 1: the element's text fields and type-aware flags, each read once."""
+    raw = {f"__{f}": C.vstr(item, _path(f)) for f in _TEXT_FIELDS}
+    for f in ("last_updated", "avbl_date"):
+        raw[f"__{f}"] = C.strip_text(raw[f"__{f}"])
+    raw["__street"] = C.vstr(item, _path("building_address") + ".street_address")
+    raw["__heat"] = C.flag_equals_true(item, _path("heat"))
+    raw["__hot_water"] = C.flag_equals_string(item, _path("hot_water"), "1")
+    raw["__electricity"] = C.flag_equals_true(item, _path("electricity"))
+    raw["__dish_washer"] = C.flag_equals_true(item, _path("dish_washer"))
+    raw["__agent_fees"] = C.fee_flag(item, _path("agent_fees"))
+    return raw
+
+
+def json_listing_columns(as_of: dt.date | None = None) -> dict[str, Column]:
+    """Stage 2: the clean listing columns from the stage-1 columns."""
+    r = lambda f: F.col(f"__{f}")
     return {
-        "last_updated": C.parse_datetime_flexible(s("last_updated"), as_of).cast("date"),
-        "price": C.clean_price_api(s("price")),
-        "n_beds": C.clean_count_raw_default(s("n_beds")),
-        "n_baths": C.clean_count_raw_default(s("n_baths")),
-        "available_date": C.parse_datetime_flexible(s("avbl_date"), as_of).cast("date"),
-        "location": C.coalesce_location(street, s("area")),
-        "area": area_from_dash(s("area")),
-        "utilities": C.utilities_text(t("heat"), C.flag_equals_string(item, _path("hot_water"), "1"),
-                                      t("electricity")),
-        "amenities": C.amenities_text(s("parking"), t("dish_washer"), s("laundry_location"),
-                                      s("air_conditioning")),
-        "agent_name": s("agent_name"),
-        "agent_email": s("agent_email"),
-        "agent_phone": s("agent_phone"),
-        "agent_fees": C.fee_flag(item, _path("agent_fees")),
+        "last_updated": C.parse_datetime_flexible(r("last_updated"), as_of, stripped=True).cast("date"),
+        "price": C.clean_price_api(r("price")),
+        "n_beds": C.clean_count_raw_default(r("n_beds")),
+        "n_baths": C.clean_count_raw_default(r("n_baths")),
+        "available_date": C.parse_datetime_flexible(r("avbl_date"), as_of, stripped=True).cast("date"),
+        "location": C.coalesce_location(r("street"), r("area")),
+        "area": area_from_dash(r("area")),
+        "utilities": C.utilities_text(r("heat"), r("hot_water"), r("electricity")),
+        "amenities": C.amenities_text(r("parking"), r("dish_washer"), r("laundry_location"),
+                                      r("air_conditioning")),
+        "agent_name": r("agent_name"),
+        "agent_email": r("agent_email"),
+        "agent_phone": r("agent_phone"),
+        "agent_fees": r("agent_fees"),
     }
 
 
@@ -95,13 +112,19 @@ def reject_reason(required: dict = REQUIRED) -> Column:
 def clean_json_listings(items: DataFrame, item_col: str = "item", as_of: dt.date | None = None,
                         keep=()) -> DataFrame:
     """P-rules over payload elements; adds ``_reject_reason`` (NULL = clean row)."""
-    cols = json_listing_columns(F.col(item_col), as_of)
-    out = items.select(*keep, *[c.alias(n) for n, c in cols.items()])
+    raw = items.select(*keep, *[c.alias(n) for n, c in json_raw_columns(F.col(item_col)).items()])
+    out = raw.select(*keep, *[c.alias(n) for n, c in json_listing_columns(as_of).items()])
     return out.withColumn("_reject_reason", reject_reason())
 
 
 def split_rejects(df: DataFrame, mode: str = "quarantine"):
-    """Clean rows and quarantined rows. ``mode='failfast'`` raises on the first reject."""
+    """Clean rows and quarantined rows. ``mode='failfast'`` raises on the first reject.
+
+    Both outputs read one persisted computation: a filter on
+    ``_reject_reason`` would otherwise be pushed below the projection with
+    every parse expression inlined, evaluating each of them twice.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     bad = df.filter(F.col("_reject_reason").isNotNull())
     if mode == "failfast":
         first = bad.limit(1).collect()
