@@ -48,15 +48,15 @@ def carry_forward(df: DataFrame, cols: list[str], partition_by: list[str], order
     return out.drop("__blk", *[f"__{p}_{c}" for p in ("loc", "in") for c in cols])
 
 
-def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key, order: str) -> DataFrame:
     """The row with the greatest ``order`` per ``key`` (last write wins).
 
-    ``max_by`` over a struct of all columns is a partial aggregate: each map
-    task keeps one row per key, so a key with a third of all rows still
-    ships one row per task.
+    ``key`` is a column name or a list of names. ``max_by`` over a struct of
+    all columns is a partial aggregate: each map task keeps one row per key,
+    so a key with a third of all rows still ships one row per task.
     """
-    others = [c for c in df.columns]
-    latest = df.groupBy(key).agg(F.max_by(F.struct(*others), F.col(order)).alias("__row"))
+    keys = [key] if isinstance(key, str) else list(key)
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.col(order)).alias("__row"))
     return latest.select("__row.*")
 
 

@@ -81,7 +81,7 @@ def q_stream_upsert(spark, sf_dir):
            .select("user_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value",
                    F.struct(F.col("ts").cast("timestamp_ntz").alias("t"), F.col("event_id").alias("e")).alias("seq")))
     S.stream_upsert(sdf, table, key="user_id", order="seq")
-    return S.read_table_version(spark, table).drop("seq")
+    return S.read_upserted(spark, table, "user_id", "seq").drop("seq")
 
 
 @register("stream_daily_counts", """
@@ -94,5 +94,5 @@ def q_stream_daily_counts(spark, sf_dir):
     sdf = S.read_stream_files(spark, src, EVENT_SCHEMA)
     agg = S.daily_counts(sdf, "ts", by=["event_type"], delay="1 day")
     S.stream_counts_to_table(agg, table, ["window_start", "event_type"])
-    return S.read_table_version(spark, table).select(
+    return S.read_upserted(spark, table, ["window_start", "event_type"], "batch_seq").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n_events")

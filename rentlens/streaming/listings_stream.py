@@ -2,49 +2,25 @@
 
 Every stream reads files with a declared schema, keeps its checkpoint in
 the shared checkpoint folder, and writes through a replay-safe sink: the
-file sink (exactly once per file) or ``foreachBatch`` writing a version
+file sink (exactly once per file) or ``foreachBatch`` writing a delta
 folder named by the batch id (a replayed batch rewrites the same folder).
+Tables kept by upsert are merged on read, so a batch costs its own size.
+State (dedupe keys, open windows) lives in the RocksDB state store set in
+the session defaults, off the JVM heap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.tables import upsert_by_key
+from ..operators.windows import latest_per_key
 from ..session import scratch_path
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def version_path(table_dir: str, version: int) -> str:
-    return f"{table_dir.rstrip('/')}/v={version:09d}"
-
-
-def latest_version(spark: SparkSession, table_dir: str) -> int | None:
-    """Highest committed version folder (one holding a ``_SUCCESS`` marker)."""
-    if not path_exists(spark, table_dir):
-        return None
-    fs, p = _fs(spark, table_dir)
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            v = int(name[2:])
-            best = v if best is None or v > best else best
-    return best
-
-
 def read_stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                       max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.format(fmt).schema(schema)
@@ -76,45 +52,55 @@ def stream_dedupe(sdf: DataFrame, key, ts: str, delay: str) -> DataFrame:
     return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_upsert(sdf: DataFrame, table_dir: str, key: str, order: str, checkpoint: str | None = None,
-                  base: DataFrame | None = None) -> None:
-    """Every micro-batch merged into the table with the W3 upsert.
+def delta_path(table_dir: str, batch_id: int) -> str:
+    return f"{table_dir.rstrip('/')}/batch={batch_id:09d}"
+
+
+def stream_upsert(sdf: DataFrame, table_dir: str, key, order: str, checkpoint: str | None = None) -> None:
+    """Merge-on-read upsert of every micro-batch.
 
-    Version ``batch_id`` = merge(version ``batch_id - 1`` (or ``base``), batch).
-    Writing a version is idempotent (a replayed batch overwrites the same
-    folder) and never touches the folder being read. Matched rows are only
-    replaced by newer rows, so batch order does not matter.
+    A batch writes only its own latest row per key (and its NULL-key rows,
+    which never match) to a delta folder named by the batch id: the write
+    costs the batch, not the table, and a replayed batch rewrites the same
+    folder. ``read_upserted`` merges the deltas (greatest ``order`` wins, so
+    batch order does not matter); ``compact_upserted`` folds them into one.
     """
     spark = sdf.sparkSession
-    schema = sdf.schema
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_version(spark, table_dir)
-        if prev is not None and prev >= batch_id:
-            prev = batch_id - 1 if batch_id > 0 else None
-        if prev is not None:
-            target = spark.read.schema(schema).parquet(version_path(table_dir, prev))
-        elif base is not None:
-            target = base
-        else:
-            target = spark.createDataFrame([], schema)
-        merged = upsert_by_key(target, batch, key=key, order=order, only_newer=True)
-        merged.write.mode("overwrite").parquet(version_path(table_dir, batch_id))
-
-    q = (sdf.writeStream.foreachBatch(merge)
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def write_delta(batch: DataFrame, batch_id: int) -> None:
+        has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        latest = latest_per_key(batch.filter(has_key), keys, order)
+        delta = latest.unionByName(batch.filter(~has_key))
+        delta.write.mode("overwrite").parquet(delta_path(table_dir, batch_id))
+
+    q = (sdf.writeStream.foreachBatch(write_delta)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-upsert"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def read_table_version(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame:
-    v = latest_version(spark, table_dir)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {table_dir}")
+def read_upserted(spark: SparkSession, table_dir: str, key, order: str,
+                  schema: T.StructType | None = None) -> DataFrame:
+    """The upserted table: greatest ``order`` per key over all deltas; NULL-key rows kept.
+
+    One partial aggregate (``max_by``) on read; the ``batch`` folder column
+    is dropped.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     r = spark.read
     if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(version_path(table_dir, v))
+        r = r.schema(T.StructType(list(schema.fields) + [T.StructField("batch", T.IntegerType())]))
+    d = r.parquet(table_dir).drop("batch")
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return latest_per_key(d.filter(has_key), keys, order).unionByName(d.filter(~has_key))
+
+
+def compact_upserted(spark: SparkSession, table_dir: str, key, order: str, out_dir: str) -> DataFrame:
+    """Fold all deltas into one table at ``out_dir`` (a new folder, never the one read)."""
+    merged = read_upserted(spark, table_dir, key, order)
+    merged.write.mode("overwrite").parquet(out_dir)
+    return spark.read.parquet(out_dir)
 
 
 def daily_counts(sdf: DataFrame, ts: str, by=(), delay: str = "1 day", size: str = "1 day") -> DataFrame:
@@ -127,26 +113,17 @@ def daily_counts(sdf: DataFrame, ts: str, by=(), delay: str = "1 day", size: str
 
 def stream_counts_to_table(agg: DataFrame, table_dir: str, keys: list[str],
                            checkpoint: str | None = None) -> None:
-    """Run a windowed aggregate in update mode; each batch's updated windows
-    replace their previous counts in a new table version (W3 keyed on the
-    window and group)."""
+    """Run a windowed aggregate in update mode; each batch writes the windows
+    it updated (with their full new counts) as a delta folder. The table is
+    ``read_upserted(..., keys, order='batch_seq')``: the newest count of
+    every window wins."""
     spark = agg.sparkSession
-    schema = agg.schema
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_version(spark, table_dir)
-        if prev is not None and prev >= batch_id:
-            prev = batch_id - 1 if batch_id > 0 else None
-        target = (spark.read.schema(schema).parquet(version_path(table_dir, prev)) if prev is not None
-                  else spark.createDataFrame([], schema))
-        k = "__key"
-        key_col: Column = F.to_json(F.struct(*keys))
-        t = target.withColumn(k, key_col).withColumn("__seq", F.lit(0))
-        s = batch.withColumn(k, key_col).withColumn("__seq", F.lit(1))
-        merged = upsert_by_key(t, s, key=k, order="__seq").drop(k, "__seq")
-        merged.write.mode("overwrite").parquet(version_path(table_dir, batch_id))
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(merge)
+
+    def write_delta(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_seq", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").parquet(delta_path(table_dir, batch_id)))
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(write_delta)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-counts"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
