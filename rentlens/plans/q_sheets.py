@@ -10,7 +10,7 @@ from ..operators import filters as flt
 from ..operators import sheets as sh
 from .joins import bounded_broadcast
 from .registry import register
-from .standins import listings_standin, with_listings
+from .standins import silver_listings, with_listings
 
 # Days of the "available today" sheet (a parameter; the stored sheet froze
 # three days of its own capture, these lie inside the test data's range).
@@ -57,7 +57,7 @@ picked AS (SELECT * FROM keyed k WHERE EXISTS (SELECT 1 FROM sel s WHERE
 SELECT n_beds AS number_of_beds, avg(price) AS avg_price, count(price) AS n_listings
 FROM listings WHERE price BETWEEN 300 AND 50000 GROUP BY n_beds"""))
 def q_price_by_beds(spark, sf_dir):
-    return sh.price_by_beds(listings_standin(spark, sf_dir))
+    return sh.price_by_beds(silver_listings(spark, sf_dir))
 
 
 @register("price_by_beds_selected", with_listings(f"""
@@ -65,21 +65,21 @@ SELECT n_beds AS number_of_beds, avg(price) AS avg_price, count(price) AS n_list
 FROM listings WHERE price BETWEEN 300 AND 50000 AND area IN ({", ".join(f"'{a}'" for a in SELECTED_AREAS)})
 GROUP BY n_beds"""))
 def q_price_by_beds_selected(spark, sf_dir):
-    return sh.price_by_beds(listings_standin(spark, sf_dir), area_selection=SELECTED_AREAS)
+    return sh.price_by_beds(silver_listings(spark, sf_dir), area_selection=SELECTED_AREAS)
 
 
 @register("availability_histogram", with_listings("""
 SELECT CAST(month(available_date) AS INTEGER) AS avail_month, count(available_date) AS n_available
 FROM listings GROUP BY 1"""))
 def q_availability_histogram(spark, sf_dir):
-    return sh.availability_histogram(listings_standin(spark, sf_dir))
+    return sh.availability_histogram(silver_listings(spark, sf_dir))
 
 
 @register("availability_by_week", with_listings("""
 SELECT CAST(weekofyear(available_date) AS INTEGER) AS avail_week, count(available_date) AS n_available
 FROM listings GROUP BY 1"""))
 def q_availability_by_week(spark, sf_dir):
-    return sh.availability_histogram(listings_standin(spark, sf_dir), grain="week")
+    return sh.availability_histogram(silver_listings(spark, sf_dir), grain="week")
 
 
 @register("listings_available", with_listings(f"""
@@ -87,7 +87,7 @@ SELECT area, count(price) AS n_listings FROM listings
 WHERE CAST(available_date AS DATE) IN ({", ".join(f"DATE '{d}'" for d in AVAILABLE_DAYS)})
 GROUP BY area"""))
 def q_listings_available(spark, sf_dir):
-    return sh.listings_available(listings_standin(spark, sf_dir), AVAILABLE_DAYS)
+    return sh.listings_available(silver_listings(spark, sf_dir), AVAILABLE_DAYS)
 
 
 @register("listings_over_time", with_listings("""
@@ -96,7 +96,7 @@ SELECT CAST(year(last_updated) AS INTEGER) AS upd_year, CAST(quarter(last_update
  count(last_updated) AS n_listings
 FROM listings GROUP BY 1, 2, 3, 4"""))
 def q_listings_over_time(spark, sf_dir):
-    return sh.listings_over_time(listings_standin(spark, sf_dir))
+    return sh.listings_over_time(silver_listings(spark, sf_dir))
 
 
 @register("listings_rollup", with_listings("""
@@ -107,7 +107,7 @@ FROM (SELECT last_updated, CAST(year(last_updated) AS INTEGER) AS upd_year,
   CAST(dayofmonth(last_updated) AS INTEGER) AS upd_day FROM listings) t
 GROUP BY ROLLUP (upd_year, upd_quarter, upd_month, upd_day)"""))
 def q_listings_rollup(spark, sf_dir):
-    return sh.listings_over_time(listings_standin(spark, sf_dir), rollup=True)
+    return sh.listings_over_time(silver_listings(spark, sf_dir), rollup=True)
 
 
 @register("price_trend", with_listings("""
@@ -116,7 +116,7 @@ SELECT CAST(month(last_updated) AS INTEGER) AS upd_month, CAST(dayofmonth(last_u
 FROM listings WHERE price <= 50000 AND NOT (last_updated IS NULL)
 GROUP BY 1, 2"""))
 def q_price_trend(spark, sf_dir):
-    return sh.price_trend(listings_standin(spark, sf_dir))
+    return sh.price_trend(silver_listings(spark, sf_dir))
 
 
 @register("price_change_mom", with_listings("""
@@ -127,7 +127,7 @@ FROM (SELECT *, lag(avg_price) OVER (PARTITION BY area ORDER BY upd_year, upd_mo
      avg(price) AS avg_price, count(price) AS n_listings
    FROM listings WHERE price <= 50000 AND last_updated IS NOT NULL GROUP BY 1, 2, 3) m) w"""))
 def q_price_change_mom(spark, sf_dir):
-    return sh.price_change_mom(listings_standin(spark, sf_dir))
+    return sh.price_change_mom(silver_listings(spark, sf_dir))
 
 
 _TABLE_SQL = f"""SELECT id, area, location, avail_month, avail_day, amenities, upd_month, upd_day,
@@ -141,7 +141,7 @@ GROUP BY id, area, location, avail_month, avail_day, amenities, upd_month, upd_d
 
 @register("listing_table", with_listings(_TABLE_SQL))
 def q_listing_table(spark, sf_dir):
-    return sh.listing_table(listings_standin(spark, sf_dir))
+    return sh.listing_table(silver_listings(spark, sf_dir))
 
 
 @register("listing_measures_long", with_listings(f"""
@@ -149,7 +149,7 @@ SELECT id, 'n_beds' AS measure, CAST(sum_n_beds AS DOUBLE) AS value FROM ({_TABL
 UNION ALL SELECT id, 'n_baths', CAST(sum_n_baths AS DOUBLE) FROM ({_TABLE_SQL}) b
 UNION ALL SELECT id, 'price', CAST(sum_price AS DOUBLE) FROM ({_TABLE_SQL}) c"""))
 def q_listing_measures_long(spark, sf_dir):
-    table = sh.listing_table(listings_standin(spark, sf_dir))
+    table = sh.listing_table(silver_listings(spark, sf_dir))
     long = sh.unpivot_measures(table, ["id"], ["sum_n_beds", "sum_n_baths", "sum_price"],
                                ["n_beds", "n_baths", "price"])
     return flt.measure_filter(long, ["n_beds", "n_baths", "price"])
@@ -162,7 +162,7 @@ SELECT utilities, location, CAST(date_trunc('day', last_updated) AS DATE) AS upd
 FROM picked GROUP BY 1, 2, 3""").replace("SELECT utilities, location, CAST", "SELECT *, " + _DETAIL_LABEL_SQL
    + " AS label FROM (SELECT utilities, location, CAST", 1) + ") d")
 def q_listing_detail(spark, sf_dir):
-    listings = listings_standin(spark, sf_dir)
+    listings = silver_listings(spark, sf_dir)
     return sh.listing_detail(listings, _top_price_selection(listings))
 
 
@@ -171,7 +171,7 @@ SELECT *, concat(coalesce(agent_name, ''), chr(10), coalesce(agent_phone, ''), c
  coalesce(agent_email, ''), chr(10), 'Agent Fees: ', coalesce(agent_fees, '')) AS label
 FROM (SELECT DISTINCT agent_name, agent_phone, agent_email, agent_fees FROM picked) a"""))
 def q_agent_detail(spark, sf_dir):
-    listings = listings_standin(spark, sf_dir)
+    listings = silver_listings(spark, sf_dir)
     return sh.agent_detail(listings, _top_price_selection(listings))
 
 
@@ -183,7 +183,7 @@ SELECT id, concat(chr(10), 'Price: ', coalesce(CAST(price AS VARCHAR), ''), ' $'
  coalesce(amenities, '')) AS label
 FROM listings"""))
 def q_detail_labels(spark, sf_dir):
-    return listings_standin(spark, sf_dir).select("id", detail_label().alias("label"))
+    return silver_listings(spark, sf_dir).select("id", detail_label().alias("label"))
 
 
 @register("exclude_null_months", with_listings("""
@@ -192,7 +192,7 @@ FROM listings l WHERE NOT EXISTS (SELECT 1 FROM (SELECT NULL::INTEGER AS d, NULL
   WHERE x.d IS NOT DISTINCT FROM CAST(dayofmonth(l.last_updated) AS INTEGER)
     AND x.m IS NOT DISTINCT FROM CAST(month(l.last_updated) AS INTEGER))"""))
 def q_exclude_null_months(spark, sf_dir):
-    df = listings_standin(spark, sf_dir).select(
+    df = silver_listings(spark, sf_dir).select(
         "id", date_part("last_updated", "month").alias("upd_month"),
         date_part("last_updated", "day").alias("upd_day"))
     schema = T.StructType([T.StructField("upd_day", T.IntegerType()), T.StructField("upd_month", T.IntegerType())])
@@ -205,7 +205,7 @@ def q_exclude_null_months(spark, sf_dir):
 SELECT DISTINCT CAST(dayofmonth(last_updated) AS INTEGER) AS upd_day, CAST(month(last_updated) AS INTEGER) AS upd_month
 FROM listings"""))
 def q_level_members(spark, sf_dir):
-    df = listings_standin(spark, sf_dir).select(
+    df = silver_listings(spark, sf_dir).select(
         date_part("last_updated", "day").alias("upd_day"), date_part("last_updated", "month").alias("upd_month"))
     return flt.level_members(df, ["upd_day", "upd_month"])
 
@@ -216,7 +216,7 @@ UNION ALL SELECT 'price', NULL, CAST(min(price) AS DOUBLE), CAST(max(price) AS D
 UNION ALL SELECT 'n_beds', NULL, min(n_beds), max(n_beds) FROM listings
 UNION ALL SELECT 'n_baths', NULL, min(n_baths), max(n_baths) FROM listings"""))
 def q_filter_domain(spark, sf_dir):
-    return flt.filter_domain(listings_standin(spark, sf_dir))
+    return flt.filter_domain(silver_listings(spark, sf_dir))
 
 
 @register("default_rollup", with_listings("""
@@ -226,19 +226,19 @@ SELECT CAST(sum(id) AS BIGINT) AS sum_id, CAST(sum(price) AS BIGINT) AS sum_pric
  count(agent_email) AS cnt_agent_email, count(agent_phone) AS cnt_agent_phone, count(agent_fees) AS cnt_agent_fees
 FROM listings"""))
 def q_default_rollup(spark, sf_dir):
-    return sh.default_rollup(listings_standin(spark, sf_dir))
+    return sh.default_rollup(silver_listings(spark, sf_dir))
 
 
 @register("default_years", with_listings("""
 SELECT CAST(year(last_updated) AS INTEGER) AS year, count(*) AS n_rows FROM listings GROUP BY 1"""))
 def q_default_years(spark, sf_dir):
-    return sh.default_years(listings_standin(spark, sf_dir))
+    return sh.default_years(silver_listings(spark, sf_dir))
 
 
 @register("row_limit", with_listings(f"""
 SELECT * FROM ({_TABLE_SQL}) t ORDER BY id NULLS FIRST LIMIT 10000"""))
 def q_row_limit(spark, sf_dir):
-    rows = sh.listing_table_rows(listings_standin(spark, sf_dir))
+    rows = sh.listing_table_rows(silver_listings(spark, sf_dir))
     return sh.preview_grouped(rows, sh.listing_table_agg, key="id")
 
 
@@ -246,7 +246,7 @@ def q_row_limit(spark, sf_dir):
 SELECT CAST(month(last_updated) AS INTEGER) AS upd_month, count(last_updated) AS n_listings
 FROM listings GROUP BY 1"""))
 def q_months_manual_sort(spark, sf_dir):
-    m = (listings_standin(spark, sf_dir)
+    m = (silver_listings(spark, sf_dir)
          .groupBy(date_part("last_updated", "month").alias("upd_month"))
          .agg(F.count("last_updated").alias("n_listings")))
     return sh.manual_sort(m, "upd_month", MONTH_ORDER)
@@ -257,7 +257,7 @@ SELECT CAST(floor((price - 0) / 88755) * 88755 + 0 AS BIGINT) AS price_bin, coun
  min(price) AS min_price, max(price) AS max_price
 FROM listings GROUP BY 1"""))
 def q_price_bins(spark, sf_dir):
-    return sh.price_bins(listings_standin(spark, sf_dir), size=88755)
+    return sh.price_bins(silver_listings(spark, sf_dir), size=88755)
 
 
 @register("price_bins_fine", with_listings("""
@@ -265,7 +265,7 @@ SELECT CAST(floor((price - 100) / 2500) * 2500 + 100 AS BIGINT) AS price_bin, co
  min(price) AS min_price, max(price) AS max_price
 FROM listings GROUP BY 1"""))
 def q_price_bins_fine(spark, sf_dir):
-    return sh.price_bins(listings_standin(spark, sf_dir), size=2500, peg=100)
+    return sh.price_bins(silver_listings(spark, sf_dir), size=2500, peg=100)
 
 
 @register("date_parts", with_listings("""
@@ -276,7 +276,7 @@ SELECT id, CAST(year(available_date) AS INTEGER) AS avail_year, CAST(quarter(ava
 FROM listings"""))
 def q_date_parts(spark, sf_dir):
     c = "available_date"
-    return listings_standin(spark, sf_dir).select(
+    return silver_listings(spark, sf_dir).select(
         "id", date_part(c, "year").alias("avail_year"), date_part(c, "quarter").alias("avail_quarter"),
         date_part(c, "month").alias("avail_month"), date_part(c, "week").alias("avail_week"),
         date_part(c, "day").alias("avail_day"), date_part("last_updated", "daytrunc").alias("upd_date"))
@@ -292,4 +292,4 @@ SELECT id, concat('Search?agent_email=', {_enc('agent_email')}, '&agent_name=',
  '&last_updated=', {_enc('last_updated')}, '&utilities=', {_enc('utilities')}) AS url
 FROM listings"""))
 def q_drill_url(spark, sf_dir):
-    return listings_standin(spark, sf_dir).select("id", drill_url().alias("url"))
+    return silver_listings(spark, sf_dir).select("id", drill_url().alias("url"))

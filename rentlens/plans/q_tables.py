@@ -15,7 +15,7 @@ from ..sources.files import read_back, read_table
 from .q_clean import AS_OF_DATE, _json_clean
 from .q_html import _kept_cards
 from .registry import register
-from .standins import RAW_HTML_CARDS_SQL, RAW_JSON_EXPECTED_SQL, listings_standin, with_listings
+from .standins import RAW_HTML_CARDS_SQL, RAW_JSON_EXPECTED_SQL, silver_listings, with_listings
 
 _CLEAN13 = [c for c in LISTING_COLUMNS if c != "id"]
 
@@ -27,7 +27,7 @@ FROM listings"""))
 def q_upsert_by_key(spark, sf_dir):
     """Target: ids not divisible by 3. Source: the other ids (inserts; every
     15th with a NULL key), and two later updates of every id = 1 mod 6."""
-    base = listings_standin(spark, sf_dir).select(F.col("id").alias("key"), "id", "price", "location")
+    base = silver_listings(spark, sf_dir).select(F.col("id").alias("key"), "id", "price", "location")
     k = F.col("id")
     target = base.filter(k % 3 != 0).withColumn("ingest_seq", F.lit(0))
     inserts = (base.filter(k % 3 == 0)
@@ -48,7 +48,7 @@ SELECT * REPLACE (concat('NEW - ', location) AS location) FROM listings
 WHERE id = (SELECT min(id) FROM listings)"""))
 def q_upsert_by_location(spark, sf_dir):
     """Duplicate target keys: every row of a location takes the new values."""
-    L = listings_standin(spark, sf_dir)
+    L = silver_listings(spark, sf_dir)
     target = L.withColumn("ingest_seq", F.lit(0))
     per_loc = (L.groupBy("location").agg(F.max_by(F.struct(*L.columns), F.col("id")).alias("r"))
                .select("r.*").withColumn("price", F.col("price") + 1))
@@ -65,7 +65,7 @@ SELECT id, area, (SELECT max(id) FROM listings WHERE id % 2 = 0) + row_number()
 FROM listings WHERE id % 2 = 1"""))
 def q_append_with_id(spark, sf_dir):
     """W1 + W2: a new batch gets ids continuing the table's, in insertion order."""
-    L = listings_standin(spark, sf_dir).select("id", "area")
+    L = silver_listings(spark, sf_dir).select("id", "area")
     table = L.filter(F.col("id") % 2 == 0).withColumn("row_id", F.col("id"))
     batch = L.filter(F.col("id") % 2 == 1)
     new = W.assign_id(batch, ["area", "id"], start_after=table, col="row_id")

@@ -345,3 +345,24 @@ def captured_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def captured_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured card pages ``(source_id, page_num, url, html)`` (see ``raw_html_pages``)."""
     return _captured(spark, sf_dir, "html", raw_html_pages)
+
+
+_SILVER: dict[tuple[str, str], str] = {}
+
+
+def silver_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean listings table as the sheets read it: the stand-in written
+    once per application as Parquet partitioned by ``area`` (F2 area filters
+    prune folders; price/bed/bath ranges reach the scan as pushed filters),
+    then scanned with the declared schema.
+    """
+    from ..schema import LISTINGS
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _SILVER.get(key)
+    if path is None:
+        path = scratch_path(spark, "silver-listings")
+        listings_standin(spark, sf_dir).write.partitionBy("area").parquet(path)
+        _SILVER[key] = path
+    return spark.read.schema(LISTINGS).parquet(path)
