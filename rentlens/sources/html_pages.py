@@ -10,6 +10,8 @@ where the page rows are and never shuffles.
 from __future__ import annotations
 
 import datetime as dt
+import re
+from html import unescape as html_unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -126,7 +128,94 @@ class _Builder(HTMLParser):
         self.stack[-1].children.append(data)
 
 
-def parse_html(html: str | None) -> Node:
+# Fast path: simple, well-formed markup is tokenised with a few regexes and
+# built with the same tree rules; anything outside this grammar sends the
+# whole page to html.parser.
+_TOKEN = re.compile(r"<(?:(!--)|(/)?([a-zA-Z][a-zA-Z0-9:_-]*)|(!)|)")
+_ATTRS = re.compile(r"""((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?)*)\s*(/?)>""")
+_ATTR = re.compile(r"""\s+([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+_END = re.compile(r"\s*>")
+_DOCTYPE = re.compile(r"!doctype[^<>]*>", re.I)
+
+
+def _unescape_text(t: str) -> str:
+    return html_unescape(t) if "&" in t else t
+
+
+def _fast_parse(doc: str) -> Node | None:
+    b = _Builder()
+    pos, n = 0, len(doc)
+    while pos < n:
+        i = doc.find("<", pos)
+        if i < 0:
+            b.handle_data(_unescape_text(doc[pos:]))
+            break
+        m = _TOKEN.match(doc, i)
+        comment, slash, name, bang = m.group(1), m.group(2), m.group(3), m.group(4)
+        if not (comment or name or bang):
+            nxt = doc[i + 1:i + 2]
+            if nxt in ("/", "?", ""):
+                return None  # odd end tags, processing instructions, trailing '<'
+            j = doc.find("<", i + 1)  # '<' followed by text: plain data
+            j = n if j < 0 else j
+            b.handle_data(_unescape_text(doc[pos:j]))
+            pos = j
+            continue
+        if i > pos:
+            b.handle_data(_unescape_text(doc[pos:i]))
+        if comment:
+            j = doc.find("-->", i + 4)
+            if j < 0 or "--!>" in doc[i:j + 3] or doc.startswith("<!-->", i) or doc.startswith("<!--->", i):
+                return None
+            pos = j + 3
+            continue
+        if bang:
+            d = _DOCTYPE.match(doc, i + 1)
+            if not d:
+                return None
+            pos = d.end()
+            continue
+        tag = name.lower()
+        if slash:
+            e = _END.match(doc, m.end())
+            if not e:
+                return None
+            b.handle_endtag(tag)
+            pos = e.end()
+            continue
+        a = _ATTRS.match(doc, m.end())
+        if not a:
+            return None
+        attrs = []
+        for am in _ATTR.finditer(a.group(1)):
+            v = am.group(2) if am.group(2) is not None else am.group(3) if am.group(3) is not None else am.group(4)
+            attrs.append((am.group(1).lower(), None if v is None else _unescape_text(v)))
+        pos = a.end()
+        if a.group(2):
+            b.handle_startendtag(tag, attrs)
+            continue
+        b.handle_starttag(tag, attrs)
+        if tag in ("script", "style"):
+            e = re.compile(r"</" + tag + r"[\t\n\r\f />]", re.I).search(doc, pos)
+            if not e:
+                return None
+            close = doc.find(">", e.end() - 1)
+            if close < 0 or doc[e.end():close].strip(" \t\n\r\f/"):
+                return None
+            if e.start() > pos:
+                b.handle_data(doc[pos:e.start()])
+            b.handle_endtag(tag)
+            pos = close + 1
+    return b.root
+
+
+def parse_html(html: str | None, fast: bool = True) -> Node:
+    """The page as a tree. Simple markup takes the regex fast path; anything
+    else (and ``fast=False``) is parsed by the standard-library html.parser."""
+    if html and fast:
+        root = _fast_parse(html)
+        if root is not None:
+            return root
     b = _Builder()
     if html:
         b.feed(html)

@@ -93,3 +93,31 @@ def test_urls(spark):
     assert got == [("Boston", None), ("Boston", "Allston"), ("Boston", "Back Bay")]
     urls = [r.page_url for r in H.expand_page_urls(df, "n").orderBy("page_num").collect()]
     assert urls[0] == seed + "&page=1" and urls[2].endswith("page=1&page=3")
+
+
+def _tree(n):
+    kids = []
+    for c in n.children:
+        if isinstance(c, str):
+            if kids and isinstance(kids[-1], str):
+                kids[-1] += c
+            else:
+                kids.append(c)
+        else:
+            kids.append(_tree(c))
+    return (n.tag, tuple(sorted(n.attrs.items(), key=lambda kv: kv[0])), tuple(kids))
+
+
+SNIPPETS = ['<p>a < b &amp; c<br/>d</p>', '<div class="x y">t</div><!-- c --><script>if (a<b) {x="</p>"}</script>z',
+            '<A HREF="/X?a=1&amp;b=2">L</A><img src=x.png alt>', '<p>unclosed <b>bold <i>it</p> tail',
+            '<?xml x?><p>x</p>', '<div><![CDATA[x]]></div>', '</ p>', 'a <3 b', '<p title=\'q"\'>x</p>',
+            '<style>p{}</style><p>&copy;&#39;</p>', '<!DOCTYPE html><ul><li>1<li>2</ul>', '<a href="x">', '']
+
+
+def test_fast_parser_matches_html_parser():
+    import pyarrow.parquet as pq
+
+    docs = pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"]).column(0).to_pylist()
+    docs += SNIPPETS + [CARD_PAGE.format(n=1, cards=CARD.format(i=0, avail=AVAIL))]
+    for d in docs:
+        assert _tree(H.parse_html(d)) == _tree(H.parse_html(d, fast=False)), d[:120]
