@@ -189,20 +189,42 @@ def preview(df: DataFrame, order=("id",), n: int = PREVIEW_ROWS) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(n)
 
 
+def nth_smallest_key(keys: DataFrame, key: str, n: int) -> tuple:
+    """``(T, c)``: the ``n``-th smallest distinct non-NULL ``key`` and how many
+    distinct keys are <= T (``c < n`` means there are fewer than ``n``).
+
+    A plain ``distinct().orderBy().limit(n)`` merges ``n`` keys from every
+    partition in one task. Here sketches (partial aggregates) pick a bound
+    holding about ``2n`` distinct keys, the exact top ``n`` runs on the keys
+    under it, and the bound widens if the sketch fell short, so the result
+    is exact and no task sees more than a few ``n`` keys.
+    """
+    ids = keys.select(key).filter(F.col(key).isNotNull())
+    nd = ids.agg(F.approx_count_distinct(key, 0.02).alias("nd")).first()["nd"] or 0
+    frac = 2.0 * n / nd if nd else 1.0
+    while frac < 1.0:
+        bound = ids.agg(F.percentile_approx(key, F.lit(frac), F.lit(10000)).alias("b")).first()["b"]
+        cand = ids.filter(F.col(key) <= F.lit(bound)).distinct()
+        top = cand.orderBy(key).limit(n).agg(F.max(key).alias("t"), F.count(F.lit(1)).alias("c")).first()
+        if top["c"] >= n:
+            return top["t"], top["c"]
+        frac *= 4
+    top = ids.distinct().orderBy(key).limit(n).agg(F.max(key).alias("t"), F.count(F.lit(1)).alias("c")).first()
+    return top["t"], top["c"]
+
+
 def preview_grouped(rows: DataFrame, sheet, key: str = "id", n: int = PREVIEW_ROWS) -> DataFrame:
     """O3 pushed below an aggregate: ``preview(sheet(rows), [key], n)``.
 
     ``sheet`` must be a pure group-by with ``key`` among its group keys, and
     ``rows`` the rows it groups (after every row filter). Every group among
     the first ``n`` by ``key`` then has a key no greater than the ``n``-th
-    smallest distinct key ``T``. ``T`` comes from the key column alone, so
-    only rows with ``key <= T`` reach the aggregate's shuffle.
+    smallest distinct key ``T``, found from the key column alone
+    (``nth_smallest_key``); only rows with ``key <= T`` (or a NULL key, which
+    sorts first) reach the aggregate's shuffle.
     """
-    keys = rows.select(key).filter(F.col(key).isNotNull()).distinct()
-    cut = keys.orderBy(key).limit(n).agg(F.max(key).alias("__t"), F.count(F.lit(1)).alias("__c")).first()
-    t, c = cut["__t"], cut["__c"]
+    t, c = nth_smallest_key(rows, key, n)
     if c is not None and c >= n:
-        # NULL keys sort first: keep them too.
         rows = rows.filter(F.col(key).isNull() | (F.col(key) <= F.lit(t)))
     return preview(sheet(rows), [key], n)
 

@@ -143,3 +143,18 @@ def test_preview_grouped_equals_preview(spark, n):
     pushed = [r.id for r in sh.preview_grouped(df, agg, "id", n).collect()]
     assert sorted(plain, key=lambda x: (x is not None, x or 0)) == \
         sorted(pushed, key=lambda x: (x is not None, x or 0))
+
+
+@pytest.mark.parametrize("n", [1, 5, 40, 199, 200, 1000])
+def test_nth_smallest_key_exact(spark, n):
+    import random
+
+    rnd = random.Random(n)
+    vals = [rnd.choice([rnd.randint(0, 10**6), 7, 7, 7, None]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "k long")
+    t, c = sh.nth_smallest_key(df, "k", n)
+    distinct = sorted({v for v in vals if v is not None})
+    if len(distinct) >= n:
+        assert (t, c) == (distinct[n - 1], n)
+    else:
+        assert c == len(distinct)
