@@ -352,29 +352,35 @@ def clean_cards(cards: DataFrame, as_of: dt.date, fees: str | None = "Yes") -> D
     stale-value behaviour on request.
     """
     prop = lambda i: F.get(F.col("props"), i)
-    # Texts first, in their own projection: the parsers read them many times.
+    # Texts first, in their own projection: the rules read each of them
+    # several times, and Spark does not share work across CASE branches.
     texts = cards.select(
-        "*", C.strip_text("title_text").alias("__location"), C.strip_text(prop(2)).alias("__baths"),
-        C.available_digits(prop(3)).alias("__avail"))
-    location = F.col("__location")
-    baths_raw = F.col("__baths")
+        "source_id", "page_num", "pos", "first_href",
+        C.strip_text("title_text").alias("__location"),
+        C.strip_text(prop(0)).alias("__price"),
+        prop(1).alias("__beds_raw"),
+        F.regexp_replace(C.strip_text(prop(1)), r"[^0-9.]", "").alias("__beds"),
+        C.strip_text(prop(2)).alias("__baths"),
+        C.available_digits(prop(3)).alias("__avail"), prop(3).isNull().alias("__no_avail"),
+        C.strip_text("agent_name_text").alias("agent_name"),
+        C.href_payload("agent_email_href").alias("agent_email"),
+        C.href_payload("agent_phone_href").alias("agent_phone"))
+    location, beds, baths = F.col("__location"), F.col("__beds"), F.col("__baths")
     return texts.select(
         "source_id", "page_num", "pos",
         F.lit(None).cast("date").alias("last_updated"),
-        C.clean_price_html(C.strip_text(prop(0))).alias("price"),
-        F.when(prop(1).isNull(), F.lit(None).cast("double"))
-        .otherwise(C.clean_count_stripped_default(prop(1))).alias("n_beds"),
-        F.when(prop(2).isNull(), F.lit(None).cast("double"))
-        .otherwise(C.clean_count_raw_default(baths_raw)).alias("n_baths"),
-        F.when(prop(3).isNull(), F.lit(None).cast("date"))
+        C.clean_price_html("__price").alias("price"),
+        F.when(F.col("__beds_raw").isNull(), F.lit(None).cast("double"))
+        .when(beds.isin("0", ""), F.lit(1.0)).otherwise(beds.try_cast("double")).alias("n_beds"),
+        F.when(baths.isNull(), F.lit(None).cast("double"))
+        .otherwise(C.clean_count_raw_default(baths)).alias("n_baths"),
+        F.when(F.col("__no_avail"), F.lit(None).cast("date"))
         .otherwise(C.clean_available_html("__avail", as_of, digits=True).cast("date")).alias("available_date"),
         location.alias("location"),
         F.when(location.isNull(), F.lit(None).cast("string")).otherwise(area_from_paren(location)).alias("area"),
         F.col("first_href").alias("utilities"),
         F.col("first_href").alias("amenities"),
-        C.strip_text("agent_name_text").alias("agent_name"),
-        C.href_payload("agent_email_href").alias("agent_email"),
-        C.href_payload("agent_phone_href").alias("agent_phone"),
+        "agent_name", "agent_email", "agent_phone",
         F.lit(fees).cast("string").alias("agent_fees"),
     )
 
