@@ -131,3 +131,16 @@ def split_rejects(df: DataFrame, mode: str = "quarantine"):
         if first:
             raise ValueError(f"rejected row: {first[0]['_reject_reason']}")
     return df.filter(F.col("_reject_reason").isNull()).drop("_reject_reason"), bad
+
+
+def observe_rejects(df: DataFrame, name: str = "rejects"):
+    """P4 warnings without an extra job: ``(df, observation)`` where the
+    observation holds ``rows``, ``rejected`` and per-rule counts once an action
+    on ``df`` has run (``observation.get``)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    exprs = [F.count(F.lit(1)).alias("rows"),
+             F.count(F.col("_reject_reason")).alias("rejected")]
+    exprs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in REQUIRED]
+    return df.observe(obs, *exprs), obs

@@ -158,3 +158,17 @@ def test_rename_by_tagmap_and_empty(spark):
     assert list(out) == list(JSON_TAGS) and out["last_updated"] == "v_date_modified"
     assert empty_listings(spark).schema == LISTINGS and empty_listings(spark).count() == 0
     assert rows_to_frame(spark, [tuple([None] * 14)]).count() == 1
+
+
+def test_observe_rejects(spark):
+    from rentlens.sources import json_payloads as J
+
+    items = [{"price": "$1,000", "date_modified": "2023-01-02", "date_available": "2023-02-01",
+              "sub_area_name": "Boston - Allston"},
+             {"price": "1500.00", "date_modified": "2023-01-02", "date_available": "2023-02-01",
+              "sub_area_name": "Boston - Allston"}]
+    df = spark.createDataFrame([(_payload(items),)], "body string")
+    observed, obs = J.observe_rejects(J.clean_json_listings(J.read_json_payloads(df), as_of=AS_OF))
+    observed.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    assert (m["rows"], m["rejected"], m["null_price"]) == (2, 1, 1)
