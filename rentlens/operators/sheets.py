@@ -8,8 +8,6 @@ per group and map task crosses the network, whatever the skew of a key.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -248,7 +246,3 @@ def price_bins(df: DataFrame, size=None, peg=None) -> DataFrame:
     return (df.groupBy(price_bin("price", **kw).alias("price_bin"))
             .agg(F.count("price").alias("n_listings"), F.min("price").alias("min_price"),
                  F.max("price").alias("max_price")))
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

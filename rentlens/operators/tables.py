@@ -143,6 +143,11 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str = "location", o
       row's ``order`` is greater (out-of-order micro-batches).
 
     Result columns are the target's; ``order`` is kept when the target has it.
+
+    Plan: ``max_by`` per key (partial aggregate), target LEFT JOIN latest on
+    the key (AQE splits a skewed target key; a single FULL OUTER JOIN would
+    do it in one join but cannot be skew-split), and latest LEFT ANTI the
+    target's distinct keys (partial aggregate) for the inserts.
     """
     cols = target.columns
     src = source.select(*[c for c in source.columns if c in cols or c == order])

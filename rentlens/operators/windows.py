@@ -8,8 +8,6 @@ works in blocks plus a small per-block window; latest-per-key is a
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +56,3 @@ def latest_per_key(df: DataFrame, key, order: str) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.col(order)).alias("__row"))
     return latest.select("__row.*")
-
-
-def union_frames(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -172,3 +172,26 @@ def test_observe_rejects(spark):
     observed.write.format("noop").mode("overwrite").save()
     m = obs.get
     assert (m["rows"], m["rejected"], m["null_price"]) == (2, 1, 1)
+
+
+def test_file_readers(spark, tmp_path):
+    from rentlens.schema import LISTINGS, PAGES
+    from rentlens.sources import html_pages as H
+    from rentlens.sources import json_payloads as J
+    from rentlens.sources.files import empty_listings, scan_listings
+
+    d = tmp_path / "payloads"
+    d.mkdir()
+    (d / "a.json").write_text(_payload([{"price": "$5"}, {"price": "$6"}]))
+    (d / "b.json").write_text("")
+    bodies = J.read_payload_files(spark, str(d))
+    assert bodies.count() == 1  # an empty capture has no body row (and no listings)
+    items = J.read_json_payloads(bodies, keep=["payload_path"])
+    assert sorted(r.p for r in items.select(C.clean_price_api(C.vstr("item", "$.price")).alias("p")).collect()) == [5, 6]
+
+    t = str(tmp_path / "listings")
+    empty_listings(spark).write.parquet(t)
+    assert scan_listings(spark, t).schema == LISTINGS
+    pg = str(tmp_path / "pages")
+    spark.createDataFrame([("s", 1, "u", "<p>x</p>")], PAGES).write.parquet(pg)
+    assert H.read_pages(spark, pg).first().page_num == 1
