@@ -195,3 +195,34 @@ def test_file_readers(spark, tmp_path):
     pg = str(tmp_path / "pages")
     spark.createDataFrame([("s", 1, "u", "<p>x</p>")], PAGES).write.parquet(pg)
     assert H.read_pages(spark, pg).first().page_num == 1
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September",
+               "October", "November", "December"]
+
+
+def _shapes(d: dt.date):
+    yield d.isoformat(), d
+    yield f"{d.isoformat()} 13:45:00", d
+    yield f"{d.month:02d}/{d.day:02d}/{d.year}", d
+    yield f"{d.month}/{d.day}/{d.year}", d
+    if 1975 <= d.year <= 2073:  # inside the two-digit window around 2024
+        yield f"{d.month}/{d.day}/{d.year % 100:02d}", d
+    if d.day > 12:
+        yield f"{d.day}/{d.month}/{d.year}", d
+    yield f"{MONTH_NAMES[d.month - 1][:3]} {d.day}, {d.year}", d
+    yield f"{MONTH_NAMES[d.month - 1]} {d.day}, {d.year}", d
+    yield f"{d.year}/{d.month}/{d.day}", d
+    if not (d.month == 2 and d.day == 29):
+        yield f"{d.month}/{d.day}", dt.date(AS_OF.year, d.month, d.day)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.dates(min_value=dt.date(1950, 1, 1), max_value=dt.date(2060, 12, 31)))
+def test_flexible_date_shapes_roundtrip(spark, d):
+    cases = list(_shapes(d))
+    got = one_col(spark, [c for c, _ in cases], lambda c: C.parse_datetime_flexible(c, AS_OF).cast("date"))
+    assert got == [want for _, want in cases], cases
