@@ -36,29 +36,30 @@ _NO_TEXT = {"script", "style", "template"}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """An element. Every element of a page is also kept in document order in
+    ``doc`` (shared by the whole tree); ``order``/``end`` delimit its subtree
+    there, so searches scan a list slice instead of walking the tree."""
+    __slots__ = ("tag", "attrs", "children", "doc", "order", "end")
 
-    def __init__(self, tag, attrs):
+    def __init__(self, tag, attrs, doc=None):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.doc = doc if doc is not None else []
+        self.order = len(self.doc)
+        self.end = None
+        self.doc.append(self)
+
+    def descendants(self):
+        end = self.end if self.end is not None else len(self.doc)
+        return self.doc[self.order + 1:end]
 
-    # Tree queries (search order = document order). Iterative walks, so
-    # deeply nested (unclosed) markup cannot exhaust the Python stack.
     def iter(self):
-        stack = [iter(self.children)]
-        while stack:
-            for ch in stack[-1]:
-                if isinstance(ch, Node):
-                    yield ch
-                    stack.append(iter(ch.children))
-                    break
-            else:
-                stack.pop()
+        return iter(self.descendants())
 
     def find_all(self, tag=None, cls=None, attr=None):
-        return [n for n in self.iter() if _matches(n, tag, cls, attr)]
+        return [n for n in self.descendants() if _matches(n, tag, cls, attr)]
 
     def find(self, tag=None, cls=None, attr=None):
-        for n in self.iter():
+        for n in self.descendants():
             if _matches(n, tag, cls, attr):
                 return n
         return None
@@ -107,20 +108,28 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("[document]", {})
+        self.doc = self.root.doc
         self.stack = [self.root]
 
     def handle_starttag(self, tag, attrs):
-        n = Node(tag, dict(attrs))
+        n = Node(tag, dict(attrs), self.doc)
         self.stack[-1].children.append(n)
         if tag not in _VOID:
             self.stack.append(n)
+        else:
+            n.end = len(self.doc)
 
     def handle_startendtag(self, tag, attrs):
-        self.stack[-1].children.append(Node(tag, dict(attrs)))
+        n = Node(tag, dict(attrs), self.doc)
+        n.end = len(self.doc)
+        self.stack[-1].children.append(n)
 
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
+                end = len(self.doc)
+                for n in self.stack[i:]:
+                    n.end = end
                 del self.stack[i:]
                 return
 
