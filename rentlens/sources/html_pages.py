@@ -1,6 +1,6 @@
 """Captured HTML pages.
 
-The only Python stage of the package: one ``mapInPandas`` pass parses each
+The only Python stage of the package: one ``mapInArrow`` pass parses each
 page with the standard-library ``html.parser`` and emits raw strings (card
 title, property cells, agent hrefs, counter text). Cleaning then happens in
 Spark expressions. Pages are independent, so the pass is narrow: it runs
@@ -282,21 +282,41 @@ def _cards_of_page(source_id, page_num, html):
                "first_href": first_a.attrs.get("href") if first_a is not None else None, "props": cells}
 
 
+_ARROW = {T.StringType: "string", T.IntegerType: "int32", T.BooleanType: "bool_", T.LongType: "int64"}
+
+
+def _arrow_schema(schema: T.StructType):
+    import pyarrow as pa
+
+    def conv(dt):
+        if isinstance(dt, T.ArrayType):
+            return pa.list_(conv(dt.elementType))
+        return getattr(pa, _ARROW[type(dt)])()
+    return pa.schema([pa.field(f.name, conv(f.dataType)) for f in schema.fields])
+
+
 def _extract_cards_batches(batches):
-    for pdf in batches:
-        rows = []
-        for s, p, h in zip(pdf["source_id"], pdf["page_num"], pdf["html"]):
-            rows.extend(_cards_of_page(s, None if pd.isna(p) else int(p), h))
-        out = pd.DataFrame(rows, columns=CARD_SCHEMA.fieldNames())
-        out["page_num"] = out["page_num"].astype("Int32")
-        out["n_cards"] = out["n_cards"].astype("Int32")
-        out["pos"] = out["pos"].astype("Int32")
-        yield out
+    """mapInArrow body: Arrow batches of pages in, Arrow batches of cards out
+    (no pandas round trip; columns are built as Python lists)."""
+    import pyarrow as pa
+
+    schema = _arrow_schema(CARD_SCHEMA)
+    names = CARD_SCHEMA.fieldNames()
+    for batch in batches:
+        cols = {n: [] for n in names}
+        src = batch.column("source_id").to_pylist()
+        num = batch.column("page_num").to_pylist()
+        htm = batch.column("html").to_pylist()
+        for s_, p_, h_ in zip(src, num, htm):
+            for row in _cards_of_page(s_, p_, h_):
+                for n in names:
+                    cols[n].append(row[n])
+        yield pa.RecordBatch.from_pydict(cols, schema=schema)
 
 
 def _small_batches(df: DataFrame) -> None:
     spark = df.sparkSession
-    cur = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    cur = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") or 10000)
     if cur > PAGES_PER_BATCH:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAGES_PER_BATCH))
 
@@ -309,7 +329,7 @@ def extract_cards(pages: DataFrame) -> DataFrame:
     crawl cutoff.
     """
     _small_batches(pages)
-    return pages.select("source_id", "page_num", "html").mapInPandas(_extract_cards_batches, CARD_SCHEMA)
+    return pages.select("source_id", "page_num", "html").mapInArrow(_extract_cards_batches, CARD_SCHEMA)
 
 
 def page_facts(cards: DataFrame) -> DataFrame:
