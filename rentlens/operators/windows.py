@@ -8,6 +8,7 @@ works in blocks plus a small per-block window; latest-per-key is a
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,9 @@ def carry_forward(df: DataFrame, cols: list[str], partition_by: list[str], order
     d = df.withColumn("__blk", block)
     w1 = (Window.partitionBy(*partition_by, "__blk").orderBy(*order_by)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumns({f"__loc_{c}": F.last(c, ignorenulls=True).over(w1) for c in cols})
+    # Two consumers (the block aggregate and the final join): one computation.
+    d = d.withColumns({f"__loc_{c}": F.last(c, ignorenulls=True).over(w1) for c in cols}).persist(
+        StorageLevel.MEMORY_AND_DISK)
 
     # Last non-NULL value of every block, ordered by the full order key.
     order_key = F.struct(*[F.col(o) for o in order_by])
