@@ -166,3 +166,35 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str = "location", o
                               allowMissingColumns=True)
     return out.unionByName(null_keyed.select(*[c for c in cols if c in null_keyed.columns]),
                            allowMissingColumns=True).select(*cols)
+
+
+# --- one ingest run: both branches -> ids -> one append ------------------------
+
+def append_run(spark: SparkSession, table_path: str, json_rows: DataFrame | None = None,
+               html_rows: DataFrame | None = None) -> None:
+    """One ingest run into the listings table (W2 + W1 + U1 + P21).
+
+    ``json_rows`` carry ``payload_id`` and ``pos``; ``html_rows`` carry
+    ``source_id``, ``page_num`` and ``pos``. Rows get ids continuing the
+    table's largest, in insertion order: the JSON source first, then the
+    HTML sources, each by payload/page and position; then one append.
+    """
+    parts = []
+    if json_rows is not None:
+        parts.append(align_schema(json_rows, extra=[
+            F.lit(0).alias("__branch"), F.lit("").alias("__source"),
+            F.col("payload_id").cast("long").alias("__page"), F.col("pos").cast("long").alias("__pos")]))
+    if html_rows is not None:
+        parts.append(align_schema(html_rows, extra=[
+            F.lit(1).alias("__branch"), F.col("source_id").alias("__source"),
+            F.col("page_num").cast("long").alias("__page"), F.col("pos").cast("long").alias("__pos")]))
+    if not parts:
+        return
+    batch = union_sources(*parts).drop("id")
+    try:
+        existing = spark.read.schema(LISTINGS).parquet(table_path)
+        existing.limit(1).count()
+    except Exception:  # no table yet: ids start at 1
+        existing = 0
+    with_ids = assign_id(batch, ["__branch", "__source", "__page", "__pos"], start_after=existing, col="id")
+    append_listings(align_schema(with_ids), table_path)

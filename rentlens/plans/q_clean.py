@@ -164,10 +164,15 @@ def q_area_from_paren(spark, sf_dir):
     return c.select(k.alias("id"), loc.alias("location"), area_from_paren(loc).alias("area"))
 
 
-def _json_clean(spark, sf_dir):
+def _json_clean(spark, sf_dir, keep=("ext_id",)):
     items = J.read_json_payloads(captured_json_payloads(spark, sf_dir), keep=["payload_id"])
     items = items.withColumn("ext_id", F.try_variant_get("item", "$.listing_id", "bigint"))
-    return J.clean_json_listings(items, as_of=AS_OF_DATE, keep=["ext_id"])
+    return J.clean_json_listings(items, as_of=AS_OF_DATE, keep=list(keep))
+
+
+def _json_clean_with_position(spark, sf_dir):
+    """Clean JSON rows that keep their payload and position (insertion order)."""
+    return _json_clean(spark, sf_dir, keep=("ext_id", "payload_id", "pos"))
 
 
 @register("json_listings", with_listings(RAW_JSON_EXPECTED_SQL))

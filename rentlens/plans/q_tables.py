@@ -129,3 +129,22 @@ def q_append_rerun(spark, sf_dir):
         W.append_listings(part, path)
     back = read_back(spark, path)
     return back.groupBy("p_partkey", "p_name").agg(F.count(F.lit(1)).alias("n_copies"))
+
+
+_INGEST_SQL = with_listings(f""", {RAW_HTML_CARDS_SQL}, js AS ({RAW_JSON_EXPECTED_SQL}),
+all_rows AS (SELECT 0 AS r, '' AS s, ext_id // 500 AS pg, ext_id AS ps, {", ".join(_CLEAN13)} FROM js
+  UNION ALL SELECT 1, source_id, page_num, pos, {", ".join(_CLEAN13)} FROM cards)
+SELECT row_number() OVER (ORDER BY r, s, pg, ps) AS id, {", ".join(_CLEAN13)} FROM all_rows""")
+
+
+@register("ingest_run", _INGEST_SQL)
+def q_ingest_run(spark, sf_dir):
+    """One run of both branches into a new listings table, read back."""
+    from ..sources.files import scan_listings
+    from .q_clean import _json_clean_with_position
+
+    js, _ = J.split_rejects(_json_clean_with_position(spark, sf_dir))
+    kept, _ = _kept_cards(spark, sf_dir)
+    path = scratch_path(spark, "listings-table")
+    W.append_run(spark, path, json_rows=js, html_rows=H.clean_cards(kept, AS_OF_DATE))
+    return scan_listings(spark, path)

@@ -158,3 +158,14 @@ def test_nth_smallest_key_exact(spark, n):
         assert (t, c) == (distinct[n - 1], n)
     else:
         assert c == len(distinct)
+
+
+def test_append_run_continues_ids(spark, tmp_path):
+    path = str(tmp_path / "listings")
+    js = spark.createDataFrame([(0, 1, 100), (0, 0, 200)], "payload_id long, pos int, price int")
+    html = spark.createDataFrame([("s1", 2, 0, 7), ("s0", 1, 1, 9), ("s0", 1, 0, 8)],
+                                 "source_id string, page_num int, pos int, price int")
+    W.append_run(spark, path, json_rows=js, html_rows=html)
+    W.append_run(spark, path, html_rows=html)
+    got = sorted((r.id, r.price) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 200), (2, 100), (3, 8), (4, 9), (5, 7), (6, 8), (7, 9), (8, 7)]
