@@ -52,14 +52,17 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def ensure_table(spark: SparkSession, name: str, path: str, schema: T.StructType = LISTINGS,
-                 database: str | None = None) -> bool:
+                 database: str | None = None, database_location: str | None = None) -> bool:
     """Create the database and a Parquet table at ``path`` if absent.
 
-    Returns whether the table existed before.
+    ``database_location`` places a new database in a shared folder (without
+    it the catalog's warehouse folder is used). Returns whether the table
+    existed before.
     """
     full = f"{database}.{name}" if database else name
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        where = f" LOCATION '{database_location}'" if database_location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     existed = spark.catalog.tableExists(full)
     if not existed:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -111,7 +111,8 @@ def q_table_roundtrip(spark, sf_dir):
     part = W.add_surrogate_id(read_table(spark, sf_dir, "part"), "sid")
     W.overwrite_table(part, path)
     name = f"part_{uuid.uuid4().hex[:8]}"
-    W.ensure_table(spark, name, path, schema=part.schema, database="rentlens_scratch")
+    W.ensure_table(spark, name, path, schema=part.schema, database="rentlens_scratch",
+                   database_location=scratch_path(spark, "catalog"))
     back = W.register_view(read_back(spark, path), f"{name}_view")
     assert back.columns == part.columns
     return spark.sql(f"""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,

@@ -40,6 +40,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
         conf.update(extra)
+    # The catalog's warehouse folder is the session owner's setting; for a
+    # local session that leaves it unset, use a scratch folder rather than
+    # the current working directory.
+    if (master or "").startswith("local") and "spark.sql.warehouse.dir" not in conf:
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="rentlens-warehouse-",
+                                                           dir=os.environ.get("TMPDIR", "/tmp"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
