@@ -18,6 +18,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
+# Spark simple type names -> DuckDB type names of an equal result column.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -40,7 +44,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return f"{v:.9g}"
+        return repr(v)  # exact: Spark and the oracle must agree bit for bit
     if isinstance(v, decimal.Decimal):
         return f"{float(v):.9g}"
     if isinstance(v, dt.datetime):
@@ -73,6 +77,12 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     if sorted(s_cols) != sorted(d_cols):
         out["status"] = f"column mismatch spark={sorted(s_cols)} oracle={sorted(d_cols)}"
         return out
+    s_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = {c[0]: str(t) for c, t in zip(cur.description, con.sql(sql).types)}
+    wrong = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if wrong:
+        out["status"] = f"type mismatch {wrong}"
+        return out
     a = rows_multiset(s_cols, s_rows)
     b = rows_multiset(d_cols, d_rows)
     if a == b:
