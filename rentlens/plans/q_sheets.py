@@ -141,7 +141,8 @@ GROUP BY id, area, location, avail_month, avail_day, amenities, upd_month, upd_d
 
 @register("listing_table", with_listings(_TABLE_SQL))
 def q_listing_table(spark, sf_dir):
-    return sh.listing_table(silver_listings(spark, sf_dir))
+    # ids of the listings table are its primary key (assigned uniquely).
+    return sh.listing_table(silver_listings(spark, sf_dir), key_unique=True)
 
 
 @register("listing_measures_long", with_listings(f"""
@@ -149,7 +150,7 @@ SELECT id, 'n_beds' AS measure, CAST(sum_n_beds AS DOUBLE) AS value FROM ({_TABL
 UNION ALL SELECT id, 'n_baths', CAST(sum_n_baths AS DOUBLE) FROM ({_TABLE_SQL}) b
 UNION ALL SELECT id, 'price', CAST(sum_price AS DOUBLE) FROM ({_TABLE_SQL}) c"""))
 def q_listing_measures_long(spark, sf_dir):
-    table = sh.listing_table(silver_listings(spark, sf_dir))
+    table = sh.listing_table(silver_listings(spark, sf_dir), key_unique=True)
     long = sh.unpivot_measures(table, ["id"], ["sum_n_beds", "sum_n_baths", "sum_price"],
                                ["n_beds", "n_baths", "price"])
     return flt.measure_filter(long, ["n_beds", "n_baths", "price"])
@@ -239,7 +240,7 @@ def q_default_years(spark, sf_dir):
 SELECT * FROM ({_TABLE_SQL}) t ORDER BY id NULLS FIRST LIMIT 10000"""))
 def q_row_limit(spark, sf_dir):
     rows = sh.listing_table_rows(silver_listings(spark, sf_dir))
-    return sh.preview_grouped(rows, sh.listing_table_agg, key="id")
+    return sh.preview_grouped(rows, lambda r: sh.listing_table_agg(r, key_unique=True), key="id")
 
 
 @register("months_manual_sort", with_listings("""

@@ -169,3 +169,22 @@ def test_append_run_continues_ids(spark, tmp_path):
     W.append_run(spark, path, html_rows=html)
     got = sorted((r.id, r.price) for r in spark.read.parquet(path).collect())
     assert got == [(1, 200), (2, 100), (3, 8), (4, 9), (5, 7), (6, 8), (7, 9), (8, 7)]
+
+
+def test_listing_table_key_unique_equals_aggregate(spark):
+    import datetime as dt
+
+    d = dt.date(2024, 3, 5)
+    rows = [(1, d, 1000, 1.0, 1.5, d, "L1", "A", "am"), (2, None, None, None, 2.0, d, "L2", "B", "am"),
+            (3, d, 60000, 2.5, None, None, "L3", "A", None)]
+    df = spark.createDataFrame(rows, "id long, last_updated date, price int, n_beds double, n_baths double, "
+                                     "available_date date, location string, area string, amenities string")
+    wide = {"n_baths": (None, None), "n_beds": (None, None), "price": (None, None)}
+    agg = sh.listing_table(df, ranges=wide)
+    proj = sh.listing_table(df, ranges=wide, key_unique=True)
+    assert rows_sorted(agg) == rows_sorted(proj)
+    assert "Exchange" not in proj._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_sorted(df):
+    return sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
