@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import CONTROL, END, SEP, START, events_of_turns, format_chats, read_back
-from .common import table
+from .common import id_crc, table
+from .decontaminate import decontaminate, is_contaminated, span_words
 from .license_scan import license_report
+from .packing import pack_documents
+from .simhash_dedup import simhash_components
+from .toxicity import score_documents, train, training_rows
 from .url_reputation import Rule, judge_urls, split_url
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +91,39 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = (pages.select(host.alias("host"), path.alias("path")).withColumn("doc_id", number)
                 .join(labels, "doc_id", "left").select("host", "bad"))
     return judge_urls(pages, outcomes, URL_RULES)
+
+
+@_register()
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints and near-duplicate components of all documents."""
+    out = simhash_components(table(spark, sf_dir, "documents"), ["doc_id"], shingle=3, radius=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_register()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in all documents."""
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    n_hit = span_words()
+    return out.select(
+        "doc_id", F.col("_n_words").alias("n_words"), n_hit.alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("_items"), ",").cast("binary"), 256).alias("items_sha256"),
+        is_contaminated(F.col("_n_words"), n_hit).alias("contaminated"))
+
+
+@_register()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of held-out documents are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(**training_rows(docs, table(spark, sf_dir, "labels")))
+    out = score_documents(docs, model, ["doc_id"])
+    return out.select("doc_id", (id_crc("doc_id") % 4 == 2).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_register()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in sequences of at most 2048."""
+    import public_tokenizers
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
