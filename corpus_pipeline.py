@@ -3,18 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rentlens.llm.common import table
+from rentlens.llm.decontaminate import decontaminate, is_contaminated, span_words
+from rentlens.llm.packing import pack_documents
+from rentlens.llm.simhash_dedup import keep_one_per_component
+from rentlens.llm.suffix_dedup import remove_duplicates
+from rentlens.llm.toxicity import score_documents, train, training_rows
 from rentlens.session import scratch_path
 
-STAGES: list = []
+TOXIC_FROM = 0.3
 
-# Training, tokenising and suffix matching have no SQL form.
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the limit. Trained on the labelled rows of the stage's input."""
+    model = train(**training_rows(docs, table(spark, sf_dir, "labels")))
+    names, score = docs.columns, "__score"
+    scored = score_documents(docs, model, names, score)
+    return scored.filter(F.col(score) < TOXIC_FROM).select(*[F.col(f"`{c}`") for c in names])
+
+
+def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component: the one with the smallest doc_id."""
+    return keep_one_per_component(docs, shingle=3, radius=2)
+
+
+def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of 50 words or more that a document with a smaller id holds."""
+    return remove_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a telling share of benchmark words."""
+    names = docs.columns
+    out = decontaminate(docs, table(spark, sf_dir, "benchmark"), names)
+    bad = is_contaminated(F.col("_n_words"), span_words())
+    return out.filter(~bad).select(*[F.col(f"`{c}`") for c in names])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", toxicity), ("simhash", simhash), ("suffix", suffix), ("decontamination", decontamination),
+          ("packing", packing)]
+
+# Training, tokenising and suffix matching have no SQL form; tests hold each
+# stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written as Parquet and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

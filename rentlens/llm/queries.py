@@ -13,6 +13,7 @@ from .decontaminate import decontaminate, is_contaminated, span_words
 from .license_scan import license_report
 from .packing import pack_documents
 from .simhash_dedup import simhash_components
+from .suffix_dedup import shared_spans
 from .toxicity import score_documents, train, training_rows
 from .url_reputation import Rule, judge_urls, split_url
 
@@ -93,6 +94,14 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, outcomes, URL_RULES)
 
 
+@_register()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share: owner's and duplicate spans."""
+    return shared_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"),
+        (F.col("end") - F.col("start")).alias("n_words"), F.col("owner_id").alias("first_doc_id"), "duplicate")
+
+
 @_register()
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and near-duplicate components of all documents."""
