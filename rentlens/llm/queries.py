@@ -11,6 +11,8 @@ from .chat_format import CONTROL, END, SEP, START, events_of_turns, format_chats
 from .common import id_crc, table
 from .decontaminate import decontaminate, is_contaminated, span_words
 from .license_scan import license_report
+from .lm_score import score_texts
+from .nearest_neighbours import nearest
 from .packing import pack_documents
 from .simhash_dedup import simhash_components
 from .suffix_dedup import shared_spans
@@ -136,3 +138,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_register()
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every whole document."""
+    import public_tokenizers
+
+    return score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_register()
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), query_mod=20, k=20)
