@@ -4,7 +4,7 @@ A word's vector is the mean of its hashed character n-gram vectors (with the
 word's boundaries) and of the vector of the whole word, so a misspelling
 shares most of its vectors with the word it stands for. Word vectors are
 averaged over short windows of words, and a linear softmax reads the average;
-embeddings and softmax are trained jointly, in numpy, by full-batch Adam. A
+embeddings and softmax are trained jointly, in numpy, on the whole sample. A
 document scores as its worst window, so one insult in a long text counts, and
 training sends a labelled document's gradient to its worst windows.
 
@@ -36,13 +36,17 @@ from .common import id_crc
 NGRAMS = (3, 4, 5)
 BUCKET_BITS = 17
 DIM = 4
-WINDOW = 4
-STRIDE = 2
+WINDOW = 2
+STRIDE = 1
 EPOCHS = 60
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 900, 1800, 4_000
 POOL, POOL_CHARS = 4000, 12_000
 # Weight of all hard windows, where the sample's texts weigh one.
 HARD_WEIGHT = 0.1
+# How fast and how far a document's gradient moves to its worst windows.
+SHARPEN, SHARPEST = 0.05, 2.5
+# Length of a step of embeddings, softmax and bias.
+RATES = (30.0, 0.2, 0.2)
 PIECE = 1 << 20
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -144,7 +148,7 @@ def train(texts: list[str], toxic: list[int], pool: list[str] = (), share: float
 
     ``pool`` holds further clean texts: halfway, the windows among them that
     score worst join the clean side. ``share`` is the share of toxic texts
-    where the model is used; the bias is corrected for the sample's.
+    where the model is used; the bias is corrected from one half to it.
     """
     y = np.asarray(toxic, np.float64)
     if len(y) == 0 or y.min() == y.max():
@@ -155,16 +159,16 @@ def train(texts: list[str], toxic: list[int], pool: list[str] = (), share: float
     soft = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
     bias = np.array([0.0, -2.0], np.float32)
     params = (emb, soft, bias)
-    state = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
+    state = [np.zeros_like(p) for p in params]
     half = epochs // 2
-    weight = np.full(len(y), 1 / len(y))
-    _fit(params, state, texts, y, weight, range(1, half + 1))
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # both kinds weigh the same
+    _fit(params, state, texts, y, weight, range(1, half + 1), epochs)
     hard = _worst_windows(pool, _fold(params))
     weight = np.concatenate((weight, np.full(len(hard), HARD_WEIGHT / max(1, len(hard)))))
-    _fit(params, state, [*texts, *hard], np.concatenate((y, np.zeros(len(hard)))), weight, range(half + 1, epochs + 1))
+    _fit(params, state, [*texts, *hard], np.concatenate((y, np.zeros(len(hard)))), weight, range(half + 1, epochs + 1), epochs)
     weights, b = _fold(params)
     if share is not None and 0 < share < 1:
-        b += float(np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean())))
+        b += float(np.log(share / (1 - share)))
     return weights, b
 
 
@@ -187,8 +191,8 @@ def _worst_windows(pool: list[str], model: tuple[np.ndarray, float], most: int =
     return out
 
 
-def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, steps: range) -> None:
-    """Adam steps on all texts at once; ``params`` and ``state`` change in place."""
+def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, steps: range, total: int) -> None:
+    """Steps on all texts at once; ``params`` and ``state`` change in place."""
     emb, soft, bias = params
     # Words of the sample, each once, with their features.
     index: dict[bytes, int] = {}
@@ -220,7 +224,7 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
         logit = mean @ soft + bias
         z = (logit[:, 1] - logit[:, 0]).astype(np.float64)
         # A document's gradient is shared among its windows by a softmax that sharpens.
-        sharp = min(4.0, 0.25 * t)
+        sharp = min(SHARPEST, SHARPEN * t)
         top = np.maximum.reduceat(z, first)
         share = np.exp(np.clip(sharp * (z - top[owner]), -50, 0))
         share /= np.add.reduceat(share, first)[owner]
@@ -237,10 +241,13 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
         for d in range(DIM):
             gw = np.bincount(flat, at[:, d], len(index)) / count
             grad_emb[:, d] = np.bincount(fb, gw[fw], 1 << BUCKET_BITS)
-        for p, grad, (m, v), rate in zip((emb, soft, bias), (grad_emb, grads_soft, grads_bias), state, (0.05, 0.05, 0.05)):
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+        # Momentum with steps of a set length per parameter: unlike a step scaled for
+        # each bucket, it moves a word by how many documents speak for it.
+        pace = 1 - 0.9 * (t - 1) / total
+        for p, grad, m, rate in zip(params, (grad_emb, grads_soft, grads_bias), state, RATES):
+            m *= 0.8
+            m += grad
+            p -= rate * pace * m / (np.linalg.norm(m) + 1e-12)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: int = 2) -> dict:

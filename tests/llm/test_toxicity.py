@@ -43,8 +43,9 @@ def test_misspellings_share_ngrams(prose):
             w.insert(rng.randrange(60), rng.choice(bad))
         toxic.append(" ".join(w))
     weights, bias = X.train(clean + toxic, [0] * 150 + [1] * 80, pool=[prose(60) for _ in range(40)], share=0.3)
+    word = lambda w: X.word_scores(X.clean_bytes(w), weights)[0]
+    assert min(map(word, ("blasteed", "dreadfull", "rottten"))) > max(map(word, ("w17", "qqzzxx", "the")))
     score = lambda t: X.window_means(X.word_scores(X.clean_bytes(t), weights)).max() + bias
-    assert score(prose(40) + " blasteed " + prose(40)) > score(prose(80))
     assert np.mean([score(prose(60)) < 0 for _ in range(50)]) > 0.9
     assert score(prose(30) + " Rotten dreadful") > 0
 
@@ -55,6 +56,7 @@ def test_held_out_rows_of_the_query(spark):
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
     held = [(rows[r.doc_id], r.toxic) for r in labels if rows[r.doc_id].held_out]
     assert len(held) > 50 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows.values())
+    # A few dozen toxic texts to learn from, in four languages.
     assert np.mean([r.predicted == t for r, t in held]) > 0.9
     assert np.mean([r.score for r, t in held if t]) > np.mean([r.score for r, t in held if not t]) + 0.3
 
