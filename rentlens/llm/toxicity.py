@@ -39,8 +39,10 @@ DIM = 4
 WINDOW = 2
 STRIDE = 1
 EPOCHS = 60
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 900, 1800, 4_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 900, 1600, 4_000
 POOL, POOL_CHARS = 4000, 12_000
+# Labelled ids drawn, of which longer and repeated texts fall out.
+TOXIC_IDS, CLEAN_IDS = 1500, 5000
 # Weight of all hard windows, where the sample's texts weigh one.
 HARD_WEIGHT = 0.1
 # How fast and how far a document's gradient moves to its worst windows.
@@ -218,7 +220,7 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
     first = np.searchsorted(owner, np.arange(len(keep)))
 
     for t in steps:
-        vec = np.add.reduceat(emb[fb], word_at, axis=0) / count[:, None]
+        vec = np.stack([np.add.reduceat(emb[:, d][fb], word_at) for d in range(DIM)], axis=1) / count[:, None]
         cum = np.concatenate((np.zeros((1, DIM)), np.cumsum(vec[flat], axis=0, dtype=np.float64)))
         mean = ((cum[ends] - cum[starts]) / lengths[:, None]).astype(np.float32)
         logit = mean @ soft + bias
@@ -251,20 +253,27 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: int = 2) -> dict:
-    """The bounded sample for :func:`train`: distinct labelled texts outside the held-out rest, by hash order."""
+    """The bounded sample for :func:`train`: labelled texts outside the held-out rest, by hash order.
+
+    The sample is drawn from the labels; only its ids (at most ``TOXIC_IDS +
+    CLEAN_IDS``) are broadcast to fetch the texts, so no text is shuffled.
+    """
     seen = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(id_crc("doc_id") % held_mod != held)
     seen = seen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = seen.agg(F.avg("toxic")).first()[0]
+    order = F.xxhash64("doc_id").alias("h")
+    ids = seen.filter("toxic = 1").select("doc_id", "toxic", order).orderBy("h", "doc_id").limit(TOXIC_IDS).unionByName(
+        seen.filter("toxic = 0").select("doc_id", "toxic", order).orderBy("h", "doc_id").limit(CLEAN_IDS))
     rows = (docs.select("doc_id", "text").filter((F.length("text") > 0) & (F.length("text") <= POOL_CHARS))
-            .join(seen, "doc_id").select("text", "toxic", F.xxhash64("text").alias("h")))
+            .join(F.broadcast(ids), "doc_id").select("h", "text", "toxic"))
+    found: dict[str, int] = {r.text: r.toxic for r in sorted(rows.collect(), key=lambda r: (r.h, r.text))}
 
-    def pick(where: str, most: int) -> list[str]:
-        return [r.text for r in rows.filter(where).select("h", "text").distinct().orderBy("h", "text").limit(most).collect()]
+    def pick(kind: int, most: int, chars: int) -> list[str]:
+        return [t for t, k in found.items() if k == kind and len(t) <= chars][:most]
 
-    toxic = pick(f"toxic = 1 AND length(text) <= {MAX_CHARS}", MAX_TOXIC)
-    clean = pick(f"toxic = 0 AND length(text) <= {MAX_CHARS}", MAX_CLEAN)
+    toxic, clean = pick(1, MAX_TOXIC, MAX_CHARS), pick(0, MAX_CLEAN, MAX_CHARS)
     return {"texts": toxic + clean, "toxic": [1] * len(toxic) + [0] * len(clean),
-            "pool": pick("toxic = 0", POOL), "share": share}
+            "pool": pick(0, POOL, POOL_CHARS), "share": share}
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str], score: str = "score") -> DataFrame:
