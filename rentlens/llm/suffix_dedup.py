@@ -17,9 +17,9 @@ occurrences in other documents are duplicates. Repeats inside one document
 alone do not count. Windows are merged into spans.
 
 Seeds that a sample finds in many documents would fill one task. They take
-another road: each of their windows is a row keyed by its hash, owners come
-from a partial aggregate, and the join back is one Spark can split. Which road
-a seed takes does not change the result.
+another road: equal suffixes become one class, each window of a class a row
+keyed by its hash, owners come from a partial aggregate, and the joins back are
+ones Spark can split. Which road a seed takes does not change the result.
 
 Word codes are 16 bits of a pair of adjacent words, so a changed word inside a
 window changes two codes (a miss has odds of 2^-32); at a window's last words it
@@ -32,7 +32,6 @@ NULL doc_id comes last when owners are chosen; empty tables give no spans.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 MIN_WORDS = 50
 SEED = 25
 REACH = MIN_WORDS - SEED  # farthest any window reaches from its seed; also k-grams per window less one
@@ -188,13 +189,18 @@ def _spans_of(seed: np.ndarray, suf: np.ndarray) -> pa.RecordBatch | None:
 
 
 def _hot_seeds(keyed: DataFrame, sample: int, share: float) -> np.ndarray:
-    """Seeds in more than ``share`` of ``sample`` documents. A hint for routing only."""
-    seen: Counter = Counter()
-    n = 0
-    for (text,) in keyed.select("text").limit(sample).toLocalIterator():
-        n += 1
-        seen.update(set(minimisers(word_hashes(text))[0].tolist()))
-    return np.array(sorted(s for s, c in seen.items() if c > max(3, share * n)), np.uint64)
+    """Seeds in more than ``share`` of about ``sample`` documents. A hint for routing only."""
+    every = max(1, keyed.count() // sample)
+    some = keyed.filter(F.pmod(F.xxhash64("doc_id", "key"), F.lit(every)) == 0).select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seeds = [np.unique(minimisers(word_hashes(t.as_py()))[0]) for t in b.column(0)]
+            flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["seed"])
+
+    often = some.mapInArrow(run, "seed long").groupBy("seed").count().filter(F.col("count") > max(3, share * sample))
+    return np.array(sorted(r.seed for r in often.select("seed").collect()), np.int64).view(np.uint64)
 
 
 def text_key():
@@ -249,9 +255,7 @@ def shared_spans(docs: DataFrame, hot_share: float = HOT_SHARE, hot_sample: int
         for b in batches:
             if not b.num_rows:
                 continue
-            body = b.column(1).cast(pa.binary(SUFFIX.itemsize))
-            raw = np.frombuffer(body.buffers()[1], SUFFIX, len(body), body.offset * SUFFIX.itemsize)
-            held.append((b.column(0).to_numpy().view(np.uint64), raw.copy()))
+            held.append(_unpacked(b))
             n += b.num_rows
             if n >= CHUNK:
                 out = flush(False)
@@ -269,40 +273,88 @@ def shared_spans(docs: DataFrame, hot_share: float = HOT_SHARE, hot_sample: int
     return _merged(parts)
 
 
+_HOT = "c long, nul boolean, doc long, key long, pos long, seed long, suffix binary"
+
+
 def _hot_spans(suf: DataFrame) -> DataFrame:
-    """Windows of crowded seeds, each on its own key."""
+    """Spans of crowded seeds.
+
+    Suffixes that agree in all they carry are one class, whatever their
+    number (partial aggregate). Each window of a class is a row keyed by its
+    hash; a window's owner is the least of its classes' least documents. The
+    classes' spans are then joined back to their members.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                seed, r = _unpacked(b)
+                raw = r.view(np.uint8).reshape(len(r), -1)
+                c = seed.copy()
+                for k in range(SUFFIX.fields["dmin"][1], SUFFIX.itemsize):  # all but whose and where
+                    c = (c + raw[:, k].astype(np.uint64) + np.uint64(1)) * _MUL
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_mix(c).view(np.int64)), pa.array(r["null"] == 1), pa.array(r["doc"]),
+                     pa.array(r["key"].astype(np.int64)), pa.array(r["pos"].astype(np.int64)), *b.columns],
+                    names=["c", "nul", "doc", "key", "pos", "seed", "suffix"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            body = b.column(1).cast(pa.binary(SUFFIX.itemsize))
-            r = np.frombuffer(body.buffers()[1], SUFFIX, len(body), body.offset * SUFFIX.itemsize)
-            seed = b.column(0).to_numpy().view(np.uint64)
-            before = np.zeros(len(r), np.uint64)
-            ahead = [seed]
-            for j in range(REACH):
-                ahead.append((ahead[-1] + r["right"][:, j].astype(np.uint64) + np.uint64(1)) * _MUL)
+            seed, r = _unpacked(b)
+            before, ahead = np.zeros(len(r), np.uint64), [seed]
+            for k in range(REACH):
+                ahead.append((ahead[-1] + r["right"][:, k].astype(np.uint64) + np.uint64(1)) * _MUL)
             for d in range(REACH + 1):
                 if d:
                     before = (before + r["left"][:, d - 1] + np.uint64(1)) * _MUL
-                i = np.flatnonzero((r["dmin"] <= d) & (d <= r["dmax"]))
-                h = _mix(_mix(ahead[REACH - d][i] + np.uint64(d)) ^ before[i])
-                w = r[i]
+                at = np.flatnonzero((r["dmin"] <= d) & (d <= r["dmax"]))
+                h = _mix(_mix(ahead[REACH - d][at] + np.uint64(d)) ^ before[at])
+                rest = b.select(["c", "own", "far"]).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(w["null"] == 1), pa.array(w["doc"]),
-                     pa.array(w["key"].astype(np.int64)), pa.array(w["pos"].astype(np.int64) - d)],
-                    names=["w", "nul", "doc", "key", "start"])
-
-    rows = suf.mapInArrow(windows, "w long, nul boolean, doc long, key long, start long")
-    rows = rows.withColumn("who", F.struct("nul", "doc", "key"))
-    owners = (rows.groupBy("w").agg(F.min("who").alias("own"), F.max("who").alias("far"))
-              .filter("own <> far").select("w", "own"))
-    return rows.join(owners, "w").select(
-        F.when(~F.col("nul"), F.col("doc")).alias("doc_id"), "key", "start", (F.col("start") + MIN_WORDS).alias("end"),
+                    [pa.array(h.view(np.int64)), pa.array(np.full(len(at), d, np.int32)), *rest.columns],
+                    names=["w", "d", "c", "own", "far"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for shared in b.column(1).to_pylist():
+                spans: list[dict] = []
+                for x in shared:
+                    if spans and spans[-1]["hi"] == x["d"] - 1 and spans[-1]["own"] == x["own"]:
+                        spans[-1]["hi"] = x["d"]
+                    else:
+                        spans.append({"lo": x["d"], "hi": x["d"], "own": x["own"]})
+                out.append(spans)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, _RUNS)], names=["c", "runs"])
+
+    who = "struct<nul:boolean,doc:bigint,key:bigint>"
+    own = pa.struct([("nul", pa.bool_()), ("doc", pa.int64()), ("key", pa.int64())])
+    _RUNS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("own", own)]))
+    records = staged(suf.mapInArrow(unpack, _HOT), "suffix-crowded").withColumn("who", F.struct("nul", "doc", "key"))
+    classes = (records.groupBy("c").agg(F.min(F.struct("who", "seed", "suffix")).alias("x"), F.max("who").alias("far"))
+               .select("x.seed", "x.suffix", "c", F.col("x.who").alias("own"), "far"))
+    rows = classes.mapInArrow(windows, f"w long, d int, c long, own {who}, far {who}")
+    owners = (rows.groupBy("w").agg(F.min("own").alias("least"), F.max("far").alias("most"))
+              .filter("least <> most").select("w", "least"))
+    shared = (rows.select("w", "d", "c").join(owners, "w").groupBy("c")
+              .agg(F.array_sort(F.collect_list(F.struct("d", F.col("least").alias("own")))).alias("shared"))
+              .mapInArrow(runs, f"c long, runs array<struct<lo:int,hi:int,own:{who}>>"))
+    spans = records.select("c", "who", "pos").join(shared, "c").select("who", "pos", F.inline("runs"))
+    return spans.select(
+        F.when(~F.col("who.nul"), F.col("who.doc")).alias("doc_id"), F.col("who.key").alias("key"),
+        (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + MIN_WORDS).alias("end"),
         F.when(~F.col("own.nul"), F.col("own.doc")).alias("owner_id"), (F.col("who") != F.col("own")).alias("duplicate"))
 
 
+def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds and suffix records of a batch with columns ``seed`` and ``suffix``."""
+    body = b.column("suffix").cast(pa.binary(SUFFIX.itemsize))
+    raw = np.frombuffer(body.buffers()[1], SUFFIX, len(body), body.offset * SUFFIX.itemsize)
+    return b.column("seed").to_numpy().view(np.uint64), raw.copy()
+
+
 def _merged(parts: DataFrame) -> DataFrame:
     """Overlapping or touching spans of one document and owner become one."""
     by = ["doc_id", "key", "owner_id", "duplicate"]
