@@ -86,17 +86,35 @@ def clean_count_stripped_default(col) -> Column:
 # without a year. Numbers are pulled out with one regex per shape and the
 # date is built through the string-to-date cast, which yields NULL for
 # impossible dates instead of throwing.
-_SLASH = r"^(\d{1,2})/(\d{1,2})(?:/(\d{4}|\d{2}))?$"
+_SLASH = r"^(\d{1,2})[/-](\d{1,2})(?:[/-](\d{4}|\d{2}))?$"
 _YMD = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
-_NAMED = r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4})$"
-# Month-name prefixes.
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
+_NAMED = r"^([A-Za-z]+)\.? (\d{1,2})(?:,? (\d{4}))?$"
+_DAY_NAMED = r"^(\d{1,2}) ([A-Za-z]+)\.?,?(?: (\d{4}))?$"
+_WEEKDAY = r"(?i)^(?:mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun)(?:day|sday|nesday|rsday|urday)?,? +"
+# A time of day behind a date, and the offset behind an ISO date and time.
+_TIME = r"^(.*\d) (\d{1,2}):(\d{2})(?::(\d{2}))? ?([AaPp][Mm])?$"
+_OFFSET = r"^(.*\d:\d{2}(?:[:.]\d{1,9}){0,2}) ?(?:Z|[+-]\d{2}:?\d{2})$"
+# Month names.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october",
+          "november", "december"]
 
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:
+    # NULL parts must not vanish from the text.
+    whole = y.isNotNull() & m.isNotNull() & d.isNotNull()
     txt = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"),
                       F.lpad(d.cast("string"), 2, "0"))
-    return txt.try_cast("date").cast("timestamp_ntz")
+    return F.when(whole, txt.try_cast("date").cast("timestamp_ntz"))
+
+
+def _month_number(name: Column) -> Column:
+    """1 to 12 for a month's full name, three letters, or ``sept``; else NULL."""
+    n = F.lower(name)
+    out = F.when(n == "sept", 9)
+    for i, m in enumerate(MONTHS, 1):
+        out = out.when(n.isin(m, m[:3]), i)
+    return out
 
 
 def parse_datetime_flexible(col, as_of: dt.date | None = None, stripped: bool = False) -> Column:
@@ -108,34 +126,57 @@ def parse_datetime_flexible(col, as_of: dt.date | None = None, stripped: bool =
     missing fields from the current date. ``stripped=True`` when ``col`` is
     already stripped.
 
-    The input is read by every shape test, so pass a column computed in an
-    earlier projection, not a compound expression (Spark does not share
-    subexpressions across conditional branches).
+    The written wall clock is kept: an offset is cut, not applied. Month names
+    count in full, as their first three letters, or as ``Sept``. A weekday in
+    front is skipped, and a time of day (also with AM or PM) is kept.
+
+    The text is bound once by a lambda variable, since every shape test reads it
+    and Spark does not share subexpressions across conditional branches.
     """
     s = _c(col) if stripped else strip_text(col)
     year = (as_of or dt.date.today()).year
-
-    iso = F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(s).cast("timestamp_ntz"))
-
+    parts = F.transform(F.array(s), _split_date_text)
+    return F.get(F.transform(parts, lambda p: F.coalesce(
+        p["iso"], _date_of_shape(p["text"], year) + F.make_dt_interval(secs=p["clock"].cast("decimal(18,6)")))), 0)
+
+
+def _split_date_text(s: Column) -> Column:
+    """ISO timestamp if it is one, else the date's text and the seconds of its time of day."""
+    def split(t):
+        hour, half = F.regexp_extract(t, _TIME, 2).try_cast("int"), F.lower(F.regexp_extract(t, _TIME, 5))
+        hour = (F.when(half == "", F.when(hour < 24, hour)).when(~hour.between(1, 12), None)
+                .otherwise(hour % 12 + F.when(half == "pm", 12).otherwise(0)))
+        minute = F.regexp_extract(t, _TIME, 3).try_cast("int")
+        second = F.coalesce(F.regexp_extract(t, _TIME, 4).try_cast("int"), F.lit(0))
+        seconds = F.when((minute < 60) & (second < 60), hour * 3600 + minute * 60 + second)
+        timed = t.rlike(_TIME)
+        iso = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.regexp_replace(t, _OFFSET, "$1").try_cast("timestamp_ntz"))
+        return F.struct(iso.alias("iso"), F.when(timed, F.regexp_extract(t, _TIME, 1)).otherwise(t).alias("text"),
+                        F.when(timed, seconds).otherwise(0).alias("clock"))
+
+    return F.get(F.transform(F.array(F.regexp_replace(s, _WEEKDAY, "")), split), 0)
+
+
+def _date_of_shape(s: Column, year: int) -> Column:
+    """Date written in one of the shapes above, at midnight."""
     a = F.regexp_extract(s, _SLASH, 1).try_cast("int")
     b = F.regexp_extract(s, _SLASH, 2).try_cast("int")
     ytxt = F.regexp_extract(s, _SLASH, 3)
-    y = (F.when(ytxt == "", F.lit(year))
-         .when(F.length(ytxt) == 4, ytxt.try_cast("int"))
-         .otherwise(F.when(ytxt.try_cast("int") + (year // 100 * 100) - year >= 50,
-                           ytxt.try_cast("int") + (year // 100 * 100) - 100)
-                    .otherwise(ytxt.try_cast("int") + (year // 100 * 100))))
-    month_first = a <= 12
-    slash = F.when(s.rlike(_SLASH), F.when(month_first, _ymd(y, a, b)).otherwise(_ymd(y, b, a)))
-
-    ymd = F.when(s.rlike(_YMD), _ymd(F.regexp_extract(s, _YMD, 1), F.regexp_extract(s, _YMD, 2),
-                                     F.regexp_extract(s, _YMD, 3)))
-
-    name = F.lower(F.substring(F.regexp_extract(s, _NAMED, 1), 1, 3))
-    mnum = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name)
-    named = F.when(s.rlike(_NAMED) & (mnum > 0),
-                   _ymd(F.regexp_extract(s, _NAMED, 3), mnum, F.regexp_extract(s, _NAMED, 2)))
-    return F.coalesce(iso, slash, ymd, named)
+    near = ytxt.try_cast("int") + (year // 100 * 100)
+    y = (F.when(ytxt == "", F.lit(year)).when(F.length(ytxt) == 4, ytxt.try_cast("int"))
+         .otherwise(F.when(near - year >= 50, near - 100).otherwise(near)))
+    slash = F.when(s.rlike(_SLASH), F.when(a <= 12, _ymd(y, a, b)).otherwise(_ymd(y, b, a)))
+
+    def numbered(shape):
+        return F.when(s.rlike(shape), _ymd(*[F.regexp_extract(s, shape, i) for i in (1, 2, 3)]))
+
+    def named(shape, month_at, day_at):
+        y = F.regexp_extract(s, shape, 3)
+        return F.when(s.rlike(shape), _ymd(F.when(y == "", F.lit(str(year))).otherwise(y),
+                                           _month_number(F.regexp_extract(s, shape, month_at)),
+                                           F.regexp_extract(s, shape, day_at)))
+
+    return F.coalesce(slash, numbered(_YMD), numbered(_COMPACT), named(_NAMED, 1, 2), named(_DAY_NAMED, 2, 1))
 
 
 def to_date_trunc(col) -> Column:

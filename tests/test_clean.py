@@ -226,3 +226,19 @@ def test_flexible_date_shapes_roundtrip(spark, d):
     cases = list(_shapes(d))
     got = one_col(spark, [c for c, _ in cases], lambda c: C.parse_datetime_flexible(c, AS_OF).cast("date"))
     assert got == [want for _, want in cases], cases
+
+
+def test_date_shapes_wall_clock_and_month_names(spark):
+    import datetime as dt
+
+    at = dt.datetime
+    cases = {
+        "2023-08-06T23:00:00-05:00": at(2023, 8, 6, 23), "2023-08-06T23:00:00Z": at(2023, 8, 6, 23),
+        "2023-08-06 10:20:30.5+0530": at(2023, 8, 6, 10, 20, 30, 500000), "Marble 5, 2023": None, "March 5, 2023": at(2023, 3, 5),
+        "Sept. 5, 2023": at(2023, 9, 5), "08/06/2023 10:00 AM": at(2023, 8, 6, 10), "08/06/2023 12:30 pm": at(2023, 8, 6, 12, 30),
+        "8/6/2023 13:00 PM": None, "6 Aug 2023": at(2023, 8, 6), "Aug 6": at(2024, 8, 6), "8-6-2023": at(2023, 8, 6),
+        "20230806": at(2023, 8, 6), "Sunday, Aug 6, 2023": at(2023, 8, 6), "Wed 2023-08-06": at(2023, 8, 6),
+        "2023-08-06": at(2023, 8, 6), "13/01/2023": at(2023, 1, 13), "2/30/2023": None, "": None, "soon": None}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r.t: r.d for r in df.select("t", C.parse_datetime_flexible("t", dt.date(2024, 6, 30)).alias("d")).collect()}
+    assert got == cases
