@@ -13,7 +13,6 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
 from ..schema import AREA_NAMES, CITY_NAMES, DEFAULT_AREA
 
 
@@ -83,6 +82,6 @@ def join_area(df: DataFrame, key_col: str, dim_df: DataFrame, default: str = DEF
 
     The dimension is broadcast only when its row count is under the bound.
     """
-    dim = bounded_broadcast(dim_df.select(F.col(key).alias("__k"), F.col(name).alias("__n")))
+    dim = dim_df.select(F.col(key).alias("__k"), F.col(name).alias("__n"))
     j = df.join(dim, df[key_col] == dim["__k"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("__n"), F.lit(default))).drop("__k", "__n")

@@ -103,7 +103,9 @@ def price_change_mom(df: DataFrame, by: str = "area", hi=PRICE_TREND_MAX, areas=
                           date_part(col, "month").alias("upd_month"))
                .agg(F.avg("price").alias("avg_price"), F.count("price").alias("n_listings")))
     w = Window.partitionBy(by).orderBy("upd_year", "upd_month")
-    prev = F.lag("avg_price").over(w)
+    # The month before, not just the last month with listings.
+    month = F.col("upd_year") * 12 + F.col("upd_month")
+    prev = F.when(month - F.lag(month).over(w) == 1, F.lag("avg_price").over(w))
     return (monthly.withColumn("prev_avg_price", prev)
             .withColumn("change", F.col("avg_price") - F.col("prev_avg_price"))
             .withColumn("change_ratio", F.col("change") / F.col("prev_avg_price")))
@@ -119,21 +121,8 @@ def listing_table_rows(df: DataFrame, ranges=None, areas=None) -> DataFrame:
 TABLE_KEYS = ["id", "area", "location", "avail_month", "avail_day", "amenities", "upd_month", "upd_day"]
 
 
-def listing_table_agg(rows: DataFrame, key_unique: bool = False) -> DataFrame:
-    """A6, aggregate stage: SUM and ATTR of beds, baths and price per listing key.
-
-    ``key_unique=True`` declares ``id`` a primary key (the table's ids are
-    assigned uniquely by W2). Every group is then one row, so SUM(x) = x and
-    ATTR(x) = x as text, and the sheet is a projection: no shuffle of the
-    table. Without the declaration the general aggregate runs.
-    """
-    if key_unique:
-        return rows.select(
-            *TABLE_KEYS, F.col("n_beds").alias("sum_n_beds"), F.col("n_baths").alias("sum_n_baths"),
-            F.col("price").cast("bigint").alias("sum_price"),
-            F.col("n_beds").cast("string").alias("attr_n_beds"),
-            F.col("n_baths").cast("string").alias("attr_n_baths"),
-            F.col("price").cast("string").alias("attr_price"))
+def listing_table_agg(rows: DataFrame) -> DataFrame:
+    """A6, aggregate stage: SUM and ATTR of beds, baths and price per listing key."""
     return (rows.groupBy(*TABLE_KEYS)
             .agg(F.sum("n_beds").alias("sum_n_beds"), F.sum("n_baths").alias("sum_n_baths"),
                  F.sum("price").cast("bigint").alias("sum_price"),
@@ -141,10 +130,10 @@ def listing_table_agg(rows: DataFrame, key_unique: bool = False) -> DataFrame:
                  attr("price").alias("attr_price")))
 
 
-def listing_table(df: DataFrame, ranges=None, areas=None, key_unique: bool = False) -> DataFrame:
+def listing_table(df: DataFrame, ranges=None, areas=None) -> DataFrame:
     """One row per listing key (id, area, location, month/day available,
     amenities, month/day updated) with SUM and ATTR of beds, baths and price."""
-    return listing_table_agg(listing_table_rows(df, ranges, areas), key_unique)
+    return listing_table_agg(listing_table_rows(df, ranges, areas))
 
 
 def listing_detail(df: DataFrame, selection=None, areas=None) -> DataFrame:

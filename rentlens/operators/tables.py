@@ -7,9 +7,12 @@ its input reads from.
 
 from __future__ import annotations
 
+import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +32,8 @@ def append_listings(df: DataFrame, path: str, partition_by=None) -> None:
 
 def overwrite_table(df: DataFrame, path: str, partition_by=None) -> None:
     """Replace the table contents. Refuses to overwrite a folder ``df`` reads."""
-    norm = path.rstrip("/")
-    if any(f.startswith(norm + "/") or f == norm for f in _input_roots(df)):
+    norm = re.sub("^file:/*", "/", path).rstrip("/")
+    if any(f == norm or f.startswith(norm + "/") or norm.startswith(f + "/") for f in _input_roots(df)):
         raise ValueError(f"refusing to overwrite {path}: the frame reads from it; write a new version")
     w = df.write.mode("overwrite")
     if partition_by:
@@ -38,10 +41,18 @@ def overwrite_table(df: DataFrame, path: str, partition_by=None) -> None:
     w.parquet(path)
 
 
-def _input_roots(df: DataFrame):
+def _input_roots(df: DataFrame) -> list[str]:
+    """Root folders of the file scans in the frame's plan (no listing of files)."""
     out = []
-    for f in df.inputFiles():
-        out.append(f.replace("file://", "").replace("file:", ""))
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName() != "LogicalRelation" and not leaf.getClass().getSimpleName() == "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            roots = relation.location().rootPaths()
+            out += [re.sub("^file:/*", "/", roots.apply(k).toString()) for k in range(roots.size())]
     return out
 
 
@@ -52,9 +63,11 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def ensure_table(spark: SparkSession, name: str, path: str, schema: T.StructType = LISTINGS,
-                 database: str | None = None, database_location: str | None = None) -> bool:
+                 database: str | None = None, database_location: str | None = None, replace: bool = False) -> bool:
     """Create the database and a Parquet table at ``path`` if absent.
 
+    ``replace`` declares the table anew (its files at the old place stay).
+
     ``database_location`` places a new database in a shared folder (without
     it the catalog's warehouse folder is used). Returns whether the table
     existed before.
@@ -64,7 +77,9 @@ def ensure_table(spark: SparkSession, name: str, path: str, schema: T.StructType
         where = f" LOCATION '{database_location}'" if database_location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     existed = spark.catalog.tableExists(full)
-    if not existed:
+    if existed and replace:
+        spark.sql(f"DROP TABLE {full}")
+    if not existed or replace:
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet LOCATION '{path}'")
     return existed
@@ -82,10 +97,12 @@ def assign_id(df: DataFrame, order_by: list[str], start_after=0, col: str = "id"
     """Ids ``start_after + 1, +2, ...`` in ``order_by`` order.
 
     ``start_after`` is a number or a frame whose ``col`` holds the current
-    ids (ids continue from its max). Two passes, no global window: the rows
-    are range-partitioned and sorted on the order key and checkpointed (so a
-    recomputation cannot reorder them), then per-partition row counts (one
-    row per partition) give each partition its offset.
+    ids (ids continue from its max). The input is checkpointed first, since
+    range partitioning reads it twice (sample, then rows); the sorted
+    partitions are checkpointed too, so a recomputation cannot reorder them.
+    Per-partition row counts, summed up over one row per partition, give each
+    partition its offset, joined back on the partition: the plan's size does
+    not depend on the number of partitions.
     """
     spark = df.sparkSession
     if isinstance(start_after, DataFrame):
@@ -94,20 +111,16 @@ def assign_id(df: DataFrame, order_by: list[str], start_after=0, col: str = "id"
     else:
         base = int(start_after)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    ordered = (df.checkpoint().repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
                .withColumn("__mid", F.monotonically_increasing_id()))
     ordered = ordered.checkpoint(eager=True)
-    pid = (F.col("__mid") / F.lit(1 << 33)).cast("long")
-    counts = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    # One row per partition: small by construction.
-    rows = sorted((r["__pid"], r["__n"]) for r in counts.collect())
-    offsets, acc = [], 0
-    for p, c in rows:
-        offsets += [F.lit(p), F.lit(acc)]
-        acc += c
-    off = F.element_at(F.create_map(*offsets), pid) if offsets else F.lit(0)
-    idx = F.col("__mid") - pid * F.lit(1 << 33)
-    return ordered.withColumn(col, F.lit(base) + off + idx + 1).drop("__mid")
+    ordered = ordered.withColumn("__pid", F.shiftright("__mid", 33))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+               .select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")))
+    idx = F.col("__mid") - F.shiftleft("__pid", 33)
+    return (ordered.join(offsets, "__pid").withColumn(col, F.lit(base) + F.col("__off") + idx + 1)
+            .drop("__mid", "__pid", "__off"))
 
 
 # --- U1, P21, W5 -------------------------------------------------------------
@@ -160,7 +173,8 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str = "location", o
     j = target.join(new_vals, target[key] == new_vals[f"__new_{key}"], "left")
     matched = F.col(f"__new_{key}").isNotNull()
     if only_newer and order in cols:
-        matched = matched & (F.col(f"__new_{order}") > F.col(order))
+        new, old = F.col(f"__new_{order}"), F.col(order)
+        matched = matched & new.isNotNull() & (old.isNull() | (new > old))
     updated = j.select(*[F.when(matched, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
                          if f"__new_{c}" in j.columns else F.col(c) for c in cols])
     inserts = latest.join(target.select(key).distinct(), key, "left_anti")
@@ -171,6 +185,64 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str = "location", o
                            allowMissingColumns=True).select(*cols)
 
 
+# --- W3 as a table: versions and commits -----------------------------------------
+# A versioned table is a folder of data versions and a table of commits, one
+# small file each. Readers take the version of the last commit, so a reader
+# never sees a half-written version and an upsert never touches the files read.
+
+_COMMIT = "version long, folder string, batch_id long"
+
+
+def _commits(spark: SparkSession, table_dir: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_COMMIT).parquet(f"{table_dir}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def commit_version(df: DataFrame, table_dir: str, batch_id: int | None = None) -> str:
+    """Write ``df`` as the table's next version and point readers to it."""
+    spark = df.sparkSession
+    log = _commits(spark, table_dir)
+    last = log.agg(F.max("version")).first()[0] if log is not None else 0
+    folder = f"v{last + 1:09d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{table_dir}/{folder}")
+    commit = spark.createDataFrame([(last + 1, folder, batch_id)], _COMMIT)
+    commit.coalesce(1).write.mode("append").parquet(f"{table_dir}/commits")
+    return folder
+
+
+def read_version(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The table's last committed version."""
+    folder = _commits(spark, table_dir).agg(F.max_by("folder", "version")).first()[0]
+    return spark.read.parquet(f"{table_dir}/{folder}")
+
+
+def upsert_table(source: DataFrame, table_dir: str, key: str = "location", order: str = "ingest_seq",
+                 id_col: str | None = "id", batch_id: int | None = None, only_newer: bool = False) -> bool:
+    """W3 on a versioned table: merge ``source`` into a new version and commit it.
+
+    The source is checkpointed, so it is evaluated once. Inserted rows
+    without an id get ids continuing the table's. A ``batch_id`` that is
+    already committed is skipped (returns False), so a replayed micro-batch
+    changes nothing.
+    """
+    spark = source.sparkSession
+    if batch_id is not None and _commits(spark, table_dir).filter(F.col("batch_id") == batch_id).limit(1).count():
+        return False
+    target = read_version(spark, table_dir)
+    merged = upsert_by_key(target, source.checkpoint(), key, order, only_newer)
+    if id_col and id_col in target.columns and id_col not in source.columns:
+        has = merged.filter(F.col(id_col).isNotNull())
+        new = merged.filter(F.col(id_col).isNull()).drop(id_col)
+        new = assign_id(new, [key, order] if order in merged.columns else [key], start_after=target, col=id_col)
+        merged = has.unionByName(new.withColumn(id_col, F.col(id_col).cast(target.schema[id_col].dataType)))
+    commit_version(merged.select(*target.columns), table_dir, batch_id)
+    return True
+
+
 # --- one ingest run: both branches -> ids -> one append ------------------------
 
 def append_run(spark: SparkSession, table_path: str, json_rows: DataFrame | None = None,
@@ -196,8 +268,9 @@ def append_run(spark: SparkSession, table_path: str, json_rows: DataFrame | None
     batch = union_sources(*parts).drop("id")
     try:
         existing = spark.read.schema(LISTINGS).parquet(table_path)
-        existing.limit(1).count()
-    except Exception:  # no table yet: ids start at 1
-        existing = 0
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = 0  # no table yet: ids start at 1
     with_ids = assign_id(batch, ["__branch", "__source", "__page", "__pos"], start_after=existing, col="id")
     append_listings(align_schema(with_ids), table_path)

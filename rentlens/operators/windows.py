@@ -8,12 +8,9 @@ works in blocks plus a small per-block window; latest-per-key is a
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
-
 # Rows of one ordered partition handled by one first-level window task.
 CARRY_BLOCK = 4096
 
@@ -32,11 +29,8 @@ def carry_forward(df: DataFrame, cols: list[str], partition_by: list[str], order
     d = df.withColumn("__blk", block)
     w1 = (Window.partitionBy(*partition_by, "__blk").orderBy(*order_by)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Two consumers (the block aggregate and the final join): one computation.
-    d = d.withColumns({f"__loc_{c}": F.last(c, ignorenulls=True).over(w1) for c in cols}).persist(
-        StorageLevel.MEMORY_AND_DISK)
-
-    # Last non-NULL value of every block, ordered by the full order key.
+    # Last non-NULL value of every block, ordered by the full order key: a
+    # partial aggregate of the rows themselves, beside the windowed frame.
     order_key = F.struct(*[F.col(o) for o in order_by])
     blk = d.groupBy(*partition_by, "__blk").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_key)).alias(f"__blast_{c}") for c in cols])
@@ -44,7 +38,8 @@ def carry_forward(df: DataFrame, cols: list[str], partition_by: list[str], order
           .rowsBetween(Window.unboundedPreceding, -1))
     carry_in = blk.select(*partition_by, "__blk",
                           *[F.last(f"__blast_{c}", ignorenulls=True).over(w2).alias(f"__in_{c}") for c in cols])
-    j = d.join(bounded_broadcast(carry_in), [*partition_by, "__blk"], "left")
+    d = d.withColumns({f"__loc_{c}": F.last(c, ignorenulls=True).over(w1) for c in cols})
+    j = d.join(carry_in, [*partition_by, "__blk"], "left")
     out = j.withColumns({c: F.coalesce(F.col(f"__loc_{c}"), F.col(f"__in_{c}")) for c in cols})
     return out.drop("__blk", *[f"__{p}_{c}" for p in ("loc", "in") for c in cols])
 
@@ -54,8 +49,11 @@ def latest_per_key(df: DataFrame, key, order: str) -> DataFrame:
 
     ``key`` is a column name or a list of names. ``max_by`` over a struct of
     all columns is a partial aggregate: each map task keeps one row per key,
-    so a key with a third of all rows still ships one row per task.
+    so a key with a third of all rows still ships one row per task. A NULL
+    ``order`` comes before any value (a key whose orders are all NULL keeps
+    one of its rows); equal orders are decided by a hash of the row.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.col(order)).alias("__row"))
+    rank = F.struct(F.col(order).isNotNull(), F.col(order), F.xxhash64(*df.columns))
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), rank).alias("__row"))
     return latest.select("__row.*")

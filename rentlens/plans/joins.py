@@ -1,34 +1,12 @@
-"""Join helpers: broadcast only behind a size check, null-safe key joins."""
+"""Null-safe key joins. Spark broadcasts a side by its own size check, at run time."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a derived side is broadcast. A broadcast side is
-# shipped whole to every executor, so the bound is on rows we have counted,
-# never on what we hope the data looks like.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      persist: bool = True) -> DataFrame:
-    """Return ``small`` marked for broadcast if it has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows. When ``small`` is derived
-    from a large input (an aggregate), it is persisted first so the count and
-    the join share one computation; a lost executor recomputes it from lineage.
-    Above the bound the frame is returned unmarked and Spark plans a shuffle
-    join (with AQE skew splitting).
-    """
-    if persist:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
 
 def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str],
                         right_keys: list[str] | None = None) -> Column:
@@ -41,16 +19,16 @@ def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str],
 def semi_nullsafe(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key tuple occurs in ``other``; NULLs match.
 
-    A selection is small by nature; it is broadcast once its size is checked,
-    else both sides shuffle on the keys (null-safe equality is an equi-join).
+    Null-safe equality is an equi-join: adaptive execution broadcasts the
+    selection when its measured size allows, else both sides shuffle on the keys.
     """
-    o = bounded_broadcast(other.select(*[F.col(k).alias(f"__sel_{k}") for k in keys]).distinct())
+    o = other.select(*[F.col(k).alias(f"__sel_{k}") for k in keys]).distinct()
     cond = null_safe_condition(df, o, keys, [f"__sel_{k}" for k in keys])
     return df.join(o, cond, "left_semi")
 
 
 def anti_nullsafe(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key tuple does not occur in ``other``; NULLs match."""
-    o = bounded_broadcast(other.select(*[F.col(k).alias(f"__exc_{k}") for k in keys]).distinct())
+    o = other.select(*[F.col(k).alias(f"__exc_{k}") for k in keys]).distinct()
     cond = null_safe_condition(df, o, keys, [f"__exc_{k}" for k in keys])
     return df.join(o, cond, "left_anti")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..functions.area import area_dimension, area_from_dash, area_from_paren, dash_key, join_area
 from ..sources import json_payloads as J
+from ..schema import JSON_ROUTE_TOKEN
 from ..sources.files import read_table
 from .registry import register
 from .standins import (AS_OF, RAW_JSON_EXPECTED_SQL, area_name_at, area_values_sql, captured_json_payloads,
@@ -182,19 +183,29 @@ def q_json_listings(spark, sf_dir):
 
 
 @register("json_rejects", with_listings("""
-SELECT id AS ext_id, 'unparsable price' AS _reject_reason FROM listings
-WHERE last_updated IS NOT NULL AND id % 97 = 0"""))
+SELECT id AS ext_id, concat_ws('; ', CASE WHEN last_updated IS NULL THEN 'unparsable last_updated' END,
+  CASE WHEN id % 97 = 0 THEN 'unparsable price' END,
+  CASE WHEN id % 89 = 0 THEN 'no street_address in building_address' END) AS _reject_reason
+FROM listings WHERE last_updated IS NULL OR id % 97 = 0 OR id % 89 = 0"""))
 def q_json_rejects(spark, sf_dir):
     _, bad = J.split_rejects(_json_clean(spark, sf_dir))
     return bad.select("ext_id", "_reject_reason")
 
 
 @register("json_flags", with_listings("""
-SELECT id AS ext_id, utilities, amenities, agent_fees FROM listings WHERE last_updated IS NOT NULL"""))
+SELECT id AS ext_id, utilities, amenities, agent_fees FROM listings"""))
 def q_json_flags(spark, sf_dir):
     return _json_clean(spark, sf_dir).select("ext_id", "utilities", "amenities", "agent_fees")
 
 
+@register("payload_rejects", """
+SELECT CAST(-1 - n_nationkey AS BIGINT) AS payload_id, CASE n_nationkey % 3 WHEN 0 THEN 'malformed body'
+  WHEN 1 THEN 'no data list' ELSE 'empty body' END AS _reject_reason FROM nation""")
+def q_payload_rejects(spark, sf_dir):
+    """Payloads that hold no readable list of listings."""
+    return J.payload_rejects(captured_json_payloads(spark, sf_dir), keep=["payload_id"])
+
+
 @register("event_props", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k FROM events""")
 def q_event_props(spark, sf_dir):
@@ -203,9 +214,12 @@ def q_event_props(spark, sf_dir):
 
 
 @register("route_sources", """
-SELECT page_id, CASE WHEN contains(url, 'bostonpads') THEN 'json' ELSE 'html' END AS branch FROM pages""")
+SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'json' ELSE 'html' END AS branch FROM pages""")
 def q_route_sources(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    """Every fourth page's URL is moved to the JSON source's host."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", F.when(
+        F.col("page_id") % 4 == 0, F.regexp_replace("url", "://[^/]*", f"://www.{JSON_ROUTE_TOKEN}.example"))
+        .otherwise(F.col("url")).alias("url"))
     js, html = J.route_by_source(pages)
     return (js.select("page_id", F.lit("json").alias("branch"))
             .unionByName(html.select("page_id", F.lit("html").alias("branch"))))

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..operators.windows import carry_forward
 from ..sources import html_pages as H
 from ..sources.files import read_table
+from ..sources.json_payloads import split_rejects
 from .registry import register
-from .standins import AS_OF, RAW_HTML_CARDS_SQL, captured_html_pages, with_listings
+from .standins import (AS_OF, RAW_HTML_CARDS_SQL, area_name_at, area_values_sql, captured_html_pages,
+                       with_listings)
 
 AS_OF_DATE = dt.date.fromisoformat(AS_OF)
 CARD_COLUMNS = ["source_id", "page_num", "pos", "last_updated", "price", "n_beds", "n_baths", "available_date",
@@ -21,8 +22,7 @@ CARD_COLUMNS = ["source_id", "page_num", "pos", "last_updated", "price", "n_beds
 
 
 def _kept_cards(spark, sf_dir):
-    # Extracted once: the cutoff aggregate and the final filter both read it.
-    cards = H.extract_cards(captured_html_pages(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    cards = H.extract_cards(captured_html_pages(spark, sf_dir))
     cutoff = H.page_cutoff(H.page_facts(cards))
     return H.apply_cutoff(cards, cutoff), cutoff
 
@@ -31,7 +31,20 @@ def _kept_cards(spark, sf_dir):
 SELECT {", ".join(CARD_COLUMNS)} FROM cards"""))
 def q_html_cards(spark, sf_dir):
     kept, _ = _kept_cards(spark, sf_dir)
-    return H.clean_cards(kept, AS_OF_DATE).select(*CARD_COLUMNS)
+    clean, _ = split_rejects(H.clean_cards(kept, AS_OF_DATE))
+    return clean.select(*CARD_COLUMNS)
+
+
+@register("html_rejects", with_listings(f""", {RAW_HTML_CARDS_SQL}
+SELECT source_id, page_num, pos, concat_ws('; ', CASE WHEN id % 101 = 0 THEN 'unparsable price' END,
+  CASE WHEN id % 103 = 0 THEN 'unparsable n_baths' END,
+  CASE WHEN id % 107 = 0 AND id % 13 <> 0 THEN 'unparsable available_date' END) AS _reject_reason
+FROM all_cards WHERE id % 101 = 0 OR id % 103 = 0 OR (id % 107 = 0 AND id % 13 <> 0)"""))
+def q_html_rejects(spark, sf_dir):
+    """Cards with a cell that is there but cannot be parsed."""
+    kept, _ = _kept_cards(spark, sf_dir)
+    _, bad = split_rejects(H.clean_cards(kept, AS_OF_DATE))
+    return bad.select("source_id", "page_num", "pos", "_reject_reason")
 
 
 @register("page_cutoff", with_listings(f""", {RAW_HTML_CARDS_SQL}
@@ -49,7 +62,8 @@ SELECT source_id, page_num, pos, last_value(available_date IGNORE NULLS) OVER (
 FROM cards"""))
 def q_carry_forward(spark, sf_dir):
     kept, _ = _kept_cards(spark, sf_dir)
-    clean = H.clean_cards(kept, AS_OF_DATE).select("source_id", "page_num", "pos", "available_date")
+    clean, _ = split_rejects(H.clean_cards(kept, AS_OF_DATE))
+    clean = clean.select("source_id", "page_num", "pos", "available_date")
     return carry_forward(clean, ["available_date"], ["source_id"], ["page_num", "pos"])
 
 
@@ -111,9 +125,8 @@ SELECT page_id, {_unescape("regexp_extract(html, '<a\\s[^>]*href=\"([^\"]*)\"',
 FROM pages""")
 def q_page_first_href(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages", spread_rows=True)
-    f = H.extract_page_fields(pages, "page_id", {"first_href": ("a", None, "href")})
-    urls = pages.select("page_id", C.href_payload("url").alias("url_payload"))
-    return f.join(urls, "page_id")
+    f = H.extract_page_fields(pages, "page_id", {"first_href": ("a", None, "href")}, keep=["url"])
+    return f.select("page_id", "first_href", C.href_payload("url").alias("url_payload"))
 
 
 @register("nonempty_pages", """
@@ -148,6 +161,19 @@ def q_url_params(spark, sf_dir):
     return H.url_query_params(pages).select("page_id", "param_pos", "param_key", "param_value")
 
 
+@register("seed_areas", f"""
+SELECT c_custkey AS id, c_mktsegment AS city, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE dim.name END AS area
+FROM customer JOIN {area_values_sql()} ON dim.k = c_custkey % 31""")
+def q_seed_areas(spark, sf_dir):
+    """The ``areas[]`` filters of a seed URL per customer."""
+    c = read_table(spark, sf_dir, "customer")
+    value = F.when(c.c_custkey % 3 == 0, c.c_mktsegment).otherwise(
+        F.concat(c.c_mktsegment, F.lit(":"), area_name_at(c.c_custkey)))
+    urls = c.select(c.c_custkey.alias("id"), F.concat(F.lit("https://x.example/s?beds=2&areas%5B%5D="), F.url_encode(value),
+                                                      F.lit("&page=1")).alias("url"))
+    return H.seed_areas(urls).select("id", "city", "area")
+
+
 _BOX_FIELDS = {"title": ("h1", None), "lead": ("b", None), "ad": ("div", "ad")}
 
 

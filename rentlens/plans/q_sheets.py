@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.derive import date_part, detail_label, drill_url
+from ..operators.tables import upsert_by_key
 from ..operators import filters as flt
 from ..operators import sheets as sh
-from .joins import bounded_broadcast
 from .registry import register
 from .standins import silver_listings, with_listings
 
@@ -39,7 +39,7 @@ _DETAIL_LABEL_SQL = """concat(chr(10), 'Price: ', coalesce(attr_price, ''), ' $'
 def _top_price_selection(listings):
     """The marks a user picks: the most expensive listing of each area."""
     keyed = sh.with_date_keys(listings)
-    top = bounded_broadcast(listings.groupBy("area").agg(F.max("price").alias("price")))
+    top = listings.groupBy("area").agg(F.max("price").alias("price"))
     return keyed.join(top, ["area", "price"]).select(*sh.SELECTION_KEYS)
 
 
@@ -122,7 +122,9 @@ def q_price_trend(spark, sf_dir):
 @register("price_change_mom", with_listings("""
 SELECT area, upd_year, upd_month, avg_price, n_listings, prev_avg_price,
  avg_price - prev_avg_price AS change, (avg_price - prev_avg_price) / prev_avg_price AS change_ratio
-FROM (SELECT *, lag(avg_price) OVER (PARTITION BY area ORDER BY upd_year, upd_month) AS prev_avg_price
+FROM (SELECT *, CASE WHEN upd_year * 12 + upd_month - lag(upd_year * 12 + upd_month)
+    OVER (PARTITION BY area ORDER BY upd_year, upd_month) = 1
+    THEN lag(avg_price) OVER (PARTITION BY area ORDER BY upd_year, upd_month) END AS prev_avg_price
   FROM (SELECT area, CAST(year(last_updated) AS INTEGER) AS upd_year, CAST(month(last_updated) AS INTEGER) AS upd_month,
      avg(price) AS avg_price, count(price) AS n_listings
    FROM listings WHERE price <= 50000 AND last_updated IS NOT NULL GROUP BY 1, 2, 3) m) w"""))
@@ -141,19 +143,42 @@ GROUP BY id, area, location, avail_month, avail_day, amenities, upd_month, upd_d
 
 @register("listing_table", with_listings(_TABLE_SQL))
 def q_listing_table(spark, sf_dir):
-    # ids of the listings table are its primary key (assigned uniquely).
-    return sh.listing_table(silver_listings(spark, sf_dir), key_unique=True)
+    return sh.listing_table(silver_listings(spark, sf_dir))
+
+
+@register("listing_table_after_upsert", with_listings(f"""
+, src AS (SELECT * REPLACE (price + 1 AS price) FROM listings
+          WHERE id IN (SELECT max(id) FROM listings GROUP BY location)),
+mixed AS (SELECT s.* FROM listings t JOIN src s ON t.location = s.location
+  UNION ALL SELECT * REPLACE (price + 3 AS price) FROM src WHERE id % 2 = 0)
+{_TABLE_SQL.replace("FROM listings", "FROM mixed")}"""))
+def q_listing_table_after_upsert(spark, sf_dir):
+    """A6 where groups hold several rows: an upsert copied ids, and some prices differ ('*')."""
+    listings = silver_listings(spark, sf_dir)
+    src = (listings.groupBy("location").agg(F.max_by(F.struct(*listings.columns), F.col("id")).alias("r"))
+           .select("r.*").withColumn("price", F.col("price") + 1))
+    merged = upsert_by_key(listings.withColumn("ingest_seq", F.lit(0)), src.withColumn("ingest_seq", F.lit(1)),
+                           key="location", order="ingest_seq").drop("ingest_seq")
+    other = src.filter("id % 2 = 0").withColumn("price", F.col("price") + 3)
+    return sh.listing_table(merged.unionByName(other))
+
+
+@register("price_by_beds_areas", with_listings("""
+SELECT n_beds AS number_of_beds, avg(price) AS avg_price, count(price) AS n_listings FROM listings
+WHERE price BETWEEN 300 AND 50000 AND area IN ('ASIA', 'EUROPE') GROUP BY 1"""))
+def q_price_by_beds_areas(spark, sf_dir):
+    """the area quick filter on a sheet."""
+    return sh.price_by_beds(silver_listings(spark, sf_dir), areas=["ASIA", "EUROPE"])
 
 
 @register("listing_measures_long", with_listings(f"""
 SELECT id, 'n_beds' AS measure, CAST(sum_n_beds AS DOUBLE) AS value FROM ({_TABLE_SQL}) a
-UNION ALL SELECT id, 'n_baths', CAST(sum_n_baths AS DOUBLE) FROM ({_TABLE_SQL}) b
 UNION ALL SELECT id, 'price', CAST(sum_price AS DOUBLE) FROM ({_TABLE_SQL}) c"""))
 def q_listing_measures_long(spark, sf_dir):
-    table = sh.listing_table(silver_listings(spark, sf_dir), key_unique=True)
+    table = sh.listing_table(silver_listings(spark, sf_dir))
     long = sh.unpivot_measures(table, ["id"], ["sum_n_beds", "sum_n_baths", "sum_price"],
                                ["n_beds", "n_baths", "price"])
-    return flt.measure_filter(long, ["n_beds", "n_baths", "price"])
+    return flt.measure_filter(long, ["n_beds", "price"])
 
 
 @register("listing_detail", with_listings(f""", {_SEL_SQL}
@@ -240,7 +265,7 @@ def q_default_years(spark, sf_dir):
 SELECT * FROM ({_TABLE_SQL}) t ORDER BY id NULLS FIRST LIMIT 10000"""))
 def q_row_limit(spark, sf_dir):
     rows = sh.listing_table_rows(silver_listings(spark, sf_dir))
-    return sh.preview_grouped(rows, lambda r: sh.listing_table_agg(r, key_unique=True), key="id")
+    return sh.preview_grouped(rows, sh.listing_table_agg, key="id")
 
 
 @register("months_manual_sort", with_listings("""

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.tables import commit_version, read_version
 from ..session import scratch_path
+from ..sources import json_payloads as J
 from ..sources.files import read_table
 from ..streaming import listings_stream as S
+from .q_clean import AS_OF_DATE
 from .registry import register
+from .standins import RAW_JSON_EXPECTED_SQL, captured_json_path, with_listings
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -34,7 +38,7 @@ def _event_files(spark, sf_dir, copies: int = 1) -> str:
     ev = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     ev = ev.withColumn("day", F.to_date("ts"))
     for _ in range(copies):
-        ev.write.mode("append").partitionBy("day").parquet(d)
+        ev.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(d)
     _EVENT_FILES[key] = d
     return d
 
@@ -54,22 +58,81 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_listings", with_listings(RAW_JSON_EXPECTED_SQL))
+def q_stream_listings(spark, sf_dir):
+    """T1 on payload files: bodies -> cleaning rules -> clean rows appended, over several micro-batches."""
+    schema = T.StructType([T.StructField("payload_id", T.LongType()), T.StructField("body", T.StringType())])
+
+    def clean(sdf):
+        items = J.read_json_payloads(sdf, keep=["payload_id"])
+        items = items.withColumn("ext_id", F.try_variant_get("item", "$.listing_id", "bigint"))
+        return J.split_rejects(J.clean_json_listings(items, as_of=AS_OF_DATE, keep=["ext_id"]))[0]
+
+    out = scratch_path(spark, "listings-clean")
+    S.stream_ingest(spark, captured_json_path(spark, sf_dir), out, schema, transform=clean, max_files_per_trigger=3)
+    return spark.read.parquet(out)
+
+
+def _in_two_runs(spark, sf_dir, first, second, start):
+    """Event files arrive in two lots; one stream (one checkpoint) runs after each."""
+    ev = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ev = ev.withColumn("day", F.to_date("ts"))
+    src, ckpt = scratch_path(spark, "events-lots"), scratch_path(spark, "ckpt-lots")
+    for lot in (first, second):
+        ev.filter(lot).hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(src)
+        start(S.read_stream_files(spark, src, EVENT_SCHEMA), ckpt)
+
+
 @register("stream_dedupe", """
 SELECT event_id, ts, event_type FROM events""")
 def q_stream_dedupe(spark, sf_dir):
-    """Every day file arrives twice; repeats inside the watermark are dropped."""
-    src = _event_files(spark, sf_dir, copies=2)
+    """Every day file arrives again in a later micro-batch; repeats are dropped by state or as late."""
     out = scratch_path(spark, "events-dedupe")
-    sdf = S.read_stream_files(spark, src, EVENT_SCHEMA)
-    d = S.stream_dedupe(sdf, "event_id", "ts", "2 days").select(
-        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
-    q = (d.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", scratch_path(spark, "ckpt-dedupe")).option("path", out)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+
+    def start(sdf, ckpt):
+        d = S.stream_dedupe(sdf, "event_id", "ts", "2 days").select(
+            "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+        q = (d.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
+             .option("path", out).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    _in_two_runs(spark, sf_dir, F.lit(True), F.lit(True), start)
     return spark.read.parquet(out)
 
 
+@register("stream_late_counts", """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n_events
+FROM events WHERE event_id % 10 <> 0 OR CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY
+  > (SELECT max(ts) FROM events WHERE event_id % 10 <> 0) - INTERVAL 1 DAY
+GROUP BY ALL""")
+def q_stream_late_counts(spark, sf_dir):
+    """T4 over two micro-batches: every tenth event comes late; those behind the watermark are dropped."""
+    table = scratch_path(spark, "late-counts")
+
+    def start(sdf, ckpt):
+        agg = S.daily_counts(sdf, "ts", by=["event_type"], delay="1 day")
+        S.stream_counts_to_table(agg, table, ["window_start", "event_type"], checkpoint=ckpt)
+
+    _in_two_runs(spark, sf_dir, F.col("event_id") % 10 != 0, F.col("event_id") % 10 == 0, start)
+    return S.read_upserted(spark, table, ["window_start", "event_type"], "batch_seq").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n_events")
+
+
+@register("stream_upsert_table", """
+WITH latest AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+n AS (SELECT user_id, greatest(1, count(*) FILTER (WHERE event_id % 2 = 0)) AS c FROM events GROUP BY user_id)
+SELECT user_id, event_id, value FROM latest JOIN n USING (user_id), generate_series(1, c) g(i)""")
+def q_stream_upsert_table(spark, sf_dir):
+    """T3 into an existing table with duplicate keys: all rows of a user take the newest event's values."""
+    seq = F.struct(F.col("ts").cast("timestamp_ntz").alias("t"), F.col("event_id").alias("e")).alias("seq")
+    table = scratch_path(spark, "users-table")
+    old = read_table(spark, sf_dir, "events").filter("event_id % 2 = 0")
+    commit_version(old.select("user_id", "event_id", "value", seq), table)
+    sdf = S.read_stream_files(spark, _event_files(spark, sf_dir), EVENT_SCHEMA, max_files_per_trigger=12)
+    S.stream_upsert_table(sdf.select("user_id", "event_id", "value", seq), table, "user_id", "seq")
+    return read_version(spark, table).drop("seq")
+
+
 @register("stream_upsert", """
 SELECT user_id, event_id, ts, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")

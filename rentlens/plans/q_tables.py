@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import tables as W
@@ -75,7 +76,7 @@ def q_append_with_id(spark, sf_dir):
 def _both_sources(spark, sf_dir):
     js, _ = J.split_rejects(_json_clean(spark, sf_dir))
     kept, _ = _kept_cards(spark, sf_dir)
-    html = H.clean_cards(kept, AS_OF_DATE)
+    html, _ = J.split_rejects(H.clean_cards(kept, AS_OF_DATE))
     return js, html
 
 
@@ -113,10 +114,62 @@ def q_table_roundtrip(spark, sf_dir):
     name = f"part_{uuid.uuid4().hex[:8]}"
     W.ensure_table(spark, name, path, schema=part.schema, database="rentlens_scratch",
                    database_location=scratch_path(spark, "catalog"))
-    back = W.register_view(read_back(spark, path), f"{name}_view")
-    assert back.columns == part.columns
-    return spark.sql(f"""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
-                         sid IS NOT NULL AS has_sid FROM rentlens_scratch.{name}""")
+    out = read_back(spark, path)
+    assert spark.table(f"rentlens_scratch.{name}").columns == out.columns == part.columns
+    W.register_view(out, f"{name}_view")
+    result = spark.sql(f"""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
+                           sid IS NOT NULL AS has_sid FROM {name}_view""")
+    # The frame is resolved: the names it was made by can go.
+    spark.catalog.dropTempView(f"{name}_view")
+    spark.sql(f"DROP TABLE rentlens_scratch.{name}")
+    return result
+
+
+@register("surrogate_ids", """
+SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_falling FROM part""")
+def q_surrogate_ids(spark, sf_dir):
+    """Ids are unique and rise with the rows of a partition."""
+    part = W.add_surrogate_id(read_table(spark, sf_dir, "part"), "sid").withColumn("p", F.spark_partition_id())
+    falling = F.col("sid") <= F.lag("sid").over(Window.partitionBy("p").orderBy("p_partkey"))
+    return part.withColumn("falling", falling).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("sid").alias("n_ids"), F.count_if("falling").alias("n_falling"))
+
+
+@register("upsert_null_order", with_listings("""
+SELECT id, CASE WHEN id % 3 = 1 THEN price + 7 ELSE price END AS price FROM listings WHERE id % 3 <> 2
+UNION ALL SELECT id, price + 1 FROM listings WHERE id % 3 = 2"""))
+def q_upsert_null_order(spark, sf_dir):
+    """N3 with NULL orders: a NULL loses to any value, and a key of NULLs still counts."""
+    base = silver_listings(spark, sf_dir).select("id", "price", "last_updated")
+    target = base.filter("id % 3 <> 2").withColumn("seq", F.lit(0))
+    none = F.lit(None).cast("int")
+    inserts = base.filter("id % 3 = 2").withColumn("price", F.col("price") + 1).withColumn("seq", none)
+    stale = base.filter("id % 3 = 1").withColumn("price", F.col("price") + 99).withColumn("seq", none)
+    wins = base.filter("id % 3 = 1").withColumn("price", F.col("price") + 7).withColumn("seq", F.lit(-5))
+    source = W.union_sources(inserts, stale, wins)
+    return W.upsert_by_key(target, source, key="id", order="seq").select("id", "price")
+
+
+@register("upsert_versions", with_listings("""
+, old AS (SELECT * FROM listings WHERE id % 2 = 0),
+new AS (SELECT location, max(price) + 5 AS price FROM listings GROUP BY location
+  UNION ALL SELECT concat('NEW - ', r_name), CAST(r_regionkey AS INTEGER) FROM region)
+SELECT o.id, o.location, n.price FROM old o JOIN new n ON o.location = n.location
+UNION ALL
+SELECT (SELECT max(id) FROM old) + row_number() OVER (ORDER BY location) AS id, location, price
+FROM new WHERE location NOT IN (SELECT location FROM old)"""))
+def q_upsert_versions(spark, sf_dir):
+    """W3 as a table: a first version, a merge with inserts that get ids, and a replay that changes nothing."""
+    L = silver_listings(spark, sf_dir).select("id", "location", "price")
+    table = scratch_path(spark, "versions")
+    W.commit_version(L.filter("id % 2 = 0"), table)
+    unseen = read_table(spark, sf_dir, "region").select(
+        F.concat(F.lit("NEW - "), "r_name").alias("location"), F.col("r_regionkey").cast("int").alias("price"))
+    source = (L.groupBy("location").agg((F.max("price") + 5).alias("price")).unionByName(unseen)
+              .withColumn("ingest_seq", F.lit(1)))
+    for _ in range(2):
+        W.upsert_table(source, table, batch_id=1)
+    return W.read_version(spark, table)
 
 
 @register("append_rerun", """
@@ -147,5 +200,6 @@ def q_ingest_run(spark, sf_dir):
     js, _ = J.split_rejects(_json_clean_with_position(spark, sf_dir))
     kept, _ = _kept_cards(spark, sf_dir)
     path = scratch_path(spark, "listings-table")
-    W.append_run(spark, path, json_rows=js, html_rows=H.clean_cards(kept, AS_OF_DATE))
+    html, _ = J.split_rejects(H.clean_cards(kept, AS_OF_DATE))
+    W.append_run(spark, path, json_rows=js, html_rows=html)
     return scan_listings(spark, path)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..schema import AREA_NAMES
 from ..sources.files import read_table
-from .joins import bounded_broadcast
 
 LISTINGS_SQL = """
 SELECT o_orderkey AS id,
@@ -48,10 +47,10 @@ def _yes_no(cond, yes="Yes", no="No"):
 
 
 def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⋈ region: a dimension whose size is checked before broadcast."""
+    """nation ⋈ region."""
     nation = read_table(spark, sf_dir, "nation", spread_rows=False).select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", spread_rows=False).select("r_regionkey", "r_name")
-    geo = nation.join(bounded_broadcast(region, persist=False),
+    geo = nation.join(region,
                       nation.n_regionkey == region.r_regionkey)
     return geo.select("n_nationkey", "n_name", "r_name")
 
@@ -59,14 +58,13 @@ def geo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listings_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 14-column clean listings table derived from the test tables.
 
-    Plan: customer ⋈ broadcast(geo) stays map-side; orders ⋈ customer is an
-    equi-join on the customer key, broadcast by Spark only while the customer
-    side is under its size threshold, else a sort-merge join with AQE skew
-    splitting (one customer may own a third of the orders).
+    Plan: equi-joins that Spark broadcasts while a side's size is under its
+    threshold, else sort-merge joins with AQE skew splitting (one customer may
+    own a third of the orders).
     """
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer", spread_rows=False).select("c_custkey", "c_nationkey", "c_mktsegment")
-    geo = bounded_broadcast(geo_dimension(spark, sf_dir), persist=False)
+    geo = geo_dimension(spark, sf_dir)
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     j = orders.join(cust, orders.o_custkey == cust.c_custkey)
 
@@ -157,10 +155,12 @@ def raw_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     the string "1"/"0", or the number 1 (reads as No) for every 11th; fees are
     0 / 0.0 / false (No) or 150 / "0" / null (Yes); every 4th listing has an
     empty street address (location falls back to the sub-area name); every
-    97th has a price with cents (rejected). Only listings with an update date
-    are sent (the field is required).
+    97th has a price with cents (rejected), and every 89th an address without a
+    street (rejected). Listings without an update date are sent with null
+    (rejected, the field is required). One more payload per nation cannot be
+    read: a cut body, one without ``data``, an empty one.
     """
-    L = listings_standin(spark, sf_dir).filter(F.col("last_updated").isNotNull())
+    L = listings_standin(spark, sf_dir)
     k = F.col("id")
     util, amen = F.col("utilities"), F.col("amenities")
     heat = util.contains("Heat - Yes")
@@ -178,7 +178,7 @@ def raw_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(k % 3 == 0, F.lit("150"))
            .when(k % 3 == 1, F.lit('"0"'))
            .otherwise(F.lit("null")))
-    address = (F.when(k % 8 == 0, F.lit("null"))
+    address = (F.when(k % 89 == 0, F.lit("{}")).when(k % 8 == 0, F.lit("null"))
                .when(k % 4 == 0, F.lit('{"street_address": ""}'))
                .otherwise(F.concat(F.lit('{"street_address": '), _jstr(F.col("location")), F.lit("}"))))
     elem = F.concat(
@@ -209,7 +209,11 @@ def raw_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                .groupBy("payload_id")
                .agg(F.array_sort(F.collect_list(F.struct("k", "e"))).alias("items")))
     body = F.concat(F.lit('{"data": ['), F.array_join(F.transform("items", lambda s: s["e"]), ", "), F.lit("]}"))
-    return grouped.select("payload_id", body.alias("body"))
+    n = F.col("n_nationkey")
+    broken = read_table(spark, sf_dir, "nation", spread_rows=False).select(
+        (-1 - n).cast("long").alias("payload_id"),
+        F.when(n % 3 == 0, '{"data": [{"price": "$1"}').when(n % 3 == 1, '{"items": []}').otherwise("").alias("body"))
+    return grouped.select("payload_id", body.alias("body")).unionByName(broken)
 
 
 RAW_JSON_EXPECTED_SQL = f"""
@@ -217,7 +221,7 @@ SELECT id AS ext_id, last_updated, price, n_beds, n_baths, available_date,
  CASE WHEN id % 4 = 0 THEN concat('Boston - ', dim.name) ELSE location END AS location,
  dim.name AS area, utilities, amenities, agent_name, agent_email, agent_phone, agent_fees
 FROM listings JOIN {area_values_sql()} ON dim.k = id % 31
-WHERE last_updated IS NOT NULL AND id % 97 <> 0"""
+WHERE last_updated IS NOT NULL AND id % 97 <> 0 AND id % 89 <> 0"""
 
 
 # --- raw HTML card pages ---------------------------------------------------
@@ -227,15 +231,18 @@ N_SOURCES = 3
 
 def _card_html(k):
     dim = area_name_at(k)
-    avail = F.when(k % 13 == 0, F.lit("")).otherwise(
-        F.concat(F.lit('<div class="column">Available '), F.date_format("available_date", "MM/dd/yyyy"),
-                 F.lit("</div>")))
+    avail = (F.when(k % 13 == 0, F.lit(""))
+             .when(k % 107 == 0, F.lit('<div class="column">9/1/2023 - 10/1/2023</div>'))
+             .otherwise(F.concat(F.lit('<div class="column">Available '), F.date_format("available_date", "MM/dd/yyyy"),
+                                 F.lit("</div>"))))
+    price = F.when(k % 101 == 0, F.lit("Call for price")).otherwise(F.concat(F.lit("$"), F.format_number(F.col("price"), 0)))
+    baths = F.when(k % 103 == 0, F.lit("Studio")).otherwise(F.concat(F.col("n_baths").cast("string"), F.lit(" Baths")))
     return F.concat(
         F.lit('<div class="property_item"><a class="item_title" href="/l/'), k.cast("string"), F.lit('">'),
         F.col("location"), F.lit(" ("), dim, F.lit(")</a>\n  <div class=\"item_props\">"),
-        F.lit('<div class="column">$'), F.format_number(F.col("price"), 0), F.lit("</div>"),
+        F.lit('<div class="column">'), price, F.lit("</div>"),
         F.lit('<div class="column">'), F.col("n_beds").cast("string"), F.lit(" Beds</div>"),
-        F.lit('<div class="column">\n  '), F.col("n_baths").cast("string"), F.lit(" Baths </div>"),
+        F.lit('<div class="column">\n  '), baths, F.lit(" </div>"),
         avail, F.lit("</div></div>\n"))
 
 
@@ -253,7 +260,8 @@ def raw_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Listings are spread over sources by id, 20 cards per page; each page
     shows the agent of its first card; every 13th card lacks its
-    availability cell. Crawl-stop shapes: src0 ends with an empty page and
+    availability cell. Every 101st shows no price, every 103rd no number of
+    baths, every 107th a range of dates (rejected). Crawl-stop shapes: src0 ends with an empty page and
     one more page after it; src1 wraps around to page 1 (counter repeats),
     then page 2; src2 has no counter on page 1, then wraps to page 2, then 3.
     """
@@ -270,7 +278,7 @@ def raw_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.min_by(F.struct("agent_name", "agent_email", "agent_phone"), F.col("pos")).alias("agent"))
              .withColumn("cards_html", F.array_join(F.transform("cards", lambda s: s["card"]), ""))
              .drop("cards"))
-    last = bounded_broadcast(pages.groupBy("source_id").agg(F.max("page_num").alias("n")))
+    last = pages.groupBy("source_id").agg(F.max("page_num").alias("n"))
     p = pages.join(last, "source_id")
     counter = lambda num: F.concat(F.lit('<div class="counter">Page '), num.cast("string"),
                                    F.lit(" of many</div>"))
@@ -306,14 +314,15 @@ agents AS (SELECT source_id, p, agent_name AS a_name, agent_email AS a_email, ag
 kept AS (SELECT b.*, b.p AS page_num FROM base b
    UNION ALL SELECT b.*, n.n + 1 AS page_num FROM base b JOIN npages n USING (source_id)
      WHERE (b.source_id = 'src1' AND b.p = 1) OR (b.source_id = 'src2' AND b.p = 2)),
-cards AS (SELECT kept.source_id, kept.page_num, kept.pos,
+all_cards AS (SELECT kept.source_id, kept.page_num, kept.pos,
    CAST(NULL AS DATE) AS last_updated, price, n_beds, n_baths,
    CASE WHEN id % 13 = 0 THEN NULL ELSE available_date END AS available_date,
    concat(location, ' (', dim.name, ')') AS location, dim.name AS area,
    '/l/' || CAST(id AS VARCHAR) AS utilities, '/l/' || CAST(id AS VARCHAR) AS amenities,
    a_name AS agent_name, a_email AS agent_email, a_phone AS agent_phone, 'Yes' AS agent_fees,
    available_date AS avail_full, id
-   FROM kept JOIN agents USING (source_id, p) JOIN {area_values_sql()} ON dim.k = id % 31)"""
+   FROM kept JOIN agents USING (source_id, p) JOIN {area_values_sql()} ON dim.k = id % 31),
+cards AS (SELECT * FROM all_cards WHERE id % 101 <> 0 AND id % 103 <> 0 AND (id % 107 <> 0 OR id % 13 = 0))"""
 
 
 # --- captured inputs, materialised once per application ----------------------
@@ -342,9 +351,18 @@ def captured_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _captured(spark, sf_dir, "json", raw_json_payloads)
 
 
+def captured_json_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the captured API bodies, several files."""
+    captured_json_payloads(spark, sf_dir)
+    return _CAPTURED[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), "json")]
+
+
 def captured_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured card pages ``(source_id, page_num, url, html)`` (see ``raw_html_pages``)."""
-    return _captured(spark, sf_dir, "html", raw_html_pages)
+    from ..sources.html_pages import read_pages
+
+    _captured(spark, sf_dir, "html", raw_html_pages)
+    return read_pages(spark, _CAPTURED[(spark.sparkContext.applicationId, sf_dir.rstrip("/"), "html")])
 
 
 _SILVER: dict[tuple[str, str], str] = {}
@@ -363,6 +381,7 @@ def silver_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _SILVER.get(key)
     if path is None:
         path = scratch_path(spark, "silver-listings")
-        listings_standin(spark, sf_dir).write.partitionBy("area").parquet(path)
+        # Rebalanced by area, so a folder gets few files and a large area is split.
+        listings_standin(spark, sf_dir).hint("rebalance", "area").write.partitionBy("area").parquet(path)
         _SILVER[key] = path
     return spark.read.schema(LISTINGS).parquet(path)

@@ -127,7 +127,7 @@ OLD_LAYOUT_FIELDS = {
     "n_beds": ("div", "fa-fw fas fa-bed"),
     "n_baths": ("div", "fa-fw fas fa-bath"),
     "avbl_date": ("div", "listingAvailable"),
-    "location": ("div", "listingLocation col-xs-12"),
+    "location": ("div", "listingLocation col-xs-12", "a"),
     "utilities": ("span", "listingHHW"),
     "amenities": ("div", "listingAmenities"),
 }

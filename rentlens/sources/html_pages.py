@@ -14,19 +14,16 @@ import re
 from html import unescape as html_unescape
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean as C
 from ..functions.area import area_from_paren
-from ..plans.joins import bounded_broadcast
 from ..schema import (HTML_CARD, HTML_CONTACTS, HTML_CONTAINER, HTML_COUNTER, HTML_PROP_CELL, HTML_PROPS,
                       HTML_TITLE, OLD_LAYOUT_BOX, OLD_LAYOUT_FIELDS)
 
 # Pages per Arrow batch: pages can be large, so batches are kept small.
-PAGES_PER_BATCH = 256
 
 # --- a small DOM over html.parser ------------------------------------------
 
@@ -314,13 +311,6 @@ def _extract_cards_batches(batches):
         yield pa.RecordBatch.from_pydict(cols, schema=schema)
 
 
-def _small_batches(df: DataFrame) -> None:
-    spark = df.sparkSession
-    cur = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") or 10000)
-    if cur > PAGES_PER_BATCH:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAGES_PER_BATCH))
-
-
 def extract_cards(pages: DataFrame) -> DataFrame:
     """H1-H6, H9: one row per card ``(source_id, page_num, pos, raw fields...)``.
 
@@ -328,7 +318,6 @@ def extract_cards(pages: DataFrame) -> DataFrame:
     with ``pos`` NULL and ``n_cards`` 0, so the page still counts for the
     crawl cutoff.
     """
-    _small_batches(pages)
     return pages.select("source_id", "page_num", "html").mapInArrow(_extract_cards_batches, CARD_SCHEMA)
 
 
@@ -354,7 +343,7 @@ def page_cutoff(facts: DataFrame, counter_stop: bool = True) -> DataFrame:
         F.min_by("counter", F.when(F.col("counter").isNotNull(), F.col("page_num"))).alias("first_counter"),
         F.max("page_num").alias("max_page"))
     if counter_stop:
-        f = facts.alias("f").join(bounded_broadcast(agg).alias("a"), "source_id")
+        f = facts.alias("f").join(agg.alias("a"), "source_id")
         repeat = (f.filter((F.col("f.page_num") > F.col("a.first_counter_page"))
                            & (F.col("f.counter") == F.col("a.first_counter")))
                   .groupBy("source_id").agg(F.min("f.page_num").alias("repeat_page")))
@@ -368,8 +357,7 @@ def page_cutoff(facts: DataFrame, counter_stop: bool = True) -> DataFrame:
 
 def apply_cutoff(cards: DataFrame, cutoff: DataFrame) -> DataFrame:
     """Keep card rows on pages up to the cutoff; the cutoff frame has one row per source."""
-    c = bounded_broadcast(cutoff)
-    return (cards.join(c, "source_id")
+    return (cards.join(cutoff, "source_id")
             .filter((F.col("page_num") <= F.col("last_page")) & F.col("pos").isNotNull())
             .drop("last_page"))
 
@@ -378,7 +366,8 @@ def clean_cards(cards: DataFrame, as_of: dt.date, fees: str | None = "Yes") -> D
     """P3, P5, P6, P9, P13, P17, P18 over extracted cards -> listing columns.
 
     Missing property cells are NULL here; ``carry_forward`` restores the
-    stale-value behaviour on request.
+    stale-value behaviour on request. A cell that is there but cannot be
+    parsed is a reject: ``_reject_reason`` names it (NULL: clean row).
     """
     prop = lambda i: F.get(F.col("props"), i)
     # Texts first, in their own projection: the rules read each of them
@@ -395,7 +384,7 @@ def clean_cards(cards: DataFrame, as_of: dt.date, fees: str | None = "Yes") -> D
         C.href_payload("agent_email_href").alias("agent_email"),
         C.href_payload("agent_phone_href").alias("agent_phone"))
     location, beds, baths = F.col("__location"), F.col("__beds"), F.col("__baths")
-    return texts.select(
+    clean = texts.select(
         "source_id", "page_num", "pos",
         F.lit(None).cast("date").alias("last_updated"),
         C.clean_price_html("__price").alias("price"),
@@ -411,7 +400,12 @@ def clean_cards(cards: DataFrame, as_of: dt.date, fees: str | None = "Yes") -> D
         F.col("first_href").alias("amenities"),
         "agent_name", "agent_email", "agent_phone",
         F.lit(fees).cast("string").alias("agent_fees"),
-    )
+        F.col("__price").isNotNull().alias("__has_price"), F.col("__beds_raw").isNotNull().alias("__has_n_beds"),
+        baths.isNotNull().alias("__has_n_baths"), (~F.col("__no_avail")).alias("__has_available_date"))
+    cells = ("price", "n_beds", "n_baths", "available_date")
+    reason = F.concat_ws("; ", *[F.when(F.col(f"__has_{c}") & F.col(c).isNull(), f"unparsable {c}") for c in cells])
+    return (clean.withColumn("_reject_reason", F.when(reason != "", reason))
+            .drop(*[f"__has_{c}" for c in cells]))
 
 
 def page_agents(cards: DataFrame) -> DataFrame:
@@ -448,20 +442,6 @@ def _field_value(box: Node, spec, how: str):
     return n.attrs.get(how)
 
 
-def _boxes_batches(box, fields, how):
-    names = list(fields)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for key, h in zip(pdf["page_key"], pdf["html"]):
-                root = parse_html(h)
-                for i, b in enumerate(root.find_all(box[0], box[1])):
-                    rows.append([key, i] + [_field_value(b, fields[n], how) for n in names])
-            yield pd.DataFrame(rows, columns=["page_key", "box_pos"] + names)
-    return run
-
-
 def extract_boxes(pages: DataFrame, key_col: str, html_col: str = "html", box=OLD_LAYOUT_BOX,
                   fields=None, how: str = "string") -> DataFrame:
     """H7: one row per box ``(page_key, box_pos, *fields)`` found by (tag, exact class).
@@ -470,59 +450,57 @@ def extract_boxes(pages: DataFrame, key_col: str, html_col: str = "html", box=OL
     'string' (text only when the tag holds exactly one string), 'text', or an
     attribute name.
     """
+    import pyarrow as pa
+
     fields = dict(fields or OLD_LAYOUT_FIELDS)
-    schema = T.StructType([T.StructField("page_key", pages.schema[key_col].dataType),
-                           T.StructField("box_pos", T.IntegerType())]
+    schema = T.StructType([pages.schema[key_col], T.StructField("box_pos", T.IntegerType())]
                           + [T.StructField(n, T.StringType()) for n in fields])
-    _small_batches(pages)
-    src = pages.select(F.col(key_col).alias("page_key"), F.col(html_col).alias("html"))
-    return src.mapInPandas(_boxes_batches(box, fields, how), schema).withColumnRenamed("page_key", key_col)
 
+    def run(batches):
+        for b in batches:
+            page, at, boxes = [], [], []
+            for i, h in enumerate(b.column(1).to_pylist()):
+                for k, found in enumerate(parse_html(h).find_all(box[0], box[1])):
+                    page.append(i)
+                    at.append(k)
+                    boxes.append(found)
+            cols = [pa.array([_field_value(x, spec, how) for x in boxes], pa.string()) for spec in fields.values()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(page, pa.int64())), pa.array(at, pa.int32()), *cols], names=schema.names)
+
+    return pages.select(key_col, html_col).mapInArrow(run, schema)
+
+
+def _page_field(root, tag, cls, how):
+    if how == "count":
+        return len(root.find_all(tag, cls))
+    node = root.find(tag, cls, None if how in ("text", "string") else how)
+    if node is None:
+        return None
+    return node.text() if how == "text" else node.string() if how == "string" else node.attrs.get(how)
 
-def _page_field_batches(spec):
-    names = list(spec)
 
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for key, h in zip(pdf["page_key"], pdf["html"]):
-                root = parse_html(h)
-                vals = []
-                for n in names:
-                    tag, cls, how = spec[n]
-                    if how == "count":
-                        vals.append(len(root.find_all(tag, cls)))
-                        continue
-                    node = root.find(tag, cls, None if how in ("text", "string") else how)
-                    if node is None:
-                        vals.append(None)
-                    elif how == "text":
-                        vals.append(node.text())
-                    elif how == "string":
-                        vals.append(node.string())
-                    else:
-                        vals.append(node.attrs.get(how))
-                rows.append([key] + vals)
-            out = pd.DataFrame(rows, columns=["page_key"] + names)
-            for n in names:
-                if spec[n][2] == "count":
-                    out[n] = out[n].astype("Int32")
-            yield out
-    return run
-
-
-def extract_page_fields(pages: DataFrame, key_col: str, spec: dict, html_col: str = "html") -> DataFrame:
+def extract_page_fields(pages: DataFrame, key_col: str, spec: dict, html_col: str = "html", keep=()) -> DataFrame:
     """H4/H5/H7 on whole pages: the first element per spec ``{name: (tag, class, how)}``.
 
     ``how`` is 'text', 'string', 'count' (number of matches) or an attribute
-    name (first element that has it).
+    name (first element that has it). ``keep`` columns are carried through.
     """
-    schema = T.StructType([T.StructField("page_key", pages.schema[key_col].dataType)]
+    import pyarrow as pa
+
+    kept = [key_col, *keep]
+    schema = T.StructType([pages.schema[c] for c in kept]
                           + [T.StructField(n, T.IntegerType() if how == "count" else T.StringType())
                              for n, (_, _, how) in spec.items()])
-    _small_batches(pages)
-    src = pages.select(F.col(key_col).alias("page_key"), F.col(html_col).alias("html"))
-    return src.mapInPandas(_page_field_batches(spec), schema).withColumnRenamed("page_key", key_col)
+    types = [pa.int32() if how == "count" else pa.string() for _, _, how in spec.values()]
+
+    def run(batches):
+        for b in batches:
+            roots = [parse_html(h) for h in b.column(len(kept)).to_pylist()]
+            cols = [pa.array([_page_field(r, *spec[n]) for r in roots], t) for n, t in zip(spec, types)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], *cols], names=schema.names)
+
+    return pages.select(*kept, html_col).mapInArrow(run, schema)
 
 
 # --- R4, R5: URLs -------------------------------------------------------------

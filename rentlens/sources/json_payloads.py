@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +34,21 @@ def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
 def read_json_payloads(df: DataFrame, body_col: str = "body", keep=()) -> DataFrame:
     """R2: one row per element of ``data``: ``(*keep, pos, item)``.
 
-    An empty, malformed or data-less body yields no rows.
+    The body is read by a schema that stops at the elements, so its size is not
+    bound by the size a single VARIANT may have. A body that is malformed or
+    has no ``data`` list yields no rows here and one row of ``payload_rejects``.
     """
-    v = F.try_parse_json(F.col(body_col))
-    items = F.try_variant_get(v, "$.data", "array<variant>")
-    return df.select(*keep, F.posexplode_outer(items).alias("pos", "item")).filter(F.col("item").isNotNull())
+    items = F.from_json(F.col(body_col), "data array<variant>")["data"]
+    return df.select(*keep, F.posexplode(items).alias("pos", "item")).filter(F.col("item").isNotNull())
+
+
+def payload_rejects(df: DataFrame, body_col: str = "body", keep=()) -> DataFrame:
+    """Payloads without a readable ``data`` list: ``(*keep, _reject_reason)``."""
+    body, corrupt = F.col(body_col), "_corrupt_record"
+    parsed = F.from_json(body, f"data array<variant>, {corrupt} string", {"columnNameOfCorruptRecord": corrupt})
+    reason = (F.when(body.isNull() | (F.trim(body) == ""), "empty body")
+              .when(parsed[corrupt].isNotNull(), "malformed body").when(parsed["data"].isNull(), "no data list"))
+    return df.select(*keep, reason.alias("_reject_reason")).filter(F.col("_reject_reason").isNotNull())
 
 
 def rename_by_tagmap(df: DataFrame, tags: dict = JSON_TAGS, struct_col: str | None = None) -> DataFrame:
@@ -63,6 +72,10 @@ def json_raw_columns(item: Column) -> dict[str, Column]:
     for f in ("last_updated", "avbl_date"):
         raw[f"__{f}"] = C.strip_text(raw[f"__{f}"])
     raw["__street"] = C.vstr(item, _path("building_address") + ".street_address")
+    # An address object must hold a street address (it may be empty or null).
+    raw["__no_street"] = (F.try_variant_get(item, _path("building_address"), "variant").isNotNull()
+                          & (C.vtype(item, _path("building_address")).startswith("OBJECT"))
+                          & C.vtype(item, _path("building_address") + ".street_address").isNull())
     raw["__heat"] = C.flag_equals_true(item, _path("heat"))
     raw["__hot_water"] = C.flag_equals_string(item, _path("hot_water"), "1")
     raw["__electricity"] = C.flag_equals_true(item, _path("electricity"))
@@ -113,18 +126,18 @@ def clean_json_listings(items: DataFrame, item_col: str = "item", as_of: dt.date
                         keep=()) -> DataFrame:
     """P-rules over payload elements; adds ``_reject_reason`` (NULL = clean row)."""
     raw = items.select(*keep, *[c.alias(n) for n, c in json_raw_columns(F.col(item_col)).items()])
-    out = raw.select(*keep, *[c.alias(n) for n, c in json_listing_columns(as_of).items()])
-    return out.withColumn("_reject_reason", reject_reason())
+    out = raw.select(*keep, *[c.alias(n) for n, c in json_listing_columns(as_of).items()], "__no_street")
+    street = F.when(F.col("__no_street"), F.lit("no street_address in building_address"))
+    both = F.concat_ws("; ", reject_reason(), street)
+    return out.withColumn("_reject_reason", F.when(both != "", both)).drop("__no_street")
 
 
 def split_rejects(df: DataFrame, mode: str = "quarantine"):
     """Clean rows and quarantined rows. ``mode='failfast'`` raises on the first reject.
 
-    Both outputs read one persisted computation: a filter on
-    ``_reject_reason`` would otherwise be pushed below the projection with
-    every parse expression inlined, evaluating each of them twice.
+    Both are filters of one lazy frame. Where both are needed, ``write_split``
+    writes the frame once and reads each part from its own folder.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     bad = df.filter(F.col("_reject_reason").isNotNull())
     if mode == "failfast":
         first = bad.limit(1).collect()
@@ -133,6 +146,14 @@ def split_rejects(df: DataFrame, mode: str = "quarantine"):
     return df.filter(F.col("_reject_reason").isNull()).drop("_reject_reason"), bad
 
 
+def write_split(df: DataFrame, path: str):
+    """Clean rows and quarantined rows, written once under ``path`` by a rejected flag."""
+    df.withColumn("_rejected", F.col("_reject_reason").isNotNull()).write.partitionBy("_rejected").parquet(path)
+    back = df.sparkSession.read.schema(df.schema.add("_rejected", "boolean")).parquet(path)
+    return (back.filter(~F.col("_rejected")).drop("_rejected", "_reject_reason"),
+            back.filter(F.col("_rejected")).drop("_rejected"))
+
+
 def observe_rejects(df: DataFrame, name: str = "rejects"):
     """P4 warnings without an extra job: ``(df, observation)`` where the
     observation holds ``rows``, ``rejected`` and per-rule counts once an action

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.tables import upsert_table
 from ..operators.windows import latest_per_key
 from ..session import scratch_path
 
@@ -69,9 +70,10 @@ def stream_upsert(sdf: DataFrame, table_dir: str, key, order: str, checkpoint: s
     keys = [key] if isinstance(key, str) else list(key)
 
     def write_delta(batch: DataFrame, batch_id: int) -> None:
-        has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        latest = latest_per_key(batch.filter(has_key), keys, order)
-        delta = latest.unionByName(batch.filter(~has_key))
+        # One pass over the batch: rows without a key are kept apart by a key of their own.
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        apart = batch.withColumn("__apart", F.when(no_key, F.monotonically_increasing_id()))
+        delta = latest_per_key(apart, [*keys, "__apart"], order).drop("__apart")
         delta.write.mode("overwrite").parquet(delta_path(table_dir, batch_id))
 
     q = (sdf.writeStream.foreachBatch(write_delta)
@@ -80,6 +82,22 @@ def stream_upsert(sdf: DataFrame, table_dir: str, key, order: str, checkpoint: s
     q.awaitTermination()
 
 
+def stream_upsert_table(sdf: DataFrame, table_dir: str, key: str, order: str, checkpoint: str | None = None) -> None:
+    """T3 on a versioned table: every micro-batch is merged into it (``upsert_table``).
+
+    Rows are replaced only by newer ones, so the order of the batches does not
+    matter, and a replayed batch is known by its id. Each batch rewrites the
+    table; ``stream_upsert`` is the one to take where that costs too much.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        upsert_table(batch, table_dir, key, order, id_col=None, batch_id=batch_id, only_newer=True)
+
+    q = (sdf.writeStream.foreachBatch(merge)
+         .option("checkpointLocation", checkpoint or scratch_path(sdf.sparkSession, "ckpt-upsert-table"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def read_upserted(spark: SparkSession, table_dir: str, key, order: str,
                   schema: T.StructType | None = None) -> DataFrame:
     """The upserted table: greatest ``order`` per key over all deltas; NULL-key rows kept.
@@ -97,7 +115,11 @@ def read_upserted(spark: SparkSession, table_dir: str, key, order: str,
 
 
 def compact_upserted(spark: SparkSession, table_dir: str, key, order: str, out_dir: str) -> DataFrame:
-    """Fold all deltas into one table at ``out_dir`` (a new folder, never the one read)."""
+    """Fold all deltas into one table at ``out_dir`` (a new folder, never the one read).
+
+    The old folder can be dropped once no reader holds it; the stream goes on
+    in ``out_dir`` with its checkpoint, whose batch ids continue.
+    """
     merged = read_upserted(spark, table_dir, key, order)
     merged.write.mode("overwrite").parquet(out_dir)
     return spark.read.parquet(out_dir)

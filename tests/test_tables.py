@@ -171,19 +171,45 @@ def test_append_run_continues_ids(spark, tmp_path):
     assert got == [(1, 200), (2, 100), (3, 8), (4, 9), (5, 7), (6, 8), (7, 9), (8, 7)]
 
 
-def test_listing_table_key_unique_equals_aggregate(spark):
-    import datetime as dt
-
-    d = dt.date(2024, 3, 5)
-    rows = [(1, d, 1000, 1.0, 1.5, d, "L1", "A", "am"), (2, None, None, None, 2.0, d, "L2", "B", "am"),
-            (3, d, 60000, 2.5, None, None, "L3", "A", None)]
-    df = spark.createDataFrame(rows, "id long, last_updated date, price int, n_beds double, n_baths double, "
-                                     "available_date date, location string, area string, amenities string")
-    wide = {"n_baths": (None, None), "n_beds": (None, None), "price": (None, None)}
-    agg = sh.listing_table(df, ranges=wide)
-    proj = sh.listing_table(df, ranges=wide, key_unique=True)
-    assert rows_sorted(agg) == rows_sorted(proj)
-    assert "Exchange" not in proj._jdf.queryExecution().executedPlan().toString()
+def test_latest_per_key_with_null_orders_and_ties(spark):
+    from rentlens.operators.windows import latest_per_key
+
+    rows = [("a", None, 1), ("a", None, 1), ("b", 5, 2), ("b", None, 3), ("c", 7, 4), ("c", 7, 5)]
+    df = spark.createDataFrame(rows, "k string, seq int, v int")
+    got = {r.k: r.v for r in latest_per_key(df, "k", "seq").collect()}
+    assert got["a"] == 1 and got["b"] == 2 and got["c"] in (4, 5)
+    assert got == {r.k: r.v for r in latest_per_key(df.orderBy(df.v.desc()), "k", "seq").collect()}
+
+
+def test_append_run_raises_when_the_table_cannot_be_read(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "t"
+    html = spark.createDataFrame([("s1", 1, 0, 7)], "source_id string, page_num int, pos int, price int")
+    W.append_run(spark, str(path), html_rows=html)
+    (path / "part-bad.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        W.append_run(spark, str(path), html_rows=html)
+
+
+def test_ids_plan_does_not_grow_with_partitions(spark):
+    df = spark.range(1000).withColumnRenamed("id", "v")
+    plans = [len(W.assign_id(df, ["v"], num_partitions=n)._jdf.queryExecution().analyzed().toString()) for n in (4, 64)]
+    assert abs(plans[0] - plans[1]) < 200
+    got = W.assign_id(df, ["v"], start_after=10, num_partitions=7).collect()
+    assert all(r.id == r.v + 11 for r in got)
+
+
+def test_overwrite_refuses_folders_it_reads(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "x")
+    W.overwrite_table(spark.range(3), path)
+    back = spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        W.overwrite_table(back.filter("id > 1"), path)
+    W.overwrite_table(back, str(tmp_path / "y"))
+    assert spark.read.parquet(str(tmp_path / "y")).count() == 3
 
 
 def rows_sorted(df):
