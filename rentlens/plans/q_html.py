@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..operators.windows import carry_forward
+from ..schema import OLD_LAYOUT_BOX, OLD_LAYOUT_FIELDS
 from ..sources import html_pages as H
 from ..sources.files import read_table
 from ..sources.json_payloads import split_rejects
 from .registry import register
 from .standins import (AS_OF, RAW_HTML_CARDS_SQL, area_name_at, area_values_sql, captured_html_pages,
-                       with_listings)
+                       silver_listings, with_listings)
 
 AS_OF_DATE = dt.date.fromisoformat(AS_OF)
 CARD_COLUMNS = ["source_id", "page_num", "pos", "last_updated", "price", "n_beds", "n_baths", "available_date",
@@ -174,6 +175,33 @@ def q_seed_areas(spark, sf_dir):
     return H.seed_areas(urls).select("id", "city", "area")
 
 
+_OLD_SQL = {"last_updated": "'updated ' || id", "price": "'$' || price", "n_beds": "CAST(n_beds AS VARCHAR)",
+            "n_baths": "CAST(n_baths AS VARCHAR)", "avbl_date": "CAST(available_date AS VARCHAR)",
+            "location": "CASE WHEN id % 5 <> 0 THEN location END", "utilities": "utilities",
+            "amenities": "CASE WHEN id % 7 <> 0 THEN amenities END"}
+
+
+@register("old_layout_boxes", with_listings(f"""
+SELECT id AS page_id, CAST(0 AS INTEGER) AS box_pos, {", ".join(f"{x} AS {c}" for c, x in _OLD_SQL.items())}
+FROM listings"""))
+def q_old_layout_boxes(spark, sf_dir):
+    """H7 on the older layout: eight fields; the location is the text of the child link, if there is one."""
+    k, text = F.col("id"), lambda c: F.col(c).cast("string")
+    inner = {
+        "last_updated": F.concat(F.lit("updated "), text("id")), "price": F.concat(F.lit("$"), text("price")),
+        "n_beds": text("n_beds"), "n_baths": text("n_baths"), "avbl_date": text("available_date"),
+        "location": F.when(k % 5 == 0, F.col("location")).otherwise(
+            F.concat(F.lit("At <a>"), F.col("location"), F.lit("</a> now"))),
+        "utilities": F.col("utilities"),
+        "amenities": F.when(k % 7 == 0, F.lit("<b>no</b> single text")).otherwise(F.col("amenities"))}
+    cells = [F.concat(F.lit(f'<{spec[0]} class="{spec[1]}">'), inner[c], F.lit(f"</{spec[0]}>"))
+             for c, spec in OLD_LAYOUT_FIELDS.items()]
+    pages = silver_listings(spark, sf_dir).select(k.alias("page_id"), F.concat(
+        F.lit(f'<html><body><{OLD_LAYOUT_BOX[0]} class="{OLD_LAYOUT_BOX[1]}">'), *cells,
+        F.lit(f"</{OLD_LAYOUT_BOX[0]}></body></html>")).alias("html"))
+    return H.extract_boxes(pages, "page_id")
+
+
 _BOX_FIELDS = {"title": ("h1", None), "lead": ("b", None), "ad": ("div", "ad")}
 
 
