@@ -16,7 +16,7 @@ Of each shared window the document with the smallest doc_id is the owner; its
 occurrences in other documents are duplicates. Repeats inside one document
 alone do not count. Windows are merged into spans.
 
-Seeds that a sample finds in many documents would fill one task. They take
+Seeds that a sample finds to crowd a partition would fill one task. They take
 another road: equal suffixes become one class, each window of a class a row
 keyed by its hash, owners come from a partial aggregate, and the joins back are
 ones Spark can split. Which road a seed takes does not change the result.
@@ -45,9 +45,10 @@ MIN_WORDS = 50
 SEED = 25
 REACH = MIN_WORDS - SEED  # farthest any window reaches from its seed; also k-grams per window less one
 CHUNK = 1 << 16
-# A seed in more than this share of the sampled documents takes the other road.
-HOT_SHARE = 0.005
-HOT_SAMPLE = 2000
+# A seed whose suffixes would fill more than this part of an even shuffle
+# partition, by a sample of documents, takes the other road.
+CROWD = 0.25
+SAMPLE = 2000
 
 _P = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -188,8 +189,8 @@ def _spans_of(seed: np.ndarray, suf: np.ndarray) -> pa.RecordBatch | None:
          pa.array(rank[row] != owner[row, lo])], names=_NAMES)
 
 
-def _hot_seeds(keyed: DataFrame, sample: int, share: float) -> np.ndarray:
-    """Seeds in more than ``share`` of about ``sample`` documents. A hint for routing only."""
+def _hot_seeds(keyed: DataFrame, sample: int, crowd: float, n_parts: int) -> np.ndarray:
+    """Seeds with more than ``crowd`` of a partition's suffixes in about ``sample`` documents. Only a hint for routing."""
     every = max(1, keyed.count() // sample)
     some = keyed.filter(F.pmod(F.xxhash64("doc_id", "key"), F.lit(every)) == 0).select("text")
 
@@ -199,8 +200,10 @@ def _hot_seeds(keyed: DataFrame, sample: int, share: float) -> np.ndarray:
             flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["seed"])
 
-    often = some.mapInArrow(run, "seed long").groupBy("seed").count().filter(F.col("count") > max(3, share * sample))
-    return np.array(sorted(r.seed for r in often.select("seed").collect()), np.int64).view(np.uint64)
+    counts = some.mapInArrow(run, "seed long").groupBy("seed").count().filter("count > 3")
+    total = some.mapInArrow(run, "seed long").count()
+    often = counts.filter(F.col("count") > crowd * total / n_parts).select("seed").collect()
+    return np.array(sorted(r.seed for r in often), np.int64).view(np.uint64)
 
 
 def text_key():
@@ -208,7 +211,7 @@ def text_key():
     return F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
 
 
-def shared_spans(docs: DataFrame, hot_share: float = HOT_SHARE, hot_sample: int = HOT_SAMPLE) -> DataFrame:
+def shared_spans(docs: DataFrame, crowd: float = CROWD, sample: int = SAMPLE) -> DataFrame:
     """``doc_id, key, start, end, owner_id, duplicate``: word spans that documents share.
 
     A span is a union of windows with one owner. Rows with ``duplicate`` false are
@@ -217,7 +220,8 @@ def shared_spans(docs: DataFrame, hot_share: float = HOT_SHARE, hot_sample: int
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = keyed.withColumn("key", text_key())
-    hot = spark.sparkContext.broadcast(_hot_seeds(keyed, hot_sample, hot_share))
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = spark.sparkContext.broadcast(_hot_seeds(keyed, sample, crowd, n_parts))
 
     def cut(crowded: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +270,6 @@ def shared_spans(docs: DataFrame, hot_share: float = HOT_SHARE, hot_sample: int
             if out is not None:
                 yield out
 
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = (cut(False).repartition(n_parts, "seed").sortWithinPartitions("seed").mapInArrow(compare, _SPANS))
     if len(hot.value):  # a second pass over the texts costs less than keeping all suffixes
         parts = parts.unionByName(_hot_spans(cut(True)))

@@ -62,11 +62,11 @@ def spans(df):
     return set(got)
 
 
-@pytest.mark.parametrize("share", [1.0, 0.05, -1.0])
-def test_spans_equal_brute_force_by_either_road(spark, prose, share):
+@pytest.mark.parametrize("crowd", [1e9, 0.25, 0.0])
+def test_spans_equal_brute_force_by_either_road(spark, prose, crowd):
     rows = corpus(prose)
     df = spark.createDataFrame([(d, t, "en", 0) for d, t in rows], COLS).repartition(5)
-    assert spans(S.shared_spans(df, hot_share=share)) == brute(rows)
+    assert spans(S.shared_spans(df, crowd=crowd)) == brute(rows)
 
 
 def test_removal_keeps_first_copies_and_clean_texts(spark, prose):
