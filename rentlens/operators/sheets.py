@@ -177,13 +177,18 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def manual_sort(df: DataFrame, col: str, order) -> DataFrame:
-    """O1: sort by an explicit member list (NULL allowed in it); others last."""
+def manual_key(col: str, order) -> list:
+    """O1's sort key: the place in an explicit member list (NULL allowed in it), others last, then the member."""
     order = list(order)
     key = F.lit(len(order))
     for i, m in reversed(list(enumerate(order))):
         key = F.when(F.col(col).eqNullSafe(F.lit(m)), F.lit(i)).otherwise(key)
-    return df.orderBy(key, F.col(col).asc_nulls_first())
+    return [key, F.col(col).asc_nulls_first()]
+
+
+def manual_sort(df: DataFrame, col: str, order) -> DataFrame:
+    """O1: sort by an explicit member list."""
+    return df.orderBy(*manual_key(col, order))
 
 
 def preview(df: DataFrame, order=("id",), n: int = PREVIEW_ROWS) -> DataFrame:

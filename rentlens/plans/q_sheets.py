@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.derive import date_part, detail_label, drill_url
-from ..operators.tables import upsert_by_key
 from ..operators import filters as flt
 from ..operators import sheets as sh
+from ..operators.tables import upsert_by_key
 from .registry import register
 from .standins import silver_listings, with_listings
 
@@ -269,13 +270,24 @@ def q_row_limit(spark, sf_dir):
 
 
 @register("months_manual_sort", with_listings("""
-SELECT CAST(month(last_updated) AS INTEGER) AS upd_month, count(last_updated) AS n_listings
-FROM listings GROUP BY 1"""))
+SELECT *, CAST(row_number() OVER (ORDER BY CASE WHEN upd_month IS NULL THEN 0 WHEN upd_month BETWEEN 4 AND 8 THEN upd_month - 3
+  ELSE 6 END, upd_month) AS INTEGER) AS position
+FROM (SELECT CAST(month(last_updated) AS INTEGER) AS upd_month, count(last_updated) AS n_listings FROM listings GROUP BY 1) m"""))
 def q_months_manual_sort(spark, sf_dir):
+    """O1, with each member's place: the window runs over one row per month."""
     m = (silver_listings(spark, sf_dir)
          .groupBy(date_part("last_updated", "month").alias("upd_month"))
          .agg(F.count("last_updated").alias("n_listings")))
-    return sh.manual_sort(m, "upd_month", MONTH_ORDER)
+    place = F.row_number().over(Window.orderBy(*sh.manual_key("upd_month", MONTH_ORDER)))
+    return sh.manual_sort(m.withColumn("position", place), "upd_month", MONTH_ORDER)
+
+
+@register("price_by_beds_all", with_listings("""
+SELECT n_beds AS number_of_beds, avg(price) AS avg_price, count(price) AS n_listings FROM listings
+WHERE price BETWEEN 300 AND 50000 GROUP BY 1"""))
+def q_price_by_beds_all(spark, sf_dir):
+    """an enumerate-all selection keeps every member."""
+    return sh.price_by_beds(flt.apply_selection(silver_listings(spark, sf_dir), None, sh.SELECTION_KEYS))
 
 
 @register("price_bins", with_listings("""
