@@ -17,7 +17,7 @@ from .packing import pack_documents
 from .simhash_dedup import simhash_components
 from .suffix_dedup import shared_spans
 from .toxicity import score_documents, train, training_rows
-from .url_reputation import Rule, judge_urls, split_url
+from .url_reputation import TWO_LABEL_SUFFIXES, Rule, judge_urls, split_url
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,7 +83,43 @@ URL_RULES = [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Ru
              Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/")]
 
 
-@_register()
+def _url_oracle() -> str:
+    rules = sorted(URL_RULES, key=lambda r: (-len(r.text), r.text))
+    fits = [(f"(host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}')", r) for r in rules]
+    case = lambda f: "CASE " + " ".join(f"WHEN {c} THEN '{f(r)}'" for c, r in fits) + " END"
+    wide = ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)
+
+    def shrunk(table: str) -> str:
+        return f"""(SELECT *, (s + w * prior) / (n + w) AS mean FROM (SELECT *, greatest(2.0, least(1000.0, coalesce(
+  (SELECT CASE WHEN excess > 0 THEN span / excess - 1 END FROM (SELECT
+    sum((s - n * prior) * (s - n * prior) / n - prior * (1 - prior)) FILTER (WHERE n > 0) AS excess,
+    sum(prior * (1 - prior) * (n - 1)) FILTER (WHERE n > 0) AS span FROM {table}) m), 1000.0))) AS w FROM {table}) x)"""
+
+    return f"""
+WITH tail AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS t FROM pages),
+p AS (SELECT page_id, coalesce(translate(regexp_extract(t, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(t, '^[^/?#]*([^?#]*)', 1), '') AS path FROM tail),
+bad AS (SELECT doc_id, max(1 - quality) AS bad FROM labels GROUP BY doc_id),
+counts AS (SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS s
+  FROM p LEFT JOIN bad ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})[^/]*/?$', 1) AS BIGINT) GROUP BY host),
+parts AS (SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS l FROM counts),
+hosts AS (SELECT host, n, s, CASE WHEN array_to_string(l[-2:], '.') IN ({wide}) THEN array_to_string(l[-3:], '.')
+    ELSE array_to_string(l[-2:], '.') END AS domain,
+  CASE WHEN array_to_string(l[-2:], '.') IN ({wide}) THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM parts),
+sfx0 AS (SELECT suffix, sum(n) AS n, sum(s) AS s, (SELECT (sum(s) + 0.5) / (sum(n) + 1.0) FROM hosts) AS prior
+  FROM hosts GROUP BY suffix),
+sfx AS {shrunk("sfx0")},
+dom0 AS (SELECT domain, suffix, sum(hosts.n) AS n, sum(hosts.s) AS s, any_value(sfx.mean) AS prior
+  FROM hosts JOIN sfx USING (suffix) GROUP BY domain, suffix),
+dom AS {shrunk("dom0")},
+host0 AS (SELECT hosts.*, dom.mean AS prior FROM hosts JOIN dom USING (domain, suffix)),
+rep AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + w + 1)) AS low FROM {shrunk("host0")} h)
+SELECT page_id, host, path, {case(lambda r: r.text)} AS rule,
+  coalesce({case(lambda r: r.action)}, CASE WHEN low > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN rep USING (host)"""
+
+
+@_register(_url_oracle())
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL. A page's outcome is the quality label of the document its path numbers."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -93,7 +129,7 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.max(1 - F.col("quality")).alias("bad")))
     outcomes = (pages.select(host.alias("host"), path.alias("path")).withColumn("doc_id", number)
                 .join(labels, "doc_id", "left").select("host", "bad"))
-    return judge_urls(pages, outcomes, URL_RULES)
+    return judge_urls(pages, outcomes, URL_RULES).drop("bad_lower")
 
 
 @_register()

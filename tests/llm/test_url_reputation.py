@@ -2,9 +2,10 @@
 
 import re
 
-from rentlens.llm.queries import QUERIES, URL_RULES
+from rentlens.llm.queries import ORACLE, QUERIES, URL_RULES
 from rentlens.llm.url_reputation import judge_urls
 from tests.conftest import SF_SMALL
+from tests.oracle import compare, duck
 
 URLS = [None, "", "no scheme/x", "HTTP://A.Example.ORG/es/1", "https://example.org/en/1?x", "https://example.org/en/2#f",
         "http://org", "http://org/", "http://notorg/x", "http://x.com:80/fr/", "http://x.com/FR/", "ftp://sub.example.org/es/", "://h/p",
@@ -46,6 +47,11 @@ def test_query_judges_every_page(spark):
     check(rows, pages)
 
 
+def test_query_matches_its_sql(spark):
+    r = compare(spark, "op9", QUERIES["op9_url_reputation"], ORACLE["op9_url_reputation"], SF_SMALL, duck(SF_SMALL))
+    assert r["status"] == "match", r
+
+
 def test_evidence_blocks_and_little_evidence_does_not(spark):
     out = [("bad.site.net", 1)] * 60 + [("bad.site.net", 0)] * 2 + [("new.fresh.net", 1)] + [("good.net", 0)] * 200 + [
         ("other.net", i % 10 == 0) for i in range(100)] + [("unseen.net", None)]
