@@ -164,14 +164,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carry: list[str], windo
     pass over the documents after the counting pass.
     """
     spark = docs.sparkSession
-    cur = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("_text"),
+    cur = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__whole_text"),
                       F.lit(0).cast("long").alias("_n_words"), F.array().cast(_SPANS).alias("_spans"),
                       F.array().cast("array<string>").alias("_items"))
     schema, n_carry = cur.schema, len(carry)
 
     def passed(frame: DataFrame, index: dict, last: bool) -> DataFrame:
         shared = spark.sparkContext.broadcast(index)
-        out = T.StructType([f for f in schema if not (last and f.name == "_text")])
+        out = T.StructType([f for f in schema if not (last and f.name == "__whole_text")])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:

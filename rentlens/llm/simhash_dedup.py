@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import staged
 from .components import connected_components
@@ -60,8 +61,8 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, carry: list[str], shingle: int = 3, seed: int = 42, text: str = "text") -> DataFrame:
     """``carry`` columns and ``fp`` (signed 64-bit) of every row of ``docs``."""
-    src = docs.select(*carry, F.col(text).cast("string").alias("_text"))
-    schema = src.drop("_text").schema.add("fp", "long")
+    src = docs.select(*carry, F.col(text).cast("string").alias("__whole_text"))
+    schema = T.StructType([docs.schema[c] for c in carry]).add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

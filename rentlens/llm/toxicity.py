@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import id_crc
 
@@ -279,8 +280,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: i
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str], score: str = "score") -> DataFrame:
     """``carry`` columns and the score (0 to 1) of every row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("_text"))
-    schema = src.drop("_text").schema.add(score, "double")
+    src = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__whole_text"))
+    schema = T.StructType([docs.schema[c] for c in carry]).add(score, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value

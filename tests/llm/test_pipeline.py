@@ -111,6 +111,7 @@ def test_stages_take_odd_rows(spark):
             if name != "packing":
                 assert out.columns == docs.columns
                 docs = out
-    extra = spark.createDataFrame([(5, "x y z", 1, "k")], "doc_id long, text string, score int, fp string")
+    extra = spark.createDataFrame([(5, "x y z", 1, "k", "t", 2, 3)],
+                                  "doc_id long, text string, score int, fp string, _text string, key int, root long")
     for _, stage in P.STAGES[:4]:
         assert stage(spark, extra, SF_SMALL).collect() == extra.collect()
