@@ -1,15 +1,18 @@
 """Approximate nearest neighbours by collision counting over single projections.
 
-Vectors get one component more, so that the largest inner product becomes the
-smallest distance; then each is projected on ``m`` random lines. Rows and
-queries are dealt to blocks, and a task meets one block of rows with one of
-queries. It keeps one sorted array per projection; a query's window is centred
-on its own projection, and virtual rehashing widens all windows step by step.
-A row that lies in at least ``threshold`` of the windows is verified by the exact
-inner product. A query is done with a block when k + ``EXTRA`` rows have reached
-the threshold (or all rows lie in all windows); that number bounds no result,
-it only says when widening stops. Blocks' best rows are merged, so every row is
-searched. Recall against brute force is measured by the tests.
+Rows and queries are dealt to blocks, and a task meets one block of rows with
+one of queries. A block's rows get one component more, which lifts them all to
+the length of its longest, and a query is scaled to that length, so that the
+largest inner product becomes the smallest distance; then each is projected on
+``m`` random lines. A query's window on a line is centred on its own projection,
+and virtual rehashing widens all windows step by step. A row that lies in at least ``threshold`` of the windows is
+verified by the exact inner product. A query is done with a block when the
+windows are so wide that a row no further than the k-th best verified one lies
+in ``threshold`` of them with a chance of ``RECALL`` (or all rows lie in all
+windows): on random lines that chance depends on distance and window alone,
+whatever the rows. No number of rows ends a search. Blocks' best rows are
+merged, so every row is searched. Recall against brute force is measured by the
+tests.
 
 Scores are inner products of the original vectors in double precision, summed
 in the same order for every row, so equal vectors tie exactly; ties go to the
@@ -36,8 +39,10 @@ PROJECTIONS = 48
 ROW_BLOCK, QUERY_BLOCK = 8192, 1024
 # Share of the windows that must hold a row before it is verified.
 THRESHOLD = 0.5
-# Verified rows of a block, beside k, before a query may be done with it.
-EXTRA = 400
+# Chance that a row at the k-th best distance is verified before a query is done.
+RECALL = 0.999
+PIECE = 256
+# Of the first window, in lengths of the block's longest row, and of each step.
 FIRST_WIDTH, GROWTH = 0.16, 1.2
 
 
@@ -57,41 +62,58 @@ def projections(dim: int, m: int, seed: int = 11) -> np.ndarray:
     return a / np.linalg.norm(a, axis=0)
 
 
+def reach_factor(dim: int, m: int, threshold: int) -> float:
+    """Window, in distances, that holds a row at that distance on ``threshold`` of ``m`` lines with a chance of ``RECALL``."""
+    lo, hi = 0.0, 1.0
+    for _ in range(60):
+        p = (lo + hi) / 2
+        met = sum(math.comb(m, i) * p ** i * (1 - p) ** (m - i) for i in range(threshold, m + 1))
+        lo, hi = (lo, p) if met >= RECALL else (p, hi)
+    # The cosine of a random line with a fixed vector: angles have density sin^(dim - 1) with the added component.
+    angle = (np.arange(1 << 17) + 0.5) / (1 << 17) * (math.pi / 2)
+    mass = np.cumsum(np.sin(angle[::-1]) ** (dim - 1))
+    return float(np.cos(angle[::-1][min(np.searchsorted(mass, hi * mass[-1]), len(mass) - 1)]))
+
+
 class Block:
-    """Rows of one block with their sorted projections."""
+    """Rows of one block with their projections, in lengths of the longest row."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, reach: float, lines: np.ndarray):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, lines: np.ndarray):
         self.ids, self.x = ids, x
-        norms = np.einsum("ij,ij->i", x, x)
-        lift = np.sqrt(np.maximum(reach - norms, 0.0))
-        h = np.concatenate((x, lift[:, None]), axis=1) @ lines
-        self.order = np.argsort(h, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(h, self.order.T, axis=0).T.copy()
+        self.length = math.sqrt(float(np.einsum("ij,ij->i", x, x).max()))
+        unit = x / self.length
+        lift = np.sqrt(np.maximum(1.0 - np.einsum("ij,ij->i", unit, unit), 0.0))
+        self.h = np.ascontiguousarray((np.concatenate((unit, lift[:, None]), axis=1) @ lines).T.astype(np.float32))
 
-    def search(self, own: int, q: np.ndarray, hq: np.ndarray, k: int, threshold: int) -> list[tuple[float, int]]:
+    def search(self, own: int, q: np.ndarray, lines: np.ndarray, k: int, threshold: int, factor: float) -> list[tuple[float, int]]:
         """The best k of the verified rows as (score, id), best first."""
-        n, m = len(self.ids), len(hq)
-        count = np.zeros(n, np.int32)
-        lo = np.array([np.searchsorted(s, c) for s, c in zip(self.sorted, hq)])
-        hi = lo.copy()
-        width = FIRST_WIDTH * math.sqrt(max(float(q @ q), 1e-300))
+        norm = max(math.sqrt(float(q @ q)), 1e-300)
+        away = np.abs(self.h - ((q / norm) @ lines[:-1]).astype(np.float32)[:, None])
+        farthest = float(away.max())
+        waiting = self.ids != own
+        rows, score = np.zeros(0, np.int64), np.zeros(0)
+        width = FIRST_WIDTH
         while True:
-            fresh = []
-            for j in range(m):
-                s = self.sorted[j]
-                a = np.searchsorted(s, hq[j] - width, "left")
-                b = np.searchsorted(s, hq[j] + width, "right")
-                fresh += [self.order[j, a:lo[j]], self.order[j, hi[j]:b]]
-                lo[j], hi[j] = min(a, lo[j]), max(b, hi[j])
-            count += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int32)
-            met = np.flatnonzero(count >= threshold)
-            if len(met) >= min(n, k + EXTRA) or (hi - lo == n).all():
+            count = np.add.reduce((away <= np.float32(width)).view(np.uint8), axis=0, dtype=np.uint16)
+            met = np.flatnonzero((count >= threshold) & waiting)
+            waiting[met] = False
+            # In pieces that stay in the processor's cache; each row is summed alone.
+            exact = [(self.x[met[i:i + PIECE]] * q).sum(axis=1) for i in range(0, len(met), PIECE)]
+            rows, score = np.concatenate((rows, met)), np.concatenate((score, *exact))
+            if width > farthest:
                 break
-            width *= GROWTH
-        met = met[self.ids[met] != own]
-        score = (self.x[met] * q).sum(axis=1)
-        best = np.lexsort((self.ids[met], -score))[:k]
-        return list(zip(score[best].tolist(), self.ids[met][best].tolist()))
+            wide = width * GROWTH
+            if len(rows) >= k:
+                # Distance of the k-th best; the floor covers the rounding of equal vectors.
+                least = float(np.partition(score, len(score) - k)[len(score) - k])
+                bound = factor * math.sqrt(max(2 - 2 * least / norm / self.length, 1e-10))
+                if width >= bound:
+                    break
+                wide = min(wide, bound)
+            width = wide
+        self.verified = len(rows)
+        best = np.lexsort((self.ids[rows], -score))[:k]
+        return list(zip(score[best].tolist(), self.ids[rows][best].tolist()))
 
 
 def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +127,7 @@ def nearest(vectors: DataFrame, query_mod: int = 20, k: int = K, m: int = PROJEC
             query_block: int = QUERY_BLOCK, threshold: float = THRESHOLD) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best found for every row whose id is divisible by ``query_mod``."""
     rows = usable(vectors)
-    n, reach, dim = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.max(F.size("v"))).first()
+    n, dim = rows.agg(F.count("*"), F.max(F.size("v"))).first()
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = rows.filter(F.col("vec_id") % query_mod == 0)
@@ -113,6 +135,7 @@ def nearest(vectors: DataFrame, query_mod: int = 20, k: int = K, m: int = PROJEC
     n_queries = max(1, math.ceil(n / query_mod / query_block))
     lines = vectors.sparkSession.sparkContext.broadcast(projections(dim, m))
     need = max(1, math.ceil(threshold * m))
+    factor = reach_factor(dim, m, need)
 
     # Every block of rows meets every block of queries, once.
     part = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_rows)).cast("int").alias("i")
@@ -124,11 +147,10 @@ def nearest(vectors: DataFrame, query_mod: int = 20, k: int = K, m: int = PROJEC
         out: list[list] = [[], [], []]
         if a.num_rows and b.num_rows:
             ids, x = _matrix(a)
-            block = Block(ids, x, reach, lines.value)
+            block = Block(ids, x, lines.value)
             qids, q = _matrix(b)
-            hq = np.concatenate((q, np.zeros((len(q), 1))), axis=1) @ lines.value
-            for own, v, h in zip(qids.tolist(), q, hq):
-                for score, other in block.search(own, v, h, k, need):
+            for own, v in zip(qids.tolist(), q):
+                for score, other in block.search(own, v, lines.value, k, need, factor):
                     out[0].append(own), out[1].append(other), out[2].append(score)
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())],
                         names=["query_id", "vec_id", "score"])

@@ -65,3 +65,24 @@ def test_odd_rows(spark):
     assert got == [(0, 1, 40, 2.0), (0, 2, 8, 0.5), (0, 3, 9, -1.0), (0, 4, 9, -1.0),
                    (40, 1, 0, 2.0), (40, 2, 8, 1.0), (40, 3, 9, -2.0), (40, 4, 9, -2.0)]
     assert N.nearest(df.limit(0)).count() == 0 and N.nearest(df.filter("vec_id = 1")).count() == 0
+
+
+def unequal_lengths():
+    """Rows of one full block whose lengths differ, three ways."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(N.ROW_BLOCK, 64))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    one = x.copy()
+    one[17] *= 4
+    return {"uniform": unit * rng.uniform(0.1, 4, size=(len(x), 1)), "lognormal": unit * rng.lognormal(size=(len(x), 1)), "one long": one}
+
+
+def test_recall_in_a_full_block_of_unequal_lengths(spark):
+    for name, x in unequal_lengths().items():
+        ids = np.arange(len(x))
+        df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x)], VEC)
+        got = {}
+        for r in N.nearest(df, query_mod=200).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        hits = [len(got[q] & {w[0] for w in brute(ids, x, x[q], q, 20)}) for q in ids[::200].tolist()]
+        assert sum(hits) / (20 * len(hits)) >= 0.98, name
