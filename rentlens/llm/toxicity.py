@@ -12,9 +12,12 @@ After training, softmax and embeddings fold into one number per n-gram
 bucket, so scoring is a narrow vectorised pass: every byte of every text is
 hashed once per n-gram length.
 
-Only fitting is bounded: at most ``MAX_TOXIC + MAX_CLEAN`` labelled texts of at
-most ``MAX_CHARS`` characters, and for the search for hard clean windows at most
-``POOL`` clean texts of at most ``POOL_CHARS``, the first by a hash of the text.
+Only fitting is bounded: at most ``MAX_TOXIC + MAX_CLEAN`` labelled texts, and
+for the search for hard clean windows at most ``POOL`` clean ones, the first by a
+hash of the id among those that have a text. Of a text longer than ``MAX_CHARS``
+(``POOL_CHARS`` in the search) passages of ``PASSAGE`` characters, chosen by a hash,
+stand for the whole; as they may miss what made it toxic, a toxic text weighs by
+the share of it that was chosen.
 
 Defined cases: NULL texts and texts without words get the score of an empty
 bag (the softmax bias); repeated rows score alike; a NULL label or one without a
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +45,7 @@ STRIDE = 1
 EPOCHS = 60
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 900, 1600, 4_000
 POOL, POOL_CHARS = 4000, 12_000
-# Labelled ids drawn, of which longer and repeated texts fall out.
-TOXIC_IDS, CLEAN_IDS = 1500, 5000
+PASSAGE = 500
 # Weight of all hard windows, where the sample's texts weigh one.
 HARD_WEIGHT = 0.1
 # How fast and how far a document's gradient moves to its worst windows.
@@ -146,16 +148,22 @@ def window_means(scores: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], toxic: list[int], pool: list[str] = (), share: float | None = None,
-          epochs: int = EPOCHS, seed: int = 7) -> tuple[np.ndarray, float]:
+          epochs: int = EPOCHS, seed: int = 7, seen: list[float] | None = None) -> tuple[np.ndarray, float]:
     """Fit embeddings and softmax jointly; returns each bucket's logit weight and the bias.
 
     ``pool`` holds further clean texts: halfway, the windows among them that
     score worst join the clean side. ``share`` is the share of toxic texts
-    where the model is used; the bias is corrected from one half to it.
+    where the model is used; the bias is corrected from one half to it, and
+    without texts of both kinds it is every text's score. ``seen`` is the share
+    of each text that is given (default 1).
     """
-    y = np.asarray(toxic, np.float64)
+    full = [i for i, t in enumerate(texts) if len(clean_bytes(t)) > 2]
+    texts, y = [texts[i] for i in full], np.asarray(toxic, np.float64)
+    part = np.ones(len(y)) if seen is None else np.asarray(seen, np.float64)
+    mean = (float(y.mean()) if len(y) else 0.0) if share is None else share
+    y, part = y[full], part[full]
     if len(y) == 0 or y.min() == y.max():
-        p = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
+        p = float(np.clip(mean, 1e-6, 1 - 1e-6))
         return np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(p / (1 - p)))
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.02, (1 << BUCKET_BITS, DIM)).astype(np.float32)
@@ -164,7 +172,7 @@ def train(texts: list[str], toxic: list[int], pool: list[str] = (), share: float
     params = (emb, soft, bias)
     state = [np.zeros_like(p) for p in params]
     half = epochs // 2
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # both kinds weigh the same
+    weight = np.where(y == 1, 0.5 * part / part[y == 1].sum(), 0.5 / (len(y) - y.sum()))  # both kinds weigh the same
     _fit(params, state, texts, y, weight, range(1, half + 1), epochs)
     hard = _worst_windows(pool, _fold(params))
     weight = np.concatenate((weight, np.full(len(hard), HARD_WEIGHT / max(1, len(hard)))))
@@ -253,28 +261,45 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
             p -= rate * pace * m / (np.linalg.norm(m) + 1e-12)
 
 
+def passages(text: Column, seed: Column, chars: int) -> Column:
+    """``text`` itself up to ``chars`` characters, else hash-chosen passages of it, about ``chars`` together."""
+    places = F.sequence(F.lit(0), F.ceil(F.length(text) / PASSAGE).cast("int") - 1)
+    drawn = F.slice(F.array_sort(F.transform(places, lambda i: F.struct(F.xxhash64(seed, i).alias("h"), i.alias("i")))),
+                    1, chars // PASSAGE)
+    parts = F.transform(F.array_sort(F.transform(drawn, lambda d: d["i"])), lambda i: F.substring(
+        text, F.least(i * PASSAGE, F.length(text) - PASSAGE) + 1, F.lit(PASSAGE)))
+    # Words cut at a passage's ends are left out.
+    whole = F.transform(parts, lambda p: F.regexp_replace(p, r"^\S+(?=\s)|(?<=\s)\S+$", ""))
+    return F.when(F.length(text) <= chars, text).otherwise(F.array_join(whole, " "))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: int = 2) -> dict:
     """The bounded sample for :func:`train`: labelled texts outside the held-out rest, by hash order.
 
-    The sample is drawn from the labels; only its ids (at most ``TOXIC_IDS +
-    CLEAN_IDS``) are broadcast to fetch the texts, so no text is shuffled.
+    It is drawn from the labelled ids that have a text, each text once; only ids and
+    text hashes are shuffled for that. The chosen ids (at most ``MAX_TOXIC + POOL``)
+    are broadcast to fetch the texts, so no text is shuffled.
     """
     seen = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(id_crc("doc_id") % held_mod != held)
     seen = seen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = seen.agg(F.avg("toxic")).first()[0]
+    text = F.col("text").cast("string")
+    src = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t")).filter(F.length("text") > 0)
     order = F.xxhash64("doc_id").alias("h")
-    ids = seen.filter("toxic = 1").select("doc_id", "toxic", order).orderBy("h", "doc_id").limit(TOXIC_IDS).unionByName(
-        seen.filter("toxic = 0").select("doc_id", "toxic", order).orderBy("h", "doc_id").limit(CLEAN_IDS))
-    rows = (docs.select("doc_id", "text").filter((F.length("text") > 0) & (F.length("text") <= POOL_CHARS))
-            .join(F.broadcast(ids), "doc_id").select("h", "text", "toxic"))
-    found: dict[str, int] = {r.text: r.toxic for r in sorted(rows.collect(), key=lambda r: (r.h, r.text))}
-
-    def pick(kind: int, most: int, chars: int) -> list[str]:
-        return [t for t, k in found.items() if k == kind and len(t) <= chars][:most]
-
-    toxic, clean = pick(1, MAX_TOXIC, MAX_CHARS), pick(0, MAX_CLEAN, MAX_CHARS)
-    return {"texts": toxic + clean, "toxic": [1] * len(toxic) + [0] * len(clean),
-            "pool": pick(0, POOL, POOL_CHARS), "share": share}
+    # A text that several documents repeat counts for the first of them, as toxic if any is.
+    drawn = (src.select("doc_id", "t").distinct().join(seen, "doc_id").select("t", "toxic", F.struct(order, "doc_id").alias("o"))
+             .groupBy("t").agg(F.min("o").alias("o"), F.max("toxic").alias("toxic")).select("o.h", "o.doc_id", "t", "toxic"))
+    ids = drawn.filter("toxic = 1").orderBy("h", "doc_id", "t").limit(MAX_TOXIC).unionByName(
+        drawn.filter("toxic = 0").orderBy("h", "doc_id", "t").limit(POOL))
+    rows = src.join(F.broadcast(ids), ["doc_id", "t"]).select(
+        "h", "doc_id", "t", "toxic", F.length("text").alias("n"), passages(F.col("text"), F.col("t"), MAX_CHARS).alias("fit"),
+        F.when(F.col("toxic") == 0, passages(F.col("text"), F.col("t"), POOL_CHARS)).alias("pool"))
+    found = sorted({(r.h, r.doc_id, r.t): r for r in rows.collect()}.items(), key=lambda x: x[0])
+    toxic = [r for _, r in found if r.toxic == 1]
+    clean = [r for _, r in found if r.toxic == 0]
+    used = toxic + clean[:MAX_CLEAN]
+    return {"texts": [r.fit for r in used], "toxic": [int(r.toxic) for r in used], "pool": [r.pool for r in clean],
+            "share": share, "seen": [min(1.0, len(r.fit) / r.n) for r in used]}
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str], score: str = "score") -> DataFrame:

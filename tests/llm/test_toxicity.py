@@ -71,3 +71,40 @@ def test_without_both_kinds_the_score_is_the_share(spark, texts, toxic, want):
     labels = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     assert X.training_rows(empty, labels)["texts"] == []
     assert X.score_documents(empty, X.train([], []), ["doc_id"]).count() == 0
+
+
+@pytest.mark.parametrize("long_kind", [0, 1])
+def test_a_kind_of_long_texts_only_is_learned_from(spark, prose, long_kind):
+    def text(kind, n):
+        w = prose(n).split()
+        if kind:
+            for i in range(0, n, 12):
+                w[i] = prose.rng.choice(["blasted", "dreadful", "rotten"])
+        return " ".join(w)
+
+    words = lambda kind: 4000 if kind == long_kind else 60
+    rows = [(i, text(i % 2, words(i % 2)), i % 2) for i in range(160)]
+    assert all((len(t) > X.POOL_CHARS) == (k == long_kind) for _, t, k in rows)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k) for i, _, k in rows], "doc_id long, toxic int")
+    sample = X.training_rows(docs, labels)
+    assert set(sample["toxic"]) == {0, 1} and len(sample["pool"]) == sample["toxic"].count(0)
+    known = {w for _, t, _ in rows for w in t.split()}
+    assert all(len(t) <= X.MAX_CHARS + X.PASSAGE and set(t.split()) <= known for t in sample["texts"])
+    assert all((s < 1) == (k == long_kind) for s, k in zip(sample["seen"], sample["toxic"]))
+    model = X.train(**sample)
+    score = lambda t: X.window_means(X.word_scores(X.clean_bytes(t), model[0])).max() + model[1]
+    assert np.mean([(score(t) > 0) == k for _, t, k in rows]) > 0.9
+
+
+def test_sample_is_refilled_when_labelled_ids_have_no_text(spark):
+    labels = spark.range(0, 40_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    docs = spark.range(0, 40_000, 97).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    want = {f"text {r.doc_id}" for r in docs.filter(X.id_crc("doc_id") % 4 != 2).collect()}
+    assert set(X.training_rows(docs, labels)["texts"]) == want
+
+
+def test_one_kind_missing_gives_the_share_of_the_labels():
+    for texts, toxic in ((["bad words"], [1]), (["fine words"], [0]), (["bad", "..."], [1, 0]), ([], [])):
+        weights, bias = X.train(texts, toxic, share=0.12)
+        assert not weights.any() and abs(1 / (1 + np.exp(-bias)) - 0.12) < 1e-9
