@@ -20,7 +20,8 @@ BASE_PHRASES = (
 # (keyword, name regex, label, versions). The keyword must be a word of every
 # text the name regex matches. A version regex "{v}" stands behind the name.
 FAMILIES = (
-    ("gnu", "(?:gnu )?affero general public licen[sc]e|gnu agpl", "agpl", ("3",)),
+    ("affero", "(?:gnu )?affero general public licen[sc]e", "agpl", ("3",)),
+    ("agpl", "gnu agpl", "agpl", ("3",)),
     ("gnu", "gnu (?:lesser|library) general public licen[sc]e|gnu lgpl", "lgpl", ("2", "2 1", "3")),
     ("gnu", "gnu general public licen[sc]e|gnu gpl", "gpl", ("1", "2", "3")),
     ("gnu", "gnu free documentation licen[sc]e|gnu fdl", "gfdl", ("1 1", "1 2", "1 3")),
@@ -83,6 +84,24 @@ FAMILIES = (
     ("rights", "all rights reserved", "all-rights-reserved", ()),
 )
 
+# (keyword, short name, label) that name a licence without a version, but only in a notice's wording.
+SHORT = (
+    ("gpl", "gpl", "gpl"), ("lgpl", "lgpl", "lgpl"), ("agpl", "agpl", "agpl"), ("mpl", "mpl", "mpl"), ("epl", "epl", "epl"),
+    ("cddl", "cddl", "cddl"), ("eupl", "eupl", "eupl"), ("ofl", "ofl", "ofl"),
+)
+
+# (identifier, label) of SPDX identifiers that no family's name matches.
+SPDX = (
+    ("mit", "mit"), ("mit 0", "mit-0"), ("x11", "mit"), ("apache 1 0", "apache-1.0"), ("apache 1 1", "apache-1.1"),
+    ("apache 2 0", "apache-2.0"), ("isc", "isc"), ("zlib", "zlib"), ("bsl 1 0", "bsl-1.0"), ("gpl 1 0", "gpl-1"),
+    ("lgpl 2 0", "lgpl-2"), ("agpl 1 0", "agpl-1"), ("gfdl 1 1", "gfdl-1.1"), ("gfdl 1 2", "gfdl-1.2"),
+    ("gfdl 1 3", "gfdl-1.3"), ("mpl 1 0", "mpl-1.0"), ("cpl 1 0", "cpl-1.0"), ("artistic 1 0", "artistic-1.0"),
+    ("artistic 2 0", "artistic-2.0"), ("python 2 0", "python-2"), ("psf 2 0", "python-2"), ("php 3 0", "php-3.0"),
+    ("php 3 01", "php-3.01"), ("openssl", "openssl"), ("afl 2 1", "afl-2.1"), ("afl 3 0", "afl-3.0"),
+    ("osl 2 1", "osl-2.1"), ("osl 3 0", "osl-3.0"), ("ms pl", "ms-pl"), ("ms rl", "ms-rl"), ("sspl 1 0", "sspl-1"),
+    ("busl 1 1", "busl-1.1"), ("elastic 2 0", "elastic-2.0"),
+)
+
 # (name, wording round the name, priority, weight); the smaller number wins
 # among detections where one interval holds another. "{}" takes the name.
 NOTICES = (
@@ -119,4 +138,10 @@ def build_rules() -> list[LicenseRule]:
         for form, lab in forms:
             for kind, wording, priority, weight in NOTICES:
                 rules.append(LicenseRule(f"{kind}:{lab}:{keyword}", keyword, wording.format(form), lab, priority, weight))
+    for keyword, name, label in SHORT:
+        for kind, wording, priority, weight in NOTICES[:-1]:
+            rules.append(LicenseRule(f"{kind}:{label}:{keyword}", keyword, wording.format(name), label, priority, weight))
+    kind, wording, priority, weight = NOTICES[0]
+    for name, label in SPDX:
+        rules.append(LicenseRule(f"{kind}:{label}:id", "spdx", wording.format(name), label, priority, weight))
     return rules

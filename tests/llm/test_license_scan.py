@@ -71,3 +71,26 @@ def test_there_are_hundreds_of_rules_and_an_empty_table_scans(spark):
 def test_no_python_in_the_plan(spark):
     plan = license_report(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+LOST = [
+    ("Under the Affero General Public License, version 3", "agpl-3"), ("Affero General Public License", "agpl"),
+    ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+    ("SPDX-License-Identifier: ISC", "isc"), ("SPDX-License-Identifier: Zlib */", "zlib"),
+    ("SPDX-License-Identifier: BSL-1.0", "bsl-1.0"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2"),
+    ("released under the GPL", "gpl"), ("licensed under the LGPL", "lgpl"), ("distributed under the terms of the AGPL", "agpl"),
+    ("covered by the MPL", "mpl"), ("made available under the EPL.", "epl"), ("released under the GPL version 3", "gpl-3"),
+    ("published by MIT, served by apache 2.0, an isc and zlib; the gpl", ""),
+]
+
+
+def test_spdx_identifiers_short_names_and_affero_without_gnu(spark):
+    out = license_report(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LOST)], "doc_id long, text string")).collect()
+    assert {LOST[r.doc_id][0]: r.labels for r in out} == dict(LOST)
+
+
+def test_the_keyword_gate_loses_nothing():
+    norms = [" " + "".join(w + " " for w in WORD.findall(t.translate(LOWER))) for t in [t for t in TEXTS if t] + [t for t, _ in LOST]]
+    for r in build_rules():
+        regex = re.compile(f"(?<= )(?:{r.regex})(?= )")
+        assert all(f" {r.keyword} " in n for n in norms if regex.search(n)), r.name
