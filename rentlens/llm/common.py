@@ -6,6 +6,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -36,3 +37,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def column(name: str) -> Column:
+    """A top-level column by its name as it stands (dots and backticks included)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(columns, name: str) -> str:
+    """``name``, with underscores in front until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def carried(docs: DataFrame, columns, text: str) -> tuple[DataFrame, T.StructType]:
+    """``columns`` of ``docs`` as c0, c1, ... and the text as ``t``, for a Python stage; the schema of c0, c1, ...
+
+    The names clash with nothing that the stage adds, whatever the columns are called.
+    """
+    df = docs.select(*[column(c).alias(f"c{i}") for i, c in enumerate(columns)], column(text).cast("string").alias("t"))
+    return df, T.StructType(df.schema.fields[:-1])
+
+
+def given_back(df: DataFrame, columns, results) -> DataFrame:
+    """c0, c1, ... under their own names again, then ``results``."""
+    return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], *results)

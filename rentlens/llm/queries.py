@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,11 @@ from .license_scan import license_report
 from .lm_score import score_texts
 from .nearest_neighbours import nearest
 from .packing import pack_documents
+from .periodic_runs import periodic_runs, split_words
+from .prefix_trie import end_digests, prefix_trie, shared_heads
 from .simhash_dedup import simhash_components
 from .suffix_dedup import shared_spans
+from .token_counts import count_tokens
 from .toxicity import score_documents, train, training_rows
 from .url_reputation import TWO_LABEL_SUFFIXES, Rule, judge_urls, split_url
 
@@ -188,3 +192,79 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20."""
     return nearest(table(spark, sf_dir, "embeddings"), query_mod=20, k=20)
+
+
+@_register()
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole document."""
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+# crc32 of an id's decimal text, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+    lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)), CAST(4294967295 AS BIGINT))"""
+
+_TRIE_ORACLE = f"""
+WITH own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT conv_id, s, {_CRC32.format(x='conv_id')} % 4 AS h FROM own),
+seq AS (SELECT cut.conv_id, list_concat(CASE WHEN h = 0 THEN [] ELSE coalesce(b.s[1:h], []) END, cut.s[h + 1:]) AS s
+  FROM cut LEFT JOIN own b ON b.conv_id = cut.conv_id - cut.conv_id % 20),
+pre AS (SELECT conv_id, d, len(s) AS n, CASE WHEN d = 0 THEN [] ELSE s[1:d] END AS p
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM seq) x),
+nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE
+    len(list_filter(string_split_regex(p[d].t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS words,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends
+  FROM pre GROUP BY p, d),
+up AS (SELECT p, d, conv_id, CASE WHEN d < 2 THEN [] ELSE p[1:d - 1] END AS q FROM nodes WHERE d > 0),
+kids AS (SELECT q, d - 1 AS d, count(*) AS n FROM up GROUP BY q, d),
+n2 AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.q = nodes.p AND kids.d = nodes.d),
+below AS (SELECT CASE WHEN e = 0 THEN [] ELSE p[1:e] END AS p, e AS d, sum((n_convs - 1) * words) AS saved,
+    count(*) FILTER (WHERE n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM n2) x GROUP BY ALL)
+SELECT n2.conv_id, n2.d AS depth, a.conv_id AS parent_conv_id, n2.n_convs, n2.n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(n2.ends) AS ends_sha256
+FROM n2 JOIN below ON below.p = n2.p AND below.d = n2.d
+LEFT JOIN up ON up.p = n2.p AND up.d = n2.d LEFT JOIN nodes a ON a.p = up.q AND a.d = up.d - 1"""
+
+
+@_register(_TRIE_ORACLE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each begun by the head of its group's first one."""
+    nodes, ends = prefix_trie(*shared_heads(table(spark, sf_dir, "conversations")))
+    out = nodes.join(end_digests(ends), ["k1", "k2", "depth"], "left")
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                      F.col("saved_words").alias("saved_tokens"),
+                      F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
+def planted_words(text: str, row: tuple) -> list[bytes]:
+    """Words of a document; where crc32(doc_id) % 10 = 0, those from some place on repeat the ones there."""
+    words = split_words(text, row)
+    h = zlib.crc32(str(row[0]).encode()) if row[0] is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@_register()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all whole documents; a document without an id is taken as it stands."""
+    found = periodic_runs(table(spark, sf_dir, "documents"), ("doc_id",), words=planted_words)
+    text = lambda c: c.cast("string")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        text(r["start"]), F.lit(","), text(r["length"]), F.lit(","), text(r["period"]), F.lit("\n"))), "")
+    # The longest run; of equals the first start, then the least period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"),
+                       F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                       F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", (-F.col("b.s")).alias("start"), "b.length", (-F.col("b.p")).alias("period"),
+                      F.expr("b.length * 1000 div -b.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
