@@ -157,7 +157,7 @@ def _split_date_text(s: Column) -> Column:
     return F.get(F.transform(F.array(F.regexp_replace(s, _WEEKDAY, "")), split), 0)
 
 
-def _date_of_shape(s: Column, year: int) -> Column:
+def _date_of_shape(s: Column, year: int, named_months: bool = True) -> Column:
     """Date written in one of the shapes above, at midnight."""
     a = F.regexp_extract(s, _SLASH, 1).try_cast("int")
     b = F.regexp_extract(s, _SLASH, 2).try_cast("int")
@@ -176,7 +176,8 @@ def _date_of_shape(s: Column, year: int) -> Column:
                                            _month_number(F.regexp_extract(s, shape, month_at)),
                                            F.regexp_extract(s, shape, day_at)))
 
-    return F.coalesce(slash, numbered(_YMD), numbered(_COMPACT), named(_NAMED, 1, 2), named(_DAY_NAMED, 2, 1))
+    shapes = [slash, numbered(_YMD), numbered(_COMPACT)]
+    return F.coalesce(*shapes, *([named(_NAMED, 1, 2), named(_DAY_NAMED, 2, 1)] if named_months else []))
 
 
 def to_date_trunc(col) -> Column:
@@ -196,8 +197,9 @@ def clean_available_html(col, as_of: dt.date, digits: bool = False) -> Column:
     once in an earlier projection; the parse reads it many times).
     """
     s = _c(col) if digits else available_digits(col)
-    return F.when(s.isNull() | (s == ""), F.lit(as_of).cast("timestamp_ntz")).otherwise(
-        parse_datetime_flexible(s, as_of, stripped=True))
+    # Digits and slashes only: no month names, no times, no ISO dates.
+    parsed = F.get(F.transform(F.array(s), lambda t: _date_of_shape(t, as_of.year, named_months=False)), 0)
+    return F.when(s.isNull() | (s == ""), F.lit(as_of).cast("timestamp_ntz")).otherwise(parsed)
 
 
 def parse_iso_date(col) -> Column:

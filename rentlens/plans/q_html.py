@@ -23,7 +23,7 @@ CARD_COLUMNS = ["source_id", "page_num", "pos", "last_updated", "price", "n_beds
 
 
 def _kept_cards(spark, sf_dir):
-    cards = H.extract_cards(captured_html_pages(spark, sf_dir))
+    cards = H.stage_cards(captured_html_pages(spark, sf_dir))
     cutoff = H.page_cutoff(H.page_facts(cards))
     return H.apply_cutoff(cards, cutoff), cutoff
 
@@ -83,7 +83,7 @@ SELECT n.source_id, CAST(n.n + 1 AS INTEGER), a.a_name, a.a_email, a.a_phone, 1
 FROM npages n JOIN agents a ON a.source_id = n.source_id AND a.p = 1 WHERE n.source_id = 'src0'"""))
 def q_page_agents(spark, sf_dir):
     """H3 + J2: page-level agents joined back to every card row of the page."""
-    cards = H.extract_cards(captured_html_pages(spark, sf_dir))
+    cards = H.stage_cards(captured_html_pages(spark, sf_dir))
     agents = H.page_agents(cards)
     slim = cards.select("source_id", "page_num", "pos")
     joined = H.join_page_agent(slim, agents)

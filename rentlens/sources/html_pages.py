@@ -22,6 +22,7 @@ from ..functions import clean as C
 from ..functions.area import area_from_paren
 from ..schema import (HTML_CARD, HTML_CONTACTS, HTML_CONTAINER, HTML_COUNTER, HTML_PROP_CELL, HTML_PROPS,
                       HTML_TITLE, OLD_LAYOUT_BOX, OLD_LAYOUT_FIELDS)
+from ..session import scratch_path
 
 # Pages per Arrow batch: pages can be large, so batches are kept small.
 
@@ -321,6 +322,20 @@ def extract_cards(pages: DataFrame) -> DataFrame:
     return pages.select("source_id", "page_num", "html").mapInArrow(_extract_cards_batches, CARD_SCHEMA)
 
 
+def stage_cards(pages: DataFrame) -> DataFrame:
+    """``extract_cards``, written once to the shared scratch folder and read back.
+
+    The crawl cutoff, the kept cards and the page agents all read the cards;
+    on the lazy frame each of them would parse every page again, and parsing is
+    what costs. Cards are far smaller than their pages, and the written columns
+    are pruned for each reader.
+    """
+    spark = pages.sparkSession
+    path = scratch_path(spark, "cards")
+    extract_cards(pages).write.parquet(path)
+    return spark.read.schema(CARD_SCHEMA).parquet(path)
+
+
 def page_facts(cards: DataFrame) -> DataFrame:
     """One row per page (its first card row): ``(source_id, page_num, n_cards, counter)``."""
     first = cards.filter(F.col("pos").isNull() | (F.col("pos") == 0))

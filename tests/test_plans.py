@@ -10,8 +10,10 @@ from rentlens.plans import registry
 from tests.conftest import SF_SMALL
 
 QUERIES = {name: E.queries()[name] for name in registry.queries()}
+# Queries over parsed cards: the pages are parsed once, into a written table.
+PARSED = {"accumulate", "carry_forward", "html_cards", "html_rejects", "page_agents", "page_cutoff", "union_sources"}
 # Writers, streams and the exact preview run jobs when they are called.
-EAGER = {"append_with_id", "append_rerun", "ingest_run", "row_limit", "table_roundtrip", "upsert_versions"}
+EAGER = PARSED | {"append_with_id", "append_rerun", "ingest_run", "row_limit", "table_roundtrip", "upsert_versions"}
 
 
 def plan(df, mode="formatted"):
@@ -65,3 +67,14 @@ def test_mom_window_runs_on_monthly_aggregate(spark):
     window_at = p.index("Window [")
     agg_at = p.index("HashAggregate(keys=[area")
     assert window_at < agg_at  # the window sits above (after) the aggregate in the tree
+
+
+@pytest.mark.parametrize("name", sorted(PARSED | {"ingest_run"}))
+def test_pages_are_parsed_once(spark, name, monkeypatch):
+    from rentlens.sources import html_pages
+
+    parses, extract = [], html_pages.extract_cards
+    monkeypatch.setattr(html_pages, "extract_cards", lambda pages: parses.append(1) or extract(pages))
+    df = QUERIES[name](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    assert parses == [1] and "MapInArrow" not in plan(df)
