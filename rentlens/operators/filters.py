@@ -1,4 +1,4 @@
-"""Dashboard filters and predicates (F1-F11, J3, J4, J6 re-aimed).
+"""Dashboard filters and predicates.
 
 Literal member lists become plain predicates, so they stay inside the scan's
 whole-stage codegen and reach the Parquet reader as pushed filters. Member
@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import anti_nullsafe, semi_nullsafe
@@ -128,10 +128,36 @@ def filter_domain(df: DataFrame, categorical=("area",),
 
 
 def level_members(df: DataFrame, cols: list[str]) -> DataFrame:
-    """J6 re-aimed: the member combinations of several levels that occur.
+    """The member combinations of several levels that occur."""
+    return df.select(*cols).distinct()
+
+
+# Most combinations that ``level_cross_join`` lists.
+MOST_COMBINATIONS = 50_000_000
 
-    A selection set only ever holds combinations present in the data, so the
-    distinct existing tuples serve as its domain; the full cartesian product
-    of member lists is not built (it grows as the product of cardinalities).
+
+def level_cross_join(df: DataFrame, cols: list[str], most: int = MOST_COMBINATIONS) -> DataFrame:
+    """Every combination of the levels' members (NULL is a member), whether it occurs or not.
+
+    Combinations are numbered as a number with one digit a level: a range over
+    the product of the levels' sizes is taken apart by ``div`` and ``%``, and
+    each digit is looked up in its level's numbered member list. So no product
+    of tables is planned, and the rows are dealt evenly. The sizes are counted
+    first (one row); a product above ``most`` is refused. With an empty table
+    there is no combination.
     """
-    return df.select(*cols).distinct()
+    spark = df.sparkSession
+    sizes = df.agg(*[(F.count_distinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))).alias(f"n{i}")
+                     for i, c in enumerate(cols)]).first()
+    product = reduce(lambda a, b: a * b, sizes)
+    if product > most:
+        raise ValueError(f"{product} combinations of {', '.join(cols)}; the most is {most}")
+    out, step = spark.range(product), 1
+    for i, c in enumerate(cols):
+        # A member list is no longer than the product, which has its bound.
+        members = df.select(F.col(c).alias(f"m{i}")).distinct().select(
+            f"m{i}", (F.row_number().over(Window.orderBy(F.col(f"m{i}").asc_nulls_first())) - 1).cast("long").alias(f"d{i}"))
+        out = out.withColumn(f"d{i}", F.expr(f"id div {step} % {sizes[i] or 1}"))
+        out = out.join(members, f"d{i}")
+        step *= sizes[i]
+    return out.select(*[F.col(f"m{i}").alias(c) for i, c in enumerate(cols)])

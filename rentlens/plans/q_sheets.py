@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.derive import date_part, detail_label, drill_url
+from ..operators import dashboard as dash
 from ..operators import filters as flt
 from ..operators import sheets as sh
 from ..operators.tables import upsert_by_key
@@ -164,6 +165,51 @@ def q_listing_table_after_upsert(spark, sf_dir):
     return sh.listing_table(merged.unionByName(other))
 
 
+def _sheet_sql(sheet: str, keys: dict[str, str], measures: dict[str, str], where: str = "") -> str:
+    """One sheet with all the overview's columns."""
+    types = {"area": "VARCHAR", "number_of_beds": "DOUBLE", "id": "BIGINT", "location": "VARCHAR", "amenities": "VARCHAR"}
+    cols = [f"{keys.get(k, 'NULL')}::{types.get(k, 'INTEGER')} AS {k}" for k in dash.KEYS]
+    kinds = {"n": "BIGINT", "avg_price": "DOUBLE", "sum_n_beds": "DOUBLE", "sum_n_baths": "DOUBLE", "sum_price": "BIGINT",
+             "attr_n_beds": "VARCHAR", "attr_n_baths": "VARCHAR", "attr_price": "VARCHAR"}
+    cols += [f"({measures.get(m, 'NULL')})::{t} AS {m}" for m, t in kinds.items()]
+    return f"SELECT '{sheet}' AS sheet, {', '.join(cols)} FROM listings {where} GROUP BY {', '.join(keys.values())}"
+
+
+_UPD = {f"upd_{p}": f"{f}(last_updated)" for p, f in
+        (("year", "year"), ("quarter", "quarter"), ("month", "month"), ("day", "dayofmonth"))}
+_MONTH_DAY = {k: _UPD[k] for k in ("upd_month", "upd_day")}
+_DAYS_SQL = ", ".join(f"DATE '{d}'" for d in AVAILABLE_DAYS)
+ADDITIVE_SQL = " UNION ALL ".join([
+    _sheet_sql("availability_histogram", {"avail_month": "month(available_date)"}, {"n": "count(available_date)"}),
+    _sheet_sql("listings_available", {"area": "area"}, {"n": "count(price)"},
+               f"WHERE CAST(available_date AS DATE) IN ({_DAYS_SQL})"),
+    _sheet_sql("listings_over_time", _UPD, {"n": "count(last_updated)"}),
+    _sheet_sql("price_by_beds", {"number_of_beds": "n_beds"}, {"n": "count(price)", "avg_price": "avg(price)"},
+               "WHERE price BETWEEN 300 AND 50000"),
+    _sheet_sql("price_trend", _MONTH_DAY, {"n": "count(price)", "avg_price": "avg(price)"},
+               "WHERE price <= 50000 AND NOT (last_updated IS NULL)")])
+_TABLE_SHEET_SQL = _sheet_sql(
+    "listing_table", {**{k: k for k in ("id", "area", "location", "amenities")}, **_MONTH_DAY,
+                      "avail_month": "month(available_date)", "avail_day": "dayofmonth(available_date)"},
+    {**{f"sum_{c}": f"sum({c})" for c in ("n_beds", "n_baths", "price")},
+     **{f"attr_{c}": _attr_sql(c) for c in ("n_beds", "n_baths", "price")}},
+    "WHERE n_baths BETWEEN 0 AND 11.5 AND n_beds BETWEEN 1 AND 11 AND price BETWEEN 0 AND 50000")
+
+
+@register("dashboard_overview", with_listings(f"{ADDITIVE_SQL} UNION ALL {_TABLE_SHEET_SQL}"))
+def q_dashboard_overview(spark, sf_dir):
+    """A1-A6 out of one scan and one aggregate."""
+    return dash.dashboard_overview(silver_listings(spark, sf_dir), AVAILABLE_DAYS)
+
+
+@register("dashboard_overview_areas", with_listings(ADDITIVE_SQL.replace("FROM listings", "FROM picked")).replace(
+    ")\nSELECT", "), picked AS (SELECT * FROM listings WHERE area IN ('ASIA', 'EUROPE'))\nSELECT", 1))
+def q_dashboard_overview_areas(spark, sf_dir):
+    """A1-A5 under the shared area filter, which reaches the scan as a partition filter."""
+    return dash.dashboard_overview(silver_listings(spark, sf_dir), AVAILABLE_DAYS, areas=SELECTED_AREAS,
+                                   sheets=list(dash.ADDITIVE))
+
+
 @register("price_by_beds_areas", with_listings("""
 SELECT n_beds AS number_of_beds, avg(price) AS avg_price, count(price) AS n_listings FROM listings
 WHERE price BETWEEN 300 AND 50000 AND area IN ('ASIA', 'EUROPE') GROUP BY 1"""))
@@ -237,6 +283,17 @@ def q_level_members(spark, sf_dir):
     return flt.level_members(df, ["upd_day", "upd_month"])
 
 
+@register("level_cross_join", with_listings("""
+SELECT d AS upd_day, m AS upd_month, area FROM
+ (SELECT DISTINCT CAST(dayofmonth(last_updated) AS INTEGER) AS d FROM listings) a,
+ (SELECT DISTINCT CAST(month(last_updated) AS INTEGER) AS m FROM listings) b, (SELECT DISTINCT area FROM listings) c"""))
+def q_level_cross_join(spark, sf_dir):
+    """All combinations of update day, update month and area."""
+    df = silver_listings(spark, sf_dir).select(
+        date_part("last_updated", "day").alias("upd_day"), date_part("last_updated", "month").alias("upd_month"), "area")
+    return flt.level_cross_join(df, ["upd_day", "upd_month", "area"])
+
+
 @register("filter_domain", with_listings("""
 SELECT DISTINCT 'area' AS field, area AS member, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi FROM listings
 UNION ALL SELECT 'price', NULL, CAST(min(price) AS DOUBLE), CAST(max(price) AS DOUBLE) FROM listings

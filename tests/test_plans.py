@@ -13,7 +13,8 @@ QUERIES = {name: E.queries()[name] for name in registry.queries()}
 # Queries over parsed cards: the pages are parsed once, into a written table.
 PARSED = {"accumulate", "carry_forward", "html_cards", "html_rejects", "page_agents", "page_cutoff", "union_sources"}
 # Writers, streams and the exact preview run jobs when they are called.
-EAGER = PARSED | {"append_with_id", "append_rerun", "ingest_run", "row_limit", "table_roundtrip", "upsert_versions"}
+EAGER = PARSED | {"append_with_id", "append_rerun", "ingest_run", "level_cross_join", "row_limit", "table_roundtrip",
+                  "upsert_versions"}
 
 
 def plan(df, mode="formatted"):
@@ -78,3 +79,11 @@ def test_pages_are_parsed_once(spark, name, monkeypatch):
     df = QUERIES[name](spark, SF_SMALL)
     df.write.format("noop").mode("overwrite").save()
     assert parses == [1] and "MapInArrow" not in plan(df)
+
+
+def test_overview_has_one_scan_and_one_partial_aggregate(spark):
+    p = plan(QUERIES["dashboard_overview"](spark, SF_SMALL), "simple")
+    assert p.count("FileScan") == 1 and p.count("Exchange") == 1 and "Expand" in p
+    p = plan(QUERIES["dashboard_overview_areas"](spark, SF_SMALL))
+    assert "PartitionFilters: [area" in p or "PartitionFilters: [((area" in p
+    assert "location:string" not in p and "amenities:string" not in p  # columns of the sheets asked for only
