@@ -7,6 +7,7 @@ its input reads from.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from functools import reduce
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import LISTINGS
+from ..sources.files import create_file
 from .windows import latest_per_key
 
 
@@ -186,38 +188,56 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str = "location", o
 
 
 # --- W3 as a table: versions and commits -----------------------------------------
-# A versioned table is a folder of data versions and a table of commits, one
-# small file each. Readers take the version of the last commit, so a reader
-# never sees a half-written version and an upsert never touches the files read.
-
+# A versioned table is a folder of data versions and a folder of commits, one
+# small file each, named by the version. Readers take the version of the last
+# commit, so a reader never sees a half-written version and an upsert never
+# touches the files read. A commit file is created only if there is none of its
+# name: of two writers that began from one version, the second one fails.
+
+# Merges begun anew when other writers commit meanwhile.
+COMMIT_TRIES = 10
 _COMMIT = "version long, folder string, batch_id long"
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has committed since the version that was read."""
+
+
 def _commits(spark: SparkSession, table_dir: str) -> DataFrame | None:
     try:
-        return spark.read.schema(_COMMIT).parquet(f"{table_dir}/commits")
+        return spark.read.schema(_COMMIT).json(f"{table_dir}/commits")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def commit_version(df: DataFrame, table_dir: str, batch_id: int | None = None) -> str:
-    """Write ``df`` as the table's next version and point readers to it."""
-    spark = df.sparkSession
+def last_version(spark: SparkSession, table_dir: str) -> tuple[int, str | None]:
+    """Number and folder of the last commit (0 and None before the first)."""
     log = _commits(spark, table_dir)
-    last = log.agg(F.max("version")).first()[0] if log is not None else 0
-    folder = f"v{last + 1:09d}-{uuid.uuid4().hex[:8]}"
+    row = log.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"] if log is not None else None
+    return (row["version"], row["folder"]) if row else (0, None)
+
+
+def commit_version(df: DataFrame, table_dir: str, batch_id: int | None = None, base: int | None = None) -> str:
+    """Write ``df`` as the version after ``base`` (default: after the last) and point readers to it.
+
+    Raises ``CommitConflict`` if that version exists by then; its rows are then
+    not in ``df``, so the caller has to merge anew.
+    """
+    spark = df.sparkSession
+    version = (last_version(spark, table_dir)[0] if base is None else base) + 1
+    folder = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(f"{table_dir}/{folder}")
-    commit = spark.createDataFrame([(last + 1, folder, batch_id)], _COMMIT)
-    commit.coalesce(1).write.mode("append").parquet(f"{table_dir}/commits")
+    commit = json.dumps({"version": version, "folder": folder, "batch_id": batch_id})
+    if not create_file(spark, f"{table_dir}/commits/{version:09d}.json", commit):
+        raise CommitConflict(f"version {version} of {table_dir} is taken")
     return folder
 
 
 def read_version(spark: SparkSession, table_dir: str) -> DataFrame:
     """The table's last committed version."""
-    folder = _commits(spark, table_dir).agg(F.max_by("folder", "version")).first()[0]
-    return spark.read.parquet(f"{table_dir}/{folder}")
+    return spark.read.parquet(f"{table_dir}/{last_version(spark, table_dir)[1]}")
 
 
 def upsert_table(source: DataFrame, table_dir: str, key: str = "location", order: str = "ingest_seq",
@@ -227,20 +247,27 @@ def upsert_table(source: DataFrame, table_dir: str, key: str = "location", order
     The source is checkpointed, so it is evaluated once. Inserted rows
     without an id get ids continuing the table's. A ``batch_id`` that is
     already committed is skipped (returns False), so a replayed micro-batch
-    changes nothing.
+    changes nothing. Where another writer commits first, the merge is done again
+    on that writer's version.
     """
-    spark = source.sparkSession
-    if batch_id is not None and _commits(spark, table_dir).filter(F.col("batch_id") == batch_id).limit(1).count():
-        return False
-    target = read_version(spark, table_dir)
-    merged = upsert_by_key(target, source.checkpoint(), key, order, only_newer)
-    if id_col and id_col in target.columns and id_col not in source.columns:
-        has = merged.filter(F.col(id_col).isNotNull())
-        new = merged.filter(F.col(id_col).isNull()).drop(id_col)
-        new = assign_id(new, [key, order] if order in merged.columns else [key], start_after=target, col=id_col)
-        merged = has.unionByName(new.withColumn(id_col, F.col(id_col).cast(target.schema[id_col].dataType)))
-    commit_version(merged.select(*target.columns), table_dir, batch_id)
-    return True
+    spark, source = source.sparkSession, source.checkpoint()
+    for _ in range(COMMIT_TRIES):
+        base, folder = last_version(spark, table_dir)
+        if batch_id is not None and _commits(spark, table_dir).filter(F.col("batch_id") == batch_id).limit(1).count():
+            return False
+        target = spark.read.parquet(f"{table_dir}/{folder}")
+        merged = upsert_by_key(target, source, key, order, only_newer)
+        if id_col and id_col in target.columns and id_col not in source.columns:
+            has = merged.filter(F.col(id_col).isNotNull())
+            new = merged.filter(F.col(id_col).isNull()).drop(id_col)
+            new = assign_id(new, [key, order] if order in merged.columns else [key], start_after=target, col=id_col)
+            merged = has.unionByName(new.withColumn(id_col, F.col(id_col).cast(target.schema[id_col].dataType)))
+        try:
+            commit_version(merged.select(*target.columns), table_dir, batch_id, base)
+            return True
+        except CommitConflict:
+            continue
+    raise CommitConflict(f"{COMMIT_TRIES} tries to commit to {table_dir} met other writers")
 
 
 # --- one ingest run: both branches -> ids -> one append ------------------------

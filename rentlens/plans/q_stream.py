@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import dashboard as dash
+from ..operators.bucket_tables import BucketTable
 from ..operators.tables import commit_version, read_version
 from ..session import scratch_path
 from ..sources import json_payloads as J
 from ..sources.files import read_table
 from ..streaming import listings_stream as S
+from ..streaming.sheets_stream import read_sheets, stream_sheets
 from .q_clean import AS_OF_DATE
+from .q_sheets import ADDITIVE_SQL, AVAILABLE_DAYS
 from .registry import register
-from .standins import RAW_JSON_EXPECTED_SQL, captured_json_path, with_listings
+from .standins import RAW_JSON_EXPECTED_SQL, captured_json_path, silver_listings, with_listings
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -73,6 +77,55 @@ def q_stream_listings(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_rejects", with_listings("""
+SELECT id AS ext_id, concat_ws('; ', CASE WHEN last_updated IS NULL THEN 'unparsable last_updated' END,
+  CASE WHEN id % 97 = 0 THEN 'unparsable price' END,
+  CASE WHEN id % 89 = 0 THEN 'no street_address in building_address' END) AS _reject_reason
+FROM listings WHERE last_updated IS NULL OR id % 97 = 0 OR id % 89 = 0"""))
+def q_stream_rejects(spark, sf_dir):
+    """T1 with a quarantine, run twice: the rejected rows of the payload stream, beside the clean ones."""
+    schema = T.StructType([T.StructField("payload_id", T.LongType()), T.StructField("body", T.StringType())])
+
+    def clean(batch):
+        items = J.read_json_payloads(batch, keep=["payload_id"])
+        items = items.withColumn("ext_id", F.try_variant_get("item", "$.listing_id", "bigint"))
+        return J.clean_json_listings(items, as_of=AS_OF_DATE, keep=["ext_id"])
+
+    out, src = scratch_path(spark, "listings-quarantine"), captured_json_path(spark, sf_dir)
+    for _ in range(2):  # a new checkpoint: every batch is replayed
+        S.stream_quarantine(spark, src, out, schema, clean, max_files_per_trigger=3)
+    return S.read_rejects(spark, out).select("ext_id", "_reject_reason")
+
+
+_MOVED_SQL = with_listings(f""", now AS (SELECT * REPLACE (
+  CASE WHEN id % 7 = 0 THEN n_beds + 1 ELSE n_beds END AS n_beds,
+  CASE WHEN id % 7 = 0 THEN price + 50 WHEN id % 11 = 0 THEN NULL ELSE price END AS price,
+  CASE WHEN id % 14 = 0 THEN 'ASIA' ELSE area END AS area,
+  CASE WHEN id % 21 = 0 THEN NULL ELSE last_updated END AS last_updated) FROM listings)
+SELECT sheet, {", ".join(dash.KEYS)}, n, avg_price FROM ({ADDITIVE_SQL.replace("FROM listings", "FROM now")}) s""")
+
+
+@register("stream_sheets", _MOVED_SQL)
+def q_stream_sheets(spark, sf_dir):
+    """T3 into A1-A5: listings, then changes that move rows between groups, then older rows that change nothing."""
+    L = silver_listings(spark, sf_dir)
+    by = lambda n: F.col("id") % n == 0
+    moved = L.filter(by(7) | by(11)).withColumns({
+        "n_beds": F.when(by(7), F.col("n_beds") + 1).otherwise(F.col("n_beds")),
+        "price": F.when(by(7), F.col("price") + 50).otherwise(F.lit(None).cast("int")),
+        "area": F.when(by(14), "ASIA").otherwise(F.col("area")),
+        "last_updated": F.when(~by(21), F.col("last_updated"))})
+    schema = T.StructType([*L.schema.fields, T.StructField("ingest_seq", T.IntegerType())])
+    table = BucketTable(scratch_path(spark, "sheet-listings"), schema, "id", "ingest_seq", buckets=16)
+    sheets, src, ckpt = scratch_path(spark, "sheets"), scratch_path(spark, "changes-in"), scratch_path(spark, "ckpt-sheets")
+    # Newest first for some; the first capture of the others before their change.
+    lots = [(moved.filter("id % 2 = 0"), 2), (L, 1), (moved.filter("id % 2 = 1"), 2), (L.filter("id % 3 = 0"), 0)]
+    for rows, seq in lots:
+        rows.withColumn("ingest_seq", F.lit(seq)).write.mode("append").parquet(src)
+        stream_sheets(S.read_stream_files(spark, src, schema), table, sheets, AVAILABLE_DAYS, checkpoint=ckpt)
+    return read_sheets(spark, sheets)
+
+
 def _in_two_runs(spark, sf_dir, first, second, start):
     """Event files arrive in two lots; one stream (one checkpoint) runs after each."""
     ev = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

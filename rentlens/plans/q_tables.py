@@ -6,13 +6,16 @@ import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import tables as W
-from ..schema import LISTING_COLUMNS
+from ..operators.bucket_tables import BucketTable, create_buckets, read_buckets, upsert_buckets
+from ..operators.filters import apply_selection
+from ..schema import JSON_TAGS, LISTING_COLUMNS
 from ..session import scratch_path
 from ..sources import html_pages as H
 from ..sources import json_payloads as J
-from ..sources.files import read_back, read_table
+from ..sources.files import empty_listings, read_back, read_table, rows_to_frame
 from .q_clean import AS_OF_DATE, _json_clean
 from .q_html import _kept_cards
 from .registry import register
@@ -172,6 +175,48 @@ def q_upsert_versions(spark, sf_dir):
     return W.read_version(spark, table)
 
 
+@register("local_members", with_listings("""
+SELECT area, count(*) AS n_rows FROM listings WHERE area IN ('ASIA', 'EUROPE') AND n_beds = 2 GROUP BY area"""))
+def q_local_members(spark, sf_dir):
+    """R8 + R9: listings added to the empty table, and a selection given as local rows."""
+    L = W.union_sources(empty_listings(spark), silver_listings(spark, sf_dir))
+    schema = T.StructType([T.StructField("area", T.StringType()), T.StructField("n_beds", T.DoubleType())])
+    picked = rows_to_frame(spark, [("ASIA", 2.0), ("EUROPE", 2.0), (None, 1e9)], schema)
+    return apply_selection(L, picked, ["area", "n_beds"]).groupBy("area").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_TAGGED = {dst: dst if dst in LISTING_COLUMNS else None for dst in JSON_TAGS}
+
+
+@register("rename_by_tagmap", with_listings(
+    "SELECT id, " + ", ".join(f"CAST({c or 'NULL'} AS VARCHAR) AS {dst}" for dst, c in _TAGGED.items()) + " FROM listings"))
+def q_rename_by_tagmap(spark, sf_dir):
+    """Columns under the payload's key names become the table's names."""
+    L = silver_listings(spark, sf_dir)
+    item = F.struct(*[(F.col(c) if c else F.lit(None)).cast("string").alias(JSON_TAGS[dst]) for dst, c in _TAGGED.items()])
+    keyed = L.select("id", item.alias("item"))
+    return J.rename_by_tagmap(keyed, struct_col="item", keep=["id"])
+
+
+@register("upsert_buckets", with_listings("""
+SELECT id, area, CASE WHEN id % 100 = 7 AND id % 200 <> 7 THEN price + 9 WHEN id % 100 = 7 THEN price + 5 ELSE price END AS price
+FROM listings
+UNION ALL SELECT -id, area, price FROM listings WHERE id % 100 = 7"""))
+def q_upsert_buckets(spark, sf_dir):
+    """W3 in key buckets: updates of 1 % of the ids, as many new ids, a late older batch, and a replay."""
+    L = silver_listings(spark, sf_dir).select("id", "area", "price", F.lit(0).alias("ingest_seq"))
+    table = BucketTable(scratch_path(spark, "bucket-table"), L.schema, "id", "ingest_seq", buckets=32)
+    create_buckets(L, table)
+    some = L.filter("id % 100 = 7")
+    updates = some.withColumns({"price": F.col("price") + 9, "ingest_seq": F.lit(2)})
+    newest = some.filter("id % 200 = 7").withColumns({"price": F.col("price") + 5, "ingest_seq": F.lit(3)})
+    late = some.withColumns({"price": F.col("price") + 1, "ingest_seq": F.lit(1)})
+    new = some.withColumn("id", -F.col("id"))
+    for batch_id, batch in enumerate((newest, W.union_sources(updates, new), late, late)):
+        upsert_buckets(batch, table, min(batch_id, 2))
+    return read_buckets(spark, table).drop("ingest_seq")
+
+
 @register("append_rerun", """
 SELECT p_partkey, p_name, count(*) AS n_copies FROM (SELECT * FROM part UNION ALL SELECT * FROM part) t
 GROUP BY p_partkey, p_name""")

@@ -58,3 +58,42 @@ def rows_to_frame(spark: SparkSession, rows, schema: T.StructType = LISTINGS) ->
 def read_back(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Load a written table."""
     return spark.read.format(fmt).load(path)
+
+
+# --- folders, by Spark's own file system classes (any store Spark reads) -----
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, p = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has been committed."""
+    return "_SUCCESS" in list_names(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one (then False): of several writers one succeeds."""
+    from py4j.protocol import Py4JJavaError
+
+    fs, p = _hadoop_path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True

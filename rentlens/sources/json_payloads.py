@@ -51,10 +51,10 @@ def payload_rejects(df: DataFrame, body_col: str = "body", keep=()) -> DataFrame
     return df.select(*keep, reason.alias("_reject_reason")).filter(F.col("_reject_reason").isNotNull())
 
 
-def rename_by_tagmap(df: DataFrame, tags: dict = JSON_TAGS, struct_col: str | None = None) -> DataFrame:
+def rename_by_tagmap(df: DataFrame, tags: dict = JSON_TAGS, struct_col: str | None = None, keep=()) -> DataFrame:
     """Destination names from source keys (for struct/columnar inputs)."""
     src = (lambda k: F.col(f"{struct_col}.{k}")) if struct_col else F.col
-    return df.select(*[src(k).alias(dst) for dst, k in tags.items()])
+    return df.select(*keep, *[src(k).alias(dst) for dst, k in tags.items()])
 
 
 def _path(field: str) -> str:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.bucket_tables import BucketTable, upsert_buckets
 from ..operators.tables import upsert_table
 from ..operators.windows import latest_per_key
 from ..session import scratch_path
@@ -47,6 +48,35 @@ def stream_ingest(spark: SparkSession, in_dir: str, out_dir: str, schema: T.Stru
     q.awaitTermination()
 
 
+def stream_quarantine(spark: SparkSession, in_dir: str, out_dir: str, schema: T.StructType, transform,
+                      checkpoint: str | None = None, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> None:
+    """T1 with both outcomes kept: new files -> ``transform`` -> clean rows and rejects.
+
+    ``transform`` adds ``_reject_reason`` (NULL: a clean row). A micro-batch is
+    evaluated once and written once, apart by outcome, to a folder named by
+    the batch id; a replayed batch rewrites its folder, so neither outcome is
+    lost or doubled. Read with ``read_clean`` and ``read_rejects``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        marked = transform(batch).withColumn("_rejected", F.col("_reject_reason").isNotNull())
+        marked.write.mode("overwrite").partitionBy("_rejected").parquet(delta_path(out_dir, batch_id))
+
+    q = (read_stream_files(spark, in_dir, schema, fmt, max_files_per_trigger).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-quarantine"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def read_clean(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Clean rows of a quarantined ingest (only their folders are scanned)."""
+    return spark.read.parquet(out_dir).filter("_rejected = 'false'").drop("batch", "_rejected", "_reject_reason")
+
+
+def read_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Rejected rows of a quarantined ingest, with their ``_reject_reason``."""
+    return spark.read.parquet(out_dir).filter("_rejected = 'true'").drop("batch", "_rejected")
+
+
 def stream_dedupe(sdf: DataFrame, key, ts: str, delay: str) -> DataFrame:
     """Drop repeats of ``key`` seen within the watermark delay."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -87,7 +117,7 @@ def stream_upsert_table(sdf: DataFrame, table_dir: str, key: str, order: str, ch
 
     Rows are replaced only by newer ones, so the order of the batches does not
     matter, and a replayed batch is known by its id. Each batch rewrites the
-    table; ``stream_upsert`` is the one to take where that costs too much.
+    table; ``stream_upsert_buckets`` and ``stream_upsert`` are the ones to take where that costs too much.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert_table(batch, table_dir, key, order, id_col=None, batch_id=batch_id, only_newer=True)
@@ -98,6 +128,14 @@ def stream_upsert_table(sdf: DataFrame, table_dir: str, key: str, order: str, ch
     q.awaitTermination()
 
 
+def stream_upsert_buckets(sdf: DataFrame, table: BucketTable, checkpoint: str | None = None) -> None:
+    """T3 on a table in key buckets: a micro-batch rewrites only the folders its keys lie in."""
+    q = (sdf.writeStream.foreachBatch(lambda batch, batch_id: upsert_buckets(batch, table, batch_id) and None)
+         .option("checkpointLocation", checkpoint or scratch_path(sdf.sparkSession, "ckpt-buckets"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def read_upserted(spark: SparkSession, table_dir: str, key, order: str,
                   schema: T.StructType | None = None) -> DataFrame:
     """The upserted table: greatest ``order`` per key over all deltas; NULL-key rows kept.

@@ -14,7 +14,7 @@ QUERIES = {name: E.queries()[name] for name in registry.queries()}
 PARSED = {"accumulate", "carry_forward", "html_cards", "html_rejects", "page_agents", "page_cutoff", "union_sources"}
 # Writers, streams and the exact preview run jobs when they are called.
 EAGER = PARSED | {"append_with_id", "append_rerun", "ingest_run", "level_cross_join", "row_limit", "table_roundtrip",
-                  "upsert_versions"}
+                  "upsert_buckets", "upsert_versions"}
 
 
 def plan(df, mode="formatted"):
