@@ -12,8 +12,7 @@ import math
 import numpy as np
 
 _P = 0x9E3779B97F4A7C15
-_LONGEST = 14  # bytes of a piece; longer ones of the vocabulary are not used
-_TOGETHER = 64  # words of up to this many bytes are computed by length, longer ones one by one
+_TOGETHER = 64  # words of up to this many bytes are computed by length, longer ones one by one; no piece is longer
 _ROWS = 8192
 
 
@@ -31,7 +30,7 @@ def read_pieces(path: str) -> dict[bytes, float]:
         if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i):
             continue
         surface = sp.id_to_piece(i).replace("▁", " ").encode()
-        if len(surface) <= _LONGEST and b" " not in surface[1:]:
+        if b" " not in surface[1:]:  # paths do not cross words, so such a piece is on none
             ranked.append((-sp.get_score(i), surface))
     ranked.sort()
     order = [s for _, s in ranked] + [bytes([b]) for b in range(256)]

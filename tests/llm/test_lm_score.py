@@ -47,6 +47,22 @@ def test_marginals_and_expected_counts_sum_all_segmentations():
     assert lat.expected_counts(long).sum() > 0 and len(lat.log_marginals([])) == 0
 
 
+def test_long_pieces_count():
+    """Words whose pieces have up to 25 bytes, against a sum over all segmentations."""
+    pieces = read_pieces(PATH)
+    words = [w.encode() for w in ("университет", "становништво", "административный", "население", "использовать",
+                                  "responsibility", "characteristics", "administration", "representations", "==========", "日本語")]
+
+    def whole(text):
+        total = [1.0] + [0.0] * len(text)
+        for end in range(1, len(text) + 1):
+            total[end] = sum(total[at] * pieces.get(text[at:end], 0.0) for at in range(end))
+        return math.log(total[-1])
+
+    assert max(map(len, pieces)) > 20
+    assert np.allclose(Lattice(pieces).log_marginals(words), [whole(b" " + w) for w in words], rtol=0, atol=1e-9)
+
+
 def test_vocabulary_reads_every_byte():
     pieces = read_pieces(PATH)
     assert all(bytes([b]) in pieces for b in range(256)) and sum(pieces.values()) == pytest.approx(1)
