@@ -4,9 +4,11 @@ Rows and queries are dealt to blocks, and a task meets one block of rows with
 one of queries. A block's rows get one component more, which lifts them all to
 the length of its longest, and a query is scaled to that length, so that the
 largest inner product becomes the smallest distance; then each is projected on
-``m`` random lines. A query's window on a line is centred on its own projection,
-and virtual rehashing widens all windows step by step. A row that lies in at least ``threshold`` of the windows is
-verified by the exact inner product. A query is done with a block when the
+``m`` random lines, and the projections of a line are kept as a sorted array. A
+query's window on a line is centred on its own projection, and virtual rehashing
+widens all windows step by step: two places a line move outwards over the sorted
+array, and the rows they pass are counted. A row that has collided on at least
+``threshold`` of the lines is verified by the exact inner product. A query is done with a block when the
 windows are so wide that a row no further than the k-th best verified one lies
 in ``threshold`` of them with a chance of ``RECALL`` (or all rows lie in all
 windows): on random lines that chance depends on distance and window alone,
@@ -21,7 +23,10 @@ smaller vec_id.
 Defined cases: vectors that are NULL, zero, or hold NULL or non-finite
 components take no part, nor do those whose length differs from the commonest;
 rows that repeat a vec_id are all candidates, except for a query's own vec_id;
-fewer candidates than k: all; an empty table gives no rows.
+fewer candidates than k: all; an empty table gives no rows. Components of any
+finite size take part: blocks are scaled before anything is squared. A product
+too large for a double is infinite, one too small is zero, none is NaN. Columns
+beside vec_id and the vectors are not read, so they may have any name.
 """
 
 from __future__ import annotations
@@ -40,10 +45,10 @@ ROW_BLOCK, QUERY_BLOCK = 8192, 1024
 # Share of the windows that must hold a row before it is verified.
 THRESHOLD = 0.5
 # Chance that a row at the k-th best distance is verified before a query is done.
-RECALL = 0.999
+RECALL = 0.97
 PIECE = 256
 # Of the first window, in lengths of the block's longest row, and of each step.
-FIRST_WIDTH, GROWTH = 0.16, 1.2
+FIRST_WIDTH, GROWTH = 0.02, 1.8
 
 
 def usable(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
@@ -76,37 +81,69 @@ def reach_factor(dim: int, m: int, threshold: int) -> float:
 
 
 class Block:
-    """Rows of one block with their projections, in lengths of the longest row."""
+    """Rows of one block as sorted projections, in lengths of the longest row."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, lines: np.ndarray):
         self.ids, self.x = ids, x
-        self.length = math.sqrt(float(np.einsum("ij,ij->i", x, x).max()))
-        unit = x / self.length
+        # Scaled by the largest component first, so that no square leaves the range of doubles.
+        self.scale = float(np.abs(x).max())
+        unit = x / self.scale
+        self.length = math.sqrt(float(np.einsum("ij,ij->i", unit, unit).max()))
+        unit /= self.length
         lift = np.sqrt(np.maximum(1.0 - np.einsum("ij,ij->i", unit, unit), 0.0))
-        self.h = np.ascontiguousarray((np.concatenate((unit, lift[:, None]), axis=1) @ lines).T.astype(np.float32))
+        h = (np.concatenate((unit, lift[:, None]), axis=1) @ lines).T
+        # One array for all lines: they lie between -1 and 1, so a step of 4 keeps them apart.
+        self.line = 4.0 * np.arange(len(h))
+        self.order = np.argsort(h, axis=1).astype(np.int32).ravel()
+        self.sorted = (np.sort(h, axis=1) + self.line[:, None]).ravel()
+
+    def _products(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Inner products in double precision, each row summed alone; beyond its range they are infinite, never NaN."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            out = np.concatenate([(self.x[rows[i:i + PIECE]] * q).sum(axis=1) for i in range(0, len(rows), PIECE)] or [np.zeros(0)])
+            odd = np.flatnonzero(~np.isfinite(out))
+            if len(odd):
+                top = float(np.abs(q).max())
+                small = (self.x[rows[odd]] / self.scale * (q / top)).sum(axis=1)
+                out[odd] = small * self.scale * top
+        return out
 
     def search(self, own: int, q: np.ndarray, lines: np.ndarray, k: int, threshold: int, factor: float) -> list[tuple[float, int]]:
         """The best k of the verified rows as (score, id), best first."""
-        norm = max(math.sqrt(float(q @ q)), 1e-300)
-        away = np.abs(self.h - ((q / norm) @ lines[:-1]).astype(np.float32)[:, None])
-        farthest = float(away.max())
-        waiting = self.ids != own
+        n, top = len(self.ids), float(np.abs(q).max())
+        unit = q / top
+        norm = math.sqrt(float(unit @ unit))
+        unit /= norm
+        centre, first = unit @ lines[:-1] + self.line, n * np.arange(len(self.line))
+        lo = hi = np.clip(np.searchsorted(self.sorted, centre), first, first + n)
+        count, waiting = np.zeros(n, np.int64), self.ids != own
         rows, score = np.zeros(0, np.int64), np.zeros(0)
+        # A score in lengths of the query and of the longest row, unless that leaves the range of doubles.
+        whole = norm * top * self.length * self.scale
         width = FIRST_WIDTH
         while True:
-            count = np.add.reduce((away <= np.float32(width)).view(np.uint8), axis=0, dtype=np.uint16)
+            # The windows grow to both sides; only rows that come in are counted.
+            below = np.clip(np.searchsorted(self.sorted, centre - width, "left"), first, lo)
+            above = np.clip(np.searchsorted(self.sorted, centre + width, "right"), hi, first + n)
+            new = [self.order[a:b] for a, b in zip(below.tolist(), lo.tolist()) if a < b]
+            new += [self.order[a:b] for a, b in zip(hi.tolist(), above.tolist()) if a < b]
+            lo, hi = below, above
+            if new:
+                count += np.bincount(np.concatenate(new), minlength=n)
             met = np.flatnonzero((count >= threshold) & waiting)
             waiting[met] = False
-            # In pieces that stay in the processor's cache; each row is summed alone.
-            exact = [(self.x[met[i:i + PIECE]] * q).sum(axis=1) for i in range(0, len(met), PIECE)]
-            rows, score = np.concatenate((rows, met)), np.concatenate((score, *exact))
-            if width > farthest:
+            rows, score = np.concatenate((rows, met)), np.concatenate((score, self._products(met, q)))
+            if (hi - lo == n).all():
                 break
             wide = width * GROWTH
             if len(rows) >= k:
                 # Distance of the k-th best; the floor covers the rounding of equal vectors.
-                least = float(np.partition(score, len(score) - k)[len(score) - k])
-                bound = factor * math.sqrt(max(2 - 2 * least / norm / self.length, 1e-10))
+                if 1e-280 < whole < 1e280:
+                    least = float(np.partition(score, len(score) - k)[len(score) - k]) / whole
+                else:
+                    near = (self.x[rows] / self.scale) @ unit / self.length
+                    least = float(np.partition(near, len(near) - k)[len(near) - k])
+                bound = factor * math.sqrt(max(2 - 2 * least, 1e-10))
                 if width >= bound:
                     break
                 wide = min(wide, bound)

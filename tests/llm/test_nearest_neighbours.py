@@ -86,3 +86,30 @@ def test_recall_in_a_full_block_of_unequal_lengths(spark):
             got.setdefault(r.query_id, set()).add(r.vec_id)
         hits = [len(got[q] & {w[0] for w in brute(ids, x, x[q], q, 20)}) for q in ids[::200].tolist()]
         assert sum(hits) / (20 * len(hits)) >= 0.98, name
+
+
+def test_any_finite_size_ends_and_gives_numbers(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 5))
+    for name, size in {"tiny": 1e-170, "huge": 1e200, "least": 5e-324, "mixed": None}.items():
+        rows = x * (np.where(np.arange(120) % 2, 1e-170, 1e180)[:, None] if size is None else size)
+        rows[np.abs(rows).max(axis=1) == 0] = size
+        got = {}
+        df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in enumerate(rows)], VEC)
+        for r in N.nearest(df, k=5).collect():
+            got.setdefault(r.query_id, []).append(r.score)
+        assert set(got) == set(range(0, 120, 20)) and all(len(s) == 5 and not any(map(np.isnan, s)) for s in got.values()), name
+
+
+def test_clustered_rows_are_filtered(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(100, 64))
+    x = np.repeat(centres, 40, axis=0) + 0.02 * rng.normal(size=(4000, 64))
+    lines, ids = N.projections(64, N.PROJECTIONS), np.arange(4000)
+    block, factor = N.Block(ids, x, lines), N.reach_factor(64, N.PROJECTIONS, 24)
+    hit = verified = 0
+    for own in range(0, 4000, 100):
+        found = block.search(own, x[own], lines, 20, 24, factor)
+        hit += len({i for _, i in found} & {i for i, _ in brute(ids, x, x[own], own, 20)})
+        verified += block.verified
+    assert hit / (40 * 20) >= 0.9 and verified / (40 * 4000) < 0.5, (hit, verified)
