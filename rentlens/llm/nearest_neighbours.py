@@ -94,7 +94,7 @@ class Block:
         h = (np.concatenate((unit, lift[:, None]), axis=1) @ lines).T
         # One array for all lines: they lie between -1 and 1, so a step of 4 keeps them apart.
         self.line = 4.0 * np.arange(len(h))
-        self.order = np.argsort(h, axis=1).astype(np.int32).ravel()
+        self.order = np.argsort(h, axis=1).ravel()
         self.sorted = (np.sort(h, axis=1) + self.line[:, None]).ravel()
 
     def _products(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -116,7 +116,7 @@ class Block:
         unit /= norm
         centre, first = unit @ lines[:-1] + self.line, n * np.arange(len(self.line))
         lo = hi = np.clip(np.searchsorted(self.sorted, centre), first, first + n)
-        count, waiting = np.zeros(n, np.int64), self.ids != own
+        count, waiting = np.zeros(n, np.int16), self.ids != own
         rows, score = np.zeros(0, np.int64), np.zeros(0)
         # A score in lengths of the query and of the longest row, unless that leaves the range of doubles.
         whole = norm * top * self.length * self.scale
@@ -129,7 +129,7 @@ class Block:
             new += [self.order[a:b] for a, b in zip(hi.tolist(), above.tolist()) if a < b]
             lo, hi = below, above
             if new:
-                count += np.bincount(np.concatenate(new), minlength=n)
+                count += np.bincount(np.concatenate(new), minlength=n).astype(np.int16)
             met = np.flatnonzero((count >= threshold) & waiting)
             waiting[met] = False
             rows, score = np.concatenate((rows, met)), np.concatenate((score, self._products(met, q)))
@@ -149,8 +149,12 @@ class Block:
                 wide = min(wide, bound)
             width = wide
         self.verified = len(rows)
-        best = np.lexsort((self.ids[rows], -score))[:k]
-        return list(zip(score[best].tolist(), self.ids[rows][best].tolist()))
+        if len(rows) > k:  # the k-th best and what ties with it
+            best = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+            rows, score = rows[best], score[best]
+        ids = self.ids[rows]
+        best = np.lexsort((ids, -score))[:k]
+        return list(zip(score[best].tolist(), ids[best].tolist()))
 
 
 def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
