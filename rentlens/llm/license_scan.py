@@ -13,8 +13,9 @@ enough priority when the greatest end seen so far at that priority reaches
 its own end.
 
 Defined cases: a NULL text counts as empty; a text without words has no
-detections; of equal intervals at one priority the first rule stays; repeated
-rows are scanned alike. Other columns are carried through untouched unless
+detections; a text is read whole, and one with very many detections takes time
+in proportion to their number times its root; of equal intervals at one priority
+the first rule stays; repeated rows are scanned alike. Other columns are carried through untouched unless
 they share an output name, where the output wins.
 
 Only DataFrame functions run here.
@@ -31,6 +32,8 @@ from .license_rules import LicenseRule, build_rules
 # Runs between words: every ASCII character but digits and lower-case letters.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PRIORITIES = 3
+# Lists of up to this many items are folded whole.
+WHOLE_FOLD = 256
 
 
 def normalised(text) -> Column:
@@ -50,15 +53,52 @@ def _matches(norm: Column, rule: Column) -> Column:
     # Text between matches and the matches themselves, as counts of spaces.
     steps = F.zip_with(F.split(norm, regex, -1), found, lambda gap, hit: F.struct(
         F.coalesce(_spaces(gap), F.lit(0)).alias("gap"), _spaces(hit).alias("hit")))
-    start = F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    at = F.struct(F.lit(-1).alias("at"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
 
-    def step(acc, s):
-        a = acc["at"] + s["gap"]
+    def move(state, s):
+        return F.struct((state["at"] + s["gap"] + F.coalesce(s["hit"], F.lit(0))).alias("at"))
+
+    def hit(state, s):
+        a = state["at"] + s["gap"]
         one = F.array(F.struct(a.alias("start"), (a + s["hit"] + 1).alias("end")))
-        return F.struct((a + F.coalesce(s["hit"], F.lit(0))).alias("at"),
-                        F.when(s["hit"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], one)).alias("out"))
+        return F.when(s["hit"].isNull(), none).otherwise(one)
+
+    return _running(steps, at, move, hit, none)
+
+
+def _running(items: Column, state: Column, move, emit, none: Column) -> Column:
+    """What ``emit(state, item)`` gives along the items, the state going on by ``move(state, item)``.
+
+    Appending to a fold's result copies what it holds, so a long list is folded
+    in pieces of about the root of its length: first each piece's starting
+    state, then the pieces, each from its own.
+    """
+    def fold(xs, first):
+        return F.aggregate(
+            xs, F.struct(first.alias("state"), none.alias("out")),
+            lambda acc, x: F.struct(move(acc["state"], x).alias("state"),
+                                    F.concat(acc["out"], emit(acc["state"], x)).alias("out")),
+            lambda acc: acc["out"])
+
+    def cut(xs):
+        size = F.ceil(F.sqrt(F.size(xs))).cast("int")
+        return F.transform(F.sequence(F.lit(0), ((F.size(xs) - 1) / size).cast("int")), lambda i: F.slice(xs, i * size + 1, size))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    def by_piece(pieces):
+        starts = F.aggregate(
+            pieces, F.struct(state.alias("state"), F.slice(F.array(state), 1, 0).alias("all")),
+            lambda acc, xs: F.struct(F.aggregate(xs, acc["state"], move).alias("state"),
+                                     F.concat(acc["all"], F.array(acc["state"])).alias("all")),
+            lambda acc: acc["all"])
+        return F.flatten(F.zip_with(pieces, starts, fold))
+
+    return _bound(items, lambda xs: F.when(F.size(xs) <= WHOLE_FOLD, fold(xs, state)).otherwise(_bound(cut(xs), by_piece)))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, the value being computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _resolve(dets: Column) -> Column:
@@ -66,21 +106,21 @@ def _resolve(dets: Column) -> Column:
     order = F.sort_array(F.transform(dets, lambda d: F.struct(
         d["start"].alias("start"), (-d["end"]).alias("neg_end"), d["priority"].alias("priority"),
         d["rule"].alias("rule"))))
-    zero = F.struct(*[F.lit(-1).alias(f"e{p}") for p in range(PRIORITIES)],
-                    F.array().cast("array<struct<start:int,end:int,rule:int>>").alias("kept"))
+    ends = F.struct(*[F.lit(-1).alias(f"e{p}") for p in range(PRIORITIES)])
+    none = F.array().cast("array<struct<start:int,end:int,rule:int>>")
+
+    def move(state, d):
+        return F.struct(*[F.when(d["priority"] == p, F.greatest(state[f"e{p}"], -d["neg_end"])).otherwise(state[f"e{p}"])
+                          .alias(f"e{p}") for p in range(PRIORITIES)])
 
-    def step(acc, d):
-        end = -d["neg_end"]
+    def keep(state, d):
         reach = F.lit(-1)
         for p in range(PRIORITIES):
-            reach = F.greatest(reach, F.when(d["priority"] >= p, acc[f"e{p}"]).otherwise(F.lit(-1)))
-        one = F.array(F.struct(d["start"].alias("start"), end.alias("end"), d["rule"].alias("rule")))
-        return F.struct(
-            *[F.when(d["priority"] == p, F.greatest(acc[f"e{p}"], end)).otherwise(acc[f"e{p}"]).alias(f"e{p}")
-              for p in range(PRIORITIES)],
-            F.when(reach >= end, acc["kept"]).otherwise(F.concat(acc["kept"], one)).alias("kept"))
-
-    return F.aggregate(order, zero, step, lambda acc: acc["kept"])
+            reach = F.greatest(reach, F.when(d["priority"] >= p, state[f"e{p}"]).otherwise(F.lit(-1)))
+        one = F.array(F.struct(d["start"].alias("start"), (-d["neg_end"]).alias("end"), d["rule"].alias("rule")))
+        return F.when(reach >= -d["neg_end"], none).otherwise(one)
+
+    return _running(order, ends, move, keep, none)
 
 
 def _rules_column(rules: list[LicenseRule]) -> Column:

@@ -94,3 +94,17 @@ def test_the_keyword_gate_loses_nothing():
     for r in build_rules():
         regex = re.compile(f"(?<= )(?:{r.regex})(?= )")
         assert all(f" {r.keyword} " in n for n in norms if regex.search(n)), r.name
+
+
+def test_many_detections_take_less_than_square_time(spark):
+    import time
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "mit license " * n)], "doc_id long, text string")
+        began = time.time()
+        r = license_report(df).first()
+        assert (r.n_base, r.first_word, r.last_word, r.n_words) == (n, 0, 2 * (n - 1), 2 * n) and r.n_kept == n
+        return time.time() - began
+
+    seconds(1000)
+    assert seconds(16000) < 6 * max(seconds(4000), 0.5)
