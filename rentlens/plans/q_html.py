@@ -48,9 +48,12 @@ def q_html_rejects(spark, sf_dir):
     return bad.select("source_id", "page_num", "pos", "_reject_reason")
 
 
-@register("page_cutoff", with_listings(f""", {RAW_HTML_CARDS_SQL}
+PAGE_CUTOFF_SQL = with_listings(f""", {RAW_HTML_CARDS_SQL}
 SELECT source_id, CAST(CASE WHEN source_id = 'src0' THEN n ELSE n + 1 END AS INTEGER) AS last_page
-FROM npages"""))
+FROM npages""")
+
+
+@register("page_cutoff", PAGE_CUTOFF_SQL)
 def q_page_cutoff(spark, sf_dir):
     _, cutoff = _kept_cards(spark, sf_dir)
     return cutoff

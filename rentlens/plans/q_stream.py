@@ -12,11 +12,13 @@ from ..session import scratch_path
 from ..sources import json_payloads as J
 from ..sources.files import read_table
 from ..streaming import listings_stream as S
+from ..streaming.crawl_stream import read_page_cutoff, stream_page_cutoff
 from ..streaming.sheets_stream import read_sheets, stream_sheets
 from .q_clean import AS_OF_DATE
+from .q_html import PAGE_CUTOFF_SQL
 from .q_sheets import ADDITIVE_SQL, AVAILABLE_DAYS
 from .registry import register
-from .standins import RAW_JSON_EXPECTED_SQL, captured_json_path, silver_listings, with_listings
+from .standins import RAW_JSON_EXPECTED_SQL, captured_html_pages, captured_json_path, silver_listings, with_listings
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -126,6 +128,18 @@ def q_stream_sheets(spark, sf_dir):
     return read_sheets(spark, sheets)
 
 
+@register("stream_page_cutoff", PAGE_CUTOFF_SQL)
+def q_stream_page_cutoff(spark, sf_dir):
+    """R6/N1 over two runs of one stream; every third page of a source comes with the second."""
+    pages = captured_html_pages(spark, sf_dir).select("source_id", "page_num", "html")
+    src, out = scratch_path(spark, "pages-lots"), scratch_path(spark, "crawl-stands")
+    ckpt = scratch_path(spark, "ckpt-crawl")
+    for lot in ("page_num % 3 != 0", "page_num % 3 = 0"):
+        pages.filter(lot).write.mode("append").parquet(src)
+        stream_page_cutoff(S.read_stream_files(spark, src, pages.schema, max_files_per_trigger=20), out, ckpt)
+    return read_page_cutoff(spark, out).select("source_id", "last_page")
+
+
 def _in_two_runs(spark, sf_dir, first, second, start):
     """Event files arrive in two lots; one stream (one checkpoint) runs after each."""
     ev = read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
