@@ -65,9 +65,48 @@ def test_query(spark):
         assert r.contaminated == (hit > 0 and 20 * hit >= n)
 
 
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+
+
+def test_a_large_benchmark_reads_the_documents_no_more_often(spark, prose, tmp_path):
+    """The join road's plan does not grow with the benchmark, and it collects no windows."""
+    docs = spark.createDataFrame([(i, prose(60)) for i in range(20)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    seen = []
+    for n in (5, 200):
+        bench = spark.createDataFrame([(i, prose(40)) for i in range(n)], "item_id long, text string")
+        seen.append(scans(D.decontaminate(docs, bench, ["doc_id"], block_bytes=0)))
+    assert seen[0] == seen[1]
+
+
+def test_bit_map_holds_every_shingle(spark, prose, monkeypatch):
+    monkeypatch.setattr(D, "BITS", 1 << 10)
+    w = D.Words(prose(400))
+    known = D.bit_map(spark.createDataFrame([(s.decode(),) for s in w.shingles(5)[::2]], "s string"))
+    assert len(known) == 128
+    assert {s for s in w.shingles(5)[::2]} <= {s for _, s in D.met(w, 5, known)}
+
+
+@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 0])
+def test_columns_of_any_name(spark, prose, block_bytes):
+    text = prose(30)
+    docs = spark.createDataFrame([(1, text, 5, "s", "i", "k", 0, "c")],
+                                 "doc_id long, text string, _n_words int, _spans string, _items string, key string, n int, c0 string")
+    bench = spark.createDataFrame([(1, text, 9)], "item_id long, text string, w int")
+    r = D.decontaminate(docs, bench, docs.columns, block_bytes=block_bytes)
+    assert r.columns == [*docs.columns, "__n_words", "__spans", "__items"] == [*docs.columns, *D.result_names(docs.columns)]
+    got = r.first()
+    assert (got["_n_words"], got["_spans"], got["key"], got["c0"]) == (5, "s", "k", "c")
+    assert (got["__n_words"], [tuple(x) for x in got["__spans"]], got["__items"]) == (30, [(0, 30)], ["1"])
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
+    assert [(r._n_words, list(r._spans), r._items) for r in D.decontaminate(docs, bench, ["doc_id"], block_bytes=-1).collect()] == [
+        (2, [], [])]
     assert [(r._n_words, list(r._spans)) for r in D.decontaminate(docs, bench, ["doc_id"]).collect()] == [(2, [])]
     one = spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert D.decontaminate(docs.limit(0), one, ["doc_id"]).count() == 0
