@@ -22,7 +22,8 @@ the share of it that was chosen.
 Defined cases: NULL texts and texts without words get the score of an empty
 bag (the softmax bias); repeated rows score alike; a NULL label or one without a
 document is not learned from; without labelled rows of both kinds all scores
-are the share of toxic labels (0 without labels). Extra columns are not read.
+are the share of toxic labels (0 without labels). Extra columns are not read;
+carried ones may have any name.
 """
 
 from __future__ import annotations
@@ -31,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_crc
+from .common import carried, given_back, id_crc
 
 NGRAMS = (3, 4, 5)
 BUCKET_BITS = 17
@@ -230,8 +232,10 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
 
     for t in steps:
         vec = np.stack([np.add.reduceat(emb[:, d][fb], word_at) for d in range(DIM)], axis=1) / count[:, None]
-        cum = np.concatenate((np.zeros((1, DIM)), np.cumsum(vec[flat], axis=0, dtype=np.float64)))
-        mean = ((cum[ends] - cum[starts]) / lengths[:, None]).astype(np.float32)
+        mean = np.empty((len(starts), DIM), np.float32)
+        for d in range(DIM):  # one dimension at a time: the sample's words several times over are most of the driver's memory
+            cum = np.concatenate(([0.0], np.cumsum(vec[flat, d], dtype=np.float64)))
+            mean[:, d] = (cum[ends] - cum[starts]) / lengths
         logit = mean @ soft + bias
         z = (logit[:, 1] - logit[:, 0]).astype(np.float64)
         # A document's gradient is shared among its windows by a softmax that sharpens.
@@ -244,13 +248,10 @@ def _fit(params, state, texts: list[str], y: np.ndarray, weight: np.ndarray, ste
         grads_soft, grads_bias = mean.T @ gl, gl.sum(axis=0)
         gm = (gl @ soft.T) / lengths[:, None]
         # Windows hand their gradient to their words by differences, words to buckets.
-        diff = np.zeros((len(flat) + 1, DIM))
-        for d in range(DIM):
-            diff[:, d] = np.bincount(starts, gm[:, d], len(flat) + 1) - np.bincount(ends, gm[:, d], len(flat) + 1)
-        at = np.cumsum(diff[:-1], axis=0)
         grad_emb = np.empty_like(emb)
         for d in range(DIM):
-            gw = np.bincount(flat, at[:, d], len(index)) / count
+            diff = np.bincount(starts, gm[:, d], len(flat) + 1) - np.bincount(ends, gm[:, d], len(flat) + 1)
+            gw = np.bincount(flat, np.cumsum(diff[:-1]), len(index)) / count
             grad_emb[:, d] = np.bincount(fb, gw[fw], 1 << BUCKET_BITS)
         # Momentum with steps of a set length per parameter: unlike a step scaled for
         # each bucket, it moves a word by how many documents speak for it.
@@ -294,19 +295,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_mod: int = 4, held: i
     rows = src.join(F.broadcast(ids), ["doc_id", "t"]).select(
         "h", "doc_id", "t", "toxic", F.length("text").alias("n"), passages(F.col("text"), F.col("t"), MAX_CHARS).alias("fit"),
         F.when(F.col("toxic") == 0, passages(F.col("text"), F.col("t"), POOL_CHARS)).alias("pool"))
-    found = sorted({(r.h, r.doc_id, r.t): r for r in rows.collect()}.items(), key=lambda x: x[0])
-    toxic = [r for _, r in found if r.toxic == 1]
-    clean = [r for _, r in found if r.toxic == 0]
-    used = toxic + clean[:MAX_CLEAN]
-    return {"texts": [r.fit for r in used], "toxic": [int(r.toxic) for r in used], "pool": [r.pool for r in clean],
-            "share": share, "seen": [min(1.0, len(r.fit) / r.n) for r in used]}
+    # A row that is repeated comes once, so the driver holds the sample and no more.
+    found = rows.dropDuplicates(["doc_id", "t"]).toArrow().sort_by([(c, "ascending") for c in ("h", "doc_id", "t")])
+    toxic, clean = (found.filter(pc.field("toxic") == label) for label in (1, 0))
+    used = pa.concat_tables([toxic, clean.slice(0, MAX_CLEAN)])
+    texts = used["fit"].to_pylist()
+    return {"texts": texts, "toxic": used["toxic"].cast(pa.int64()).to_pylist(), "pool": clean["pool"].to_pylist(),
+            "share": share, "seen": [min(1.0, len(t) / n) for t, n in zip(texts, used["n"].to_pylist())]}
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], carry: list[str], score: str = "score") -> DataFrame:
     """``carry`` columns and the score (0 to 1) of every row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__whole_text"))
-    schema = T.StructType([docs.schema[c] for c in carry]).add(score, "double")
+    src, kept = carried(docs, carry, "text")
+    schema = T.StructType(kept.fields).add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
@@ -318,4 +320,4 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, float], carry: lis
             col = pa.array(1 / (1 + np.exp(-np.clip(out, -50, 50))))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], col], names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return given_back(src.mapInArrow(run, schema), carry, [F.col("score").alias(score)])
