@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import column, free_name, staged
 from .components import connected_components
 
 BITS = 64
@@ -136,12 +136,11 @@ def simhash_components(docs: DataFrame, carry: list[str], shingle: int = 3, radi
 
 def keep_one_per_component(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """Rows of ``docs``, one per component: the smallest doc_id, then the smallest row hash."""
-    row, key = "__row_hash", "__row_id"
-    hashed = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().startswith("map")])
+    row, key = (free_name(docs.columns, c) for c in ("_row_hash", "_row_id"))
+    hashed = F.xxhash64(*[column(f.name) for f in docs.schema if not f.dataType.simpleString().startswith("map")])
     keyed = docs.withColumn(row, hashed).withColumn(key, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     marked = simhash_components(keyed, ["doc_id", row, key], shingle, radius)
     keep = (marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row, key)).alias("k"))
             .select(F.col(f"k.{row}").alias(row), F.col(f"k.{key}").alias(key)))
-    # The join and the pick among identical rows share one shuffle.
-    same = keyed.join(keep.hint("shuffle_hash"), [row, key], "left_semi")
-    return same.dropDuplicates([row, key]).drop(row, key)
+    # Copies of a row are dropped before its texts are shuffled (each map task sends one); the join shares that shuffle.
+    return keyed.dropDuplicates([row, key]).join(keep.hint("shuffle_hash"), [row, key], "left_semi").drop(row, key)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import column, free_name, staged
 
 MIN_WORDS = 50
 SEED = 25
@@ -392,14 +392,14 @@ def remove_duplicates(docs: DataFrame) -> DataFrame:
     Documents of which nothing is left go; ``n_chars`` follows the text where
     the column exists. Texts without duplicates are unchanged.
     """
-    names, key, cuts = docs.columns, "__text_key", "__cuts"
-    spans = (shared_spans(docs).filter("duplicate").groupBy("doc_id", F.col("key").alias(key))
-             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts))
-             .withColumnRenamed("doc_id", "__doc"))
+    names = docs.columns
+    key, cuts, doc = (free_name(names, c) for c in ("_text_key", "_cuts", "_doc"))
+    spans = (shared_spans(docs).filter("duplicate").groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key))
+             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts)))
     both = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
-    both = both.join(spans, both["doc_id"].eqNullSafe(spans["__doc"]) & (both[key] == spans[key]), "left").drop(spans[key])
+    both = both.join(spans, both["doc_id"].eqNullSafe(spans[doc]) & (both[key] == spans[key]), "left").drop(spans[key])
     at = names.index("text")
-    keep = both.select(*[F.col(f"`{c}`") for c in names], cuts)
+    keep = both.select(*map(column, names), cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -113,5 +113,9 @@ def test_stages_take_odd_rows(spark):
                 docs = out
     extra = spark.createDataFrame([(5, "x y z", 1, "k", "t", 2, 3)],
                                   "doc_id long, text string, score int, fp string, _text string, key int, root long")
-    for _, stage in P.STAGES[:4]:
-        assert stage(spark, extra, SF_SMALL).collect() == extra.collect()
+    clashing = spark.createDataFrame([(5, "x y z", 1, "a", "b", 2.0, "c", "d", 3)],
+                                     "doc_id long, text string, _n_words int, _spans string, _items string, __score double, "
+                                     "__whole_text string, `a.b` string, t int")
+    for docs in (extra, clashing):
+        for _, stage in P.STAGES[:4]:
+            assert stage(spark, docs, SF_SMALL).collect() == docs.collect()
