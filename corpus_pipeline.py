@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm.common import table
-from rentlens.llm.decontaminate import decontaminate, is_contaminated, span_words
+from rentlens.llm.common import column, free_name, table
+from rentlens.llm.decontaminate import decontaminate, is_contaminated, result_names, span_words
 from rentlens.llm.packing import pack_documents
 from rentlens.llm.simhash_dedup import keep_one_per_component
 from rentlens.llm.suffix_dedup import remove_duplicates
@@ -19,9 +19,10 @@ TOXIC_FROM = 0.3
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the limit. Trained on the labelled rows of the stage's input."""
     model = train(**training_rows(docs, table(spark, sf_dir, "labels")))
-    names, score = docs.columns, "__score"
+    names = docs.columns
+    score = free_name(names, "_score")
     scored = score_documents(docs, model, names, score)
-    return scored.filter(F.col(score) < TOXIC_FROM).select(*[F.col(f"`{c}`") for c in names])
+    return scored.filter(F.col(score) < TOXIC_FROM).select(*map(column, names))
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a telling share of benchmark words."""
     names = docs.columns
     out = decontaminate(docs, table(spark, sf_dir, "benchmark"), names)
-    bad = is_contaminated(F.col("_n_words"), span_words())
-    return out.filter(~bad).select(*[F.col(f"`{c}`") for c in names])
+    n_words, spans, _ = result_names(names)
+    return out.filter(~is_contaminated(F.col(n_words), span_words(spans))).select(*map(column, names))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
