@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, free_name, staged
+from .common import column, free_name, given_back, staged
 
 MIN_WORDS = 50
 SEED = 25
@@ -393,13 +393,14 @@ def remove_duplicates(docs: DataFrame) -> DataFrame:
     the column exists. Texts without duplicates are unchanged.
     """
     names = docs.columns
-    key, cuts, doc = (free_name(names, c) for c in ("_text_key", "_cuts", "_doc"))
-    spans = (shared_spans(docs).filter("duplicate").groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key))
+    key, cuts, doc, cut_key = (free_name(names, c) for c in ("_text_key", "_cuts", "_doc", "_cut_key"))
+    spans = (shared_spans(docs).filter("duplicate").groupBy(F.col("doc_id").alias(doc), F.col("key").alias(cut_key))
              .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cuts)))
     both = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
-    both = both.join(spans, both["doc_id"].eqNullSafe(spans[doc]) & (both[key] == spans[key]), "left").drop(spans[key])
+    both = both.join(spans, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(cut_key)), "left")
     at = names.index("text")
-    keep = both.select(*map(column, names), cuts)
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)])
+    keep = both.select(*[column(c).alias(f.name) for c, f in zip(names, schema)], cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -408,9 +409,9 @@ def remove_duplicates(docs: DataFrame) -> DataFrame:
             cols = b.columns[:-1]
             cols[at] = pa.array(texts, pa.string())
             left = pa.array([c is None or t != "" for t, c in zip(texts, b.column(len(names)).to_pylist())])
-            yield pa.RecordBatch.from_arrays(cols, names=names).filter(left)
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names).filter(left)
 
-    out = keep.mapInArrow(run, docs.schema)
+    out = given_back(keep.mapInArrow(run, schema), names, [])
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
                              .cast(docs.schema["n_chars"].dataType))
