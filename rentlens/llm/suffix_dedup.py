@@ -16,8 +16,8 @@ Of each shared window the document with the smallest doc_id is the owner; its
 occurrences in other documents are duplicates. Repeats inside one document
 alone do not count. Windows are merged into spans.
 
-Seeds that a sample finds to crowd a partition would fill one task. They take
-another road: equal suffixes become one class, each window of a class a row
+Suffixes are first counted by seed, over all documents. Seeds that crowd a
+partition would fill one task. They take another road: equal suffixes become one class, each window of a class a row
 keyed by its hash, owners come from a partial aggregate, and the joins back are
 ones Spark can split. Which road a seed takes does not change the result.
 
@@ -26,8 +26,10 @@ window changes two codes (a miss has odds of 2^-32); at a window's last words it
 changes one, so a span may be a word too long with odds of 2^-16.
 
 Defined cases: words are runs without ASCII white space, case kept; NULL and
-short texts have no windows; rows equal in doc_id and text are one document; a
-NULL doc_id comes last when owners are chosen; empty tables give no spans.
+short texts have no windows; very long texts are read whole, in parts; rows
+equal in doc_id and text are one document, whose spans are given once; a NULL
+doc_id comes last when owners are chosen; empty tables give no spans; extra
+columns are not read, and removal carries them under any name.
 """
 
 from __future__ import annotations
@@ -46,10 +48,9 @@ MIN_WORDS = 50
 SEED = 25
 REACH = MIN_WORDS - SEED  # farthest any window reaches from its seed; also k-grams per window less one
 CHUNK = 1 << 16
-# A seed whose suffixes would fill more than this part of an even shuffle
-# partition, by a sample of documents, takes the other road.
+# A seed whose suffixes fill more than this part of an even shuffle partition
+# takes the other road.
 CROWD = 0.25
-SAMPLE = 2000
 
 _P = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -175,6 +176,15 @@ def _spans_of(seed: np.ndarray, suf: np.ndarray) -> pa.RecordBatch | None:
     seed, suf = seed[some], suf[some]
     if not len(suf):
         return None
+    # A repeated row's suffixes count once.
+    parts = [seed, *(suf[c].astype(np.uint64) for c in ("null", "doc", "key", "pos"))]
+    hashed = np.zeros(len(suf), np.uint64)
+    for x in parts:
+        hashed = _mix((hashed + x) * _MUL)
+    if len(np.unique(hashed)) < len(hashed):
+        order = np.lexsort(parts[::-1])
+        new = np.concatenate(([True], np.any([x[order][1:] != x[order][:-1] for x in parts], axis=0)))
+        seed, suf = seed[order[new]], suf[order[new]]
     owner = shared_windows(seed, suf)
     docs, rank = np.unique(suf[["null", "doc", "key"]], return_inverse=True)
     # Runs of d with one owner make one span.
@@ -190,21 +200,33 @@ def _spans_of(seed: np.ndarray, suf: np.ndarray) -> pa.RecordBatch | None:
          pa.array(rank[row] != owner[row, lo])], names=_NAMES)
 
 
-def _hot_seeds(keyed: DataFrame, sample: int, crowd: float, n_parts: int) -> np.ndarray:
-    """Seeds with more than ``crowd`` of a partition's suffixes in about ``sample`` documents. Only a hint for routing."""
-    every = max(1, keyed.count() // sample)
-    some = keyed.filter(F.pmod(F.xxhash64("doc_id", "key"), F.lit(every)) == 0).select("text")
+def _hot_seeds(keyed: DataFrame, crowd: float, n_parts: int) -> np.ndarray:
+    """Seeds with more than ``crowd`` of an even partition's suffixes; at most ``n_parts / crowd`` there are.
+
+    Suffixes are counted over all documents, by partial aggregates. A row
+    without a seed counts all of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seeds = [np.unique(minimisers(word_hashes(t.as_py()))[0]) for t in b.column(0)]
-            flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["seed"])
-
-    counts = some.mapInArrow(run, "seed long").groupBy("seed").count().filter("count > 3")
-    total = some.mapInArrow(run, "seed long").count()
-    often = counts.filter(F.col("count") > crowd * total / n_parts).select("seed").collect()
-    return np.array(sorted(r.seed for r in often), np.int64).view(np.uint64)
+            held, n = [], 0
+            for i, t in enumerate(b.column(0), 1):
+                held.append(minimisers(word_hashes(t.as_py()))[0])
+                n += len(held[-1])
+                if n >= CHUNK or (n and i == b.num_rows):
+                    seeds, counts = np.unique(np.concatenate(held), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([None, *seeds.view(np.int64).tolist()], pa.int64()), pa.array([n, *counts.tolist()], pa.int64())],
+                        names=["seed", "n"])
+                    held, n = [], 0
+
+    counts = keyed.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    often = staged(counts.filter("n > 3 OR seed IS NULL"), "suffix-seeds")
+    total = often.filter("seed IS NULL").select("n").first()
+    if total is None:
+        return np.zeros(0, np.uint64)
+    hot = often.filter("seed IS NOT NULL").filter(F.col("n") > crowd * total.n / n_parts).select("seed").collect()
+    return np.array(sorted(r.seed for r in hot), np.int64).view(np.uint64)
 
 
 def text_key():
@@ -212,7 +234,7 @@ def text_key():
     return F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
 
 
-def shared_spans(docs: DataFrame, crowd: float = CROWD, sample: int = SAMPLE) -> DataFrame:
+def shared_spans(docs: DataFrame, crowd: float = CROWD) -> DataFrame:
     """``doc_id, key, start, end, owner_id, duplicate``: word spans that documents share.
 
     A span is a union of windows with one owner. Rows with ``duplicate`` false are
@@ -222,7 +244,7 @@ def shared_spans(docs: DataFrame, crowd: float = CROWD, sample: int = SAMPLE) ->
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = keyed.withColumn("key", text_key())
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = spark.sparkContext.broadcast(_hot_seeds(keyed, sample, crowd, n_parts))
+    hot = spark.sparkContext.broadcast(_hot_seeds(keyed, crowd, n_parts))
 
     def cut(crowded: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +367,7 @@ def _hot_spans(suf: DataFrame) -> DataFrame:
     shared = (rows.select("w", "d", "c").join(owners, "w").groupBy("c")
               .agg(F.array_sort(F.collect_list(F.struct("d", F.col("least").alias("own")))).alias("shared"))
               .mapInArrow(runs, f"c long, runs array<struct<lo:int,hi:int,own:{who}>>"))
-    spans = records.select("c", "who", "pos").join(shared, "c").select("who", "pos", F.inline("runs"))
+    spans = records.select("c", "who", "pos").distinct().join(shared, "c").select("who", "pos", F.inline("runs"))
     return spans.select(
         F.when(~F.col("who.nul"), F.col("who.doc")).alias("doc_id"), F.col("who.key").alias("key"),
         (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + MIN_WORDS).alias("end"),

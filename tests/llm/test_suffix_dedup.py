@@ -69,6 +69,30 @@ def test_spans_equal_brute_force_by_either_road(spark, prose, crowd):
     assert spans(S.shared_spans(df, crowd=crowd)) == brute(rows)
 
 
+def test_crowded_seeds_are_counted_over_all_documents(spark, prose):
+    rare = prose(60)  # in 7 of 700 documents
+    rows = [(i, (rare + " " if i % 100 == 3 else "") + prose(70)) for i in range(700)] + [(None, None), (701, "")]
+    count = defaultdict(int)
+    for _, t in rows:
+        for s in S.minimisers(S.word_hashes(t))[0].tolist():
+            count[s] += 1
+    total = sum(count.values())
+    keyed = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for crowd in (0.0, 5 * 8 / total, 7.5 * 8 / total):
+        want = sorted(s for s, n in count.items() if n > 3 and n > crowd * total / 8)
+        assert sorted(S._hot_seeds(keyed, crowd, 8).tolist()) == want
+    assert len(S._hot_seeds(keyed, 5 * 8 / total, 8)) > 0 == len(S._hot_seeds(keyed, 7.5 * 8 / total, 8))
+    assert len(S._hot_seeds(keyed.limit(0), 0.0, 8)) == 0
+
+
+@pytest.mark.parametrize("crowd", [1e9, 0.0])
+def test_a_row_repeated_many_times_gives_its_spans_once(spark, prose, crowd):
+    text = prose(90)
+    rows = [(5, text)] * 300 + [(6, prose(20) + " " + text)] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert spans(S.shared_spans(df, crowd=crowd)) == brute(rows)
+
+
 def test_removal_keeps_first_copies_and_clean_texts(spark, prose):
     rows = corpus(prose)
     df = spark.createDataFrame([(d, t, "en", 0) for d, t in rows], COLS)
