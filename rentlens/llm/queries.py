@@ -21,7 +21,7 @@ from .simhash_dedup import simhash_components
 from .suffix_dedup import shared_spans
 from .token_counts import count_tokens
 from .toxicity import score_documents, train, training_rows
-from .url_reputation import TWO_LABEL_SUFFIXES, Rule, judge_urls, split_url
+from .url_reputation import ADDRESS, SECOND_LEVEL, Rule, judge_urls, split_url
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,7 +91,7 @@ def _url_oracle() -> str:
     rules = sorted(URL_RULES, key=lambda r: (-len(r.text), r.text))
     fits = [(f"(host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}')", r) for r in rules]
     case = lambda f: "CASE " + " ".join(f"WHEN {c} THEN '{f(r)}'" for c, r in fits) + " END"
-    wide = ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)
+    second = "|".join(SECOND_LEVEL)
 
     def shrunk(table: str) -> str:
         return f"""(SELECT *, (s + w * prior) / (n + w) AS mean FROM (SELECT *, greatest(2.0, least(1000.0, coalesce(
@@ -106,10 +106,12 @@ p AS (SELECT page_id, coalesce(translate(regexp_extract(t, '^([^/?#]*)', 1), 'AB
 bad AS (SELECT doc_id, max(1 - quality) AS bad FROM labels GROUP BY doc_id),
 counts AS (SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS s
   FROM p LEFT JOIN bad ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})[^/]*/?$', 1) AS BIGINT) GROUP BY host),
-parts AS (SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS l FROM counts),
-hosts AS (SELECT host, n, s, CASE WHEN array_to_string(l[-2:], '.') IN ({wide}) THEN array_to_string(l[-3:], '.')
+bare AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]$', '') AS b FROM counts),
+parts AS (SELECT *, string_split(b, '.') AS l, regexp_matches(b, '^([0-9]{{1,3}}[.]){{3}}[0-9]{{1,3}}$|^\\[.*\\]$') AS address FROM bare),
+wide AS (SELECT *, regexp_matches(array_to_string(l[-2:], '.'), '^({second})[.][a-z]{{2}}$') AS wide FROM parts),
+hosts AS (SELECT host, n, s, CASE WHEN address THEN b WHEN wide THEN array_to_string(l[-3:], '.')
     ELSE array_to_string(l[-2:], '.') END AS domain,
-  CASE WHEN array_to_string(l[-2:], '.') IN ({wide}) THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM parts),
+  CASE WHEN address THEN '{ADDRESS}' WHEN wide THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM wide),
 sfx0 AS (SELECT suffix, sum(n) AS n, sum(s) AS s, (SELECT (sum(s) + 0.5) / (sum(n) + 1.0) FROM hosts) AS prior
   FROM hosts GROUP BY suffix),
 sfx AS {shrunk("sfx0")},

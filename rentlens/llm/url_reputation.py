@@ -11,7 +11,8 @@ Defined cases: a NULL URL or one without ``://`` has an empty host and path
 and meets no rule; a host without labelled pages takes its domain's, suffix's
 or the overall posterior; no labelled pages at all: nothing is blocked by
 reputation. Repeated rows are judged alike; ties between rules of equal
-length go to the one that sorts first. Extra columns are not read.
+length go to the one that sorts first; very long URLs are read whole. Extra
+columns are not read. Addresses are their own registered domain.
 """
 
 from __future__ import annotations
@@ -22,8 +23,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Public suffixes of two labels; any other suffix is the last label.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "com.br", "co.in", "com.cn", "co.za")
+from .common import staged
+
+# Below a two-letter label (a country) these are part of the suffix; any other suffix is the last label.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gouv", "gov", "govt", "ltd", "mil", "ne", "net", "nom", "or", "org", "sch")
+# Stands as suffix of hosts that are addresses; no name can be it.
+ADDRESS = "[address]"
 
 
 @dataclass(frozen=True)
@@ -58,12 +63,16 @@ def first_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, C
 
 
 def host_levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host (port and user part left out)."""
-    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+    """Registered domain and suffix of a host (port, user part and a root dot left out).
+
+    An address (four numbers, or one in brackets) is its own domain.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", ""), "[.]$", "")
+    address = bare.rlike(r"^([0-9]{1,3}[.]){3}[0-9]{1,3}$|^\[.*\]$")
     two = F.substring_index(bare, ".", -2)
-    wide = two.isin(*TWO_LABEL_SUFFIXES)
-    suffix = F.when(wide, two).otherwise(F.substring_index(bare, ".", -1))
-    return F.when(wide, F.substring_index(bare, ".", -3)).otherwise(two), suffix
+    wide = two.rlike(f"^({'|'.join(SECOND_LEVEL)})[.][a-z]{{2}}$")
+    suffix = F.when(address, ADDRESS).when(wide, two).otherwise(F.substring_index(bare, ".", -1))
+    return F.when(address, bare).when(wide, F.substring_index(bare, ".", -3)).otherwise(two), suffix
 
 
 def host_reputation(outcomes: DataFrame, z: float = 1.645, weight_bounds: tuple[float, float] = (2.0, 1000.0)) -> DataFrame:
@@ -73,10 +82,11 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645, weight_bounds: tuple[
     normal lower bound of the beta posterior at ``z`` deviations.
     """
     domain, suffix = host_levels(F.col("host"))
-    hosts = (outcomes.groupBy("host")
+    # Every level and its weight are read from these counts, so they are written once.
+    hosts = staged(outcomes.groupBy("host")
              .agg(F.count("bad").cast("double").alias("n"),
                   F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("s"))
-             .select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "s"))
+             .select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "s"), "host-counts")
     everything = hosts.agg(((F.coalesce(F.sum("s"), F.lit(0.0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0.0)) + 1.0)).alias("p"))
     suffixes = (hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
                 .withColumn("prior", everything.scalar()))

@@ -2,8 +2,10 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from rentlens.llm.queries import ORACLE, QUERIES, URL_RULES
-from rentlens.llm.url_reputation import judge_urls
+from rentlens.llm.url_reputation import ADDRESS, host_levels, judge_urls
 from tests.conftest import SF_SMALL
 from tests.oracle import compare, duck
 
@@ -62,3 +64,26 @@ def test_evidence_blocks_and_little_evidence_does_not(spark):
     assert [rows[i].verdict for i in range(5)] == ["block", "allow", "allow", "allow", "block"]
     assert rows[3].bad_lower is not None and rows[2].bad_lower < rows[1].bad_lower < rows[0].bad_lower
     assert judge_urls(df.limit(0), outcomes, URL_RULES).count() == 0
+
+
+def test_domains_and_suffixes_of_hosts(spark):
+    want = {"a.b.com": ("b.com", "com"), "b.com": ("b.com", "com"), "com": ("com", "com"), "": ("", ""),
+            "x.a.com.mx": ("a.com.mx", "com.mx"), "a.co.uk": ("a.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+            "w.gov.au": ("w.gov.au", "gov.au"), "a.com.info": ("com.info", "info"), "u@w.b.net:80": ("b.net", "net"),
+            "b.net.": ("b.net", "net"), "10.1.2.3": ("10.1.2.3", ADDRESS), "99.8.2.3:8080": ("99.8.2.3", ADDRESS),
+            "1.2.3": ("2.3", "3"), "[2001:db8::1]": ("[2001:db8::1]", ADDRESS), "[::1]:443": ("[::1]", ADDRESS)}
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = host_levels(F.col("host"))
+    assert {r.host: (r.d, r.s) for r in df.select("host", domain.alias("d"), suffix.alias("s")).collect()} == want
+
+
+def test_addresses_share_no_reputation(spark):
+    out = [("10.1.2.3", 1)] * 80 + [("b.net", 0)] * 80
+    outcomes = spark.createDataFrame(out, "host string, bad int")
+    df = spark.createDataFrame([(0, "http://10.1.2.3/x"), (1, "http://99.8.2.3/x")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in judge_urls(df, outcomes, []).collect()} == {0: "block", 1: "allow"}
+
+
+def test_host_counts_are_read_and_not_counted_anew(spark):
+    plan = QUERIES["op9_url_reputation"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("page_id") > 0 and "labels" not in plan and "quality" not in plan
