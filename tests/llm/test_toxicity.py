@@ -108,3 +108,84 @@ def test_one_kind_missing_gives_the_share_of_the_labels():
     for texts, toxic in ((["bad words"], [1]), (["fine words"], [0]), (["bad", "..."], [1, 0]), ([], [])):
         weights, bias = X.train(texts, toxic, share=0.12)
         assert not weights.any() and abs(1 / (1 + np.exp(-bias)) - 0.12) < 1e-9
+
+
+def plain_features(text):
+    """Buckets of each word's n-grams and of the word itself, in loops over Python integers."""
+    words = "".join(c.lower() if "A" <= c <= "Z" else c if ord(c) > 127 or c.isalnum() else " " for c in text or "").split()
+    out = []
+    for word in words:
+        raw = word.encode()
+        found = []
+        for n in X.NGRAMS:
+            edged = b" " + raw + b" "
+            for i in range(len(edged) - n + 1):
+                h = 0
+                for c in edged[i:i + n]:
+                    h = (h * 0x9E3779B1 + c) % 2**32
+                g = (h ^ n) * 0x85EBCA6B % 2**32
+                found.append(((g ^ (g >> 15)) * 0x9E3779B1 % 2**32) >> (32 - X.BUCKET_BITS))
+        whole = sum((c + 1) * pow(X._P, j, 2**64) for j, c in enumerate(raw)) * int(X._MIX) % 2**64
+        out.append([*found, whole >> (64 - X.BUCKET_BITS)])
+    return out
+
+
+def plain_score(text, weights, bias):
+    means = [sum(weights[f] for f in fs) / len(fs) for fs in plain_features(text)]
+    windows = [means[i:i + X.WINDOW] for i in range(max(1, len(means) - X.WINDOW + 1))]
+    z = (max(sum(w) / len(w) for w in windows) if means else 0.0) + bias
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_a_plain_scorer(spark):
+    weights = np.random.default_rng(3).normal(size=1 << X.BUCKET_BITS).astype(np.float32)
+    texts = [None, "", " .,! ", "a", "One", "one Two, three--four 5x", "Größe über alles ÄÖ", "日本語 テキスト", "x" * 300, "the the the"]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20).collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in X.score_documents(docs, (weights, -0.4), ["doc_id"]).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert abs(got[i] - plain_score(t, weights.tolist(), -0.4)) < 1e-6, t
+
+
+def test_a_training_step_goes_down_the_loss():
+    """One step of embeddings, softmax and bias against central differences of a plainly written loss."""
+    texts, y, weight = ["you rotten egg", "a fine day out here", "rotten", "fine"], [1, 0, 1, 0], [0.3, 0.1, 0.2, 0.4]
+    feats = [plain_features(t) for t in texts]
+    used = sorted({f for fs in feats for w in fs for f in w})
+    rng = np.random.default_rng(5)
+    emb = np.zeros((1 << X.BUCKET_BITS, X.DIM), np.float32)
+    emb[used] = rng.normal(0, 0.5, (len(used), X.DIM))
+    soft, bias = rng.normal(0, 0.5, (X.DIM, 2)).astype(np.float32), np.array([0.1, -0.7], np.float32)
+    sharp = min(X.SHARPEST, X.SHARPEN)
+
+    def z(fs, e, s, b):
+        words = [sum(e[f] for f in w) / len(w) for w in fs]
+        spans = [words[i:i + X.WINDOW] for i in range(max(1, len(words) - X.WINDOW + 1))]
+        return [float((sum(w) / len(w)) @ (s[:, 1] - s[:, 0]) + b[1] - b[0]) for w in spans]
+
+    start = [emb[used].astype(float), soft.astype(float), bias.astype(float)]
+    at = {f: i for i, f in enumerate(used)}
+    index = [[[at[f] for f in w] for w in fs] for fs in feats]
+    shares = []
+    for fs in index:
+        e = np.exp(sharp * np.array(z(fs, *start)))
+        shares.append(e / e.sum())
+
+    def loss(params):
+        return sum(wt * sh * (np.log1p(np.exp(v)) - label * v)
+                   for fs, label, wt, share in zip(index, y, weight, shares) for sh, v in zip(share, z(fs, *params)))
+
+    params = (emb.copy(), soft.copy(), bias.copy())
+    X._fit(params, [np.zeros_like(p) for p in params], texts, np.array(y, float), np.array(weight), range(1, 2), 10)
+    after = [params[0][used], params[1], params[2]]
+    for k, rate in enumerate(X.RATES):
+        grad = np.zeros_like(start[k])
+        for i in np.ndindex(grad.shape):
+            up, down = ([p.copy() for p in start] for _ in range(2))
+            up[k][i] += 1e-5
+            down[k][i] -= 1e-5
+            grad[i] = (loss(up) - loss(down)) / 2e-5
+        assert np.allclose((start[k] - after[k]) / rate, grad / np.linalg.norm(grad), atol=2e-3)
+    untouched = np.delete(params[0], used, axis=0)
+    assert not untouched.any()
