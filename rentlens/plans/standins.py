@@ -331,6 +331,9 @@ cards AS (SELECT * FROM all_cards WHERE id % 101 <> 0 AND id % 103 <> 0 AND (id
 # shared checkpoint folder and read back by every query that needs them.
 
 _CAPTURED: dict[tuple[str, str, str], str] = {}
+# Rows of a row group. Its size limit counts compressed bytes; a reader holds a
+# group's texts unpacked, and a file is split between tasks at its groups.
+_GROUP_ROWS = {"json": 64, "html": 1024}
 
 
 def _captured(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
@@ -341,7 +344,8 @@ def _captured(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
     if path is None:
         path = scratch_path(spark, f"captured-{kind}")
         n = max(8, spark.sparkContext.defaultParallelism)
-        build(spark, sf_dir).repartition(n).write.parquet(path)
+        (build(spark, sf_dir).repartition(n).write.option("parquet.block.row.count.limit", _GROUP_ROWS[kind])
+         .option("parquet.page.row.count.limit", _GROUP_ROWS[kind] // 4).parquet(path))
         _CAPTURED[key] = path
     return spark.read.parquet(path)
 
