@@ -24,7 +24,8 @@ from ..schema import (HTML_CARD, HTML_CONTACTS, HTML_CONTAINER, HTML_COUNTER, HT
                       HTML_TITLE, OLD_LAYOUT_BOX, OLD_LAYOUT_FIELDS)
 from ..session import scratch_path
 
-# Pages per Arrow batch: pages can be large, so batches are kept small.
+# Rows a Python task hands on at a time; it holds the tree of one page.
+_ROWS = 1024
 
 # --- a small DOM over html.parser ------------------------------------------
 
@@ -255,8 +256,7 @@ def _li_href(items, i):
     return a.attrs.get("href") if a is not None else None
 
 
-def _cards_of_page(source_id, page_num, html):
-    root = parse_html(html)
+def _cards_of_page(source_id, page_num, root):
     container = root.find("div", HTML_CONTAINER)
     cards = container.find_all("div", HTML_CARD) if container is not None else []
     counter = root.find("div", HTML_COUNTER)
@@ -293,6 +293,18 @@ def _arrow_schema(schema: T.StructType):
     return pa.schema([pa.field(f.name, conv(f.dataType)) for f in schema.fields])
 
 
+def _each_page(pages):
+    """Number and tree of each page in turn; a tree is taken apart before the next is built.
+
+    The elements and their list refer to each other, so the trees of a batch
+    would else stay until the garbage collector finds them.
+    """
+    for i in range(len(pages)):
+        root = parse_html(pages[i].as_py())
+        yield i, root
+        root.doc.clear()
+
+
 def _extract_cards_batches(batches):
     """mapInArrow body: Arrow batches of pages in, Arrow batches of cards out
     (no pandas round trip; columns are built as Python lists)."""
@@ -302,13 +314,14 @@ def _extract_cards_batches(batches):
     names = CARD_SCHEMA.fieldNames()
     for batch in batches:
         cols = {n: [] for n in names}
-        src = batch.column("source_id").to_pylist()
-        num = batch.column("page_num").to_pylist()
-        htm = batch.column("html").to_pylist()
-        for s_, p_, h_ in zip(src, num, htm):
-            for row in _cards_of_page(s_, p_, h_):
+        src, num = batch.column("source_id"), batch.column("page_num")
+        for i, root in _each_page(batch.column("html")):
+            for row in _cards_of_page(src[i].as_py(), num[i].as_py(), root):
                 for n in names:
                     cols[n].append(row[n])
+                if len(cols["pos"]) >= _ROWS:
+                    yield pa.RecordBatch.from_pydict(cols, schema=schema)
+                    cols = {n: [] for n in names}
         yield pa.RecordBatch.from_pydict(cols, schema=schema)
 
 
@@ -471,17 +484,23 @@ def extract_boxes(pages: DataFrame, key_col: str, html_col: str = "html", box=OL
     schema = T.StructType([pages.schema[key_col], T.StructField("box_pos", T.IntegerType())]
                           + [T.StructField(n, T.StringType()) for n in fields])
 
+    types = [pa.int64(), pa.int32(), *[pa.string() for _ in fields]]
+
+    def batch(keys, rows):
+        page, *cols = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+        return pa.RecordBatch.from_arrays([keys.take(page), *cols], names=schema.names)
+
     def run(batches):
         for b in batches:
-            page, at, boxes = [], [], []
-            for i, h in enumerate(b.column(1).to_pylist()):
-                for k, found in enumerate(parse_html(h).find_all(box[0], box[1])):
-                    page.append(i)
-                    at.append(k)
-                    boxes.append(found)
-            cols = [pa.array([_field_value(x, spec, how) for x in boxes], pa.string()) for spec in fields.values()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(page, pa.int64())), pa.array(at, pa.int32()), *cols], names=schema.names)
+            rows = []
+            for i, root in _each_page(b.column(1)):
+                for k, found in enumerate(root.find_all(box[0], box[1])):
+                    rows.append((i, k, *[_field_value(found, spec, how) for spec in fields.values()]))
+                    if len(rows) >= _ROWS:
+                        yield batch(b.column(0), rows)
+                        rows = []
+            if rows:
+                yield batch(b.column(0), rows)
 
     return pages.select(key_col, html_col).mapInArrow(run, schema)
 
@@ -511,9 +530,11 @@ def extract_page_fields(pages: DataFrame, key_col: str, spec: dict, html_col: st
 
     def run(batches):
         for b in batches:
-            roots = [parse_html(h) for h in b.column(len(kept)).to_pylist()]
-            cols = [pa.array([_page_field(r, *spec[n]) for r in roots], t) for n, t in zip(spec, types)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(kept)], *cols], names=schema.names)
+            for at in range(0, b.num_rows, _ROWS):
+                part = b.slice(at, _ROWS)
+                rows = [[_page_field(root, *one) for one in spec.values()] for _, root in _each_page(part.column(len(kept)))]
+                cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(kept)], *cols], names=schema.names)
 
     return pages.select(*kept, html_col).mapInArrow(run, schema)
 

@@ -121,3 +121,32 @@ def test_fast_parser_matches_html_parser():
     docs += SNIPPETS + [CARD_PAGE.format(n=1, cards=CARD.format(i=0, avail=AVAIL))]
     for d in docs:
         assert _tree(H.parse_html(d)) == _tree(H.parse_html(d, fast=False)), d[:120]
+
+
+def _batch(n_pages, n_cards):
+    import pyarrow as pa
+
+    card = '<div class="property_item"><a class="item_title" href="/l/1">x (Allston)</a></div>'
+    page = f'<html><body><div class="search_results_area">{card * n_cards}</div></body></html>'
+    return pa.RecordBatch.from_pydict({"source_id": ["s"] * n_pages, "page_num": pa.array(range(n_pages), pa.int32()),
+                                       "html": [page] * n_pages})
+
+
+def test_cards_are_handed_on_in_bounded_batches():
+    out = list(H._extract_cards_batches([_batch(5, 1500)]))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert max(b.num_rows for b in out) <= H._ROWS
+    assert [(r["page_num"], r["pos"]) for r in rows] == [(p, i) for p in range(5) for i in range(1500)]
+
+
+def test_trees_of_read_pages_are_not_kept():
+    import gc
+
+    gc.collect()
+    gc.disable()
+    try:
+        known = sum(isinstance(x, H.Node) for x in gc.get_objects())
+        list(H._extract_cards_batches([_batch(50, 20)]))
+        assert sum(isinstance(x, H.Node) for x in gc.get_objects()) - known < 100
+    finally:
+        gc.enable()
