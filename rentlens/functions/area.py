@@ -63,8 +63,7 @@ def area_from_dash(col) -> Column:
     """
     loc = _c(col)
     key = dash_key(loc)
-    looked = F.when(key.isNull(), F.lit(None).cast("string")).otherwise(
-        F.coalesce(F.try_element_at(_area_map(), key), F.lit(DEFAULT_AREA)))
+    looked = F.coalesce(F.try_element_at(_area_map(), key), F.when(key.isNotNull(), F.lit(DEFAULT_AREA)))
     return _city(loc).otherwise(looked)
 
 

@@ -9,6 +9,7 @@ with no Python in the row path. ANSI mode is on: only ``try_*`` casts and
 from __future__ import annotations
 
 import datetime as dt
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,20 +102,16 @@ MONTHS = ["january", "february", "march", "april", "may", "june", "july", "augus
 
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:
-    # NULL parts must not vanish from the text.
-    whole = y.isNotNull() & m.isNotNull() & d.isNotNull()
-    txt = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"),
-                      F.lpad(d.cast("string"), 2, "0"))
-    return F.when(whole, txt.try_cast("date").cast("timestamp_ntz"))
+    # A NULL part makes the text NULL; each part is read once.
+    txt = F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-"), F.lpad(m.cast("string"), 2, "0"), F.lit("-"),
+                   F.lpad(d.cast("string"), 2, "0"))
+    return txt.try_cast("date").cast("timestamp_ntz")
 
 
 def _month_number(name: Column) -> Column:
     """1 to 12 for a month's full name, three letters, or ``sept``; else NULL."""
-    n = F.lower(name)
-    out = F.when(n == "sept", 9)
-    for i, m in enumerate(MONTHS, 1):
-        out = out.when(n.isin(m, m[:3]), i)
-    return out
+    numbers = {"sept": 9} | {n: i for i, m in enumerate(MONTHS, 1) for n in (m, m[:3])}
+    return F.try_element_at(F.create_map(*[F.lit(x) for x in chain.from_iterable(numbers.items())]), F.lower(name))
 
 
 def parse_datetime_flexible(col, as_of: dt.date | None = None, stripped: bool = False) -> Column:
@@ -136,8 +133,14 @@ def parse_datetime_flexible(col, as_of: dt.date | None = None, stripped: bool =
     s = _c(col) if stripped else strip_text(col)
     year = (as_of or dt.date.today()).year
     parts = F.transform(F.array(s), _split_date_text)
-    return F.get(F.transform(parts, lambda p: F.coalesce(
+    any_shape = F.get(F.transform(parts, lambda p: F.coalesce(
         p["iso"], _date_of_shape(p["text"], year) + F.make_dt_interval(secs=p["clock"].cast("decimal(18,6)")))), 0)
+    return F.when(s.isNotNull(), F.coalesce(_iso_timestamp(s), any_shape))
+
+
+def _iso_timestamp(t: Column) -> Column:
+    """Text that begins with an ISO date, without its offset; NULL for any other."""
+    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.regexp_replace(t, _OFFSET, "$1").try_cast("timestamp_ntz"))
 
 
 def _split_date_text(s: Column) -> Column:
@@ -150,8 +153,7 @@ def _split_date_text(s: Column) -> Column:
         second = F.coalesce(F.regexp_extract(t, _TIME, 4).try_cast("int"), F.lit(0))
         seconds = F.when((minute < 60) & (second < 60), hour * 3600 + minute * 60 + second)
         timed = t.rlike(_TIME)
-        iso = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.regexp_replace(t, _OFFSET, "$1").try_cast("timestamp_ntz"))
-        return F.struct(iso.alias("iso"), F.when(timed, F.regexp_extract(t, _TIME, 1)).otherwise(t).alias("text"),
+        return F.struct(_iso_timestamp(t).alias("iso"), F.when(timed, F.regexp_extract(t, _TIME, 1)).otherwise(t).alias("text"),
                         F.when(timed, seconds).otherwise(0).alias("clock"))
 
     return F.get(F.transform(F.array(F.regexp_replace(s, _WEEKDAY, "")), split), 0)
@@ -159,13 +161,15 @@ def _split_date_text(s: Column) -> Column:
 
 def _date_of_shape(s: Column, year: int, named_months: bool = True) -> Column:
     """Date written in one of the shapes above, at midnight."""
-    a = F.regexp_extract(s, _SLASH, 1).try_cast("int")
-    b = F.regexp_extract(s, _SLASH, 2).try_cast("int")
-    ytxt = F.regexp_extract(s, _SLASH, 3)
-    near = ytxt.try_cast("int") + (year // 100 * 100)
-    y = (F.when(ytxt == "", F.lit(year)).when(F.length(ytxt) == 4, ytxt.try_cast("int"))
-         .otherwise(F.when(near - year >= 50, near - 100).otherwise(near)))
-    slash = F.when(s.rlike(_SLASH), F.when(a <= 12, _ymd(y, a, b)).otherwise(_ymd(y, b, a)))
+    def slash(parts):
+        a, b, ytxt = F.get(parts, 0).try_cast("int"), F.get(parts, 1).try_cast("int"), F.get(parts, 2)
+        near = ytxt.try_cast("int") + (year // 100 * 100)
+        y = (F.when(ytxt.isNull(), F.lit(year)).when(F.length(ytxt) == 4, ytxt.try_cast("int"))
+             .otherwise(F.when(near - year >= 50, near - 100).otherwise(near)))
+        return F.when(a <= 12, _ymd(y, a, b)).otherwise(_ymd(y, b, a))
+
+    # The numbers are parted once.
+    slashed = F.when(s.rlike(_SLASH), F.get(F.transform(F.array(F.split(s, "[/-]")), slash), 0))
 
     def numbered(shape):
         return F.when(s.rlike(shape), _ymd(*[F.regexp_extract(s, shape, i) for i in (1, 2, 3)]))
@@ -176,7 +180,7 @@ def _date_of_shape(s: Column, year: int, named_months: bool = True) -> Column:
                                            _month_number(F.regexp_extract(s, shape, month_at)),
                                            F.regexp_extract(s, shape, day_at)))
 
-    shapes = [slash, numbered(_YMD), numbered(_COMPACT)]
+    shapes = [slashed, numbered(_YMD), numbered(_COMPACT)]
     return F.coalesce(*shapes, *([named(_NAMED, 1, 2), named(_DAY_NAMED, 2, 1)] if named_months else []))
 
 
@@ -225,18 +229,18 @@ def vstr(item, path: str) -> Column:
 def flag_equals_true(item, path: str) -> Column:
     """``value == True`` with JSON typing: boolean true or a number equal to 1."""
     num = F.try_variant_get(_c(item), path, "double")
-    return F.coalesce(vtype(item, path).rlike(_NUMERIC_OR_BOOL) & (num == 1.0), F.lit(False))
+    return F.coalesce((num == 1.0) & vtype(item, path).rlike(_NUMERIC_OR_BOOL), F.lit(False))
 
 
 def flag_equals_string(item, path: str, value: str) -> Column:
     """``value == "1"``: only a JSON string with that exact text."""
-    return F.coalesce((vtype(item, path) == "STRING") & (vstr(item, path) == value), F.lit(False))
+    return F.coalesce((vstr(item, path) == value) & (vtype(item, path) == "STRING"), F.lit(False))
 
 
 def fee_flag(item, path: str = "$.fee") -> Column:
     """P16: 'No' when the fee equals 0 (0, 0.0, false); 'Yes' otherwise (NULL, "0")."""
     num = F.try_variant_get(_c(item), path, "double")
-    is_zero = F.coalesce(vtype(item, path).rlike(_NUMERIC_OR_BOOL) & (num == 0.0), F.lit(False))
+    is_zero = F.coalesce((num == 0.0) & vtype(item, path).rlike(_NUMERIC_OR_BOOL), F.lit(False))
     return F.when(is_zero, F.lit("No")).otherwise(F.lit("Yes"))
 
 
