@@ -54,14 +54,22 @@ class Node:
     def iter(self):
         return iter(self.descendants())
 
+    def _found(self, tag, cls, attr):
+        for n in self.descendants():
+            if tag is not None and n.tag != tag:
+                continue
+            if cls is not None:
+                c = n.attrs.get("class")
+                if c is None or (c != cls and cls not in c.split()):
+                    continue
+            if attr is None or n.attrs.get(attr) is not None:
+                yield n
+
     def find_all(self, tag=None, cls=None, attr=None):
-        return [n for n in self.descendants() if _matches(n, tag, cls, attr)]
+        return list(self._found(tag, cls, attr))
 
     def find(self, tag=None, cls=None, attr=None):
-        for n in self.descendants():
-            if _matches(n, tag, cls, attr):
-                return n
-        return None
+        return next(self._found(tag, cls, attr), None)
 
     def text(self):
         """All descendant text except scripts, styles and comments."""
@@ -91,21 +99,8 @@ class Node:
             node = ch
 
 
-def _matches(n, tag, cls, attr):
-    if tag is not None and n.tag != tag:
-        return False
-    if cls is not None:
-        c = n.attrs.get("class")
-        if c is None or (c != cls and cls not in c.split()):
-            return False
-    if attr is not None and n.attrs.get(attr) is None:
-        return False
-    return True
-
-
-class _Builder(HTMLParser):
+class _Tree:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("[document]", {})
         self.doc = self.root.doc
         self.stack = [self.root]
@@ -136,6 +131,12 @@ class _Builder(HTMLParser):
         self.stack[-1].children.append(data)
 
 
+class _Builder(_Tree, HTMLParser):
+    def __init__(self):
+        HTMLParser.__init__(self, convert_charrefs=True)
+        _Tree.__init__(self)
+
+
 # Fast path: simple, well-formed markup is tokenised with a few regexes and
 # built with the same tree rules; anything outside this grammar sends the
 # whole page to html.parser.
@@ -143,6 +144,8 @@ _TOKEN = re.compile(r"<(?:(!--)|(/)?([a-zA-Z][a-zA-Z0-9:_-]*)|(!)|)")
 _ATTRS = re.compile(r"""((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?)*)\s*(/?)>""")
 _ATTR = re.compile(r"""\s+([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _END = re.compile(r"\s*>")
+# A whole tag at once; what it does not match is looked at piece by piece.
+_TAG = re.compile("<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)" + _ATTRS.pattern)
 _DOCTYPE = re.compile(r"!doctype[^<>]*>", re.I)
 
 
@@ -150,14 +153,41 @@ def _unescape_text(t: str) -> str:
     return html_unescape(t) if "&" in t else t
 
 
+def _attributes(inner: str) -> list[tuple[str, str | None]]:
+    attrs = []
+    for am in _ATTR.finditer(inner):
+        name, double, single, bare = am.groups()
+        v = double if double is not None else single if single is not None else bare
+        attrs.append((name.lower(), None if v is None else _unescape_text(v)))
+    return attrs
+
+
 def _fast_parse(doc: str) -> Node | None:
-    b = _Builder()
+    b = _Tree()
     pos, n = 0, len(doc)
     while pos < n:
         i = doc.find("<", pos)
         if i < 0:
             b.handle_data(_unescape_text(doc[pos:]))
             break
+        whole = _TAG.match(doc, i)
+        if whole:
+            slash, name, inner, closed = whole.groups()
+            tag = name.lower()
+            if slash:
+                if inner or closed:
+                    return None
+                if i > pos:
+                    b.handle_data(_unescape_text(doc[pos:i]))
+                b.handle_endtag(tag)
+                pos = whole.end()
+                continue
+            if tag not in ("script", "style"):
+                if i > pos:
+                    b.handle_data(_unescape_text(doc[pos:i]))
+                (b.handle_startendtag if closed else b.handle_starttag)(tag, _attributes(inner) if inner else ())
+                pos = whole.end()
+                continue
         m = _TOKEN.match(doc, i)
         comment, slash, name, bang = m.group(1), m.group(2), m.group(3), m.group(4)
         if not (comment or name or bang):
@@ -194,10 +224,7 @@ def _fast_parse(doc: str) -> Node | None:
         a = _ATTRS.match(doc, m.end())
         if not a:
             return None
-        attrs = []
-        for am in _ATTR.finditer(a.group(1)):
-            v = am.group(2) if am.group(2) is not None else am.group(3) if am.group(3) is not None else am.group(4)
-            attrs.append((am.group(1).lower(), None if v is None else _unescape_text(v)))
+        attrs = _attributes(a.group(1))
         pos = a.end()
         if a.group(2):
             b.handle_startendtag(tag, attrs)

@@ -150,3 +150,11 @@ def test_trees_of_read_pages_are_not_kept():
         assert sum(isinstance(x, H.Node) for x in gc.get_objects()) - known < 100
     finally:
         gc.enable()
+
+
+def test_whole_tags_and_odd_ones_give_the_same_tree():
+    odd = ["<p a b=c>x</p >", '<P A="1"B=2>', "<br/><br />", "</a b>", "</a/>", "<div a=\"<\">y</div>", "<script/>a</script>",
+           "<style >a<b</style>", "<a href='x&amp;y'>z</a>", "<i\n>w</i>"]
+    for d in odd:
+        fast = H._fast_parse(d)
+        assert fast is None or _tree(fast) == _tree(H.parse_html(d, fast=False)), d
