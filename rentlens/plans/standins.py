@@ -147,6 +147,16 @@ def _count_text(x, k):
             .otherwise(F.concat(F.lit('"'), x.cast("string"), F.lit('"'))))
 
 
+# Listings whose texts one task gathers into bodies or pages. A shuffle's size
+# counts compressed bytes, so tasks dealt by it gather far more than it says.
+GATHER_ROWS = 25_000
+
+
+def _dealt(rows: DataFrame, n_rows: int, *keys) -> DataFrame:
+    """``rows`` dealt by ``keys`` for a grouping, ``GATHER_ROWS`` or so to a task however many there are."""
+    return rows.repartition(max(1, -(-n_rows // GATHER_ROWS)), *keys)
+
+
 def raw_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API bodies of ``PAYLOAD_SIZE`` listings each, typed as the live API types them.
 
@@ -205,7 +215,8 @@ def raw_json_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Payload groups are bounded (PAYLOAD_SIZE listings), so collecting one
     # group's elements is bounded too; elements are sorted by id so a body is
     # deterministic.
-    grouped = (L.select((k / PAYLOAD_SIZE).cast("long").alias("payload_id"), k.alias("k"), elem.alias("e"))
+    elems = L.select((k / PAYLOAD_SIZE).cast("long").alias("payload_id"), k.alias("k"), elem.alias("e"))
+    grouped = (_dealt(elems, read_table(spark, sf_dir, "orders").count(), "payload_id")
                .groupBy("payload_id")
                .agg(F.array_sort(F.collect_list(F.struct("k", "e"))).alias("items")))
     body = F.concat(F.lit('{"data": ['), F.array_join(F.transform("items", lambda s: s["e"]), ", "), F.lit("]}"))
@@ -270,10 +281,11 @@ def raw_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = (k / N_SOURCES).cast("long")
     cards = L.select(
         F.concat(F.lit("src"), (k % N_SOURCES).cast("string")).alias("source_id"),
-        (idx / CARDS_PER_PAGE).cast("int").alias("p0"), (idx % CARDS_PER_PAGE).cast("int").alias("pos"),
+        ((idx / CARDS_PER_PAGE).cast("int") + 1).alias("page_num"), (idx % CARDS_PER_PAGE).cast("int").alias("pos"),
         _card_html(k).alias("card"), "agent_name", "agent_email", "agent_phone")
     # A page holds at most CARDS_PER_PAGE cards, so the collected group is bounded.
-    pages = (cards.groupBy("source_id", (F.col("p0") + 1).alias("page_num"))
+    pages = (_dealt(cards, read_table(spark, sf_dir, "orders").count(), "source_id", "page_num")
+             .groupBy("source_id", "page_num")
              .agg(F.array_sort(F.collect_list(F.struct("pos", "card"))).alias("cards"),
                   F.min_by(F.struct("agent_name", "agent_email", "agent_phone"), F.col("pos")).alias("agent"))
              .withColumn("cards_html", F.array_join(F.transform("cards", lambda s: s["card"]), ""))
