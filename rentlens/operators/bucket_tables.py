@@ -26,6 +26,9 @@ from ..sources.files import delete_folder, is_written, list_names
 from .tables import upsert_by_key
 
 BUCKET = "key_bucket"
+# Rows of a batch that one task sorts by key. A scan's size limit counts
+# compressed bytes, so its tasks may hold far more.
+TASK_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -76,6 +79,14 @@ def read_buckets(spark: SparkSession, table: BucketTable, buckets: list[int] | N
     return df.drop(BUCKET)
 
 
+def _dealt(source: DataFrame) -> DataFrame:
+    """``source`` over enough tasks for ``TASK_ROWS`` rows or so each; by its rows, so that a frequent key is spread."""
+    n = -(-source.count() // TASK_ROWS)
+    if n <= source.rdd.getNumPartitions():
+        return source
+    return source.repartition(n, F.xxhash64(*source.columns))
+
+
 def merge_pending(source: DataFrame, table: BucketTable, batch_id, only_newer: bool = True) -> list[int]:
     """Merge a batch with the buckets it touches, into the batch's pending folder; returns those buckets.
 
@@ -84,7 +95,7 @@ def merge_pending(source: DataFrame, table: BucketTable, batch_id, only_newer: b
     """
     spark, pending = source.sparkSession, table.pending(batch_id)
     if not is_written(spark, pending):
-        source = source.checkpoint()  # read three times
+        source = _dealt(source).checkpoint()  # read three times
         touched = [r[0] for r in source.select(table.bucket()).distinct().collect()]
         target = read_buckets(spark, table, touched)
         merged = upsert_by_key(target, source, table.key, table.order, only_newer)

@@ -130,3 +130,13 @@ def test_level_cross_join(spark):
     assert flt.level_cross_join(df.limit(0), ["x", "y"]).count() == 0
     with pytest.raises(ValueError):
         flt.level_cross_join(df, ["x", "y"], most=3)
+
+
+def test_a_large_batch_is_dealt_over_tasks_by_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(B, "TASK_ROWS", 100, raising=False)
+    rows = spark.range(0, 2000, 1, 2).select((F.col("id") % 2).alias("key"), F.col("id").alias("seq"))
+    dealt = B._dealt(rows)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 200
+    few = spark.range(0, 100, 1, 2)
+    assert B._dealt(few) is few
