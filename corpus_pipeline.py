@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from rentlens.llm.toxicity import score_documents, train, training_rows
 from rentlens.session import scratch_path
 
 TOXIC_FROM = 0.3
+# Bytes of documents a Python task takes in at once. Executors serve all stages,
+# and neither their JVM nor their workers give back what one stage has taken.
+BATCH = "4m"
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +55,15 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("toxicity", toxicity), ("simhash", simhash), ("suffix", suffix), ("decontamination", decontamination),
-          ("packing", packing)]
+def _in_batches(stage):
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+        return stage(spark, docs, sf_dir)
+    return run
+
+
+STAGES = [(stage.__name__, _in_batches(stage)) for stage in (toxicity, simhash, suffix, decontamination, packing)]
 
 # Training, tokenising and suffix matching have no SQL form; tests hold each
 # stage against a plain version.

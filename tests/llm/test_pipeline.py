@@ -119,3 +119,20 @@ def test_stages_take_odd_rows(spark):
     for docs in (extra, clashing):
         for _, stage in P.STAGES[:4]:
             assert stage(spark, docs, SF_SMALL).collect() == docs.collect()
+
+
+def test_stages_take_in_few_bytes_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]}, schema=pa.schema([("n", pa.int64())]))
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, "64m")
+    docs = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "repeat('x', 50000) AS text")
+    P.STAGES[1][1](spark, docs, "")
+    most = docs.select("text").mapInArrow(sizes, "n long").groupBy().max("n").first()[0]
+    spark.conf.set(name, own)
+    assert most < 5 << 20
