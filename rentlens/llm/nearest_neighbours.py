@@ -18,7 +18,8 @@ tests.
 
 Scores are inner products of the original vectors in double precision, summed
 in the same order for every row, so equal vectors tie exactly; ties go to the
-smaller vec_id.
+smaller vec_id. Rows met are first compared by their cosines, and those that
+rounding may have kept from the best k are multiplied in that order.
 
 Defined cases: vectors that are NULL, zero, or hold NULL or non-finite
 components take no part, nor do those whose length differs from the commonest;
@@ -42,6 +43,9 @@ from pyspark.sql import functions as F
 K = 20
 PROJECTIONS = 48
 ROW_BLOCK, QUERY_BLOCK = 8192, 1024
+# Short vectors lie in up to four times larger blocks, of so many components: the k-th best
+# of more rows is nearer, so a query's windows stay narrower.
+COMPONENTS = 1 << 21
 # Share of the windows that must hold a row before it is verified.
 THRESHOLD = 0.5
 # Chance that a row at the k-th best distance is verified before a query is done.
@@ -80,6 +84,10 @@ def reach_factor(dim: int, m: int, threshold: int) -> float:
     return float(np.cos(angle[::-1][min(np.searchsorted(mass, hi * mass[-1]), len(mass) - 1)]))
 
 
+def rows_of_a_block(dim: int) -> int:
+    return min(max(ROW_BLOCK, COMPONENTS // dim), 4 * ROW_BLOCK)
+
+
 class Block:
     """Rows of one block as sorted projections, in lengths of the longest row."""
 
@@ -90,6 +98,7 @@ class Block:
         unit = x / self.scale
         self.length = math.sqrt(float(np.einsum("ij,ij->i", unit, unit).max()))
         unit /= self.length
+        self.unit = unit
         lift = np.sqrt(np.maximum(1.0 - np.einsum("ij,ij->i", unit, unit), 0.0))
         h = (np.concatenate((unit, lift[:, None]), axis=1) @ lines).T
         # One array for all lines: they lie between -1 and 1, so a step of 4 keeps them apart.
@@ -108,6 +117,10 @@ class Block:
                 out[odd] = small * self.scale * top
         return out
 
+    def _cosines(self, rows: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """Inner products with a query of length 1, in lengths of the longest row, but for rounding."""
+        return np.concatenate([np.einsum("ij,j->i", self.unit.take(rows[i:i + PIECE], axis=0), unit) for i in range(0, len(rows), PIECE)] or [np.zeros(0)])
+
     def search(self, own: int, q: np.ndarray, lines: np.ndarray, k: int, threshold: int, factor: float) -> list[tuple[float, int]]:
         """The best k of the verified rows as (score, id), best first."""
         n, top = len(self.ids), float(np.abs(q).max())
@@ -117,9 +130,11 @@ class Block:
         centre, first = unit @ lines[:-1] + self.line, n * np.arange(len(self.line))
         lo = hi = np.clip(np.searchsorted(self.sorted, centre), first, first + n)
         count, waiting = np.zeros(n, np.int16), self.ids != own
-        rows, score = np.zeros(0, np.int64), np.zeros(0)
-        # A score in lengths of the query and of the longest row, unless that leaves the range of doubles.
+        rows, near = np.zeros(0, np.int64), np.zeros(0)
+        # The range of scores, from lengths of the query and of the longest row. Inside that of doubles, the order by
+        # cosine is that by score but for rounding: only rows that close to the k-th best are multiplied exactly.
         whole = norm * top * self.length * self.scale
+        plain, slack = 1e-280 < whole < 1e280, 8e-16 * (len(q) + 8)
         width = FIRST_WIDTH
         while True:
             # The windows grow to both sides; only rows that come in are counted.
@@ -132,23 +147,22 @@ class Block:
                 count += np.bincount(np.concatenate(new), minlength=n).astype(np.int16)
             met = np.flatnonzero((count >= threshold) & waiting)
             waiting[met] = False
-            rows, score = np.concatenate((rows, met)), np.concatenate((score, self._products(met, q)))
+            rows, near = np.concatenate((rows, met)), np.concatenate((near, self._cosines(met, unit)))
             if (hi - lo == n).all():
                 break
             wide = width * GROWTH
             if len(rows) >= k:
                 # Distance of the k-th best; the floor covers the rounding of equal vectors.
-                if 1e-280 < whole < 1e280:
-                    least = float(np.partition(score, len(score) - k)[len(score) - k]) / whole
-                else:
-                    near = (self.x[rows] / self.scale) @ unit / self.length
-                    least = float(np.partition(near, len(near) - k)[len(near) - k])
+                least = float(np.partition(near, len(near) - k)[len(near) - k])
                 bound = factor * math.sqrt(max(2 - 2 * least, 1e-10))
                 if width >= bound:
                     break
                 wide = min(wide, bound)
             width = wide
         self.verified = len(rows)
+        if plain and len(rows) > k:
+            rows = rows[near >= np.partition(near, len(near) - k)[len(near) - k] - 2 * slack]
+        score = self._products(rows, q)
         if len(rows) > k:  # the k-th best and what ties with it
             best = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
             rows, score = rows[best], score[best]
@@ -164,7 +178,7 @@ def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return ids, x
 
 
-def nearest(vectors: DataFrame, query_mod: int = 20, k: int = K, m: int = PROJECTIONS, row_block: int = ROW_BLOCK,
+def nearest(vectors: DataFrame, query_mod: int = 20, k: int = K, m: int = PROJECTIONS, row_block: int | None = None,
             query_block: int = QUERY_BLOCK, threshold: float = THRESHOLD) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best found for every row whose id is divisible by ``query_mod``."""
     rows = usable(vectors)
@@ -172,7 +186,7 @@ def nearest(vectors: DataFrame, query_mod: int = 20, k: int = K, m: int = PROJEC
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = rows.filter(F.col("vec_id") % query_mod == 0)
-    n_rows = max(1, math.ceil(n / row_block))
+    n_rows = max(1, math.ceil(n / (row_block or rows_of_a_block(dim))))
     n_queries = max(1, math.ceil(n / query_mod / query_block))
     lines = vectors.sparkSession.sparkContext.broadcast(projections(dim, m))
     need = max(1, math.ceil(threshold * m))

@@ -113,3 +113,23 @@ def test_clustered_rows_are_filtered(spark):
         hit += len({i for _, i in found} & {i for i, _ in brute(ids, x, x[own], own, 20)})
         verified += block.verified
     assert hit / (40 * 20) >= 0.9 and verified / (40 * 4000) < 0.5, (hit, verified)
+
+
+def test_only_rows_near_the_best_are_multiplied_exactly(monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 16))
+    x[1000:1010] = x[0]  # ties at the top
+    lines = N.projections(16, N.PROJECTIONS)
+    block, need = N.Block(np.arange(3000), x, lines), N.PROJECTIONS // 2
+    factor = N.reach_factor(16, N.PROJECTIONS, need)
+    multiplied, exact = [], block._products
+    monkeypatch.setattr(block, "_products", lambda rows, q: multiplied.append(len(rows)) or exact(rows, q))
+    got = block.search(0, x[0], lines, 20, need, factor)
+    assert block.verified > 300 and sum(multiplied) < 60
+    scores = (x * x[0]).sum(axis=1)
+    assert [i for _, i in got if 1000 <= i < 1010] == [*range(1000, 1010)]
+    assert all(s == scores[i] for s, i in got) and got == sorted(got, key=lambda g: (-g[0], g[1]))
+
+
+def test_short_vectors_lie_in_larger_blocks():
+    assert [N.rows_of_a_block(d) for d in (1, 64, 128, 256, 4096)] == [32768, 32768, 16384, 8192, 8192]
