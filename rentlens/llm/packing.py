@@ -19,9 +19,10 @@ are packed each; an empty table gives no pieces. Extra columns are not read.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +38,39 @@ FAN_IN = 32
 _ID = 4  # bytes of a token id, little endian
 
 
+class _Cache(dict):
+    """What ``make`` gives for a key, kept for the last ``most()`` to twice as many keys."""
+
+    def __init__(self, make: Callable, most: Callable[[], int]):
+        self.make, self.most = make, most
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        got = self.older.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.most():
+            self.older = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokenizer:
     """Token ids of texts, by way of a bounded cache of words.
 
     The tokenizer never joins characters across ASCII white space, so a text's
     ids are its words' ids in a row. Plain words (Latin-1 letters, then
-    maybe punctuation) are cut as its pre-tokenizer would and only the letters
-    go through the model; every other word goes through the whole tokenizer.
+    maybe punctuation) and printable ASCII are cut as its pre-tokenizer would
+    and only the parts go through the model; every other word, and one with an
+    apostrophe or a token of its own in it, goes through the whole tokenizer.
     """
 
-    WORDS = 400_000  # cached words and cached letter runs, each; cleared when full
+    WORDS = 400_000  # words and letter runs that are cached at least, each; at most twice as many
 
     def __init__(self, path: str):
         import os
@@ -58,47 +82,37 @@ class WordTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+        self.ascii = re.compile(b"[!-&(-~]+").fullmatch
+        self.parts = re.compile(b"[a-z]+|[0-9]|[^a-z0-9]+").findall
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         # Byte-level alphabet: printable Latin-1 stands for itself, the rest moves up.
         keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = iter(range(256, 512))
         self.alphabet = {b: b if b in keep else next(rest) for b in range(256)}
-        self.runs: dict[str, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.runs = _Cache(self._run, lambda: self.WORDS)
+        self.words = _Cache(self._word, lambda: self.WORDS)
 
-    def _run(self, run: str) -> bytes:
-        got = self.runs.get(run)
-        if got is None:
-            if len(self.runs) >= self.WORDS:
-                self.runs.clear()
-            mapped = run.encode().decode("latin-1").translate(self.alphabet)
-            got = self.runs[run] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        return got
+    def _run(self, run: bytes) -> bytes:
+        # Letters and punctuation of ASCII stand for themselves.
+        mapped = run.decode() if run.isascii() else run.decode("latin-1").translate(self.alphabet)
+        return _packed([t.id for t in self.model.tokenize(mapped)])
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        m = self.plain(text)
-        if m is None:
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        run = self._run(m[1].lower())
-        return run + self._run(m[2]) if m[2] else run
+        letters = word.rstrip(b".,;:!?")
+        if letters.isalpha():  # of ASCII
+            run, marks = letters.lower(), word[len(letters):]
+        elif self.ascii(word) and not any(t in word for t in self.special):
+            return b"".join([self.runs[part] for part in self.parts(word.lower())])
+        else:
+            m = self.plain(word.decode())
+            if m is None:
+                return _packed(self.tok.encode(word.decode(), add_special_tokens=False).ids)
+            run, marks = m[1].lower().encode(), m[2].encode()
+        return self.runs[run] + self.runs[marks] if marks else self.runs[run]
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers."""
-        words = (text or "").encode().split()
-        cache = self.words
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        out = []
-        for w in words:
-            got = cache.get(w)
-            if got is None:
-                if len(cache) >= self.WORDS:
-                    cache.clear()
-                got = cache[w] = self._word(w)
-            out.append(got)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, (text or "").encode().split()))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

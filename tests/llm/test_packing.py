@@ -74,3 +74,22 @@ def test_packer_is_best_fit_and_tops_up_the_fullest():
     assert sizes(p.put(piece("d", 7))) == []
     assert sizes(p.put(piece("e", 5))) == [[("d", 0, 7), ("e", 0, 3)]]
     assert sizes(p.rest()) == [[("a", 0, 6), ("e", 3, 2)]]
+
+
+def test_ascii_words_are_cut_without_the_whole_tokenizer():
+    tok = P.WordTokenizer(PATH)
+    text = 'and&&& the##9a "x12y" a-b=c; mail.1@example.com || ...'
+    want = ids_of(text)[:-1].tobytes()
+    tok.tok = None
+    assert tok.ids(text) == want
+
+
+def test_words_in_use_stay_cached_when_others_come_and_go():
+    tok = P.WordTokenizer(PATH)
+    tok.WORDS = 40
+    made, make = [], tok.words.make
+    tok.words.make = lambda w: made.append(w) or make(w)
+    for i in range(300):
+        tok.ids(f"often again word{i}")
+    assert made.count(b"often") == made.count(b"again") == 1
+    assert len(tok.words) + len(tok.words.older) <= 2 * tok.WORDS
