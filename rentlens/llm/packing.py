@@ -70,7 +70,7 @@ class WordTokenizer:
     apostrophe or a token of its own in it, goes through the whole tokenizer.
     """
 
-    WORDS = 400_000  # words and letter runs that are cached at least, each; at most twice as many
+    WORDS = 60_000  # words and letter runs that are cached at least, each; at most twice as many
 
     def __init__(self, path: str):
         import os

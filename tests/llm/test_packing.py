@@ -93,3 +93,10 @@ def test_words_in_use_stay_cached_when_others_come_and_go():
         tok.ids(f"often again word{i}")
     assert made.count(b"often") == made.count(b"again") == 1
     assert len(tok.words) + len(tok.words.older) <= 2 * tok.WORDS
+
+
+def test_words_of_many_texts_are_held_within_bounds():
+    tok = P.WordTokenizer(PATH)
+    for i in range(0, 260_000, 1000):
+        tok.ids(" ".join(f"{chr(97 + j % 26)}x{j}%" for j in range(i, i + 1000)))
+    assert sum(len(c) + len(c.older) for c in (tok.words, tok.runs)) <= 240_000
